@@ -7,7 +7,7 @@ here raises on bad input: what does not fit becomes NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +32,51 @@ def has_payload_field(value: Column, field: str) -> Column:
     return F.coalesce(F.array_contains(names, field), F.lit(False))
 
 
-def lower_names(entries: Column) -> Column:
-    return F.transform(F.map_keys(entries), F.lower)
-
-
-def text_of(entries: Column, names: Column, field: str) -> Column:
-    """The text under a field name in any case; NULL if there is none."""
-    place = F.array_position(names, field.lower()).cast("int")
-    return F.get(F.map_values(entries), place - 1)
+class Fields:
+    """The fields of a JSON object, looked up for a fixed list of columns.
+
+    Feeds write fields in the table's order and spelling, and then a field is
+    found by its place. Any other layout is searched without regard to case.
+    """
+
+    def __init__(self, entries: Column, columns: list[str]):
+        self.columns = columns
+        wanted = F.array(*[F.lit(c) for c in columns])
+        self.plan = {
+            "values": F.map_values(entries),
+            "in_order": F.coalesce(F.map_keys(entries) == wanted, F.lit(False)),
+            "names": F.transform(F.map_keys(entries), F.lower),
+        }
+
+    def add_to(self, df: DataFrame, prefix: str) -> DataFrame:
+        """Add what lookups need as columns under a name prefix."""
+        self.values, self.in_order, self.names = [
+            F.col(f"{prefix}_{part}") for part in ("values", "in_order", "names")
+        ]
+        df = df.withColumns(
+            {f"{prefix}_{part}": self.plan[part] for part in ("values", "in_order")}
+        )
+        searched = F.when(~self.in_order, self.plan["names"])
+        return df.withColumn(f"{prefix}_names", searched)
+
+    def text(self, column: str) -> Column:
+        """The text of a field; NULL if the object has none by that name."""
+        place = F.array_position(self.names, column.lower()).cast("int")
+        return F.when(
+            self.in_order, F.get(self.values, F.lit(self.columns.index(column)))
+        ).otherwise(F.get(self.values, place - 1))
+
+    def complete(self) -> Column:
+        """Whether every column is named, and no name comes twice."""
+        wanted = F.array(*[F.lit(c.lower()) for c in self.columns])
+        found = (F.size(F.array_except(wanted, self.names)) == 0) & (
+            F.size(F.array_distinct(self.names)) == F.size(self.names)
+        )
+        return self.in_order | F.coalesce(found, F.lit(False))
+
+    def exact(self) -> Column:
+        """Whether the columns are named and nothing else is."""
+        return self.complete() & (F.size(self.values) == len(self.columns))
 
 
 def text_to(text: Column, dtype: T.DataType) -> Column:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, named
+from tidemark.functions.columns import all_of, any_of, named
 from tidemark.functions.envelope import (
+    Fields,
     has_payload_field,
     key_payload,
-    lower_names,
-    text_of,
     text_to,
     value_payload,
 )
@@ -22,20 +21,14 @@ BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT = "bad_key", "bad_value", "invalid_op", "d
 REJECTED = (BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT)
 
 
-def drift_free(names: Column, spec: TableSpec) -> Column:
-    """Whether a row image names every table column, none of them twice."""
-    wanted = F.array(*[F.lit(c.lower()) for c in spec.columns])
-    return (F.size(F.array_except(wanted, names)) == 0) & (
-        F.size(F.array_distinct(names)) == F.size(names)
-    )
-
-
 def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     """Give each record an ``action`` and, as ``row``, the typed row it carries.
 
     An upsert's row is its row image; a delete's row holds the key only. The
     raw key and value stay with rejected records alone.
     """
+    keys = Fields(F.col("_key"), list(spec.keys))
+    image = Fields(F.col("_value.after"), spec.columns)
     parsed = feed.select(
         "topic",
         "partition",
@@ -45,30 +38,22 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
         key_payload(F.col("key")).alias("_key"),
         value_payload(F.col("value")).alias("_value"),
     )
-    listed = parsed.select(
-        "*",
-        lower_names(F.col("_key")).alias("_key_names"),
-        lower_names(F.col("_value.after")).alias("_names"),
-    )
-
+    parsed = image.add_to(keys.add_to(parsed, "_k"), "_a")
     is_delete = F.col("value").isNull()
-    key_names = {k.lower() for k in spec.keys}
 
     def cell(field) -> Column:
-        text = text_of(F.col("_value.after"), F.col("_names"), field.name)
-        if field.name.lower() in key_names:
-            key_text = text_of(F.col("_key"), F.col("_key_names"), field.name)
-            text = F.when(is_delete, key_text).otherwise(text)
+        text = image.text(field.name)
+        if field.name in spec.keys:
+            text = F.when(is_delete, keys.text(field.name)).otherwise(text)
         return text_to(text, field.dataType).alias(field.name)
 
-    rows = listed.select("*", F.struct(*[cell(f) for f in spec.schema.fields]).alias("row"))
+    rows = parsed.withColumn("row", F.struct(*[cell(f) for f in spec.schema.fields]))
 
-    layout = F.array(*[F.lit(k) for k in sorted(key_names)])
-    key_fits = F.coalesce(F.array_sort("_key_names") == layout, F.lit(False))
-    key_known = all_of([named(k, "row").isNotNull() for k in spec.keys])
     op = F.col("_value.op")
+    key_known = all_of([named(k, "row").isNotNull() for k in spec.keys])
+    required = [named(f.name, "row").isNull() for f in spec.schema.fields if not f.nullable]
     action = (
-        F.when(~key_fits, BAD_KEY)
+        F.when(~F.coalesce(keys.exact(), F.lit(False)), BAD_KEY)
         .when(is_delete, F.when(key_known, DELETE).otherwise(BAD_KEY))
         .when(op.isNull(), BAD_VALUE)
         .when(
@@ -76,13 +61,14 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
             F.when(has_payload_field(F.col("value"), "after"), INVALID_OP).otherwise(BAD_VALUE),
         )
         .when(F.col("_value.after").isNull(), BAD_VALUE)
-        .when(~drift_free(F.col("_names"), spec), DRIFT)
-        .when(op == "u", UPDATE)
-        .otherwise(CREATE)
+        .when(~image.complete(), DRIFT)
     )
-    decided = rows.select("*", action.alias("action"))
+    if required:
+        action = action.when(any_of(required), BAD_VALUE)
+    action = action.when(op == "u", UPDATE).otherwise(CREATE)
+    decided = rows.withColumn("action", action)
     rejected = ~F.col("action").isin(*APPLIED)
-    return decided.select(
+    fields = F.struct(
         "topic",
         "partition",
         "offset",
@@ -91,6 +77,9 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
         F.when(rejected, F.col("key")).alias("raw_key"),
         F.when(rejected, F.col("value")).alias("raw_value"),
     )
+    # A generator's output cannot be filtered before it is made. Without this,
+    # filters on action or row move below the parsing and repeat all of it.
+    return decided.select(F.inline(F.array(fields)))
 
 
 def changes(decoded: DataFrame) -> DataFrame:
@@ -129,10 +118,9 @@ def key_columns(feed: DataFrame) -> DataFrame:
 
 def drift_check(feed: DataFrame, spec: TableSpec) -> DataFrame:
     """How many row images fit the table and how many lack a column."""
+    image = Fields(F.col("after"), spec.columns)
     images = feed.select(value_payload(F.col("value"))["after"].alias("after"))
-    names = images.where(F.col("after").isNotNull()).select(
-        lower_names(F.col("after")).alias("names")
-    )
-    return names.groupBy(drift_free(F.col("names"), spec).alias("ok")).agg(
-        F.count(F.lit(1)).alias("n")
+    checked = image.add_to(images, "_a").select(
+        F.inline(F.array(F.struct(F.col("after").isNotNull().alias("has"), image.complete().alias("ok"))))
     )
+    return checked.where("has").groupBy("ok").agg(F.count(F.lit(1)).alias("n"))

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import any_of, named
-from tidemark.table import POS
+from tidemark.functions.columns import all_of, any_of, named
+from tidemark.table import POS, TableSpec
 
 
-def last_per_key(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """The change with the highest feed position for each key.
 
-    A key with a null in it equals nothing, so such changes are told apart by
-    their position: each is kept, and a redelivered one is kept once.
+    ``max_by`` is combined in every map task before the shuffle, so a key
+    holding most of the feed costs its reducer one row per map task. The result
+    is partitioned by the key, which a merge can use as it is.
 
-    Spark cuts to one row per key in every map task before the shuffle
-    (WindowGroupLimit), so a key holding most of the feed costs its reducer one
-    row per map task.
+    A key with a null in it equals nothing: such changes are all kept, and one
+    that was delivered twice is told by its position and kept once. Where the
+    table's schema rules nulls out, that second pass is left out.
     """
-    null_key = any_of([named(k).isNull() for k in keys])
-    same_row = [*[named(k) for k in keys], F.when(null_key, F.col(POS))]
-    latest = Window.partitionBy(*same_row).orderBy(
-        F.col(f"{POS}.offset").desc(),
-        F.col(f"{POS}.partition").desc(),
-        F.col(f"{POS}.topic").desc(),
+    keys = [named(k) for k in spec.keys]
+    complete = changes.where(all_of([k.isNotNull() for k in keys]))
+    rest = [c for c in changes.columns if c not in spec.keys]
+    last = complete.groupBy(*keys).agg(
+        F.max_by(F.struct(*[named(c) for c in rest]), F.col(POS)).alias("_last")
     )
-    ranked = changes.withColumn("_rank", F.row_number().over(latest))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
+    columns = [named(c, None if c in spec.keys else "_last").alias(c) for c in changes.columns]
+    folded = last.select(*columns)
+    if not spec.null_keys:
+        return folded
+    incomplete = changes.where(any_of([named(k).isNull() for k in spec.null_keys]))
+    return folded.unionByName(incomplete.dropDuplicates([POS]))

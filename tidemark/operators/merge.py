@@ -23,20 +23,21 @@ from tidemark.functions.conditions import (
     typed_literal,
 )
 from tidemark.operators.decode import row_images
-from tidemark.table import DELETED, POS
+from tidemark.table import DELETED, POS, TableSpec
 
 
 def same_key(keys: tuple[str, ...], left: str, right: str) -> Column:
     return all_of([named(k, left) == named(k, right) for k in keys])
 
 
-def merge(target: DataFrame, net: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
     """Apply one change per key: every matching row is replaced or deleted, a
     change without a match is inserted unless it is a delete.
 
     Where the target keeps feed positions, a change older than the row it meets
     does nothing. The result has the target's columns.
     """
+    keys = spec.keys
     columns = [c for c in target.columns if c != DELETED]
     guarded = POS in columns
     met = target.alias("t").join(net.alias("n"), same_key(keys, "t", "n"), "left")
@@ -57,10 +58,10 @@ def merge(target: DataFrame, net: DataFrame, keys: tuple[str, ...]) -> DataFrame
     return kept.unionByName(inserted)
 
 
-def delete_by_key(target: DataFrame, keys_gone: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def delete_by_key(target: DataFrame, keys_gone: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows whose key is not among the deleted ones."""
-    gone = keys_gone.select(*[named(k) for k in keys]).distinct()
-    return target.alias("t").join(gone.alias("g"), same_key(keys, "t", "g"), "left_anti")
+    gone = keys_gone.select(*[named(k) for k in spec.keys]).distinct()
+    return target.alias("t").join(gone.alias("g"), same_key(spec.keys, "t", "g"), "left_anti")
 
 
 def append_log(target: DataFrame, decoded: DataFrame) -> DataFrame:

@@ -15,14 +15,19 @@ from tidemark.table import TableSpec
 
 COLUMNS = T.StructType(
     [
-        T.StructField("ID", T.LongType()),
+        T.StructField("ID", T.LongType(), nullable=False),
         T.StructField("Label", T.StringType()),
         T.StructField("Amount", T.DoubleType()),
         T.StructField("Note", T.StringType()),
     ]
 )
 CURRENT = TableSpec("current", COLUMNS, ("ID",))
-BY_LABEL = TableSpec("by_label", COLUMNS, ("ID", "Label"))
+OPEN = TableSpec("open", T.StructType([T.StructField(f.name, f.dataType) for f in COLUMNS]), ("ID",))
+BY_LABEL = TableSpec(
+    "by_label",
+    T.StructType([T.StructField(f.name, f.dataType, f.name not in ("ID", "Label")) for f in COLUMNS]),
+    ("ID", "Label"),
+)
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 

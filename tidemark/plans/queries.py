@@ -14,6 +14,7 @@ from tidemark.operators.fold import last_per_key
 from tidemark.plans.feeds import (
     BY_LABEL,
     CURRENT,
+    OPEN,
     customer_base,
     customer_base_by_label,
     event_feed,
@@ -46,8 +47,8 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.decode(feed(spark, sf_dir), CURRENT)
 
 
-def net(spark: SparkSession, sf_dir: str, spec: TableSpec = CURRENT) -> DataFrame:
-    return last_per_key(d.changes(decoded(spark, sf_dir)), spec.keys)
+def net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return last_per_key(d.changes(decoded(spark, sf_dir)), CURRENT)
 
 
 # -- reading and classifying the feed ---------------------------------------
@@ -177,7 +178,7 @@ def last_change(spark, sf_dir):
     picked = kinds.select(
         "row.ID", "action", F.struct("offset", "partition", "topic").alias("_pos")
     )
-    return last_per_key(picked, CURRENT.keys).select("ID", "_pos.offset", "action")
+    return last_per_key(picked, CURRENT).select("ID", "_pos.offset", "action")
 
 
 @query
@@ -190,25 +191,25 @@ def state_after_feed(spark, sf_dir):
 
 @query
 def upsert_merge(spark, sf_dir):
-    return m.merge(customer_base(spark, sf_dir), net(spark, sf_dir), CURRENT.keys)
+    return m.merge(customer_base(spark, sf_dir), net(spark, sf_dir), CURRENT)
 
 
 @query
 def delete_by_key(spark, sf_dir):
     gone = d.deleted_keys(decoded(spark, sf_dir), CURRENT)
-    return m.delete_by_key(customer_base(spark, sf_dir), gone, CURRENT.keys)
+    return m.delete_by_key(customer_base(spark, sf_dir), gone, CURRENT)
 
 
 @query
 def merge_composite_key(spark, sf_dir):
     records = event_feed(events(spark, sf_dir), keys=BY_LABEL.keys)
-    folded = last_per_key(d.changes(d.decode(records, BY_LABEL)), BY_LABEL.keys)
-    return m.merge(customer_base_by_label(spark, sf_dir), folded, BY_LABEL.keys)
+    folded = last_per_key(d.changes(d.decode(records, BY_LABEL)), BY_LABEL)
+    return m.merge(customer_base_by_label(spark, sf_dir), folded, BY_LABEL)
 
 
 @query
 def merge_multi_match(spark, sf_dir):
-    return m.merge(order_base(spark, sf_dir), net(spark, sf_dir), CURRENT.keys)
+    return m.merge(order_base(spark, sf_dir), net(spark, sf_dir), CURRENT)
 
 
 @query
@@ -216,8 +217,8 @@ def merge_null_key(spark, sf_dir):
     """Signups carry a null key, so each of them is a row of its own."""
     unknown = F.when(F.col("event_type") != "signup", F.col("user_id"))
     records = event_feed(events(spark, sf_dir), event_image(id=unknown))
-    folded = last_per_key(d.changes(d.decode(records, CURRENT)), CURRENT.keys)
-    return m.merge(customer_base(spark, sf_dir), folded, CURRENT.keys)
+    folded = last_per_key(d.changes(d.decode(records, OPEN)), OPEN)
+    return m.merge(customer_base(spark, sf_dir), folded, OPEN)
 
 
 @query

@@ -109,13 +109,15 @@ class TableStore:
         """
         changes = self._parquet(pending, self.spec.state_schema)
         if not base:
-            net = last_per_key(changes, self.spec.keys)
+            net = last_per_key(changes, self.spec)
             return net.where(~F.col(DELETED)).drop(DELETED), net
         state = self._parquet(base, self.spec.state_schema)
-        null_key = any_of([named(k).isNull() for k in self.spec.keys])
-        by_position = F.col(DELETED) | (null_key & F.col(POS).isNotNull())
-        net = last_per_key(changes.unionByName(state.where(by_position)), self.spec.keys)
-        return merge(state.where(~by_position), net, self.spec.keys), net
+        by_position = F.col(DELETED)
+        if self.spec.null_keys:
+            null_key = any_of([named(k).isNull() for k in self.spec.null_keys])
+            by_position = by_position | (null_key & F.col(POS).isNotNull())
+        net = last_per_key(changes.unionByName(state.where(by_position)), self.spec)
+        return merge(state.where(~by_position), net, self.spec), net
 
     def rejects(self) -> DataFrame:
         paths = [f"{self.path}/rejects/{n}" for n in self._committed("rejects")]
@@ -143,7 +145,7 @@ class TableStore:
         """Add a batch of changes under a tag; False if it is there already."""
         if self.has(tag):
             return False
-        net = last_per_key(changes, self.spec.keys)
+        net = last_per_key(changes, self.spec)
         net.write.mode("overwrite").parquet(f"{self.path}/changes/{self.version + 1:010d}-{tag}")
         return True
 

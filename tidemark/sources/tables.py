@@ -28,7 +28,7 @@ def merge_into(decoded: DataFrame, table: str, spec: TableSpec) -> None:
     Such a table keeps no feed positions, so batches have to come in feed
     order, as they do from Kafka.
     """
-    net = last_per_key(changes(decoded), spec.keys)
+    net = last_per_key(changes(decoded), spec)
     cells = {c: named(c, "n") for c in spec.columns}
     (
         net.alias("n")

@@ -23,7 +23,11 @@ POS_TYPE = T.StructType(
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A target table. Column names are matched without regard to case."""
+    """A target table. Column names are matched without regard to case.
+
+    A column that is not nullable makes upserts without it bad values. Keys
+    should be declared so: telling null keys apart takes passes of its own.
+    """
 
     name: str
     schema: T.StructType | str
@@ -56,6 +60,11 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.names
 
+    @property
+    def null_keys(self) -> list[str]:
+        """The key columns that may be null."""
+        return [k for k in self.keys if self.schema[k].nullable]
+
     @property
     def state_schema(self) -> T.StructType:
         """The table's columns plus the bookkeeping columns, all nullable."""
