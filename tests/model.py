@@ -1,0 +1,85 @@
+"""The record loop, one record at a time, to check the set operators against."""
+
+import json
+
+from tidemark.sources.feed import FEED_SCHEMA
+
+
+def record(offset, key, value, partition=0, topic="srv.db.dbo.Emp"):
+    return (topic, partition, offset, key, value)
+
+
+def key_of(**columns):
+    return json.dumps({"payload": columns})
+
+
+def upsert(offset, op="c", key=None, **row):
+    key = key or {"ID": row.get("ID")}
+    value = {"payload": {"before": None, "after": row, "op": op}}
+    return record(offset, json.dumps({"payload": key}), json.dumps(value))
+
+
+def delete(offset, **key):
+    return record(offset, key_of(**key), None)
+
+
+def feed_of(spark, records):
+    return spark.createDataFrame(records, FEED_SCHEMA)
+
+
+def parsed(text):
+    try:
+        document = json.loads(text)
+    except (TypeError, ValueError):
+        return None
+    payload = document.get("payload") if isinstance(document, dict) else None
+    return payload if isinstance(payload, dict) else None
+
+
+def judge(rec, columns, keys, ops=("c", "u")):
+    """(action, row or key) of a record."""
+    _, _, _, key_text, value_text = rec
+    key = parsed(key_text)
+    if key is None or sorted(k.lower() for k in key) != sorted(k.lower() for k in keys):
+        return "bad_key", None
+    if value_text is None:
+        named = {k.lower(): v for k, v in key.items()}
+        values = {k: named[k.lower()] for k in keys}
+        return ("bad_key", None) if None in values.values() else ("delete", values)
+    payload = parsed(value_text)
+    if payload is None or payload.get("op") is None or "after" not in payload:
+        return "bad_value", None
+    if payload["op"] not in ops:
+        return "invalid_op", None
+    after = payload["after"]
+    if not isinstance(after, dict):
+        return "bad_value", None
+    named = {k.lower(): v for k, v in after.items()}
+    if len(named) != len(after) or any(c.lower() not in named for c in columns):
+        return "drift", None
+    row = {c: named[c.lower()] for c in columns}
+    return ("update" if payload["op"] == "u" else "create"), row
+
+
+def run(records, columns, keys, rows=()):
+    """The table after applying the records in offset order."""
+    table = [dict(r) for r in rows]
+
+    def same(row, other):
+        return all(row[k] is not None and row[k] == other[k] for k in keys)
+
+    for rec in sorted(records, key=lambda r: (r[2], r[1], r[0])):
+        action, row = judge(rec, columns, keys)
+        if action == "delete":
+            table = [t for t in table if not same(t, row)]
+        elif action in ("create", "update"):
+            hits = [t for t in table if same(t, row)]
+            for t in hits:
+                t.update(row)
+            if not hits:
+                table.append(dict(row))
+    return sorted((tuple(t[c] for c in columns) for t in table), key=repr)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)

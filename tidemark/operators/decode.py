@@ -53,7 +53,7 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     key_known = all_of([named(k, "row").isNotNull() for k in spec.keys])
     required = [named(f.name, "row").isNull() for f in spec.schema.fields if not f.nullable]
     action = (
-        F.when(~F.coalesce(keys.exact(), F.lit(False)), BAD_KEY)
+        F.when(~keys.exact(), BAD_KEY)
         .when(is_delete, F.when(key_known, DELETE).otherwise(BAD_KEY))
         .when(op.isNull(), BAD_VALUE)
         .when(

@@ -1,9 +1,9 @@
 """Changing tables: merge, delete, append and update by condition.
 
 A target may hold any number of rows per key, and one key may hold a large part
-of it. So the target is always the outer (left) side of a join against one row
-per key: a small set of changes is broadcast when its size allows, else the
-adaptive skew join can split the target's side. Inserts are found from the
+of it. So the target is always the left side of a join against one row per key:
+a small set of changes is broadcast when its size allows, else the adaptive
+skew join splits the target's hot partitions. Inserts are found from the
 target's distinct keys only, reduced before they are shuffled.
 """
 
@@ -30,38 +30,56 @@ def same_key(keys: tuple[str, ...], left: str, right: str) -> Column:
     return all_of([named(k, left) == named(k, right) for k in keys])
 
 
+def same_key_split(spec: TableSpec, left: str, right: str) -> Column:
+    """Equal keys, in a join whose left side may be skewed.
+
+    Spark splits skewed partitions only where a join shuffles both of its
+    sides. The right side comes partitioned by the key already; the key's hash
+    as a second join key makes the join shuffle it again.
+    """
+    hashes = [F.xxhash64(*[named(k, side) for k in spec.keys]) for side in (left, right)]
+    return same_key(spec.keys, left, right) & (hashes[0] == hashes[1])
+
+
+def conform(target: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table's columns in its types and order, and positions if it has any."""
+    cells = [
+        named(column_of(target, f.name)).cast(f.dataType).alias(f.name) for f in spec.schema.fields
+    ]
+    return target.select(*cells, *[POS for c in target.columns if c == POS])
+
+
 def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
     """Apply one change per key: every matching row is replaced or deleted, a
     change without a match is inserted unless it is a delete.
 
     Where the target keeps feed positions, a change older than the row it meets
-    does nothing. The result has the target's columns.
+    does nothing.
     """
-    keys = spec.keys
-    columns = [c for c in target.columns if c != DELETED]
-    guarded = POS in columns
-    met = target.alias("t").join(net.alias("n"), same_key(keys, "t", "n"), "left")
+    target = conform(target, spec)
+    met = target.alias("t").join(net.alias("n"), same_key_split(spec, "t", "n"), "left")
     hit = F.col(f"n.{POS}").isNotNull()
-    if guarded:
+    if POS in target.columns:
         held, new = F.col(f"t.{POS}"), F.col(f"n.{POS}")
         hit = hit & (held.isNull() | (new > held))
     kept = met.where(~(hit & F.col(f"n.{DELETED}"))).select(
-        *[F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c) for c in columns]
+        *[F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c) for c in target.columns]
     )
-    present = target.select(*[named(k) for k in keys]).distinct()
+    present = target.select(*[named(k) for k in spec.keys]).distinct()
     inserted = (
         net.where(~F.col(DELETED))
         .alias("n")
-        .join(present.alias("t"), same_key(keys, "n", "t"), "left_anti")
-        .select(*[named(c, "n").alias(c) for c in columns])
+        .join(present.alias("t"), same_key(spec.keys, "n", "t"), "left_anti")
+        .select(*[named(c, "n").alias(c) for c in target.columns])
     )
     return kept.unionByName(inserted)
 
 
-def delete_by_key(target: DataFrame, keys_gone: DataFrame, spec: TableSpec) -> DataFrame:
+def delete_by_key(target: DataFrame, gone: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows whose key is not among the deleted ones."""
-    gone = keys_gone.select(*[named(k) for k in spec.keys]).distinct()
-    return target.alias("t").join(gone.alias("g"), same_key(spec.keys, "t", "g"), "left_anti")
+    target = conform(target, spec)
+    gone = gone.select(*[named(k) for k in spec.keys]).distinct()
+    return target.alias("t").join(gone.alias("g"), same_key_split(spec, "t", "g"), "left_anti")
 
 
 def append_log(target: DataFrame, decoded: DataFrame) -> DataFrame:
