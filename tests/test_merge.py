@@ -70,6 +70,13 @@ def test_repeated_keys_in_the_target(spark, spec):
     check(spark, spec, [upsert(0, "u", ID=1, Name="z"), delete(1, ID=2)], rows)
 
 
+def test_a_repeated_key_that_was_deleted_comes_back_as_one_row(spark, spec):
+    rows = [(1, "a"), (1, "b"), (2, "c"), (2, "c")]
+    records = [delete(0, ID=1), upsert(1, "u", ID=1, Name="z"), upsert(2, ID=2, Name="d"),
+               upsert(3, ID=1, Name="y")]
+    check(spark, spec, records, rows)
+
+
 def test_null_keys(spark, spec):
     rows = [(None, "kept"), (None, "kept"), (1, "a")]
     records = [

@@ -1,0 +1,142 @@
+"""Structured Streaming runs."""
+
+import logging
+
+import pytest
+
+from model import delete, feed_of, record, rows_of, run, upsert
+from tidemark.sources.feed import file_feed
+from tidemark.sources.store import TableStore
+from tidemark.sources.workdir import work_dir
+from tidemark.streaming.apply import apply_stream
+from tidemark.table import TableSpec
+
+COLUMNS = ["ID", "Name"]
+
+
+@pytest.fixture(scope="module")
+def spec(spark):
+    return TableSpec("t", "ID BIGINT NOT NULL, Name STRING", ("ID",))
+
+
+RECORDS = [
+    upsert(0, ID=1, Name="a"), upsert(1, ID=2, Name="b"), upsert(2, ID=3, Name="c"),
+    upsert(3, "u", ID=1, Name="d"), delete(4, ID=2), upsert(5, "r", ID=4, Name="x"),
+    upsert(6, "u", ID=3, Name="e"), delete(7, ID=3), upsert(8, ID=3, Name="f"),
+]
+
+
+def write_files(spark, path, groups):
+    for records in groups:
+        feed_of(spark, records).coalesce(1).write.mode("append").parquet(path)
+
+
+def start(spark, path, stores, checkpoint, **options):
+    feed = file_feed(spark, path, stream=True, maxFilesPerTrigger=1)
+    query = apply_stream(feed, stores, checkpoint, **options)
+    query.awaitTermination()
+    return query
+
+
+def test_stream_equals_record_loop_in_any_file_order(spark, spec):
+    root = work_dir(spark)
+    thirds = [RECORDS[6:], RECORDS[0:3], RECORDS[3:6]]
+    write_files(spark, f"{root}/feed", thirds)
+    store = TableStore(spark, root, spec)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint", compact_ratio=None)
+    assert store.version == 3
+    assert rows_of(store.read()) == run(RECORDS, COLUMNS, ["ID"])
+    assert [r["action"] for r in store.rejects().collect()] == ["invalid_op"]
+
+
+def test_resume_reads_only_what_is_new(spark, spec):
+    root = work_dir(spark)
+    store = TableStore(spark, root, spec)
+    for part in (RECORDS[:5], RECORDS[5:]):
+        write_files(spark, f"{root}/feed", [part])
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint", compact_ratio=0.0)
+    assert store.version == 2
+    assert rows_of(store.read()) == run(RECORDS, COLUMNS, ["ID"])
+
+
+def test_a_new_checkpoint_replays_and_changes_nothing(spark, spec):
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [RECORDS[:4], RECORDS[4:]])
+    store = TableStore(spark, root, spec)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint1", compact_ratio=0.0)
+    first = rows_of(store.read())
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint2", compact_ratio=None)
+    assert store.version == 4 and rows_of(store.read()) == first == run(RECORDS, COLUMNS, ["ID"])
+
+
+def test_a_batch_that_broke_off_is_done_again(spark, spec, monkeypatch):
+    """The query dies after the rejects are written and before the commit."""
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [RECORDS])
+    store = TableStore(spark, root, spec)
+    commit = TableStore.commit
+
+    def broken(self, *args):
+        raise OSError("the writer was lost")
+
+    monkeypatch.setattr(TableStore, "commit", broken)
+    with pytest.raises(Exception, match="the writer was lost"):
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+    assert store.version == 0
+    monkeypatch.setattr(TableStore, "commit", commit)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+    assert store.version == 1 and store.rejects().count() == 1
+    assert rows_of(store.read()) == run(RECORDS, COLUMNS, ["ID"])
+
+
+def test_a_batch_is_not_applied_again_after_its_commit(spark, spec, monkeypatch):
+    """The query dies after the commit, before Spark notes the batch as done."""
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [RECORDS])
+    store = TableStore(spark, root, spec)
+    compact = TableStore.compact_if_due
+
+    def broken(self, ratio):
+        raise OSError("the driver was lost")
+
+    monkeypatch.setattr(TableStore, "compact_if_due", broken)
+    with pytest.raises(Exception, match="the driver was lost"):
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+    assert store.version == 1
+    monkeypatch.setattr(TableStore, "compact_if_due", compact)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+    assert store.version == 1 and rows_of(store.read()) == run(RECORDS, COLUMNS, ["ID"])
+
+
+def test_topics_to_tables(spark, spec):
+    root = work_dir(spark)
+    topics = ["srv.A", "srv.B", "srv.C", "srv.D"]
+    records = [(topics[n % 4], *upsert(n, ID=n, Name="x")[1:]) for n in range(8)]
+    write_files(spark, f"{root}/feed", [records])
+    stores = [TableStore(spark, root, TableSpec(n, spec.schema, spec.keys)) for n in ("srv_a", "mine")]
+    with pytest.raises(ValueError):
+        start(spark, f"{root}/feed", stores, f"{root}/checkpoint")
+    start(spark, f"{root}/feed", stores, f"{root}/checkpoint",
+          routes={"srv.B": "mine", "srv.C": "mine"}, unrouted=f"{root}/unrouted")
+    assert [rows_of(s.read().select("ID")) for s in stores] == [[(0,), (4,)], [(1,), (2,), (5,), (6,)]]
+    lost = spark.read.parquet(f"{root}/unrouted/*")
+    assert rows_of(lost.select("topic", "offset")) == [("srv.D", 3), ("srv.D", 7)]
+
+
+def test_one_table_takes_every_topic(spark, spec):
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [[record(0, None, None, topic="a"),
+                                         (("b"), *upsert(1, ID=1, Name="x")[1:])]])
+    store = TableStore(spark, root, spec)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+    assert rows_of(store.read()) == [(1, "x")] and store.rejects().first()["topic"] == "a"
+
+
+def test_audit_is_logged_and_the_table_shown_on_request(spark, spec, caplog, capfd):
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [RECORDS])
+    store = TableStore(spark, root, spec)
+    with caplog.at_level(logging.INFO, "tidemark.streaming.apply"):
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint", show=True)
+    assert "'create': 4" in caplog.text and "'invalid_op': 1" in caplog.text
+    assert "|  1|   d|" in capfd.readouterr().out

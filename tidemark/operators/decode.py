@@ -13,7 +13,7 @@ from tidemark.functions.envelope import (
     text_to,
     value_payload,
 )
-from tidemark.table import DELETED, POS, TableSpec
+from tidemark.table import DELETED, GONE, POS, TableSpec
 
 CREATE, UPDATE, DELETE = "create", "update", "delete"
 APPLIED = (CREATE, UPDATE, DELETE)
@@ -84,10 +84,13 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
 
 def changes(decoded: DataFrame) -> DataFrame:
     """The records that change the table, as table columns plus bookkeeping."""
+    position = F.struct("offset", "partition", "topic")
+    is_delete = F.col("action") == DELETE
     return decoded.where(F.col("action").isin(*APPLIED)).select(
         "row.*",
-        F.struct("offset", "partition", "topic").alias(POS),
-        (F.col("action") == DELETE).alias(DELETED),
+        position.alias(POS),
+        is_delete.alias(DELETED),
+        F.when(is_delete, position).alias(GONE),
     )
 
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of, named
-from tidemark.table import POS, TableSpec
+from tidemark.table import GONE, POS, TableSpec
 
 
 def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The change with the highest feed position for each key.
+    """The change with the highest feed position for each key, and beside it
+    the position of the key's last delete.
 
     ``max_by`` is combined in every map task before the shuffle, so a key
     holding most of the feed costs its reducer one row per map task. The result
@@ -22,12 +23,14 @@ def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """
     keys = [named(k) for k in spec.keys]
     complete = changes.where(all_of([k.isNotNull() for k in keys]))
-    rest = [c for c in changes.columns if c not in spec.keys]
-    last = complete.groupBy(*keys).agg(
-        F.max_by(F.struct(*[named(c) for c in rest]), F.col(POS)).alias("_last")
+    rest = [c for c in changes.columns if c not in (*spec.keys, GONE)]
+    parts = [F.max_by(F.struct(*[named(c) for c in rest]), F.col(POS)).alias("_last")]
+    if GONE in changes.columns:
+        parts.append(F.max(GONE).alias(GONE))
+    last = complete.groupBy(*keys).agg(*parts)
+    folded = last.select(
+        *[named(c, "_last" if c in rest else None).alias(c) for c in changes.columns]
     )
-    columns = [named(c, None if c in spec.keys else "_last").alias(c) for c in changes.columns]
-    folded = last.select(*columns)
     if not spec.null_keys:
         return folded
     incomplete = changes.where(any_of([named(k).isNull() for k in spec.null_keys]))

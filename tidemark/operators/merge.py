@@ -23,7 +23,7 @@ from tidemark.functions.conditions import (
     typed_literal,
 )
 from tidemark.operators.decode import row_images
-from tidemark.table import DELETED, POS, TableSpec
+from tidemark.table import DELETED, GONE, POS, TableSpec
 
 
 def same_key(keys: tuple[str, ...], left: str, right: str) -> Column:
@@ -53,25 +53,29 @@ def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
     """Apply one change per key: every matching row is replaced or deleted, a
     change without a match is inserted unless it is a delete.
 
-    Where the target keeps feed positions, a change older than the row it meets
-    does nothing.
+    Rows older than the key's last delete are gone even if the key came back
+    later; it comes back as one row. Where the target keeps feed positions, a
+    change or delete older than the row it meets does nothing.
     """
     target = conform(target, spec)
-    met = target.alias("t").join(net.alias("n"), same_key_split(spec, "t", "n"), "left")
-    hit = F.col(f"n.{POS}").isNotNull()
+    keys = [named(k) for k in spec.keys]
+    new, gone, deleted = F.col(f"n.{POS}"), F.col(f"n.{GONE}"), F.col(f"n.{DELETED}")
     if POS in target.columns:
-        held, new = F.col(f"t.{POS}"), F.col(f"n.{POS}")
-        hit = hit & (held.isNull() | (new > held))
-    kept = met.where(~(hit & F.col(f"n.{DELETED}"))).select(
+        held = F.col(f"t.{POS}")
+        present = target.groupBy(*keys).agg(F.max(POS).alias(POS))
+        hit = new.isNotNull() & (held.isNull() | (new > held))
+        removed = gone.isNotNull() & (held.isNull() | (gone > held))
+    else:
+        present = target.select(*keys).distinct()
+        hit, removed = new.isNotNull(), gone.isNotNull()
+
+    met = target.alias("t").join(net.alias("n"), same_key_split(spec, "t", "n"), "left")
+    kept = met.where(~removed).select(
         *[F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c) for c in target.columns]
     )
-    present = target.select(*[named(k) for k in spec.keys]).distinct()
-    inserted = (
-        net.where(~F.col(DELETED))
-        .alias("n")
-        .join(present.alias("t"), same_key(spec.keys, "n", "t"), "left_anti")
-        .select(*[named(c, "n").alias(c) for c in target.columns])
-    )
+    found = same_key(spec.keys, "n", "t") & ~removed
+    missing = net.alias("n").where(~deleted).join(present.alias("t"), found, "left_anti")
+    inserted = missing.select(*[named(c, "n").alias(c) for c in target.columns])
     return kept.unionByName(inserted)
 
 

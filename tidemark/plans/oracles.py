@@ -68,13 +68,17 @@ ORACLES: dict[str, str] = {
         SELECT * FROM target t WHERE NOT EXISTS
           (SELECT 1 FROM pair p WHERE p."ID"=t."ID" AND p."Label"=t."Label")
         UNION ALL SELECT "ID","Label","Amount","Note" FROM pair WHERE action <> 'delete'""",
+    # a deleted key loses all its rows; if it comes back, it is one row
     "merge_multi_match": FEED + """, target AS (SELECT 2 * o_custkey AS "ID",
-          o_orderpriority AS "Label", o_totalprice AS "Amount", o_orderstatus AS "Note" FROM orders)
-        SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM net n WHERE n."ID"=t."ID")
-        UNION ALL SELECT n."ID",n."Label",n."Amount",n."Note" FROM target t
-          JOIN net n ON n."ID"=t."ID" WHERE n.action <> 'delete'
+          o_orderpriority AS "Label", o_totalprice AS "Amount", o_orderstatus AS "Note" FROM orders),
+        gone AS (SELECT DISTINCT "ID" FROM feed WHERE action = 'delete'),
+        left_over AS (SELECT * FROM target t WHERE NOT EXISTS
+          (SELECT 1 FROM gone g WHERE g."ID"=t."ID"))
+        SELECT * FROM left_over t WHERE NOT EXISTS (SELECT 1 FROM net n WHERE n."ID"=t."ID")
+        UNION ALL SELECT n."ID",n."Label",n."Amount",n."Note" FROM left_over t
+          JOIN net n ON n."ID"=t."ID"
         UNION ALL SELECT "ID","Label","Amount","Note" FROM net n WHERE action <> 'delete'
-          AND NOT EXISTS (SELECT 1 FROM target t WHERE n."ID"=t."ID")""",
+          AND NOT EXISTS (SELECT 1 FROM left_over t WHERE n."ID"=t."ID")""",
     "merge_null_key": FEED + """, known AS (SELECT * FROM (SELECT *, row_number() OVER
           (PARTITION BY "ID" ORDER BY "offset" DESC) AS kn
           FROM feed WHERE action IN ('update','delete')) WHERE kn = 1)
@@ -87,8 +91,8 @@ ORACLES: dict[str, str] = {
         CASE WHEN "Label"='BUILDING' THEN 'hold' ELSE "Note" END AS "Note" FROM base""",
     "keyed_update_overwrite": FEED + """SELECT "ID","Label","Amount",'hold' AS "Note" FROM base
         WHERE "Label"='BUILDING'""",
-    "filter_by_conditions": FEED + """SELECT * FROM base
-        WHERE "Label"='BUILDING' AND "ID"=220""",
+    "filter_by_conditions": """SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice
+        FROM lineitem WHERE l_linenumber = 3 AND l_returnflag = 'A'""",
     "preview": FEED + f"""SELECT * FROM ({MERGED}) ORDER BY "ID" LIMIT 20""",
     "scan_table": FEED + "SELECT * FROM base",
     "apply_stream_routed": FEED + """, topics AS (SELECT DISTINCT topic FROM feed)

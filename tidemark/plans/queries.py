@@ -242,8 +242,11 @@ def keyed_update_overwrite(spark, sf_dir):
 
 @query
 def filter_by_conditions(spark, sf_dir):
-    wanted = '{"conditions": [{"column": "Label", "value": "BUILDING"}, {"column": "ID", "value": "220"}]}'
-    return m.filter_by_conditions(customer_base(spark, sf_dir), wanted)
+    wanted = [{"column": "l_linenumber", "value": "3"}, {"column": "L_RETURNFLAG", "value": "A"}]
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return m.filter_by_conditions(lines, wanted).select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
+    )
 
 
 @query

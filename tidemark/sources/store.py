@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import any_of, named
 from tidemark.operators.fold import last_per_key
 from tidemark.operators.merge import merge
-from tidemark.table import DELETED, POS, POS_TYPE, TableSpec
+from tidemark.table import DELETED, GONE, POS, POS_TYPE, TableSpec
 
 REJECT_SCHEMA = T.StructType(
     [
@@ -110,7 +110,7 @@ class TableStore:
         changes = self._parquet(pending, self.spec.state_schema)
         if not base:
             net = last_per_key(changes, self.spec)
-            return net.where(~F.col(DELETED)).drop(DELETED), net
+            return net.where(~F.col(DELETED)).drop(DELETED, GONE), net
         state = self._parquet(base, self.spec.state_schema)
         by_position = F.col(DELETED)
         if self.spec.null_keys:
@@ -128,11 +128,12 @@ class TableStore:
     def overwrite(self, rows: DataFrame) -> int:
         """Replace the table's contents; returns the new version."""
         version = self.version + 1
+        no_pos = F.lit(None).cast(POS_TYPE)
         (
             rows.select(
                 *[named(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema.fields]
             )
-            .withColumns({POS: F.lit(None).cast(POS_TYPE), DELETED: F.lit(False)})
+            .withColumns({POS: no_pos, DELETED: F.lit(False), GONE: no_pos})
             .write.mode("overwrite")
             .parquet(f"{self.path}/snapshots/{version:010d}")
         )
@@ -163,7 +164,8 @@ class TableStore:
         markers = net.where(F.col(DELETED))
         if forget is not None:
             markers = markers.where(~forget)
-        state = rows.withColumn(DELETED, F.lit(False)).unionByName(markers)
+        live = rows.withColumns({DELETED: F.lit(False), GONE: F.lit(None).cast(POS_TYPE)})
+        state = live.unionByName(markers)
         state.write.mode("overwrite").parquet(f"{self.path}/snapshots/{version:010d}")
         return version
 

@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# Bookkeeping columns kept next to a table's own columns in stored state.
+# Bookkeeping columns next to a table's own columns: the feed position of the
+# last change, whether that was a delete, and the position of the last delete.
 POS = "_pos"
 DELETED = "_deleted"
+GONE = "_gone"
 
 # Where a record stood in the feed. Struct order is also the order in which
 # changes win: by offset first, the rest only makes the order total.
@@ -44,7 +46,7 @@ class TableSpec:
         spelled = {f.name.lower(): f.name for f in schema.fields}
         if not spelled or len(spelled) != len(schema.fields):
             raise ValueError(f"{self.name}: columns must be given and differ by more than case")
-        if reserved := {POS, DELETED} & set(spelled):
+        if reserved := {POS, DELETED, GONE} & set(spelled):
             raise ValueError(f"{self.name}: reserved column names {sorted(reserved)}")
         if not keys or len({k.lower() for k in keys}) != len(keys):
             raise ValueError(f"{self.name}: key columns must be given once each")
@@ -69,6 +71,5 @@ class TableSpec:
     def state_schema(self) -> T.StructType:
         """The table's columns plus the bookkeeping columns, all nullable."""
         fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields]
-        return T.StructType(
-            [*fields, T.StructField(POS, POS_TYPE), T.StructField(DELETED, T.BooleanType())]
-        )
+        kept = {POS: POS_TYPE, DELETED: T.BooleanType(), GONE: POS_TYPE}
+        return T.StructType([*fields, *[T.StructField(n, t) for n, t in kept.items()]])
