@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from model import delete, feed_of, key_of, record, rows_of, run, upsert
 from tidemark.operators.decode import changes, decode, deleted_keys
-from tidemark.operators.fold import last_per_key
-from tidemark.operators.merge import append_log, delete_by_key, merge
+from tidemark.operators.fold import last_per_key, rows_after
+from tidemark.operators.merge import append_log, apply_changes, delete_by_key
 from tidemark.table import TableSpec
 
 QUICK = settings(
@@ -27,8 +27,8 @@ def strict(spark):
     return TableSpec("t", "ID BIGINT NOT NULL, Name STRING", ("ID",))
 
 
-def net_of(spark, records, spec):
-    return last_per_key(changes(decode(feed_of(spark, records), spec)), spec)
+def changes_of(spark, records, spec):
+    return changes(decode(feed_of(spark, records), spec))
 
 
 def table_of(spark, rows, spec):
@@ -36,7 +36,7 @@ def table_of(spark, rows, spec):
 
 
 def check(spark, spec, records, rows, columns=COLUMNS):
-    merged = merge(table_of(spark, rows, spec), net_of(spark, records, spec), spec)
+    merged = apply_changes(table_of(spark, rows, spec), changes_of(spark, records, spec), spec)
     dicts = [dict(zip(columns, r)) for r in rows]
     assert merged.columns == columns
     assert rows_of(merged) == run(records, columns, list(spec.keys), dicts)
@@ -89,7 +89,14 @@ def test_null_keys(spark, spec):
 
 def test_a_null_key_delivered_twice_is_one_row(spark, spec):
     twice = upsert(0, key={"ID": 1}, ID=None, Name="p")
-    assert rows_of(net_of(spark, [twice, twice], spec).select("ID", "Name")) == [(None, "p")]
+    assert rows_of(rows_after(changes_of(spark, [twice, twice], spec), spec)) == [(None, "p")]
+
+
+def test_rows_after_a_feed(spark, spec):
+    records = [upsert(0, ID=1, Name="a"), upsert(1, key={"ID": 1}, ID=None, Name="b"),
+               upsert(2, ID=2, Name="c"), delete(3, ID=2)]
+    rows = rows_after(changes_of(spark, records, spec), spec)
+    assert rows_of(rows) == run(records, COLUMNS, ["ID"])
 
 
 def test_null_columns_replace_values(spark, spec):
@@ -117,8 +124,8 @@ def test_quotes_and_other_letters_in_keys(spark):
 
 def test_target_columns_in_other_order_case_and_type(spark, spec):
     target = spark.createDataFrame([("a", 1)], "name STRING, id INT")
-    net = net_of(spark, [upsert(0, "u", ID=1, Name="b"), upsert(1, "u", ID=2, Name="c")], spec)
-    assert rows_of(merge(target, net, spec)) == [(1, "b"), (2, "c")]
+    applied = changes_of(spark, [upsert(0, "u", ID=1, Name="b"), upsert(1, "u", ID=2, Name="c")], spec)
+    assert rows_of(apply_changes(target, applied, spec)) == [(1, "b"), (2, "c")]
 
 
 def test_delete_by_key(spark, spec):
@@ -200,8 +207,8 @@ def skewed_target(spark):
 
 
 def test_a_hot_key_in_the_target_is_split(spark, strict, no_broadcast):
-    net = net_of(spark, [upsert(n, "u", ID=n, Name=f"n{n}") for n in range(50)], strict)
-    merged = merge(skewed_target(spark), net, strict)
+    applied = changes_of(spark, [upsert(n, "u", ID=n, Name=f"n{n}") for n in range(50)], strict)
+    merged = apply_changes(skewed_target(spark), applied, strict)
     assert "SortMergeJoin(skew=true)" in final_plan(merged)
     assert merged.where("ID = 7").count() == skewed_target(spark).where("ID = 7").count()
     assert merged.where("ID = 7 AND Name <> 'n7'").count() == 0
@@ -215,8 +222,8 @@ def test_a_hot_key_is_split_when_deleting(spark, strict, no_broadcast):
 
 
 def test_the_feed_is_folded_once_and_reduced_before_the_shuffle(spark, strict, no_broadcast):
-    net = net_of(spark, [upsert(0, ID=1, Name="a")], strict)
-    plan = final_plan(merge(table_of(spark, [(1, "b")], strict), net, strict))
+    applied = changes_of(spark, [upsert(0, ID=1, Name="a")], strict)
+    plan = final_plan(apply_changes(table_of(spark, [(1, "b")], strict), applied, strict))
     assert plan.count("ReusedExchange") == 1 and plan.count("partial_max_by") == 1
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,12 @@ def all_of(conditions: list[Column]) -> Column:
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(or_, conditions)
+
+
+def settled(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """Select columns that are costly to compute, as by parsing JSON.
+
+    Filters on ordinary columns are moved below their computation and repeat
+    it; a generator's output can only be filtered once it is there.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import settled
+
 # Scalar type names of the schema block. Bytes travel as base64
 # text and stay text, as do named types such as enums.
 SCALARS = {
@@ -66,7 +68,7 @@ def row_fields(value: Column) -> Column:
 def connect_schema(feed: DataFrame) -> DataFrame:
     """The columns each topic's records declare, with Spark types (NULL for an
     unknown one) and the number of records that carry that same schema."""
-    carried = feed.select("topic", row_fields(F.col("value")).alias("fields"))
+    carried = settled(feed, "topic", row_fields(F.col("value")).alias("fields"))
     versions = carried.where(F.col("fields").isNotNull()).groupBy("topic", "fields")
     listed = versions.agg(F.count(F.lit(1)).alias("n")).select(
         "topic", "n", F.posexplode(F.from_json("fields", "ARRAY<STRING>")).alias("place", "field")
@@ -83,7 +85,7 @@ def connect_schema(feed: DataFrame) -> DataFrame:
 def latest_schema(feed: DataFrame) -> T.StructType:
     """The row schema declared by the record with the highest offset that has
     one. Use on one topic, to set up its table."""
-    carried = feed.select("offset", row_fields(F.col("value")).alias("fields"))
+    carried = settled(feed, "offset", row_fields(F.col("value")).alias("fields"))
     carried = carried.where(F.col("fields").isNotNull())
     newest = carried.agg(F.max_by("fields", "offset").alias("fields")).first()
     if newest is None or newest["fields"] is None:

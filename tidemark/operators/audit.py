@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import named
-from tidemark.functions.envelope import entries
 
 
 def feed_audit(decoded: DataFrame) -> DataFrame:
@@ -25,6 +24,6 @@ def preview(table: DataFrame, keys: tuple[str, ...], rows: int = 20) -> DataFram
     return table.orderBy(*[named(k) for k in keys]).limit(rows)
 
 
-def explode_entries(df: DataFrame, document: Column) -> DataFrame:
+def explode_entries(df: DataFrame, entries: Column) -> DataFrame:
     """One row per field of a JSON object: name and text."""
-    return df.select(F.explode(entries(document)).alias("k", "v"))
+    return df.select(F.explode(entries).alias("k", "v"))

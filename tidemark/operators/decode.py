@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, any_of, named
+from tidemark.functions.columns import all_of, any_of, named, settled
 from tidemark.functions.envelope import (
     Fields,
     has_payload_field,
@@ -68,7 +68,8 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     action = action.when(op == "u", UPDATE).otherwise(CREATE)
     decided = rows.withColumn("action", action)
     rejected = ~F.col("action").isin(*APPLIED)
-    fields = F.struct(
+    return settled(
+        decided,
         "topic",
         "partition",
         "offset",
@@ -77,9 +78,6 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
         F.when(rejected, F.col("key")).alias("raw_key"),
         F.when(rejected, F.col("value")).alias("raw_value"),
     )
-    # A generator's output cannot be filtered before it is made. Without this,
-    # filters on action or row move below the parsing and repeat all of it.
-    return decided.select(F.inline(F.array(fields)))
 
 
 def changes(decoded: DataFrame) -> DataFrame:
@@ -123,7 +121,9 @@ def drift_check(feed: DataFrame, spec: TableSpec) -> DataFrame:
     """How many row images fit the table and how many lack a column."""
     image = Fields(F.col("after"), spec.columns)
     images = feed.select(value_payload(F.col("value"))["after"].alias("after"))
-    checked = image.add_to(images, "_a").select(
-        F.inline(F.array(F.struct(F.col("after").isNotNull().alias("has"), image.complete().alias("ok"))))
+    checked = settled(
+        image.add_to(images, "_a"),
+        F.col("after").isNotNull().alias("has"),
+        image.complete().alias("ok"),
     )
     return checked.where("has").groupBy("ok").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of, named
-from tidemark.table import GONE, POS, TableSpec
+from tidemark.table import DELETED, GONE, POS, TableSpec
 
 
 def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -17,9 +17,7 @@ def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     holding most of the feed costs its reducer one row per map task. The result
     is partitioned by the key, which a merge can use as it is.
 
-    A key with a null in it equals nothing: such changes are all kept, and one
-    that was delivered twice is told by its position and kept once. Where the
-    table's schema rules nulls out, that second pass is left out.
+    A key with a null in it equals nothing; see ``null_key_rows``.
     """
     keys = [named(k) for k in spec.keys]
     complete = changes.where(all_of([k.isNotNull() for k in keys]))
@@ -28,10 +26,22 @@ def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     if GONE in changes.columns:
         parts.append(F.max(GONE).alias(GONE))
     last = complete.groupBy(*keys).agg(*parts)
-    folded = last.select(
+    return last.select(
         *[named(c, "_last" if c in rest else None).alias(c) for c in changes.columns]
     )
-    if not spec.null_keys:
-        return folded
-    incomplete = changes.where(any_of([named(k).isNull() for k in spec.null_keys]))
-    return folded.unionByName(incomplete.dropDuplicates([POS]))
+
+
+def null_key_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """The upserts that have a null in the key: each is a row of its own, and
+    one that was delivered twice is told by its position and kept once."""
+    null_key = any_of([named(k).isNull() for k in spec.keys])
+    return changes.where(null_key).dropDuplicates([*spec.keys, POS])
+
+
+def rows_after(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table that the changes alone leave behind."""
+    columns = [named(c) for c in spec.columns]
+    rows = last_per_key(changes, spec).where(~F.col(DELETED)).select(*columns)
+    if spec.null_keys:
+        rows = rows.unionByName(null_key_rows(changes, spec).select(*columns))
+    return rows

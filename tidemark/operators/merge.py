@@ -23,6 +23,7 @@ from tidemark.functions.conditions import (
     typed_literal,
 )
 from tidemark.operators.decode import row_images
+from tidemark.operators.fold import last_per_key, null_key_rows
 from tidemark.table import DELETED, GONE, POS, TableSpec
 
 
@@ -70,8 +71,15 @@ def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
         hit, removed = new.isNotNull(), gone.isNotNull()
 
     met = target.alias("t").join(net.alias("n"), same_key_split(spec, "t", "n"), "left")
+    # the key is the same on both sides; taken from the target, conditions on
+    # it reach the target's scan
     kept = met.where(~removed).select(
-        *[F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c) for c in target.columns]
+        *[
+            (
+                named(c, "t") if c in spec.keys else F.when(hit, named(c, "n")).otherwise(named(c, "t"))
+            ).alias(c)
+            for c in target.columns
+        ]
     )
     found = same_key(spec.keys, "n", "t") & ~removed
     missing = net.alias("n").where(~deleted).join(present.alias("t"), found, "left_anti")
@@ -79,6 +87,19 @@ def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
     return kept.unionByName(inserted)
 
 
+def apply_changes(target: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """The target after any number of changes per key.
+
+    Where the table's schema rules out null keys, the changes are read once;
+    otherwise the rows with null keys take a second pass over them.
+    """
+    merged = merge(target, last_per_key(changes, spec), spec)
+    if not spec.null_keys:
+        return merged
+    added = null_key_rows(changes, spec).select(*[named(c) for c in merged.columns])
+    return merged.unionByName(added)
+
+
 def delete_by_key(target: DataFrame, gone: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows whose key is not among the deleted ones."""
     target = conform(target, spec)

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import settled
 from tidemark.functions.connect import connect_schema
+from tidemark.functions.envelope import value_payload
 from tidemark.functions.naming import routed_name, table_name
 from tidemark.operators import audit, decode as d, merge as m
-from tidemark.operators.fold import last_per_key
+from tidemark.operators.fold import last_per_key, rows_after
 from tidemark.plans.feeds import (
     BY_LABEL,
     CURRENT,
@@ -27,7 +29,7 @@ from tidemark.sources.store import TableStore
 from tidemark.sources.tables import append_path, scan_path
 from tidemark.sources.workdir import work_dir
 from tidemark.streaming.apply import apply_stream
-from tidemark.table import DELETED, TableSpec
+from tidemark.table import TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,8 +49,8 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.decode(feed(spark, sf_dir), CURRENT)
 
 
-def net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return last_per_key(d.changes(decoded(spark, sf_dir)), CURRENT)
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d.changes(decoded(spark, sf_dir))
 
 
 # -- reading and classifying the feed ---------------------------------------
@@ -120,9 +122,8 @@ def key_columns(spark, sf_dir):
 
 @query
 def explode_entries(spark, sf_dir):
-    after = F.get_json_object("value", "$.payload.after")
-    updates = feed(spark, sf_dir).where(F.get_json_object("value", "$.payload.op") == "u")
-    entries = audit.explode_entries(updates, after)
+    records = settled(feed(spark, sf_dir), value_payload(F.col("value")).alias("payload"))
+    entries = audit.explode_entries(records.where("payload.op = 'u'"), F.col("payload.after"))
     return entries.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("nv"))
 
 
@@ -183,7 +184,7 @@ def last_change(spark, sf_dir):
 
 @query
 def state_after_feed(spark, sf_dir):
-    return net(spark, sf_dir).where(~F.col(DELETED)).select(*CURRENT.columns)
+    return rows_after(changes(spark, sf_dir), CURRENT)
 
 
 # -- changing tables --------------------------------------------------------
@@ -191,7 +192,7 @@ def state_after_feed(spark, sf_dir):
 
 @query
 def upsert_merge(spark, sf_dir):
-    return m.merge(customer_base(spark, sf_dir), net(spark, sf_dir), CURRENT)
+    return m.apply_changes(customer_base(spark, sf_dir), changes(spark, sf_dir), CURRENT)
 
 
 @query
@@ -203,13 +204,13 @@ def delete_by_key(spark, sf_dir):
 @query
 def merge_composite_key(spark, sf_dir):
     records = event_feed(events(spark, sf_dir), keys=BY_LABEL.keys)
-    folded = last_per_key(d.changes(d.decode(records, BY_LABEL)), BY_LABEL)
-    return m.merge(customer_base_by_label(spark, sf_dir), folded, BY_LABEL)
+    applied = d.changes(d.decode(records, BY_LABEL))
+    return m.apply_changes(customer_base_by_label(spark, sf_dir), applied, BY_LABEL)
 
 
 @query
 def merge_multi_match(spark, sf_dir):
-    return m.merge(order_base(spark, sf_dir), net(spark, sf_dir), CURRENT)
+    return m.apply_changes(order_base(spark, sf_dir), changes(spark, sf_dir), CURRENT)
 
 
 @query
@@ -217,8 +218,8 @@ def merge_null_key(spark, sf_dir):
     """Signups carry a null key, so each of them is a row of its own."""
     unknown = F.when(F.col("event_type") != "signup", F.col("user_id"))
     records = event_feed(events(spark, sf_dir), event_image(id=unknown))
-    folded = last_per_key(d.changes(d.decode(records, OPEN)), OPEN)
-    return m.merge(customer_base(spark, sf_dir), folded, OPEN)
+    applied = d.changes(d.decode(records, OPEN))
+    return m.apply_changes(customer_base(spark, sf_dir), applied, OPEN)
 
 
 @query

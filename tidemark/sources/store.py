@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import any_of, named
-from tidemark.operators.fold import last_per_key
+from tidemark.operators.fold import last_per_key, null_key_rows
 from tidemark.operators.merge import merge
 from tidemark.table import DELETED, GONE, POS, POS_TYPE, TableSpec
 
@@ -101,23 +101,21 @@ class TableStore:
         return rows.select(*[named(c) for c in self.spec.columns])
 
     def _merged(self, base: list[str], pending: list[str]) -> tuple[DataFrame, DataFrame]:
-        """Rows with their positions, and the net changes they came from.
-
-        Delete markers of the snapshot, and its rows that came from the feed
-        with a null in the key, can only meet a change by position; they go
-        with the changes.
-        """
-        changes = self._parquet(pending, self.spec.state_schema)
-        if not base:
-            net = last_per_key(changes, self.spec)
-            return net.where(~F.col(DELETED)).drop(DELETED, GONE), net
-        state = self._parquet(base, self.spec.state_schema)
-        by_position = F.col(DELETED)
-        if self.spec.null_keys:
-            null_key = any_of([named(k).isNull() for k in self.spec.null_keys])
-            by_position = by_position | (null_key & F.col(POS).isNotNull())
-        net = last_per_key(changes.unionByName(state.where(by_position)), self.spec)
-        return merge(state.where(~by_position), net, self.spec), net
+        """Rows with their positions, and the net changes they came from."""
+        spec = self.spec
+        changes = self._parquet(pending, spec.state_schema)
+        state = self._parquet(base, spec.state_schema)
+        # the snapshot's delete markers meet the changes, not the rows
+        net = last_per_key(changes.unionByName(state.where(F.col(DELETED))), spec)
+        live = state.where(~F.col(DELETED))
+        if not spec.null_keys:
+            return merge(live, net, spec), net
+        # and so do its rows with null keys that came from the feed
+        null_key = any_of([named(k).isNull() for k in spec.null_keys])
+        from_feed = null_key & F.col(POS).isNotNull()
+        rows = merge(live.where(~from_feed), net, spec)
+        loose = null_key_rows(changes.unionByName(live.where(from_feed)), spec)
+        return rows.unionByName(loose.select(*rows.columns)), net
 
     def rejects(self) -> DataFrame:
         paths = [f"{self.path}/rejects/{n}" for n in self._committed("rejects")]
@@ -147,6 +145,8 @@ class TableStore:
         if self.has(tag):
             return False
         net = last_per_key(changes, self.spec)
+        if self.spec.null_keys:
+            net = net.unionByName(null_key_rows(changes, self.spec))
         net.write.mode("overwrite").parquet(f"{self.path}/changes/{self.version + 1:010d}-{tag}")
         return True
 

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.functions.columns import named
 from tidemark.operators.decode import changes, row_images
 from tidemark.operators.fold import last_per_key
-from tidemark.operators.merge import same_key
 from tidemark.table import DELETED, TableSpec
 
 
@@ -23,21 +20,23 @@ def append_path(decoded: DataFrame, path: str, format: str = "parquet") -> None:
 
 
 def merge_into(decoded: DataFrame, table: str, spec: TableSpec) -> None:
-    """Apply decoded records to a catalog table that supports MERGE.
+    """Apply decoded records to a table whose format supports MERGE, named as
+    in SQL (a catalog name, or a format and a path).
 
     Such a table keeps no feed positions, so batches have to come in feed
-    order, as they do from Kafka.
+    order, as they do from Kafka; and its keys should be unique, since a
+    deleted key that comes back in the same batch updates its rows in place.
     """
     net = last_per_key(changes(decoded), spec)
-    cells = {c: named(c, "n") for c in spec.columns}
-    (
-        net.alias("n")
-        .mergeInto(table, same_key(spec.keys, table, "n"))
-        .whenMatched(F.col(f"n.{DELETED}"))
-        .delete()
-        .whenMatched()
-        .update(cells)
-        .whenNotMatched(~F.col(f"n.{DELETED}"))
-        .insert(cells)
-        .merge()
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in spec.columns}
+    matching = " AND ".join(f"t.{quoted[k]} = n.{quoted[k]}" for k in spec.keys)
+    assigned = ", ".join(f"t.{c} = n.{c}" for c in quoted.values())
+    columns = ", ".join(quoted.values())
+    values = ", ".join(f"n.{c}" for c in quoted.values())
+    decoded.sparkSession.sql(
+        f"MERGE INTO {table} AS t USING {{net}} AS n ON {matching}"
+        f" WHEN MATCHED AND n.{DELETED} THEN DELETE"
+        f" WHEN MATCHED THEN UPDATE SET {assigned}"
+        f" WHEN NOT MATCHED AND NOT n.{DELETED} THEN INSERT ({columns}) VALUES ({values})",
+        net=net,
     )

@@ -28,7 +28,7 @@ class TableSpec:
     """A target table. Column names are matched without regard to case.
 
     A column that is not nullable makes upserts without it bad values. Keys
-    should be declared so: telling null keys apart takes passes of its own.
+    should be declared so: null keys take passes of their own.
     """
 
     name: str
