@@ -102,9 +102,9 @@ def test_a_broken_write_does_not_count(spark, spec):
     store = new_store(spark, spec, [(1, "a")])
     other = new_store(spark, spec)
     apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="half")]), other, "b0")
-    half = spark.read.parquet(f"{other.path}/changes/0000000001-b0")
+    half = spark.read.parquet(f"{other.path}/changes/batch=0000000001-b0")
     unmarked = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    half.write.option(unmarked, "false").parquet(f"{store.path}/changes/0000000002-b1")
+    half.write.option(unmarked, "false").parquet(f"{store.path}/changes/batch=0000000002-b1")
     half.write.option(unmarked, "false").parquet(f"{store.path}/snapshots/0000000009")
     assert store.version == 1 and rows_of(store.read()) == [(1, "a")]
     apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="whole")]), store, "b1")

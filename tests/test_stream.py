@@ -70,7 +70,7 @@ def test_a_new_checkpoint_replays_and_changes_nothing(spark, spec):
 
 
 def test_a_batch_that_broke_off_is_done_again(spark, spec, monkeypatch):
-    """The query dies after the rejects are written and before the commit."""
+    """The query dies before the commit."""
     root = work_dir(spark)
     write_files(spark, f"{root}/feed", [RECORDS])
     store = TableStore(spark, root, spec)

@@ -13,12 +13,12 @@ from tidemark.functions.envelope import (
     text_to,
     value_payload,
 )
-from tidemark.table import DELETED, GONE, POS, TableSpec
+from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
 
 CREATE, UPDATE, DELETE = "create", "update", "delete"
 APPLIED = (CREATE, UPDATE, DELETE)
 BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT = "bad_key", "bad_value", "invalid_op", "drift"
-REJECTED = (BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT)
+REASONS = (BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT)
 
 
 def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
@@ -80,18 +80,25 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def changes(decoded: DataFrame) -> DataFrame:
-    """The records that change the table, as table columns plus bookkeeping."""
+def all_records(decoded: DataFrame) -> DataFrame:
+    """Every record as table columns plus bookkeeping, rejected ones included."""
     position = F.struct("offset", "partition", "topic")
     is_delete = F.col("action") == DELETE
-    return decoded.where(F.col("action").isin(*APPLIED)).select(
+    return decoded.select(
         "row.*",
         position.alias(POS),
         is_delete.alias(DELETED),
         F.when(is_delete, position).alias(GONE),
+        (~F.col("action").isin(*APPLIED)).alias(REJECTED),
+        F.struct("action", "raw_key", "raw_value").alias("_record"),
     )
 
 
+def changes(decoded: DataFrame) -> DataFrame:
+    """The records that change the table, as table columns plus bookkeeping."""
+    return all_records(decoded).where(~F.col(REJECTED)).drop(REJECTED, "_record")
+
+
 def row_images(decoded: DataFrame) -> DataFrame:
     """Every created or updated row, in the table's columns."""
     return decoded.where(F.col("action").isin(CREATE, UPDATE)).select("row.*")
@@ -106,7 +113,7 @@ def deleted_keys(decoded: DataFrame, spec: TableSpec) -> DataFrame:
 
 def rejects(decoded: DataFrame) -> DataFrame:
     """The records that cannot be applied, with the reason and the raw texts."""
-    return decoded.where(F.col("action").isin(*REJECTED)).select(
+    return decoded.where(F.col("action").isin(*REASONS)).select(
         "topic", "partition", "offset", "action", "raw_key", "raw_value"
     )
 

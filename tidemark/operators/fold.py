@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of, named
-from tidemark.table import DELETED, GONE, POS, TableSpec
+from tidemark.operators.decode import all_records
+from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
 
 
 def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -45,3 +46,24 @@ def rows_after(changes: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.null_keys:
         rows = rows.unionByName(null_key_rows(changes, spec).select(*columns))
     return rows
+
+
+def batch_outcome(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+    """All that a batch amounts to, in one pass and one shuffle: the last change
+    per key, the rows with null keys, and the rejected records (``_rejected``)
+    with their reason and raw texts."""
+    records = all_records(decoded)
+    alone = F.col(REJECTED)
+    if spec.null_keys:
+        alone = alone | any_of([named(k).isNull() for k in spec.null_keys])
+    keys = [named(k) for k in spec.keys]
+    rest = [c for c in records.columns if c not in (*spec.keys, GONE)]
+    # a record that stands alone is a group of its own
+    groups = records.groupBy(*keys, F.when(alone, F.col(POS)).alias("_alone"))
+    last = groups.agg(
+        F.max_by(F.struct(*[named(c) for c in rest]), F.col(POS)).alias("_last"),
+        F.max(GONE).alias(GONE),
+    )
+    return last.select(
+        *[named(c, "_last" if c in rest else None).alias(c) for c in records.columns]
+    )

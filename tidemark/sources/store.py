@@ -1,12 +1,13 @@
 """A table kept as Parquet folders, written whole and never changed.
 
-    <root>/<table>/snapshots/<version>        all rows and delete markers
-    <root>/<table>/changes/<version>-<tag>    the last change per key of a batch
-    <root>/<table>/rejects/<tag>              records that could not be applied
+    <root>/<table>/snapshots/<version>            all rows and delete markers
+    <root>/<table>/changes/batch=<version>-<tag>  what one batch amounts to:
+        _rejected=false/                          the last change per key
+        _rejected=true/                           records that cannot be applied
 
 A folder counts once Spark's committer has put ``_SUCCESS`` in it, so every
 write is one atomic step and a broken one is simply written again. A batch
-writes only its own changes; the table is the newest snapshot merged with the
+writes only its own outcome; the table is the newest snapshot merged with the
 changes after it, and ``compact`` turns that into the next snapshot. Since the
 feed position decides which change wins, changes may arrive in any order and
 more than once. One writer at a time commits changes; readers need no lock.
@@ -14,28 +15,28 @@ more than once. One writer at a time commits changes; readers need no lock.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import any_of, named
-from tidemark.operators.fold import last_per_key, null_key_rows
+from tidemark.operators.fold import batch_outcome, last_per_key, null_key_rows
 from tidemark.operators.merge import merge
-from tidemark.table import DELETED, GONE, POS, POS_TYPE, TableSpec
-
-REJECT_SCHEMA = T.StructType(
-    [
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("action", T.StringType()),
-        T.StructField("raw_key", T.StringType()),
-        T.StructField("raw_value", T.StringType()),
-    ]
+from tidemark.table import DELETED, GONE, POS, POS_TYPE, REJECTED, TableSpec
+
+RECORD_TYPE = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("action", "raw_key", "raw_value")]
 )
 
 
+def version_of(batch: str) -> int:
+    """The version in a batch folder's name."""
+    return int(batch.removeprefix("batch=").split("-", 1)[0])
+
+
 class TableStore:
+    """One stored table; see above."""
+
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark = spark
         self.spec = spec
@@ -67,15 +68,23 @@ class TableStore:
             total += files.getContentSummary(jvm_path).getLength()
         return total
 
-    def _parquet(self, paths: list[str], schema: T.StructType) -> DataFrame:
+    def _snapshot(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.spec.state_schema)
+        return self.spark.read.schema(self.spec.state_schema).parquet(*paths)
+
+    def _outcomes(self, paths: list[str], schema: T.StructType, rejected: bool) -> DataFrame:
+        """The applied or the rejected part of batches."""
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        parted = T.StructType([*schema.fields, T.StructField(REJECTED, T.BooleanType())])
+        read = self.spark.read.schema(parted).option("basePath", f"{self.path}/changes")
+        return read.parquet(*paths).where(F.col(REJECTED) == rejected).select(*schema.names)
 
     def _layers(self, version: int | None = None) -> tuple[int, list[str], list[str]]:
         """The version read, its snapshot (if any) and the changes on top."""
         snapshots = {int(n): n for n in self._committed("snapshots")}
-        changes = [(int(n.split("-", 1)[0]), n) for n in self._committed("changes")]
+        changes = [(version_of(n), n) for n in self._committed("changes")]
         newest = max([0, *snapshots, *[v for v, _ in changes]])
         version = newest if version is None else version
         base = max([v for v in snapshots if v <= version], default=0)
@@ -97,14 +106,14 @@ class TableStore:
         if pending:
             rows, _ = self._merged(base, pending)
         else:
-            rows = self._parquet(base, self.spec.state_schema).where(~F.col(DELETED))
+            rows = self._snapshot(base).where(~F.col(DELETED))
         return rows.select(*[named(c) for c in self.spec.columns])
 
     def _merged(self, base: list[str], pending: list[str]) -> tuple[DataFrame, DataFrame]:
         """Rows with their positions, and the net changes they came from."""
         spec = self.spec
-        changes = self._parquet(pending, spec.state_schema)
-        state = self._parquet(base, spec.state_schema)
+        changes = self._outcomes(pending, spec.state_schema, rejected=False)
+        state = self._snapshot(base)
         # the snapshot's delete markers meet the changes, not the rows
         net = last_per_key(changes.unionByName(state.where(F.col(DELETED))), spec)
         live = state.where(~F.col(DELETED))
@@ -118,8 +127,13 @@ class TableStore:
         return rows.unionByName(loose.select(*rows.columns)), net
 
     def rejects(self) -> DataFrame:
-        paths = [f"{self.path}/rejects/{n}" for n in self._committed("rejects")]
-        return self._parquet(paths, REJECT_SCHEMA)
+        """All records that could not be applied, with the reason."""
+        schema = T.StructType([T.StructField(POS, POS_TYPE), T.StructField("_record", RECORD_TYPE)])
+        paths = [f"{self.path}/changes/{n}" for n in self._committed("changes")]
+        records = self._outcomes(paths, schema, rejected=True)
+        return records.select(
+            *[f"{POS}.{c}" for c in ("topic", "partition", "offset")], "_record.*"
+        )
 
     # -- writing ---------------------------------------------------------
 
@@ -140,20 +154,17 @@ class TableStore:
     def has(self, tag: str) -> bool:
         return any(n.split("-", 1)[1] == tag for n in self._committed("changes"))
 
-    def commit(self, changes: DataFrame, tag: str) -> bool:
-        """Add a batch of changes under a tag; False if it is there already."""
+    def commit(self, decoded: DataFrame, tag: str) -> bool:
+        """Add the outcome of a batch of decoded records under a tag; False if
+        it is there already."""
         if self.has(tag):
             return False
-        net = last_per_key(changes, self.spec)
-        if self.spec.null_keys:
-            net = net.unionByName(null_key_rows(changes, self.spec))
-        net.write.mode("overwrite").parquet(f"{self.path}/changes/{self.version + 1:010d}-{tag}")
+        folder = f"{self.path}/changes/batch={self.version + 1:010d}-{tag}"
+        outcome = batch_outcome(decoded, self.spec)
+        outcome.write.mode("overwrite").partitionBy(REJECTED).parquet(folder)
         return True
 
-    def commit_rejects(self, rejects: DataFrame, tag: str) -> None:
-        rejects.write.mode("overwrite").parquet(f"{self.path}/rejects/{tag}")
-
-    def compact(self, forget=None) -> int:
+    def compact(self, forget: Column | None = None) -> int:
         """Write the newest version as a snapshot. Delete markers stay until
         ``forget``, a condition on ``_pos``, says the feed cannot send anything
         older than them again."""

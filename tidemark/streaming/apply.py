@@ -11,14 +11,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.naming import routed_name
 from tidemark.operators.audit import preview
-from tidemark.operators.decode import APPLIED, REJECTED, changes, decode, rejects
+from tidemark.operators.decode import APPLIED, REASONS, decode
 from tidemark.sources.store import TableStore
 
 log = logging.getLogger(__name__)
 
 
 def _audit_columns() -> list[Column]:
-    counts = [F.count_if(F.col("action") == a).alias(a) for a in (*APPLIED, *REJECTED)]
+    counts = [F.count_if(F.col("action") == a).alias(a) for a in (*APPLIED, *REASONS)]
     return [*counts, F.min("offset").alias("lo"), F.max("offset").alias("hi")]
 
 
@@ -26,21 +26,15 @@ def apply_batch(feed: DataFrame, store: TableStore, tag: str) -> dict | None:
     """Apply one batch of records to one table and return what was seen.
 
     The tag names the batch: a batch that was committed before is left alone
-    (None), one that broke off is written anew. Rejects go first, so a
-    committed batch always has them.
+    (None), one that broke off is written anew.
     """
-    if store.has(tag):
+    seen = Observation()
+    decoded = decode(feed, store.spec).observe(seen, *_audit_columns())
+    if not store.commit(decoded, tag):
         return None
-    decoded = decode(feed, store.spec).persist()
-    try:
-        seen = Observation()
-        store.commit_rejects(rejects(decoded.observe(seen, *_audit_columns())), tag)
-        store.commit(changes(decoded), tag)
-        audit = seen.get
-        log.info("table %s, batch %s: %s", store.spec.name, tag, audit)
-        return audit
-    finally:
-        decoded.unpersist()
+    audit = seen.get
+    log.info("table %s, batch %s: %s", store.spec.name, tag, audit)
+    return audit
 
 
 def apply_stream(

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # Bookkeeping columns next to a table's own columns: the feed position of the
-# last change, whether that was a delete, and the position of the last delete.
+# last change, whether that was a delete, the position of the last delete, and
+# whether the record was rejected.
 POS = "_pos"
 DELETED = "_deleted"
 GONE = "_gone"
+REJECTED = "_rejected"
 
 # Where a record stood in the feed. Struct order is also the order in which
 # changes win: by offset first, the rest only makes the order total.
@@ -46,7 +48,7 @@ class TableSpec:
         spelled = {f.name.lower(): f.name for f in schema.fields}
         if not spelled or len(spelled) != len(schema.fields):
             raise ValueError(f"{self.name}: columns must be given and differ by more than case")
-        if reserved := {POS, DELETED, GONE} & set(spelled):
+        if reserved := {POS, DELETED, GONE, REJECTED} & set(spelled):
             raise ValueError(f"{self.name}: reserved column names {sorted(reserved)}")
         if not keys or len({k.lower() for k in keys}) != len(keys):
             raise ValueError(f"{self.name}: key columns must be given once each")
