@@ -7,7 +7,7 @@ here raises on bad input: what does not fit becomes NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,25 +39,21 @@ class Fields:
     found by its place. Any other layout is searched without regard to case.
     """
 
-    def __init__(self, entries: Column, columns: list[str]):
+    def __init__(self, entries: Column, columns: list[str], prefix: str):
         self.columns = columns
-        wanted = F.array(*[F.lit(c) for c in columns])
-        self.plan = {
-            "values": F.map_values(entries),
-            "in_order": F.coalesce(F.map_keys(entries) == wanted, F.lit(False)),
-            "names": F.transform(F.map_keys(entries), F.lower),
-        }
-
-    def add_to(self, df: DataFrame, prefix: str) -> DataFrame:
-        """Add what lookups need as columns under a name prefix."""
-        self.values, self.in_order, self.names = [
-            F.col(f"{prefix}_{part}") for part in ("values", "in_order", "names")
-        ]
-        df = df.withColumns(
-            {f"{prefix}_{part}": self.plan[part] for part in ("values", "in_order")}
+        in_order = F.coalesce(
+            F.map_keys(entries) == F.array(*[F.lit(c) for c in columns]), F.lit(False)
         )
-        searched = F.when(~self.in_order, self.plan["names"])
-        return df.withColumn(f"{prefix}_names", searched)
+        names = F.when(~in_order, F.transform(F.map_keys(entries), F.lower))
+        # to be selected first; what follows works on these columns
+        self.parts = [
+            F.map_values(entries).alias(f"{prefix}_values"),
+            in_order.alias(f"{prefix}_in_order"),
+            names.alias(f"{prefix}_names"),
+        ]
+        self.values = F.col(f"{prefix}_values")
+        self.in_order = F.col(f"{prefix}_in_order")
+        self.names = F.col(f"{prefix}_names")
 
     def text(self, column: str) -> Column:
         """The text of a field; NULL if the object has none by that name."""

@@ -27,18 +27,19 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     An upsert's row is its row image; a delete's row holds the key only. The
     raw key and value stay with rejected records alone.
     """
-    keys = Fields(F.col("_key"), list(spec.keys))
-    image = Fields(F.col("_value.after"), spec.columns)
+    keys = Fields(F.col("_key"), list(spec.keys), "_k")
+    image = Fields(F.col("_value.after"), spec.columns, "_a")
+    place = ["topic", "partition", "offset"]
     parsed = feed.select(
-        "topic",
-        "partition",
-        "offset",
+        *place,
         "key",
         "value",
         key_payload(F.col("key")).alias("_key"),
         value_payload(F.col("value")).alias("_value"),
     )
-    parsed = image.add_to(keys.add_to(parsed, "_k"), "_a")
+    parsed = parsed.select(
+        *place, "key", "value", F.col("_value.op").alias("_op"), *keys.parts, *image.parts
+    )
     is_delete = F.col("value").isNull()
 
     def cell(field) -> Column:
@@ -49,7 +50,7 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
 
     rows = parsed.withColumn("row", F.struct(*[cell(f) for f in spec.schema.fields]))
 
-    op = F.col("_value.op")
+    op = F.col("_op")
     key_known = all_of([named(k, "row").isNotNull() for k in spec.keys])
     required = [named(f.name, "row").isNull() for f in spec.schema.fields if not f.nullable]
     action = (
@@ -60,7 +61,7 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
             ~op.isin(*spec.upsert_ops),
             F.when(has_payload_field(F.col("value"), "after"), INVALID_OP).otherwise(BAD_VALUE),
         )
-        .when(F.col("_value.after").isNull(), BAD_VALUE)
+        .when(image.values.isNull(), BAD_VALUE)
         .when(~image.complete(), DRIFT)
     )
     if required:
@@ -70,9 +71,7 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     rejected = ~F.col("action").isin(*APPLIED)
     return settled(
         decided,
-        "topic",
-        "partition",
-        "offset",
+        *place,
         "action",
         "row",
         F.when(rejected, F.col("key")).alias("raw_key"),
@@ -126,11 +125,11 @@ def key_columns(feed: DataFrame) -> DataFrame:
 
 def drift_check(feed: DataFrame, spec: TableSpec) -> DataFrame:
     """How many row images fit the table and how many lack a column."""
-    image = Fields(F.col("after"), spec.columns)
+    image = Fields(F.col("after"), spec.columns, "_a")
     images = feed.select(value_payload(F.col("value"))["after"].alias("after"))
     checked = settled(
-        image.add_to(images, "_a"),
-        F.col("after").isNotNull().alias("has"),
+        images.select(*image.parts),
+        image.values.isNotNull().alias("has"),
         image.complete().alias("ok"),
     )
     return checked.where("has").groupBy("ok").agg(F.count(F.lit(1)).alias("n"))
