@@ -133,16 +133,33 @@ def test_reading_without_changes_is_a_plain_scan(spark, spec):
     assert "EqualTo(ID,1)" in plan and "Exchange" not in plan and "Join" not in plan
 
 
-def test_conditions_on_the_key_reach_both_layers(spark, spec):
+def test_conditions_on_the_key_reach_the_rows(spark, spec):
+    """Every scan of the snapshot's rows; markers and changes are read in parts."""
     store = new_store(spark, spec, [(1, "a"), (2, "b")])
     apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="x")]), store, "b0")
     found = store.read().where("ID = 1")
     assert rows_of(found) == [(1, "x")]
-    scans = [
-        line for line in found._jdf.queryExecution().executedPlan().toString().splitlines()
-        if "FileScan" in line
-    ]
-    assert scans and all("EqualTo(ID,1)" in line for line in scans)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [n for n in plan.splitlines() if "FileScan" in n and "_gone:" not in n]
+    assert len(scans) >= 2 and all("EqualTo(ID,1)" in n for n in scans)
+
+
+def test_few_changes_do_not_shuffle_the_rows(spark, spec):
+    """Changes under the broadcast size leave the snapshot where it is."""
+    strict = TableSpec("s", "ID BIGINT NOT NULL, Name STRING", ("ID",))
+    store = new_store(spark, strict, [(n, f"name {n}") for n in range(100)])
+    apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="x"), upsert(1, ID=500, Name="y")]), store, "b")
+    table = store.read()
+    assert table.count() == 101
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = plan.splitlines()
+    for at, line in enumerate(lines):
+        if "FileScan" in line and "_gone:" not in line:
+            indent = line.index("FileScan")
+            above = [n for n in lines[:at] if len(n) - len(n.lstrip(" :+-*")) < indent]
+            nearest = next(n for n in reversed(above) if "Exchange" in n or "Join" in n)
+            assert "BroadcastHashJoin" in nearest
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

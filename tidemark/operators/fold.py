@@ -27,9 +27,15 @@ def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     if GONE in changes.columns:
         parts.append(F.max(GONE).alias(GONE))
     last = complete.groupBy(*keys).agg(*parts)
-    return last.select(
-        *[named(c, "_last" if c in rest else None).alias(c) for c in changes.columns]
-    )
+    # A generator is not cut down to the columns in use, so every use of the
+    # result needs the very same shuffle, and Spark runs it once for all.
+    others = [
+        named(c, "_last" if c in rest else None).alias(c)
+        for c in changes.columns
+        if c not in spec.keys
+    ]
+    listed = last.select(*keys, F.inline(F.array(F.struct(*others))))
+    return listed.select(*[named(c) for c in changes.columns])
 
 
 def null_key_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:

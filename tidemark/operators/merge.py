@@ -1,10 +1,10 @@
 """Changing tables: merge, delete, append and update by condition.
 
 A target may hold any number of rows per key, and one key may hold a large part
-of it. So the target is always the left side of a join against one row per key:
-a small set of changes is broadcast when its size allows, else the adaptive
-skew join splits the target's hot partitions. Inserts are found from the
-target's distinct keys only, reduced before they are shuffled.
+of it. So the target is always the left side of a join against one row per key.
+Changes small enough to be broadcast leave the target unshuffled; else the
+adaptive skew join splits the target's hot partitions. Which changes are inserts
+is found from the target's keys alone, and only those that match are kept.
 """
 
 from __future__ import annotations
@@ -59,30 +59,32 @@ def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
     change or delete older than the row it meets does nothing.
     """
     target = conform(target, spec)
-    keys = [named(k) for k in spec.keys]
     new, gone, deleted = F.col(f"n.{POS}"), F.col(f"n.{GONE}"), F.col(f"n.{DELETED}")
-    if POS in target.columns:
+    hit, removed = new.isNotNull(), gone.isNotNull()
+    if guarded := POS in target.columns:
         held = F.col(f"t.{POS}")
-        present = target.groupBy(*keys).agg(F.max(POS).alias(POS))
-        hit = new.isNotNull() & (held.isNull() | (new > held))
-        removed = gone.isNotNull() & (held.isNull() | (gone > held))
-    else:
-        present = target.select(*keys).distinct()
-        hit, removed = new.isNotNull(), gone.isNotNull()
-
-    met = target.alias("t").join(net.alias("n"), same_key_split(spec, "t", "n"), "left")
-    # the key is the same on both sides; taken from the target, conditions on
-    # it reach the target's scan
-    kept = met.where(~removed).select(
-        *[
-            (
-                named(c, "t") if c in spec.keys else F.when(hit, named(c, "n")).otherwise(named(c, "t"))
-            ).alias(c)
-            for c in target.columns
-        ]
+        hit = hit & (held.isNull() | (new > held))
+        removed = removed & (held.isNull() | (gone > held))
+
+    def cell(c: str) -> Column:
+        # equal on both sides; taken from the target, conditions reach its scan
+        if c in spec.keys:
+            return named(c, "t")
+        return F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c)
+
+    matching = same_key_split(spec, "t", "n")
+    met = target.alias("t").join(net.alias("n"), matching, "left")
+    kept = met.where(~removed).select(*[cell(c) for c in target.columns])
+
+    keys = [named(k) for k in spec.keys]
+    narrow = target.select(*keys, *([POS] if guarded else []))
+    holders = narrow.alias("t").join(net.alias("n"), matching & ~removed, "left_semi")
+    present = holders.select(*keys).distinct()
+    missing = (
+        net.alias("n")
+        .where(~deleted)
+        .join(present.alias("t"), same_key(spec.keys, "n", "t"), "left_anti")
     )
-    found = same_key(spec.keys, "n", "t") & ~removed
-    missing = net.alias("n").where(~deleted).join(present.alias("t"), found, "left_anti")
     inserted = missing.select(*[named(c, "n").alias(c) for c in target.columns])
     return kept.unionByName(inserted)
 
