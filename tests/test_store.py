@@ -12,7 +12,7 @@ from tidemark.sources.tables import append_path, merge_into, scan_path
 from tidemark.sources.workdir import work_dir
 from tidemark.streaming.apply import apply_batch
 from tidemark.table import TableSpec
-from test_merge import as_record, steps
+from test_merge import as_record, no_broadcast, steps
 
 COLUMNS = ["ID", "Name"]
 
@@ -22,8 +22,8 @@ def spec(spark):
     return TableSpec("t", "ID BIGINT, Name STRING", ("ID",))
 
 
-def new_store(spark, spec, rows=None):
-    store = TableStore(spark, work_dir(spark), spec)
+def new_store(spark, spec, rows=None, buckets=None):
+    store = TableStore(spark, work_dir(spark), spec, buckets)
     if rows is not None:
         store.overwrite(spark.createDataFrame(rows, spec.schema))
     return store
@@ -144,22 +144,57 @@ def test_conditions_on_the_key_reach_the_rows(spark, spec):
     assert len(scans) >= 2 and all("EqualTo(ID,1)" in n for n in scans)
 
 
-def test_few_changes_do_not_shuffle_the_rows(spark, spec):
-    """Changes under the broadcast size leave the snapshot where it is."""
-    strict = TableSpec("s", "ID BIGINT NOT NULL, Name STRING", ("ID",))
-    store = new_store(spark, strict, [(n, f"name {n}") for n in range(100)])
-    apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="x"), upsert(1, ID=500, Name="y")]), store, "b")
-    table = store.read()
-    assert table.count() == 101
+def above_the_rows(table):
+    """For each scan of snapshot rows, the nearest shuffle or join above it."""
     table.collect()
     plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     lines = plan.splitlines()
+    found = []
     for at, line in enumerate(lines):
         if "FileScan" in line and "_gone:" not in line:
-            indent = line.index("FileScan")
-            above = [n for n in lines[:at] if len(n) - len(n.lstrip(" :+-*")) < indent]
-            nearest = next(n for n in reversed(above) if "Exchange" in n or "Join" in n)
-            assert "BroadcastHashJoin" in nearest
+            depth = line.index("FileScan")
+            above = [n for n in lines[:at] if len(n) - len(n.lstrip(" :+-*")) < depth]
+            found.append(next(n for n in reversed(above) if "Exchange" in n or "Join" in n).strip())
+    return found
+
+
+def many_names(spark, buckets=None):
+    strict = TableSpec("s", "ID BIGINT NOT NULL, Name STRING", ("ID",))
+    store = new_store(spark, strict, [(n, f"name {n}") for n in range(100)], buckets)
+    apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="x"), upsert(1, ID=500, Name="y")]), store, "b")
+    return store
+
+
+def test_few_changes_do_not_shuffle_the_rows(spark):
+    """Changes under the broadcast size leave the snapshot where it is."""
+    table = many_names(spark).read()
+    nearest = above_the_rows(table)
+    assert nearest and all("BroadcastHashJoin" in n for n in nearest)
+    assert table.count() == 101
+
+
+def test_many_changes_do_not_shuffle_rows_in_buckets(spark, no_broadcast):
+    """Nor do changes of any size where the snapshot is bucketed, before and
+    after a compaction."""
+    store = many_names(spark, buckets=16)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for _ in range(2):
+        nearest = above_the_rows(store.read())
+        assert nearest and all("SortMergeJoin" in n for n in nearest)
+        assert store.read().count() == 101
+        store.compact()
+        apply_batch(feed_of(spark, [upsert(2, "u", ID=2, Name="z")]), store, "c")
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("tidemark_")] == []
+
+
+def test_buckets_may_change(spark, spec):
+    store = new_store(spark, spec, [(1, "a"), (2, "b")])
+    path = store.path.rsplit("/", 1)[0]
+    for n, buckets in enumerate([3, None, 7]):
+        store = TableStore(spark, path, spec, buckets)
+        apply_batch(feed_of(spark, [upsert(n, "u", ID=1, Name=str(n))]), store, str(n))
+        store.compact()
+        assert rows_of(store.read()) == [(1, str(n)), (2, "b")]
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -168,9 +203,10 @@ def test_few_changes_do_not_shuffle_the_rows(spark, spec):
     rows=st.lists(st.tuples(st.one_of(st.integers(0, 4), st.none()), st.sampled_from("ab")), max_size=5),
     cuts=st.lists(st.integers(0, 3), min_size=20, max_size=20),
     compacted=st.lists(st.booleans(), min_size=8, max_size=8),
+    buckets=st.sampled_from([None, 5]),
     seed=st.randoms(use_true_random=False),
 )
-def test_any_split_order_and_replay(spark, spec, todo, rows, cuts, compacted, seed):
+def test_any_split_order_and_replay(spark, spec, todo, rows, cuts, compacted, buckets, seed):
     """Whatever batches a feed comes in, in any order and then once more, the
     table is that of the record loop. (Keys of the target are unique here: of
     repeated rows that are deleted and inserted again, order would show.)"""
@@ -179,7 +215,7 @@ def test_any_split_order_and_replay(spark, spec, todo, rows, cuts, compacted, se
     batches = [[r for r, cut in zip(records, cuts) if cut == n] for n in range(4)]
     batches = [b for b in batches if b]
     seed.shuffle(batches)
-    store = new_store(spark, spec, rows)
+    store = new_store(spark, spec, rows, buckets)
     for n, batch in enumerate(batches + batches[:2]):
         apply_batch(feed_of(spark, batch), store, f"b{n}")
         if compacted[n]:

@@ -50,13 +50,17 @@ def conform(target: DataFrame, spec: TableSpec) -> DataFrame:
     return target.select(*cells, *[POS for c in target.columns if c == POS])
 
 
-def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
+def merge(
+    target: DataFrame, net: DataFrame, spec: TableSpec, bucketed: bool = False
+) -> DataFrame:
     """Apply one change per key: every matching row is replaced or deleted, a
     change without a match is inserted unless it is a delete.
 
     Rows older than the key's last delete are gone even if the key came back
     later; it comes back as one row. Where the target keeps feed positions, a
     change or delete older than the row it meets does nothing.
+
+    A target stored in buckets of its key is joined as it lies.
     """
     target = conform(target, spec)
     new, gone, deleted = F.col(f"n.{POS}"), F.col(f"n.{GONE}"), F.col(f"n.{DELETED}")
@@ -72,7 +76,7 @@ def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
             return named(c, "t")
         return F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c)
 
-    matching = same_key_split(spec, "t", "n")
+    matching = same_key(spec.keys, "t", "n") if bucketed else same_key_split(spec, "t", "n")
     met = target.alias("t").join(net.alias("n"), matching, "left")
     kept = met.where(~removed).select(*[cell(c) for c in target.columns])
 

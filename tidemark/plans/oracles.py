@@ -104,6 +104,7 @@ ORACLES: dict[str, str] = {
 ORACLES["overwrite_table"] = ORACLES["scan_table"]
 ORACLES["append_table"] = ORACLES["append_log"]
 ORACLES["apply_stream"] = ORACLES["upsert_merge"]
+ORACLES["bucketed_table"] = ORACLES["upsert_merge"]
 ORACLES["compacted_table"] = ORACLES["upsert_merge"]
 ORACLES["replay"] = ORACLES["upsert_merge"]
 ORACLES["apply_stream_rejects"] = ORACLES["rejects"]

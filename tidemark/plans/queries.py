@@ -258,8 +258,8 @@ def preview(spark, sf_dir):
 # -- stored tables and streams ----------------------------------------------
 
 
-def _seeded(spark: SparkSession, sf_dir: str) -> TableStore:
-    store = TableStore(spark, work_dir(spark), CURRENT)
+def _seeded(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> TableStore:
+    store = TableStore(spark, work_dir(spark), CURRENT, buckets)
     store.overwrite(customer_base(spark, sf_dir))
     return store
 
@@ -310,6 +310,13 @@ def compacted_table(spark, sf_dir):
     return store.read()
 
 
+@query
+def bucketed_table(spark, sf_dir):
+    store = _seeded(spark, sf_dir, buckets=8)
+    _run(spark, sf_dir, store, compact_ratio=None)
+    return store.read()
+
+
 @query
 def replay(spark, sf_dir):
     """The feed applied twice from its start, with a snapshot in between."""

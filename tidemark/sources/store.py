@@ -1,6 +1,6 @@
 """A table kept as Parquet folders, written whole and never changed.
 
-    <root>/<table>/snapshots/<version>            all rows and delete markers
+    <root>/<table>/snapshots/<version>[-...]      all rows and delete markers
     <root>/<table>/changes/batch=<version>-<tag>  what one batch amounts to:
         _rejected=false/                          the last change per key
         _rejected=true/                           records that cannot be applied
@@ -15,6 +15,8 @@ more than once. One writer at a time commits changes; readers need no lock.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,18 +31,31 @@ RECORD_TYPE = T.StructType(
 )
 
 
-def version_of(batch: str) -> int:
-    """The version in a batch folder's name."""
-    return int(batch.removeprefix("batch=").split("-", 1)[0])
+def version_of(folder: str) -> int:
+    """The version in a folder's name."""
+    return int(folder.removeprefix("batch=").split("-", 1)[0])
+
+
+def buckets_of(folder: str) -> int | None:
+    """The number of buckets in a snapshot folder's name, if it has any."""
+    parts = folder.rsplit("/", 1)[-1].split("-")
+    return int(parts[1]) if len(parts) > 1 else None
 
 
 class TableStore:
-    """One stored table; see above."""
+    """One stored table; see above.
+
+    With ``buckets``, snapshots are stored in that many buckets of the key, and
+    merging changes into them shuffles the changes only. That suits large
+    tables whose key is unique (rows of one key lie in one bucket). Spark makes
+    use of it where there are no fewer buckets than shuffle partitions.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int | None = None):
         self.spark = spark
         self.spec = spec
         self.path = f"{root.rstrip('/')}/{spec.name}"
+        self.buckets = buckets
 
     # -- folders ---------------------------------------------------------
 
@@ -69,9 +84,40 @@ class TableStore:
         return total
 
     def _snapshot(self, paths: list[str]) -> DataFrame:
+        schema = self.spec.state_schema
         if not paths:
-            return self.spark.createDataFrame([], self.spec.state_schema)
-        return self.spark.read.schema(self.spec.state_schema).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        (path,) = paths
+        buckets = buckets_of(path)
+        if not buckets:
+            return self.spark.read.schema(schema).parquet(path)
+        # buckets are known to Spark only through a table in the catalog, which
+        # is needed no longer than it takes to resolve the read
+        name, keys = f"tidemark_{uuid4().hex}", self._quoted_keys()
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet"
+            f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
+            f" LOCATION '{location}'"
+        )
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def _write_snapshot(self, state: DataFrame, version: int) -> None:
+        folder = f"{self.path}/snapshots/{version:010d}"
+        if not self.buckets:
+            state.write.mode("overwrite").parquet(folder)
+            return
+        # a table is only created in a folder that is not there yet
+        name, attempt, keys = f"tidemark_{uuid4().hex}", uuid4().hex[:8], list(self.spec.keys)
+        bucketed = state.write.format("parquet").bucketBy(self.buckets, keys).sortBy(keys)
+        bucketed.option("path", f"{folder}-{self.buckets}-{attempt}").saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
+
+    def _quoted_keys(self) -> str:
+        return ", ".join("`" + k.replace("`", "``") + "`" for k in self.spec.keys)
 
     def _outcomes(self, paths: list[str], schema: T.StructType, rejected: bool) -> DataFrame:
         """The applied or the rejected part of batches."""
@@ -83,7 +129,7 @@ class TableStore:
 
     def _layers(self, version: int | None = None) -> tuple[int, list[str], list[str]]:
         """The version read, its snapshot (if any) and the changes on top."""
-        snapshots = {int(n): n for n in self._committed("snapshots")}
+        snapshots = {version_of(n): n for n in self._committed("snapshots")}
         changes = [(version_of(n), n) for n in self._committed("changes")]
         newest = max([0, *snapshots, *[v for v, _ in changes]])
         version = newest if version is None else version
@@ -117,12 +163,13 @@ class TableStore:
         # the snapshot's delete markers meet the changes, not the rows
         net = last_per_key(changes.unionByName(state.where(F.col(DELETED))), spec)
         live = state.where(~F.col(DELETED))
+        bucketed = any(buckets_of(path) for path in base)
         if not spec.null_keys:
-            return merge(live, net, spec), net
+            return merge(live, net, spec, bucketed), net
         # and so do its rows with null keys that came from the feed
         null_key = any_of([named(k).isNull() for k in spec.null_keys])
         from_feed = null_key & F.col(POS).isNotNull()
-        rows = merge(live.where(~from_feed), net, spec)
+        rows = merge(live.where(~from_feed), net, spec, bucketed)
         loose = null_key_rows(changes.unionByName(live.where(from_feed)), spec)
         return rows.unionByName(loose.select(*rows.columns)), net
 
@@ -141,14 +188,12 @@ class TableStore:
         """Replace the table's contents; returns the new version."""
         version = self.version + 1
         no_pos = F.lit(None).cast(POS_TYPE)
-        (
-            rows.select(
-                *[named(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema.fields]
-            )
-            .withColumns({POS: no_pos, DELETED: F.lit(False), GONE: no_pos})
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/snapshots/{version:010d}")
-        )
+        state = rows.select(
+            *[named(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema.fields]
+        ).withColumns({POS: no_pos, DELETED: F.lit(False), GONE: no_pos})
+        if self.buckets:
+            state = state.repartition(self.buckets, *[named(k) for k in self.spec.keys])
+        self._write_snapshot(state, version)
         return version
 
     def has(self, tag: str) -> bool:
@@ -176,8 +221,7 @@ class TableStore:
         if forget is not None:
             markers = markers.where(~forget)
         live = rows.withColumns({DELETED: F.lit(False), GONE: F.lit(None).cast(POS_TYPE)})
-        state = live.unionByName(markers)
-        state.write.mode("overwrite").parquet(f"{self.path}/snapshots/{version:010d}")
+        self._write_snapshot(live.unionByName(markers), version)
         return version
 
     def compact_if_due(self, ratio: float) -> bool:
