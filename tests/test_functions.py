@@ -14,7 +14,7 @@ from tidemark.functions.naming import routed_name, table_name, topic_list
 from tidemark.operators.audit import explode_entries, feed_audit, preview
 from tidemark.operators.decode import decode
 from tidemark.operators.merge import filter_by_conditions, keyed_update, keyed_update_overwrite
-from tidemark.sources.feed import as_feed, by_pattern, by_topics, file_feed, kafka_feed, kafka_options
+from tidemark.sources.feed import as_feed, by_pattern, by_topics, file_feed, kafka_feed, kafka_options, spread
 from tidemark.sources.workdir import work_dir
 from tidemark.table import TableSpec
 
@@ -156,6 +156,15 @@ def test_file_feed(spark, tmp_path, format):
     assert file_feed(spark, f"{tmp_path}/f", format, stream=True).isStreaming
 
 
+def test_spread(spark):
+    feed = feed_of(spark, [upsert(n, ID=n) for n in range(64)])
+    few, many = feed.coalesce(1), feed.repartition(9)
+    plan = spread(few)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(offset" in plan
+    assert rows_of(spread(few)) == rows_of(feed)
+    assert spread(many) is many
+
+
 def test_work_dir_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark).startswith(shared) and work_dir(spark) != work_dir(spark)

@@ -24,7 +24,7 @@ from tidemark.plans.feeds import (
     events,
     order_base,
 )
-from tidemark.sources.feed import by_pattern, by_topics
+from tidemark.sources.feed import by_pattern, by_topics, spread
 from tidemark.sources.store import TableStore
 from tidemark.sources.tables import append_path, scan_path
 from tidemark.sources.workdir import work_dir
@@ -46,7 +46,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.decode(feed(spark, sf_dir), CURRENT)
+    return d.decode(spread(feed(spark, sf_dir)), CURRENT)
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,12 +117,12 @@ def route_map(spark, sf_dir):
 
 @query
 def key_columns(spark, sf_dir):
-    return d.key_columns(feed(spark, sf_dir))
+    return d.key_columns(spread(feed(spark, sf_dir)))
 
 
 @query
 def explode_entries(spark, sf_dir):
-    records = settled(feed(spark, sf_dir), value_payload(F.col("value")).alias("payload"))
+    records = settled(spread(feed(spark, sf_dir)), value_payload(F.col("value")).alias("payload"))
     entries = audit.explode_entries(records.where("payload.op = 'u'"), F.col("payload.after"))
     return entries.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("nv"))
 
@@ -167,7 +167,7 @@ SCHEMA_BLOCK_TYPE = (
 @query
 def record_schema(spark, sf_dir):
     block = F.from_json(F.lit(SCHEMA_BLOCK), SCHEMA_BLOCK_TYPE)
-    return connect_schema(event_feed(events(spark, sf_dir), value_schema=block))
+    return connect_schema(spread(event_feed(events(spark, sf_dir), value_schema=block)))
 
 
 # -- last change per key ----------------------------------------------------
@@ -204,7 +204,7 @@ def delete_by_key(spark, sf_dir):
 @query
 def merge_composite_key(spark, sf_dir):
     records = event_feed(events(spark, sf_dir), keys=BY_LABEL.keys)
-    applied = d.changes(d.decode(records, BY_LABEL))
+    applied = d.changes(d.decode(spread(records), BY_LABEL))
     return m.apply_changes(customer_base_by_label(spark, sf_dir), applied, BY_LABEL)
 
 
@@ -218,7 +218,7 @@ def merge_null_key(spark, sf_dir):
     """Signups carry a null key, so each of them is a row of its own."""
     unknown = F.when(F.col("event_type") != "signup", F.col("user_id"))
     records = event_feed(events(spark, sf_dir), event_image(id=unknown))
-    applied = d.changes(d.decode(records, OPEN))
+    applied = d.changes(d.decode(spread(records), OPEN))
     return m.apply_changes(customer_base(spark, sf_dir), applied, OPEN)
 
 

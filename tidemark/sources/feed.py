@@ -71,6 +71,22 @@ def file_feed(
     return reader.format(format).schema(FEED_SCHEMA).options(**options).load(path)
 
 
+def spread(feed: DataFrame) -> DataFrame:
+    """A batch of records, shuffled by offset if it has fewer partitions than
+    there are cores to parse it.
+
+    Parsing a record costs several times what moving its text does. Feeds of
+    many partitions are left as they are.
+    """
+    spark = feed.sparkSession
+    wanted = min(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    if feed.isStreaming or feed.rdd.getNumPartitions() >= wanted:
+        return feed
+    return feed.repartition("offset")
+
+
 def by_topics(feed: DataFrame, topics: str | Iterable[str]) -> DataFrame:
     """Records of the listed topics."""
     listed = topic_list(topics if isinstance(topics, str) else ",".join(topics))

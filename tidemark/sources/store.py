@@ -63,14 +63,15 @@ class TableStore:
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
 
-    def _committed(self, kind: str) -> list[str]:
-        """Names of the finished folders, oldest first."""
+    def _names(self, kind: str) -> list[str]:
+        """Folder names, finished or not, oldest first."""
         files, path = self._folder(f"{self.path}/{kind}")
         if not files.exists(path):
             return []
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        done = [n for n in names if self._exists(f"{self.path}/{kind}/{n}/_SUCCESS")]
-        return sorted(done)
+        return sorted(status.getPath().getName() for status in files.listStatus(path))
+
+    def _finished(self, kind: str, name: str) -> bool:
+        return self._exists(f"{self.path}/{kind}/{name}/_SUCCESS")
 
     def _exists(self, path: str) -> bool:
         files, jvm_path = self._folder(path)
@@ -128,16 +129,26 @@ class TableStore:
         return read.parquet(*paths).where(F.col(REJECTED) == rejected).select(*schema.names)
 
     def _layers(self, version: int | None = None) -> tuple[int, list[str], list[str]]:
-        """The version read, its snapshot (if any) and the changes on top."""
-        snapshots = {version_of(n): n for n in self._committed("snapshots")}
-        changes = [(version_of(n), n) for n in self._committed("changes")]
-        newest = max([0, *snapshots, *[v for v, _ in changes]])
-        version = newest if version is None else version
-        base = max([v for v in snapshots if v <= version], default=0)
+        """The version read, its snapshot (if any) and the changes on top. Only
+        the folders from that snapshot on are looked into."""
+        snapshots = (
+            n
+            for n in reversed(self._names("snapshots"))
+            if (version is None or version_of(n) <= version) and self._finished("snapshots", n)
+        )
+        base = next(snapshots, None)
+        start = version_of(base) if base else 0
+        pending = [
+            n
+            for n in self._names("changes")
+            if start < version_of(n)
+            and (version is None or version_of(n) <= version)
+            and self._finished("changes", n)
+        ]
         return (
-            version,
-            [f"{self.path}/snapshots/{snapshots[base]}"] if base else [],
-            [f"{self.path}/changes/{n}" for v, n in changes if base < v <= version],
+            max([start, *map(version_of, pending)]),
+            [f"{self.path}/snapshots/{base}"] if base else [],
+            [f"{self.path}/changes/{n}" for n in pending],
         )
 
     # -- reading ---------------------------------------------------------
@@ -176,7 +187,8 @@ class TableStore:
     def rejects(self) -> DataFrame:
         """All records that could not be applied, with the reason."""
         schema = T.StructType([T.StructField(POS, POS_TYPE), T.StructField("_record", RECORD_TYPE)])
-        paths = [f"{self.path}/changes/{n}" for n in self._committed("changes")]
+        batches = [n for n in self._names("changes") if self._finished("changes", n)]
+        paths = [f"{self.path}/changes/{n}" for n in batches]
         records = self._outcomes(paths, schema, rejected=True)
         return records.select(
             *[f"{POS}.{c}" for c in ("topic", "partition", "offset")], "_record.*"
@@ -197,7 +209,8 @@ class TableStore:
         return version
 
     def has(self, tag: str) -> bool:
-        return any(n.split("-", 1)[1] == tag for n in self._committed("changes"))
+        tagged = [n for n in self._names("changes") if n.split("-", 1)[1] == tag]
+        return any(self._finished("changes", n) for n in tagged)
 
     def commit(self, decoded: DataFrame, tag: str) -> bool:
         """Add the outcome of a batch of decoded records under a tag; False if
@@ -235,10 +248,10 @@ class TableStore:
 
     def obsolete(self) -> list[str]:
         """Folders that reading the newest version no longer needs. Removing
-        them gives up older versions; that is left to the operator."""
-        _, base, pending = self._layers()
-        held = {*base, *pending}
-        every = [
-            f"{self.path}/{kind}/{n}" for kind in ("snapshots", "changes") for n in self._committed(kind)
-        ]
-        return [path for path in every if path not in held]
+        them gives up older versions, and the rejects of their batches; that is
+        left to the operator."""
+        _, base, _ = self._layers()
+        start = version_of(base[0].rsplit("/", 1)[-1]) if base else 0
+        every = [(kind, n) for kind in ("snapshots", "changes") for n in self._names(kind)]
+        older = [f"{self.path}/{kind}/{n}" for kind, n in every if version_of(n) <= start]
+        return [path for path in older if path not in base]

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.naming import routed_name
 from tidemark.operators.audit import preview
 from tidemark.operators.decode import APPLIED, REASONS, decode
+from tidemark.sources.feed import spread
 from tidemark.sources.store import TableStore
 
 log = logging.getLogger(__name__)
@@ -29,7 +30,7 @@ def apply_batch(feed: DataFrame, store: TableStore, tag: str) -> dict | None:
     (None), one that broke off is written anew.
     """
     seen = Observation()
-    decoded = decode(feed, store.spec).observe(seen, *_audit_columns())
+    decoded = decode(spread(feed), store.spec).observe(seen, *_audit_columns())
     if not store.commit(decoded, tag):
         return None
     audit = seen.get
