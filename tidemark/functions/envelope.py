@@ -35,21 +35,22 @@ def has_payload_field(value: Column, field: str) -> Column:
 class Fields:
     """The fields of a JSON object, looked up for a fixed list of columns.
 
-    Feeds write fields in the table's order and spelling, and then a field is
-    found by its place. Any other layout is searched without regard to case.
+    Feeds write fields in the table's order and spelling, new ones at the end,
+    and then a field is found by its place. Any other layout is searched
+    without regard to case.
     """
 
     def __init__(self, entries: Column, columns: list[str], prefix: str):
         self.columns = columns
-        in_order = F.coalesce(
-            F.map_keys(entries) == F.array(*[F.lit(c) for c in columns]), F.lit(False)
-        )
-        names = F.when(~in_order, F.transform(F.map_keys(entries), F.lower))
+        keys, width = F.map_keys(entries), len(columns)
+        first = F.when(F.size(keys) == width, keys).otherwise(F.slice(keys, 1, width))
+        in_order = F.coalesce(first == F.array(*[F.lit(c) for c in columns]), F.lit(False))
+        plain = in_order & (F.size(keys) == width)
         # to be selected first; what follows works on these columns
         self.parts = [
             F.map_values(entries).alias(f"{prefix}_values"),
             in_order.alias(f"{prefix}_in_order"),
-            names.alias(f"{prefix}_names"),
+            F.when(~plain, F.transform(keys, F.lower)).alias(f"{prefix}_names"),
         ]
         self.values = F.col(f"{prefix}_values")
         self.in_order = F.col(f"{prefix}_in_order")
@@ -68,7 +69,8 @@ class Fields:
         found = (F.size(F.array_except(wanted, self.names)) == 0) & (
             F.size(F.array_distinct(self.names)) == F.size(self.names)
         )
-        return self.in_order | F.coalesce(found, F.lit(False))
+        plain = self.in_order & (F.size(self.values) == len(self.columns))
+        return F.coalesce(plain | found, F.lit(False))
 
     def exact(self) -> Column:
         """Whether the columns are named and nothing else is."""

@@ -56,6 +56,7 @@ class TableStore:
         self.spec = spec
         self.path = f"{root.rstrip('/')}/{spec.name}"
         self.buckets = buckets
+        self._sizes: dict[str, int] = {}
 
     # -- folders ---------------------------------------------------------
 
@@ -68,7 +69,8 @@ class TableStore:
         files, path = self._folder(f"{self.path}/{kind}")
         if not files.exists(path):
             return []
-        return sorted(status.getPath().getName() for status in files.listStatus(path))
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return sorted(n for n in names if not n.startswith(("_", ".")))
 
     def _finished(self, kind: str, name: str) -> bool:
         return self._exists(f"{self.path}/{kind}/{name}/_SUCCESS")
@@ -78,11 +80,12 @@ class TableStore:
         return files.exists(jvm_path)
 
     def _bytes(self, paths: list[str]) -> int:
-        total = 0
+        """Size of finished folders, which do not change."""
         for path in paths:
-            files, jvm_path = self._folder(path)
-            total += files.getContentSummary(jvm_path).getLength()
-        return total
+            if path not in self._sizes:
+                files, jvm_path = self._folder(path)
+                self._sizes[path] = files.getContentSummary(jvm_path).getLength()
+        return sum(self._sizes[path] for path in paths)
 
     def _snapshot(self, paths: list[str]) -> DataFrame:
         schema = self.spec.state_schema

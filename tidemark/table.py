@@ -13,6 +13,7 @@ POS = "_pos"
 DELETED = "_deleted"
 GONE = "_gone"
 REJECTED = "_rejected"
+RESERVED = {POS, DELETED, GONE, REJECTED, "_record", "_last", "_alone"}
 
 # Where a record stood in the feed. Struct order is also the order in which
 # changes win: by offset first, the rest only makes the order total.
@@ -48,7 +49,7 @@ class TableSpec:
         spelled = {f.name.lower(): f.name for f in schema.fields}
         if not spelled or len(spelled) != len(schema.fields):
             raise ValueError(f"{self.name}: columns must be given and differ by more than case")
-        if reserved := {POS, DELETED, GONE, REJECTED} & set(spelled):
+        if reserved := RESERVED & set(spelled):
             raise ValueError(f"{self.name}: reserved column names {sorted(reserved)}")
         if not keys or len({k.lower() for k in keys}) != len(keys):
             raise ValueError(f"{self.name}: key columns must be given once each")
