@@ -158,11 +158,12 @@ def test_file_feed(spark, tmp_path, format):
 
 def test_spread(spark):
     feed = feed_of(spark, [upsert(n, ID=n) for n in range(64)])
-    few, many = feed.coalesce(1), feed.repartition(9)
+    few, many = feed.coalesce(1), feed_of(spark, [upsert(n, ID=n) for n in range(64)])
+    shuffled = feed.repartition(2)
     plan = spread(few)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(offset" in plan
     assert rows_of(spread(few)) == rows_of(feed)
-    assert spread(many) is many
+    assert spread(many) is many and spread(shuffled) is shuffled
 
 
 def test_work_dir_is_in_the_shared_folder(spark):

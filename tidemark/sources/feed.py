@@ -76,13 +76,16 @@ def spread(feed: DataFrame) -> DataFrame:
     there are cores to parse it.
 
     Parsing a record costs several times what moving its text does. Feeds of
-    many partitions are left as they are.
+    many partitions, and those that come out of a shuffle, are left as they are.
     """
+    # counting the partitions of a shuffled feed would run its shuffles
+    if feed.isStreaming or "Exchange" in feed._jdf.queryExecution().executedPlan().toString():
+        return feed
     spark = feed.sparkSession
     wanted = min(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    if feed.isStreaming or feed.rdd.getNumPartitions() >= wanted:
+    if feed.rdd.getNumPartitions() >= wanted:
         return feed
     return feed.repartition("offset")
 
