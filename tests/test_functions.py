@@ -1,14 +1,17 @@
 """Conditions, names, feeds, schemas and updates."""
 
 import json
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from model import feed_of, key_of, record, rows_of, upsert
 from tidemark.functions.conditions import condition_pairs, condition_text
-from tidemark.functions.connect import connect_schema, latest_schema, struct_type
+from tidemark.functions.connect import connect_schema, latest_schema, struct_type, type_names
 from tidemark.functions.envelope import entries
 from tidemark.functions.naming import routed_name, table_name, topic_list
 from tidemark.operators.audit import explode_entries, feed_audit, preview
@@ -223,6 +226,18 @@ def test_connect_schema(spark):
         (3, "at", "struct<x:float>", 1), (4, "m", "map<string,smallint>", 1), (5, "odd", None, 1)], key=repr)
 
 
+def test_executors_need_not_have_the_package(tmp_path):
+    file = tmp_path / "f"
+    file.write_bytes(cloudpickle.dumps(type_names))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        f"f = pickle.load(open({str(file)!r}, 'rb'))\n"
+        "assert list(f(pd.Series(['{\"type\": \"int8\"}', 'x']))) == ['tinyint', None]\n"
+        "assert not [m for m in sys.modules if m.startswith('tidemark')]\n"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd="/", check=True)
+
+
 def test_latest_schema_sets_up_a_table(spark):
     feed = feed_of(spark, [with_schema(1, OLD), with_schema(0, NEW[:3])])
     schema = latest_schema(feed)

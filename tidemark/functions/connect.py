@@ -28,35 +28,42 @@ SCALARS = {
 VALUE_SCHEMA = "schema STRUCT<fields: ARRAY<STRUCT<field: STRING, fields: STRING>>>"
 
 
-def field_type(field: dict) -> T.DataType:
-    """The Spark type of one schema entry."""
-    kind = field.get("type")
-    if kind == "struct":
-        return struct_type(field.get("fields") or [])
-    if kind == "array":
-        return T.ArrayType(field_type(field["items"]))
-    if kind == "map":
-        return T.MapType(field_type(field["keys"]), field_type(field["values"]))
-    if kind not in SCALARS:
-        raise ValueError(f"unknown type in a record schema: {kind!r}")
-    return SCALARS[kind]
-
-
-def struct_type(fields: list[dict]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(f["field"], field_type(f), f.get("optional", True)) for f in fields]
-    )
-
-
-@F.pandas_udf(T.StringType())
-def _type_name(fields: pd.Series) -> pd.Series:
-    def name(text: str) -> str | None:
-        try:
-            return field_type(json.loads(text)).simpleString()
-        except (KeyError, TypeError, ValueError):
-            return None
-
-    return fields.map(name)
+def _type_reader():
+    """Reads one schema entry. What is made in here goes to the executors by
+    value, so they need not have this package."""
+    scalars = SCALARS
+
+    def struct_of(fields: list[dict]) -> T.StructType:
+        return T.StructType(
+            [T.StructField(f["field"], type_of(f), f.get("optional", True)) for f in fields]
+        )
+
+    def type_of(field: dict) -> T.DataType:
+        kind = field.get("type")
+        if kind == "struct":
+            return struct_of(field.get("fields") or [])
+        if kind == "array":
+            return T.ArrayType(type_of(field["items"]))
+        if kind == "map":
+            return T.MapType(type_of(field["keys"]), type_of(field["values"]))
+        if kind not in scalars:
+            raise ValueError(f"unknown type in a record schema: {kind!r}")
+        return scalars[kind]
+
+    def names(fields: pd.Series) -> pd.Series:
+        def name(text: str) -> str | None:
+            try:
+                return type_of(json.loads(text)).simpleString()
+            except (KeyError, TypeError, ValueError):
+                return None
+
+        return fields.map(name)
+
+    return struct_of, names
+
+
+struct_type, type_names = _type_reader()
+_type_name = F.pandas_udf(type_names, T.StringType())
 
 
 def row_fields(value: Column) -> Column:
