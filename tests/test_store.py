@@ -97,6 +97,17 @@ def test_a_batch_is_committed_once(spark, spec):
     assert store.version == 1 and store.rejects().count() == 1
 
 
+def test_empty_batches_and_batches_of_rejects(spark, spec):
+    store = new_store(spark, spec, [(1, "a")])
+    batches = [[], [record(0, None, None)], [upsert(1, ID=2, Name="b")], []]
+    for n, records in enumerate(batches):
+        apply_batch(feed_of(spark, records), store, str(n))
+        assert store.read().count() == (1 if n < 2 else 2)
+    assert store.version == 5 and store.rejects().count() == 1
+    store.compact()
+    assert rows_of(store.read()) == [(1, "a"), (2, "b")]
+
+
 def test_a_broken_write_does_not_count(spark, spec):
     """A folder without the committer's mark is skipped, and written anew."""
     store = new_store(spark, spec, [(1, "a")])

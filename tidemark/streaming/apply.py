@@ -64,6 +64,8 @@ def apply_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("this Spark does not tell which query a batch belongs to")
         tag = f"{query_id}-{batch_id}"
         if len(stores) == 1:
             apply_batch(batch, stores[0], tag)
