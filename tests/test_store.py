@@ -159,13 +159,17 @@ def above_the_rows(table):
     """For each scan of snapshot rows, the nearest shuffle or join above it."""
     table.collect()
     plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    lines = plan.splitlines()
+    lines = [(len(n) - len(n.lstrip(" :+-*")), n.strip()) for n in plan.splitlines()]
     found = []
-    for at, line in enumerate(lines):
-        if "FileScan" in line and "_gone:" not in line:
-            depth = line.index("FileScan")
-            above = [n for n in lines[:at] if len(n) - len(n.lstrip(" :+-*")) < depth]
-            found.append(next(n for n in reversed(above) if "Exchange" in n or "Join" in n).strip())
+    for at, (depth, line) in enumerate(lines):
+        if "FileScan" not in line or "_gone:" in line:
+            continue
+        for above, node in reversed(lines[:at]):
+            if above < depth:
+                depth = above
+                if "Exchange" in node or "Join" in node:
+                    found.append(node)
+                    break
     return found
 
 

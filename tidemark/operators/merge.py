@@ -4,7 +4,7 @@ A target may hold any number of rows per key, and one key may hold a large part
 of it. So the target is always the left side of a join against one row per key.
 Changes small enough to be broadcast leave the target unshuffled; else the
 adaptive skew join splits the target's hot partitions. Which changes are inserts
-is found from the target's keys alone, and only those that match are kept.
+is found from the target's keys alone, reduced before any shuffle.
 """
 
 from __future__ import annotations
@@ -50,6 +50,13 @@ def conform(target: DataFrame, spec: TableSpec) -> DataFrame:
     return target.select(*cells, *[POS for c in target.columns if c == POS])
 
 
+def can_be_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate lets it broadcast the DataFrame."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def merge(
     target: DataFrame, net: DataFrame, spec: TableSpec, bucketed: bool = False
 ) -> DataFrame:
@@ -82,12 +89,18 @@ def merge(
 
     keys = [named(k) for k in spec.keys]
     narrow = target.select(*keys, *([POS] if guarded else []))
-    holders = narrow.alias("t").join(net.alias("n"), matching & ~removed, "left_semi")
-    present = holders.select(*keys).distinct()
+    present_key = same_key(spec.keys, "n", "t")
+    if not bucketed and can_be_broadcast(net):
+        # look for the few keys first; the target's other keys stay where they are
+        surviving = narrow.alias("t").join(net.alias("n"), present_key & ~removed, "left_semi")
+        present = surviving.select(*keys).distinct()
+    else:
+        # one row per key leaves each map task, and meets the changes where the
+        # fold has put them
+        present = narrow.groupBy(*keys).agg(F.max(POS).alias(POS)) if guarded else narrow.distinct()
+        present_key = present_key & ~removed
     missing = (
-        net.alias("n")
-        .where(~deleted)
-        .join(present.alias("t"), same_key(spec.keys, "n", "t"), "left_anti")
+        net.alias("n").where(~deleted).join(present.alias("t"), present_key, "left_anti")
     )
     inserted = missing.select(*[named(c, "n").alias(c) for c in target.columns])
     return kept.unionByName(inserted)
