@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import TESTDATA
+from tidemark.plans.oracles import ORACLES
+from tidemark.plans.queries import QUERIES
 
 SF_DIR = TESTDATA / "sf0.001"
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables here")
@@ -30,10 +32,12 @@ def sorted_rows(names, rows):
 
 
 def test_each_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     df = contract.queries()[name](spark, str(SF_DIR))
     result = tables.execute(contract.oracle_sql()[name])
