@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, secret_scan
 
 QUERIES = {
     "op4_mixing": mixing.op4_mixing,
+    "op8_secrets": secret_scan.op8_secrets,
 }
 
 ORACLES = {
