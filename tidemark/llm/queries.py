@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, secret_scan
+from tidemark.llm import chat, mixing, secret_scan
 
 QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op8_secrets": secret_scan.op8_secrets,
+    "op10_chat": chat.op10_chat,
 }
 
 ORACLES = {
     "op4_mixing": mixing.OP4_SQL,
+    "op10_chat": chat.OP10_SQL,
 }
