@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, langid, mixing, secret_scan, simhash
+from tidemark.llm import chat, decontaminate, fingerprints, langid, mixing, secret_scan, simhash
 
 QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_language": langid.op7_language,
     "op8_secrets": secret_scan.op8_secrets,
