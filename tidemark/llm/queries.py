@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, fingerprints, langid, mixing, secret_scan, simhash
+from tidemark.llm import chat, decontaminate, fingerprints, html_text, langid, mixing, secret_scan, simhash
 
 QUERIES = {
+    "op1_html": html_text.op1_html,
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
     "op5_fingerprints": fingerprints.op5_fingerprints,
