@@ -86,6 +86,12 @@ class Node:
         self.own = self.links = 0  # characters of text directly in it, and of those within links
 
 
+def _without_open_comment(html: str) -> str:
+    """A comment that is not closed hides the rest, unless it stands in a script."""
+    start = html.find("<!--", html.rfind("-->") + 1)
+    return html if start < 0 or "</script" in html[start:].lower() else html[:start]
+
+
 class Tree(HTMLParser):
     """Nodes in page order, and pieces of text as (node, text); node -1 is the border of a block."""
 
@@ -93,10 +99,9 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#page", -1, (), False, False, False)]
         self.tags: Counter = Counter()  # of the open elements
-        self.html = html
         self.pieces: list[tuple[int, str]] = []
         self.open = [0]
-        self.feed(html)
+        self.feed(_without_open_comment(html))
         self.close()
 
     def _close(self, depth: int) -> None:
@@ -162,8 +167,6 @@ class Tree(HTMLParser):
             self._close(depth)
 
     def handle_data(self, data: str) -> None:
-        if data.startswith("<!--") and self.html.endswith(data):
-            return  # a comment without an end
         at = self.open[-1]
         node = self.nodes[at]
         if not node.hidden:

@@ -71,4 +71,16 @@ PAGES = [
     <div class="banner" b>Sale</div><div class="subscribe" b><p>Subscribe now.</p></div><div role=alert b>Old page</div>
     <div role=complementary b><p>Side text</p></div><div role=banner b>Top</div><div role=search b>Find</div></main>
     <div class="sidebar right" b><p>About me</p></div><div class="feedback" b><p>Was this of use?</p></div></body>""",
+    """<body><div class="topbar" b><a href=/l>Log in</a></div><div class="main-nav" b><a href=/>Home</a></div>
+    <div class="story post"><h1>Salt</h1><p>It was money once.</p><ul><li>rock</li><li>sea</li></ul>
+    <div class="related-posts" b><a href=/p>Pepper</a></div><div class="share-buttons" b>Share</div></div>
+    <div class="sidebar-widget" b><p>Latest</p></div><div class="newsletter subscribe" b><p>Letters</p></div>
+    <section class="reader comments" b><h3>Comments</h3><div><p>Too much of it is bad.</p></div></section>
+    <div class="sponsored promo" b><p>Buy pepper.</p></div><div class="footer legal" b><p>Terms of use</p></div></body>""",
+    """<body><div class="cookie-consent notice" b><p>Cookies are used.</p></div><div class="banner ads" b><p>Sale</p></div>
+    <main><div class="breadcrumb" b><a href=/>Top</a></div><h1>Wind</h1><p>It blows.</p><div class="text">From the west.</div>
+    <div class="popular recommended" b><a href=/r>Rain</a></div><p>Then it stops.</p>
+    <div class="discussion responses" b><p>Not here it does not.</p></div><div class="pagination" b><a href=/3>3</a></div></main>
+    <div class="widget tags" b><a href=/t>tag</a></div><div class="search login" b><p>Find</p></div>
+    <div class="modal alert" b><p>Sign up</p></div><div class="copyright disclaimer" b><p>Theirs</p></div></body>""",
 ]
