@@ -76,7 +76,9 @@ def test_messages_give_the_marginals_of_all_labellings():
         for n, node in enumerate(nodes):
             pull = model.text_pull * (node.own - node.links) / sizes[0] - model.link_pull * node.links / sizes[0]
             score += pull * labels[n]
-            if n and labels[node.parent]:
+            if n == 1:  # alone in the page
+                score -= CLOSED * (labels[0] != labels[1])
+            elif n and labels[node.parent]:
                 odds = model.prior + sum(model.odds.get(f, 0) for f in features(nodes, n, outside))
                 score -= log1p(exp(-odds if labels[n] else odds))
             elif n:

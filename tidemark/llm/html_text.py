@@ -4,6 +4,7 @@ Each element is a node that is either content (main text, or holding it) or
 boilerplate. The model is a tree of parent-child potentials:
 
 * a child of boilerplate is boilerplate;
+* a plain element that is all there is in its parent is what its parent is;
 * a child of content is content by odds that its features give: its tag, alone
   and within its parent's, where the tag says what it is for; the words of its
   class, id and role; whether it has none; and whether it lies outside the page's
@@ -252,12 +253,15 @@ class Model:
         """Probability of content for each node, by sum-product messages up and down the tree."""
         sizes, links = _totals(nodes, "own"), _totals(nodes, "links")
         outside, page = _places(nodes), max(1, sizes[0])
+        children = Counter(node.parent for node in nodes)
         # log potentials relative to boilerplate; own: of content by itself, to_yes and to_no: below content
         inner, to_yes, to_no, up = [0.0] * len(nodes), [0.0] * len(nodes), [0.0] * len(nodes), [0.0] * len(nodes)
         for n, node in enumerate(nodes):
             text, linked = node.own - node.links, node.links
             inner[n] = self.text_pull * text / page - self.link_pull * linked / page
-            if n:
+            if n and node.tag not in TELLING and not node.tokens and children[node.parent] == 1 and not nodes[node.parent].own:
+                to_no[n] = -CLOSED  # alone in its parent: the same thing
+            elif n:
                 odds = self.prior + sum(self.odds.get(f, 0.0) for f in features(nodes, n, outside))
                 to_yes[n], to_no[n] = -log1p(exp(-odds)) if odds > -700 else odds, -log1p(exp(odds)) if odds < 700 else -odds
         for n in range(len(nodes) - 1, 0, -1):  # up: what a node says for content of its parent
