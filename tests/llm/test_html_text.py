@@ -2,10 +2,12 @@
 
 import html
 import re
+from itertools import product
+from math import exp
 
 import pytest
 
-from tidemark.llm.html_text import Tree, extracted, learned, main_text
+from tidemark.llm.html_text import CLOSED, Tree, extracted, learned, main_text
 from tidemark.llm.labelled_pages import PAGES
 from tidemark.llm.queries import QUERIES
 
@@ -61,28 +63,16 @@ def test_a_page_left_out_of_training_is_labelled_well():
 
 def test_messages_give_the_marginals_of_all_labellings():
     """Against a sum over every labelling of a small tree."""
-    from itertools import product
-    from math import exp, log1p
-
-    from tidemark.llm.html_text import CLOSED, _places, _totals, features
-
     model = learned()
     nodes = Tree("<div><p>some text</p><nav><a href=/>x</a></nav><aside>yy</aside></div>").nodes
-    sizes, links, outside = _totals(nodes, "own"), _totals(nodes, "links"), _places(nodes)
+    own, to_yes, to_no = model.potentials(nodes)
     weights = [0.0] * len(nodes)
     total = 0.0
     for labels in product((0, 1), repeat=len(nodes)):
-        score = CLOSED * labels[0]
-        for n, node in enumerate(nodes):
-            pull = model.text_pull * (node.own - node.links) / sizes[0] - model.link_pull * node.links / sizes[0]
-            score += pull * labels[n]
-            if n == 1:  # alone in the page
-                score -= CLOSED * (labels[0] != labels[1])
-            elif n and labels[node.parent]:
-                odds = model.prior + sum(model.odds.get(f, 0) for f in features(nodes, n, outside))
-                score -= log1p(exp(-odds if labels[n] else odds))
-            elif n:
-                score -= CLOSED * labels[n]
+        score = sum(own[n] * labels[n] for n in range(len(nodes)))
+        for n in range(1, len(nodes)):
+            below_content = to_yes[n] if labels[n] else to_no[n]
+            score += below_content if labels[nodes[n].parent] else -CLOSED * labels[n]
         total += exp(score)
         weights = [w + exp(score) * y for w, y in zip(weights, labels)]
     assert model.marginals(nodes) == pytest.approx([w / total for w in weights])

@@ -249,33 +249,36 @@ class Model:
             label.append(label[node.parent] and not node.marked)
         return label
 
-    def marginals(self, nodes: list[Node]) -> list[float]:
-        """Probability of content for each node, by sum-product messages up and down the tree."""
+    def potentials(self, nodes: list[Node]) -> tuple[list[float], list[float], list[float]]:
+        """Logs, for each node: of being content by itself; of content and of boilerplate below content."""
         sizes, links = _totals(nodes, "own"), _totals(nodes, "links")
         outside, page = _places(nodes), max(1, sizes[0])
         children = Counter(node.parent for node in nodes)
-        # log potentials relative to boilerplate; own: of content by itself, to_yes and to_no: below content
-        inner, to_yes, to_no, up = [0.0] * len(nodes), [0.0] * len(nodes), [0.0] * len(nodes), [0.0] * len(nodes)
+        own, to_yes, to_no = [], [], []
         for n, node in enumerate(nodes):
-            text, linked = node.own - node.links, node.links
-            inner[n] = self.text_pull * text / page - self.link_pull * linked / page
-            if n and node.tag not in TELLING and not node.tokens and children[node.parent] == 1 and not nodes[node.parent].own:
-                to_no[n] = -CLOSED  # alone in its parent: the same thing
-            elif n:
+            own.append((self.text_pull * (node.own - node.links) - self.link_pull * node.links) / page)
+            plain = node.tag not in TELLING and not node.tokens
+            if plain and children[node.parent] == 1 and not nodes[node.parent].own:
+                odds = CLOSED  # alone in its parent: the same thing
+            else:
                 odds = self.prior + sum(self.odds.get(f, 0.0) for f in features(nodes, n, outside))
-                to_yes[n], to_no[n] = -log1p(exp(-odds)) if odds > -700 else odds, -log1p(exp(odds)) if odds < 700 else -odds
+            to_yes.append(-_log_sum(0.0, -odds))
+            to_no.append(-_log_sum(0.0, odds))
+        own[0] += CLOSED  # the page itself holds what there is
+        return own, to_yes, to_no
+
+    def marginals(self, nodes: list[Node]) -> list[float]:
+        """Probability of content for each node, by sum-product messages up and down the tree."""
+        belief, to_yes, to_no = self.potentials(nodes)
+        up = [0.0] * len(nodes)
         for n in range(len(nodes) - 1, 0, -1):  # up: what a node says for content of its parent
-            below_content = _log_sum(to_yes[n] + inner[n], to_no[n])
-            below_boilerplate = _log_sum(-CLOSED + inner[n], 0.0)
+            below_content = _log_sum(to_yes[n] + belief[n], to_no[n])
+            below_boilerplate = _log_sum(belief[n] - CLOSED, 0.0)
             up[n] = below_content - below_boilerplate
-            inner[nodes[n].parent] += up[n]
-        inner[0] += CLOSED  # the page itself holds what there is
-        belief = inner  # log-odds of content; complete for the root
+            belief[nodes[n].parent] += up[n]
         for n in range(1, len(nodes)):  # down: the parent's belief without this node's own message
             rest = belief[nodes[n].parent] - up[n]
-            yes = _log_sum(rest + to_yes[n], -CLOSED)
-            no = _log_sum(rest + to_no[n], 0.0)
-            belief[n] += yes - no
+            belief[n] += _log_sum(rest + to_yes[n], -CLOSED) - _log_sum(rest + to_no[n], 0.0)
         return [1 / (1 + exp(-max(-500.0, min(500.0, b)))) for b in belief]
 
 
