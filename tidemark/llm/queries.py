@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, fingerprints, html_text, langid, mixing, secret_scan, simhash
+from tidemark.llm import chat, decontaminate, fingerprints, html_text, langid, mixing, quality, secret_scan, simhash
 
 QUERIES = {
     "op1_html": html_text.op1_html,
+    "op2_quality": quality.op2_quality,
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
     "op5_fingerprints": fingerprints.op5_fingerprints,
