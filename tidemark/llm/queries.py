@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, fingerprints, html_text, langid, mixing, quality, secret_scan, simhash
+from tidemark.llm import chat, decontaminate, fingerprints, html_text, langid, license_scan, mixing, quality, secret_scan, simhash
 
 QUERIES = {
     "op1_html": html_text.op1_html,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_language": langid.op7_language,
     "op8_secrets": secret_scan.op8_secrets,
+    "op9_licenses": license_scan.op9_licenses,
     "op10_chat": chat.op10_chat,
 }
 
