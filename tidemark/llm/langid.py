@@ -23,7 +23,7 @@ learned from; rows that repeat an id are predicted each.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -37,6 +37,8 @@ DIMENSIONS = 1024
 SEED = 7
 TRAIN_DOCS = 2000
 UNKNOWN = "und"
+#: About the cosine that two unrelated vectors have by chance, 1 / sqrt(DIMENSIONS).
+LEAST_SCORE = 0.03
 #: Trigram vectors that a task keeps at hand.
 KEPT = 1 << 15
 _BLANK = 32
@@ -163,20 +165,23 @@ def prototypes(labelled: DataFrame, most: int = TRAIN_DOCS, dimensions: int = DI
     return {lang: v / np.sqrt(v @ v) for lang, v in sorted(bundles.items()) if v @ v > 0}
 
 
-def predicted(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
-    """The rows with lang_pred and score added (columns of these names are replaced)."""
-    names = np.array([*learned, UNKNOWN])
-    matrix = np.array(list(learned.values()))
+def _judge(learned: dict[str, np.ndarray]) -> Callable[[str | None], tuple[str, float]]:
+    names, matrix = list(learned), np.array(list(learned.values()))
 
     def best(text: str | None) -> tuple[str, float]:
         profile = _encoder(matrix.shape[1]).profile(text) if learned else None
-        if profile is None or not any(map(str.isalpha, text)):
+        if profile is None:
             return UNKNOWN, 0.0
         cosines = matrix @ profile
         n = int(np.argmax(cosines))
-        return str(names[n]), float(min(1.0, max(0.0, cosines[n])))
+        return names[n], float(min(1.0, max(0.0, cosines[n])))
+
+    return best
 
-    rest = docs.drop("lang_pred", "score")
+
+def predicted(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
+    """The rows with lang_pred and score added (columns of these names are replaced)."""
+    best, rest = _judge(learned), docs.drop("lang_pred", "score")
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,6 +195,18 @@ def predicted(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
     return rest.mapInArrow(each, schema)
 
 
+def recognised(docs: DataFrame, learned: dict[str, np.ndarray], least: float = LEAST_SCORE) -> DataFrame:
+    """The rows whose text is in a learned language, with at least that score; all columns kept."""
+    best = _judge(learned)
+
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = (best(text.as_py()) for text in batch.column("text"))
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(each, docs.schema)
+
+
 def learned_languages(docs: DataFrame) -> dict[str, np.ndarray]:
     """Prototypes from the documents that are not held out."""
     return prototypes(docs.filter(~held_out(F.col("doc_id"))))

@@ -306,6 +306,24 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     ).otherwise(text)
 
 
+def without_secrets(docs: DataFrame, levels: dict[str, int], mark: str = "[SECRET]") -> DataFrame:
+    """The rows with marks in place of secrets, and n_chars, if there is one, of the new text; all columns kept."""
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), "text")
+    text = redacted(F.col("text"), F.col("secrets.spans"), mark)
+    made = scan(packed, levels).select("document", text.alias("text"))
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return made.select(
+        *[
+            F.when(F.col("document.text").isNull() | (F.col("text") == F.col("document.text")), F.col(f"document.{c}"))
+            .otherwise(changed[c])
+            .alias(c)
+            if c in changed
+            else F.col(f"document.{c}")
+            for c in docs.columns
+        ]
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document, as counts, digest and spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

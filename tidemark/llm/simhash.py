@@ -159,9 +159,10 @@ def links(prints: DataFrame, bits: int = BITS, crowd: int = CROWD) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, bits: int = BITS, crowd: int = CROWD, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, print, component_id, and the columns named in `carry`, for each row.
+    """doc_id, print, root, component_id, and the columns named in `carry`, for each row.
 
-    component_id is the least doc_id of all rows that links reach.
+    root is a fingerprint of the component; component_id is the least doc_id of
+    all rows that links reach.
     """
     rows = stored(fingerprints(docs, words, carry))
     prints = stored(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
@@ -170,11 +171,26 @@ def near_duplicates(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(rooted.join(named, "root").select("print", "component_id"), "print").select(
-        "doc_id", "print", "component_id", *carry
+    return rows.join(rooted.join(named, "root").select("print", "root", "component_id"), "print").select(
+        "doc_id", "print", "root", "component_id", *carry
     )
 
 
+def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """One row of each component, all columns kept: the row with the least id.
+
+    Rows with the same id are told apart by their text; a row without an id
+    stays only if none of its component has one.
+    """
+    text_hash = F.xxhash64("text").alias("text_hash")
+    found = near_duplicates(docs.select("doc_id", "text", text_hash), words, bits, carry=("text_hash",))
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
+    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.doc_id", "kept.text_hash")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), "doc_id", text_hash)
+    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["text_hash"] == kept["text_hash"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("document.*")
+
+
 def spelled(fingerprint_: Column) -> Column:
     """16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(fingerprint_), 16, "0"))
