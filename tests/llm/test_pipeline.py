@@ -1,0 +1,101 @@
+"""The pipeline, each stage on its own input, against plain Python."""
+
+from collections import Counter
+
+import pytest
+from plain import base_spans, components, fingerprint, normal, word_count
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm.common import stored, table
+from tidemark.llm.langid import UNKNOWN, learned_languages, predicted
+from tidemark.llm.mixing import mix
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output of each stage."""
+    docs = table(spark, SF_DIR, "documents")
+    odd = spark.createDataFrame([(900_001, None, None, "src1", None), (900_002, "123 456", "en", None, 7)], docs.schema)
+    now, out = stored(docs.unionByName(odd).unionByName(docs.limit(3))), {}
+    for name, stage in corpus_pipeline.STAGES:
+        then = stored(stage(spark, now, SF_DIR))
+        out[name] = (now, then)
+        now = then
+    return out
+
+
+def rows(df):
+    return [tuple(r[c] for c in COLUMNS) for r in df.collect()]
+
+
+def test_order_and_columns(stages):
+    names = list(stages)
+    assert names == [name for name, _ in corpus_pipeline.STAGES] and len(names) == 5
+    assert all(after.columns == COLUMNS for _, after in list(stages.values())[:-1])
+
+
+def test_language(stages):
+    before, after = stages["language ID"]
+    found = predicted(before, learned_languages(before)).collect()
+    unknown = {r.doc_id for r in found if r.lang_pred == UNKNOWN}
+    assert {900_001, 900_002} <= unknown
+    assert Counter(rows(after)) == Counter(r for r in rows(before) if r[0] not in unknown)
+
+
+def test_near_dedup(stages):
+    before, after = stages["SimHash near-dedup"]
+    prints = {r[0]: fingerprint(r[1]) for r in rows(before)}
+    least = set(components(prints).values())
+    assert Counter(rows(after)) == Counter({r for r in rows(before) if r[0] in least})
+
+
+def test_decontamination(spark, stages):
+    before, after = stages["benchmark decontamination"]
+    items = [normal(r.text) for r in table(spark, SF_DIR, "benchmark").collect()]
+    assert Counter(rows(after)) == Counter(r for r in rows(before) if not any(i in normal(r[1]) for i in items))
+
+
+def test_secrets(stages):
+    before, after = stages["secret scans"]
+    got = {r[0]: r for r in rows(after)}
+    assert len(got) == before.count()
+    for r in rows(before):
+        if base_spans(r[1]):
+            text = got[r[0]][1]
+            assert "[SECRET]" in text and not base_spans(text) and got[r[0]][4] == len(text)
+        else:
+            assert got[r[0]] == r
+
+
+def test_mix(stages):
+    before, after = stages["mixing sources to target weights"]
+    copies = Counter({r.doc_id: r.copies for r in mix(before).collect() if r.copies})
+    assert Counter(r.doc_id for r in after.collect()) == copies
+    sizes, taken = Counter(), Counter()
+    for r in rows(before):
+        sizes[r[3]] += word_count(r[1])
+    for r in rows(after):
+        taken[r[3]] += word_count(r[1])
+    assert all(taken[s] <= 3 * sizes[s] for s in taken)
+
+
+def test_run(spark, stages):
+    got = corpus_pipeline.run(spark, SF_DIR)
+    assert got.columns == [*COLUMNS, "copy"]
+    assert got.count() > 0
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
+
+
+def test_extra_columns_pass(spark):
+    docs = table(spark, SF_DIR, "documents").limit(30)
+    names = ["lang_pred", "score", "print", "text_hash", "secrets_base", "secrets_spans", "document", "size", "key", "nth"]
+    now = docs.withColumns({c: F.lit(c) for c in names})
+    for _, stage in corpus_pipeline.STAGES:
+        then = stored(stage(spark, now, SF_DIR))
+        assert then.columns[: len(now.columns)] == now.columns
+        assert all(then.filter(F.col(c) != c).count() == 0 for c in names)
+        now = then

@@ -1,0 +1,74 @@
+"""Near-duplicates by SimHash against all pairs."""
+
+import random
+
+import pytest
+from plain import components, fingerprint as plain_fingerprint
+
+from tidemark.llm import components as graph
+from tidemark.llm.queries import QUERIES
+from tidemark.llm.simhash import deduplicated, fingerprint, links, near_duplicates
+
+SF_DIR = "/root/testdata/sf0.001"
+unsigned = (1 << 64) - 1
+
+
+@pytest.mark.parametrize(
+    "text", [None, "", " \t\n", "one", "One two  THREE", "a b c d", "Ä É a b c d e f g", "x " * 70_000 + "y z"]
+)
+def test_fingerprint(text):
+    assert fingerprint(text) & unsigned == plain_fingerprint(text)
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    prints = {i: plain_fingerprint(t) for i, t in texts.items()}
+    wanted = {i: (f"{prints[i]:016x}", c) for i, c in components(prints).items()}
+    got = QUERIES["op3_simhash"](spark, SF_DIR).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == wanted and len(got) == len(wanted)
+
+
+def connected(prints, bits):
+    return components(dict(enumerate(prints)), bits)
+
+
+@pytest.mark.parametrize("bits, crowd", [(4, 2000), (4, 3), (3, 3), (3, 2000), (1, 2)])
+def test_links_connect_what_all_pairs_connect(spark, bits, crowd):
+    rng = random.Random(bits * 31 + crowd)
+    prints = {0, unsigned, 1 << 63}
+    for _ in range(12):  # clouds of fingerprints around a centre, and chains
+        centre = rng.getrandbits(64)
+        for _ in range(40):
+            prints.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))))
+    prints = sorted(prints)
+    signed = [p - (p >> 63 << 64) for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "print long")
+    number = {p: n for n, p in enumerate(signed)}
+    roots = {r.node: r.root for r in graph.components(links(df, bits, crowd)).collect()}
+    got = {}
+    for p in signed:
+        got.setdefault(roots.get(p, p), set()).add(number[p])
+    wanted = {}
+    for n, c in connected(prints, bits).items():
+        wanted.setdefault(c, set()).add(n)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_components_of_long_paths_and_stars(spark):
+    path = [(i, i + 1) for i in range(0, 300)]
+    star = [(1000, 1000 + i) for i in range(1, 200)]
+    df = spark.createDataFrame(path + star + [(5, 5), (1, 0), (2000, 2001)], "a long, b long")
+    got = {r.node: r.root for r in graph.components(df).collect()}
+    assert got == {**{i: 0 for i in range(301)}, **{1000 + i: 1000 for i in range(200)}, 2000: 2000, 2001: 2000}
+    assert graph.components(df.limit(0)).count() == 0
+
+
+def test_defined_results(spark):
+    rows = [(5, None), (3, ""), (None, " "), (7, "a b c d e"), (7, "a b c d e"), (2, "a b c d e"), (None, "only q w e r t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS print", "2 AS text_hash", "3 AS root")
+    got = sorted(((r.doc_id, r.component_id) for r in near_duplicates(df).collect()), key=str)
+    assert got == sorted([(5, 3), (3, 3), (None, 3), (7, 2), (7, 2), (2, 2), (None, None)], key=str)
+    kept = deduplicated(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id) == [(2, "a b c d e"), (3, "")]
+    assert kept.count() == 3
