@@ -32,6 +32,8 @@ table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -103,47 +105,68 @@ def _matches(text: Column, pattern: str, group: int, least: int, kind: int) -> C
 
 def _cdf(z: Column) -> Column:
     """Standard normal distribution function, to about 1e-7 (a fixed rational approximation)."""
-    t = 1 / (1 + 0.2316419 * F.abs(z))
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-z * z / 2) * 0.3989422804014327 * poly
-    return F.when(z >= 0, 1 - tail).otherwise(tail)
+
+    def tail(t: Column) -> Column:
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        return F.exp(-z * z / 2) * 0.3989422804014327 * poly
+
+    return _let(_let(1 / (1 + 0.2316419 * F.abs(z)), tail), lambda p: F.when(z >= 0, 1 - p).otherwise(p))
 
 
-def _uniform_p(n: Column, statistic: Column) -> Column:
-    """Chance that a string with an effect of EFFECT is as even as this one.
+def _uniform_z(n: Column, statistic: Column) -> Column:
+    """Normal score of how even a string is, if it has an effect of EFFECT.
 
     The lower tail of the non-central chi-squared law, by its power that is
     nearly normal.
     """
-    k, shift = F.lit(float(BINS - 1)), n * EFFECT
-    mean, spread = k + shift, k + 2 * shift
-    h = 1 - 2 * mean * (k + 3 * shift) / (3 * spread * spread)
-    p = spread / (mean * mean)
-    m = (h - 1) * (1 - 3 * h)
-    centre = 1 + h * p * (h - 1 - 0.5 * (2 - h) * m * p)
-    return _cdf((F.pow(statistic / mean, h) - centre) / (h * F.sqrt(2 * p) * (1 + 0.5 * m * p)))
+    k = F.lit(float(BINS - 1))
+
+    def powered(x: Column) -> Column:
+        m = (x["h"] - 1) * (1 - 3 * x["h"])
+        centre = 1 + x["h"] * x["p"] * (x["h"] - 1 - 0.5 * (2 - x["h"]) * m * x["p"])
+        width = x["h"] * F.sqrt(2 * x["p"]) * (1 + 0.5 * m * x["p"])
+        return (F.pow(x["scaled"], x["h"]) - centre) / width
+
+    def shaped(shift: Column) -> Column:
+        mean, spread = k + shift, k + 2 * shift
+        return F.struct(
+            (1 - 2 * mean * (k + 3 * shift) / (3 * spread * spread)).alias("h"),
+            (spread / (mean * mean)).alias("p"),
+            (statistic / mean).alias("scaled"),
+        )
+
+    return _let(_let(n * EFFECT, shaped), powered)
 
 
 def _shifted_p(n: Column, z: Column) -> Column:
     """Chance that a statistic shifted by EFFECT standard steps lies as near to 0 as z."""
-    shift = EFFECT * F.sqrt(n)
-    return _cdf(F.abs(z) - shift) - _cdf(-F.abs(z) - shift)
+    return _let(
+        F.struct(F.abs(z).alias("z"), (EFFECT * F.sqrt(n)).alias("shift")),
+        lambda x: _let(x["z"] - x["shift"], _cdf) - _let(-x["z"] - x["shift"], _cdf),
+    )
 
 
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def _chi_squared(places: Column, n: Column, size: Column) -> Column:
     """Over BINS equal ranges; a range expects its part of the alphabet."""
-    bins = F.transform(places, lambda v: F.floor(v * BINS / size))
 
-    def term(b: Column) -> Column:
-        seen = F.size(F.filter(bins, lambda x: x == b))
-        expected = n * (F.ceil((b + 1) * size / BINS) - F.ceil(b * size / BINS)) / size
-        return (seen - expected) * (seen - expected) / expected
+    def total(bins: Column) -> Column:
+        def term(b: Column) -> Column:
+            seen = F.size(F.filter(bins, lambda x: x == b))
+            expected = n * (F.ceil((b + 1) * size / BINS) - F.ceil(b * size / BINS)) / size
+            return (seen - expected) * (seen - expected) / expected
+
+        return _total(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), term))
 
-    return _total(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), term))
+    return _let(F.transform(places, lambda v: F.floor(v * BINS / size)), total)
 
 
 def _pairs(places: Column) -> Column:
@@ -154,19 +177,24 @@ def _pairs(places: Column) -> Column:
 def _runs_z(places: Column, n: Column, size: Column) -> Column:
     """Runs above and below the middle; all on one side counts as far off."""
     middle = size / 2
+
+    def z(x: Column) -> Column:
+        mean = 2 * x["above"] * (n - x["above"]) / n + 1
+        variance = (mean - 1) * (mean - 2) / (n - 1)
+        return F.when(variance > 0, (x["runs"] - mean) / F.sqrt(variance)).otherwise(F.sqrt(n))
+
     above = F.size(F.filter(places, lambda v: v >= middle)).cast("double")
-    below = n - above
     runs = 1 + F.size(F.filter(_pairs(places), lambda x: (x["a"] >= middle) != (x["b"] >= middle)))
-    mean = 2 * above * below / n + 1
-    variance = (mean - 1) * (mean - 2) / (n - 1)
-    return F.when(variance > 0, (runs - mean) / F.sqrt(variance)).otherwise(F.sqrt(n))
+    return _let(F.struct(above.alias("above"), runs.alias("runs")), z)
 
 
 def _serial_z(places: Column, n: Column) -> Column:
-    mean = _total(places) / n
-    spread = _total(F.transform(places, lambda v: (v - mean) * (v - mean)))
-    shared = _total(F.transform(_pairs(places), lambda x: (x["a"] - mean) * (x["b"] - mean)))
-    return F.when(spread > 0, shared / spread * F.sqrt(n)).otherwise(F.sqrt(n))
+    def z(centred: Column) -> Column:
+        spread = _total(F.transform(centred, lambda v: v * v))
+        shared = _total(F.transform(_pairs(centred), lambda x: x["a"] * x["b"]))
+        return F.when(spread > 0, shared / spread * F.sqrt(n)).otherwise(F.sqrt(n))
+
+    return _let(_total(places) / n, lambda mean: _let(F.transform(places, lambda v: v - mean), z))
 
 
 def _pick(encoding: Column, of: dict) -> Column:
@@ -186,15 +214,35 @@ def encoding_of(string: Column) -> Column:
 
 def battery(string: Column, encoding: Column) -> Column:
     """The largest p-value of the three tests, for a string of 2 or more characters."""
-    alphabet = _pick(encoding, {name: letters for name, _, letters in ENCODINGS})
-    size = F.length(alphabet).cast("double")
-    chars = F.filter(F.split(string, ""), lambda c: c != "")
-    places = F.transform(chars, lambda c: (F.call_function("instr", alphabet, c) - 1).cast("double"))
-    n = F.length(string).cast("double")
-    return F.greatest(
-        _uniform_p(n, _chi_squared(places, n, size)),
-        _shifted_p(n, _runs_z(places, n, size)),
-        _shifted_p(n, _serial_z(places, n)),
+    letters = _pick(encoding, {name: letters for name, _, letters in ENCODINGS})
+
+    def places_in(alphabet: Column) -> Column:
+        chars = F.filter(F.split(string, ""), lambda c: c != "")
+        return F.transform(chars, lambda c: (F.call_function("instr", alphabet, c) - 1).cast("double"))
+
+    def statistics(x: Column) -> Column:
+        return F.struct(
+            x["n"].alias("n"),
+            _chi_squared(x["places"], x["n"], x["size"]).alias("uneven"),
+            _runs_z(x["places"], x["n"], x["size"]).alias("runs"),
+            _serial_z(x["places"], x["n"]).alias("serial"),
+        )
+
+    drawn = _let(
+        letters,
+        lambda alphabet: F.struct(
+            F.length(string).cast("double").alias("n"),
+            F.length(alphabet).cast("double").alias("size"),
+            places_in(alphabet).alias("places"),
+        ),
+    )
+    return _let(
+        _let(drawn, statistics),
+        lambda x: F.greatest(
+            _let(_uniform_z(x["n"], x["uneven"]), _cdf),
+            _shifted_p(x["n"], x["runs"]),
+            _shifted_p(x["n"], x["serial"]),
+        ),
     )
 
 
@@ -213,8 +261,8 @@ def candidates(text: Column) -> Column:
     )
 
     def judged(m: Column) -> Column:
-        p = battery(m["string"], m["encoding"])
-        level = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) * GRID), F.lit(GRID * GRID_POWERS))
+        p = F.greatest(battery(m["string"], m["encoding"]), F.lit(1e-30))
+        level = F.least(F.floor(-F.log10(p) * GRID), F.lit(GRID * GRID_POWERS))
         return F.struct(
             m["start"].alias("start"),
             m["end"].alias("end"),
@@ -259,15 +307,14 @@ def base_spans(text: Column) -> Column:
 
 
 def scan(docs: DataFrame, levels: dict[str, int]) -> DataFrame:
-    """The rows with `secrets`: a struct of base and all spans (start, kind, end).
+    """The rows with `secrets_base` and `secrets_spans`: the patterns' and all spans (start, kind, end).
 
-    A column of that name is replaced.
+    Columns of these names are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = docs.withColumn("secrets", F.struct(base_spans(text).alias("base"), candidates(text).alias("strings")))
-    base = F.col("secrets.base")
+    base, strings = F.col("secrets_base"), F.col("secrets_spans")
     random = F.filter(
-        F.col("secrets.strings"),
+        strings,
         lambda c: (c["level"] >= F.coalesce(_pick(c["stratum"], levels).cast("int"), F.lit(GRID * GRID_POWERS + 1)))
         & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
     )
@@ -275,8 +322,8 @@ def scan(docs: DataFrame, levels: dict[str, int]) -> DataFrame:
         random,
         lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS) - 1).alias("kind"), c["end"].alias("end")),
     )
-    every = F.array_sort(F.concat(base, added))
-    return found.withColumn("secrets", F.struct(base.alias("base"), every.alias("spans")))
+    found = docs.withColumns({"secrets_base": base_spans(text), "secrets_spans": candidates(text)})
+    return found.withColumn("secrets_spans", F.array_sort(F.concat(base, added)))
 
 
 def spelled(spans: Column) -> Column:
@@ -309,7 +356,7 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 def without_secrets(docs: DataFrame, levels: dict[str, int], mark: str = "[SECRET]") -> DataFrame:
     """The rows with marks in place of secrets, and n_chars, if there is one, of the new text; all columns kept."""
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), "text")
-    text = redacted(F.col("text"), F.col("secrets.spans"), mark)
+    text = redacted(F.col("text"), F.col("secrets_spans"), mark)
     made = scan(packed, levels).select("document", text.alias("text"))
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return made.select(
@@ -328,7 +375,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document, as counts, digest and spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan(docs, discovery_levels(docs))
-    base = F.col("secrets.base")
+    base = F.col("secrets_base")
 
     def of_kind(kind: int) -> Column:
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
@@ -337,5 +384,5 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *[of_kind(k).alias(f"n_{kind}") for k, (kind, *_) in enumerate(PATTERNS)],
         F.sha2(spelled(base), 256).alias("base_sha256"),
-        spelled(F.col("secrets.spans")).alias("spans"),
+        spelled(F.col("secrets_spans")).alias("spans"),
     )
