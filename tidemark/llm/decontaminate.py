@@ -282,17 +282,15 @@ def decontaminated(
     """The rows that leak no item, all columns kept."""
 
     def clean(index: Index) -> Callable:
-        def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = [
-                    next(index.leaks(text.as_py(), least_overlap), None) is None for text in batch.column("text")
-                ]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+        @F.arrow_udf("boolean")
+        def leaks_nothing(texts: pa.Array) -> pa.Array:
+            found = (next(index.leaks(text.as_py(), least_overlap), None) for text in texts)
+            return pa.array([leak is None for leak in found], pa.bool_())
 
-        return each
+        return leaks_nothing
 
     for index in indexes(benchmark, threshold, block):
-        docs = docs.mapInArrow(clean(index), docs.schema)
+        docs = docs.filter(clean(index)("text"))
     return docs
 
 

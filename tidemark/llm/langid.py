@@ -122,11 +122,6 @@ class Encoder:
         return self.vectors[rows]
 
 
-@cache
-def _encoder(dimensions: int) -> Encoder:
-    return Encoder(dimensions)
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -147,7 +142,7 @@ def prototypes(labelled: DataFrame, most: int = TRAIN_DOCS, dimensions: int = DI
 
     def bundled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        encoder = _encoder(dimensions)
+        encoder = Encoder(dimensions)
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
                 profile = encoder.profile(text.as_py())
@@ -166,10 +161,12 @@ def prototypes(labelled: DataFrame, most: int = TRAIN_DOCS, dimensions: int = DI
 
 
 def _judge(learned: dict[str, np.ndarray]) -> Callable[[str | None], tuple[str, float]]:
+    """A function from text to language and score. Its vectors go when it does."""
     names, matrix = list(learned), np.array(list(learned.values()))
+    encoder = Encoder(matrix.shape[1]) if learned else None
 
     def best(text: str | None) -> tuple[str, float]:
-        profile = _encoder(matrix.shape[1]).profile(text) if learned else None
+        profile = encoder.profile(text) if encoder else None
         if profile is None:
             return UNKNOWN, 0.0
         cosines = matrix @ profile
@@ -181,9 +178,10 @@ def _judge(learned: dict[str, np.ndarray]) -> Callable[[str | None], tuple[str,
 
 def predicted(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
     """The rows with lang_pred and score added (columns of these names are replaced)."""
-    best, rest = _judge(learned), docs.drop("lang_pred", "score")
+    rest = docs.drop("lang_pred", "score")
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _judge(learned)
         for batch in batches:
             found = [best(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
@@ -197,14 +195,15 @@ def predicted(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
 
 def recognised(docs: DataFrame, learned: dict[str, np.ndarray], least: float = LEAST_SCORE) -> DataFrame:
     """The rows whose text is in a learned language, with at least that score; all columns kept."""
-    best = _judge(learned)
 
-    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = (best(text.as_py()) for text in batch.column("text"))
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+    @F.arrow_udf("boolean")
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        best = _judge(learned)
+        for batch in texts:
+            found = (best(text.as_py()) for text in batch)
+            yield pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_())
 
-    return docs.mapInArrow(each, docs.schema)
+    return docs.filter(known("text"))
 
 
 def learned_languages(docs: DataFrame) -> dict[str, np.ndarray]:
