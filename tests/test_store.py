@@ -113,9 +113,9 @@ def test_a_broken_write_does_not_count(spark, spec):
     store = new_store(spark, spec, [(1, "a")])
     other = new_store(spark, spec)
     apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="half")]), other, "b0")
-    half = spark.read.parquet(f"{other.path}/changes/batch=0000000001-b0")
+    half = spark.read.parquet(f"{other.path}/changes/after=None/batch=0000000001-b0")
     unmarked = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    half.write.option(unmarked, "false").parquet(f"{store.path}/changes/batch=0000000002-b1")
+    half.write.option(unmarked, "false").parquet(f"{store.path}/changes/after=0000000001/batch=0000000002-b1")
     half.write.option(unmarked, "false").parquet(f"{store.path}/snapshots/0000000009")
     assert store.version == 1 and rows_of(store.read()) == [(1, "a")]
     apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="whole")]), store, "b1")
@@ -155,14 +155,14 @@ def test_conditions_on_the_key_reach_the_rows(spark, spec):
     assert len(scans) >= 2 and all("EqualTo(ID,1)" in n for n in scans)
 
 
-def above_the_rows(table):
+def above_the_rows(table, others="_gone:"):
     """For each scan of snapshot rows, the nearest shuffle or join above it."""
     table.collect()
     plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     lines = [(len(n) - len(n.lstrip(" :+-*")), n.strip()) for n in plan.splitlines()]
     found = []
     for at, (depth, line) in enumerate(lines):
-        if "FileScan" not in line or "_gone:" in line:
+        if "FileScan" not in line or others in line:
             continue
         for above, node in reversed(lines[:at]):
             if above < depth:
@@ -239,6 +239,128 @@ def test_any_split_order_and_replay(spark, spec, todo, rows, cuts, compacted, bu
     assert rows_of(store.read()) == run(records, COLUMNS, ["ID"], dicts)
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    todo=st.lists(steps, min_size=1, max_size=16),
+    places=st.lists(st.integers(0, 3), min_size=16, max_size=16),
+    cuts=st.lists(st.integers(0, 3), min_size=16, max_size=16),
+    compacted=st.lists(st.booleans(), min_size=8, max_size=8),
+    unique=st.booleans(),
+    seed=st.randoms(use_true_random=False),
+)
+def test_a_declared_order_holds_across_partitions(spark, todo, places, cuts, compacted, unique, seed):
+    """Offsets mean nothing there: each partition counts on its own."""
+    spec = TableSpec("timed", "ID BIGINT, Name STRING", ("ID",), order_by="timestamp", unique=unique)
+    records = [as_record(n, step) for n, step in enumerate(todo)]
+    moved = [(r[0], place, 1000 - n, *r[3:], n) for n, (r, place) in enumerate(zip(records, places))]
+    batches = [[r for r, cut in zip(moved, cuts) if cut == n] for n in range(4)]
+    batches = [b for b in batches if b]
+    seed.shuffle(batches)
+    store = new_store(spark, spec)
+    for n, batch in enumerate(batches + batches[:2]):
+        feed = spark.createDataFrame(batch, "topic STRING, partition INT, offset BIGINT, key STRING, value STRING, timestamp BIGINT")
+        apply_batch(feed, store, f"b{n}")
+        if compacted[n]:
+            store.compact()
+    assert rows_of(store.read()) == run(records, COLUMNS, ["ID"])
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_key_without_declared_order_stays_in_its_partition(spark, spec, compacted):
+    """No offset is compared with one of another partition, and what is not
+    applied is told, whatever the order of the batches."""
+    first = [upsert(1_000_000, ID=1, Name="old"), upsert(5, ID=2, Name="x")]
+    then = [(t, 7, *rest) for t, _, *rest in [upsert(12, "u", ID=1, Name="new"), delete(3, ID=3)]]
+    for batches in ([first, then], [then, first], [first + then]):
+        store = new_store(spark, spec, [(1, "seed"), (3, "seed")])
+        for n, batch in enumerate(batches):
+            apply_batch(feed_of(spark, batch), store, str(n))
+            if compacted:
+                store.compact()
+        assert rows_of(store.read()) == [(1, "new"), (2, "x")]
+        told = store.rejects().select("partition", "offset", "action", "raw_key").collect()
+        assert [tuple(r) for r in told] == [(0, 1_000_000, "moved_key", '{"ID":1}')]
+
+
+def test_compaction_never_changes_the_table(spark, spec):
+    """A late delete of a repeated key, with and without a compaction between."""
+    for compacted in (False, True):
+        store = new_store(spark, spec, [(1, "a"), (1, "b"), (2, "a"), (2, "b")])
+        apply_batch(feed_of(spark, [upsert(9, ID=1, Name="c"), upsert(8, ID=2, Name="d")]), store, "0")
+        if compacted:
+            store.compact()
+        apply_batch(feed_of(spark, [delete(3, ID=1)]), store, "1")
+        assert rows_of(store.read()) == [(1, "c"), (2, "d"), (2, "d")]
+        store.compact()
+        assert rows_of(store.read()) == [(1, "c"), (2, "d"), (2, "d")]
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_overwriting_takes_the_place_of_records_seen(spark, spec, buckets):
+    store = new_store(spark, spec, buckets=buckets)
+    feed = [upsert(1, ID=1, Name="a"), delete(2, ID=1), upsert(3, ID=2, Name="b"), upsert(4, "r", ID=9, Name="r")]
+    apply_batch(feed_of(spark, feed), store, "0")
+    store.overwrite(store.read())
+    for n in range(2):
+        apply_batch(feed_of(spark, feed + [upsert(0, ID=2, Name="older")]), store, f"again{n}")
+        assert rows_of(store.read()) == [(2, "b")]
+        store.compact()
+        assert rows_of(store.read()) == [(2, "b")]
+    store.overwrite(spark.createDataFrame([(5, "new")], spec.schema))
+    apply_batch(feed_of(spark, feed + [upsert(7, ID=2, Name="later")]), store, "more")
+    assert rows_of(store.read()) == [(2, "later"), (5, "new")]
+
+
+@pytest.mark.parametrize("unique", [False, True])
+@pytest.mark.parametrize("nullable", [False, True])
+def test_update_and_delete_where_keep_positions(spark, unique, nullable):
+    kind = "BIGINT" if nullable else "BIGINT NOT NULL"
+    spec = TableSpec("t", f"ID {kind}, Name STRING", ("ID",), unique=unique)
+    store = new_store(spark, spec, [(1, "seed"), (7, "seed")])
+    feed = [upsert(n, ID=n, Name=f"n{n}") for n in range(2, 6)] + [delete(6, ID=3)]
+    apply_batch(feed_of(spark, feed), store, "0")
+    with pytest.raises(ValueError):
+        store.update_where({"Name": "n2"}, {"id": 99})
+    store.update_where({"ID": 2}, {"Name": "changed"})
+    store.delete_where({"Name": "n4"})
+    store.delete_where({"ID": 7})
+    store.delete_where({"ID": 3})  # gone already
+    expected = [(1, "seed"), (2, "changed"), (5, "n5")]
+    assert rows_of(store.read()) == expected
+    apply_batch(feed_of(spark, feed), store, "replay")
+    assert rows_of(store.read()) == expected
+    store.compact()
+    apply_batch(feed_of(spark, [upsert(10, ID=4, Name="back"), upsert(11, ID=2, Name="later")]), store, "1")
+    assert rows_of(store.read()) == [(1, "seed"), (2, "later"), (4, "back"), (5, "n5")]
+
+
+def test_deleted_rows_with_null_keys_stay_deleted(spark, spec):
+    store = new_store(spark, spec)
+    feed = [upsert(0, key={"ID": 1}, ID=None, Name="a"), upsert(1, key={"ID": 1}, ID=None, Name="b")]
+    apply_batch(feed_of(spark, feed), store, "0")
+    store.delete_where({"Name": "a"})
+    for n in range(2):
+        apply_batch(feed_of(spark, feed), store, f"again{n}")
+        assert rows_of(store.read()) == [(None, "b")]
+        store.compact()
+
+
+def test_unique_keys_take_one_scan_and_no_shuffle_of_buckets(spark, no_broadcast):
+    strict = TableSpec("u", "ID BIGINT NOT NULL, Name STRING", ("ID",), unique=True)
+    for buckets in (None, 16):
+        store = new_store(spark, strict, [(n, f"name {n}") for n in range(100)], buckets)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        apply_batch(feed_of(spark, [upsert(0, "u", ID=1, Name="x"), upsert(1, ID=500, Name="y"), delete(2, ID=3)]), store, "b")
+        table = store.read()
+        assert table.count() == 100
+        table.collect()
+        plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        snapshot = [n for n in plan.splitlines() if "FileScan" in n and "snapshots" in n]
+        assert len(snapshot) == 1 and plan.count("Join") == 1
+        if buckets:
+            assert "Join" in above_the_rows(table, "changes")[0]
+
+
 def test_append_and_scan_by_path(spark, spec):
     path = f"{work_dir(spark)}/log"
     decoded = decode(feed_of(spark, [upsert(0, ID=1, Name="a"), delete(1, ID=1)]), spec)

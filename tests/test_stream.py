@@ -3,12 +3,13 @@
 import logging
 
 import pytest
+from pyspark.sql import functions as F
 
 from model import delete, feed_of, record, rows_of, run, upsert
 from tidemark.sources.feed import file_feed
 from tidemark.sources.store import TableStore
 from tidemark.sources.workdir import work_dir
-from tidemark.streaming.apply import apply_stream
+from tidemark.streaming.apply import apply_batch, apply_stream, unrouted_records
 from tidemark.table import TableSpec
 
 COLUMNS = ["ID", "Name"]
@@ -96,7 +97,7 @@ def test_a_batch_is_not_applied_again_after_its_commit(spark, spec, monkeypatch)
     store = TableStore(spark, root, spec)
     compact = TableStore.compact_if_due
 
-    def broken(self, ratio):
+    def broken(self, *args):
         raise OSError("the driver was lost")
 
     monkeypatch.setattr(TableStore, "compact_if_due", broken)
@@ -140,3 +141,74 @@ def test_audit_is_logged_and_the_table_shown_on_request(spark, spec, caplog, cap
         start(spark, f"{root}/feed", store, f"{root}/checkpoint", show=True)
     assert "'create': 4" in caplog.text and "'invalid_op': 1" in caplog.text
     assert "|  1|   d|" in capfd.readouterr().out
+
+
+def test_routes_mean_the_same_for_one_table(spark, spec):
+    root = work_dir(spark)
+    records = [(topic, *upsert(n, ID=n, Name="x")[1:]) for n, topic in enumerate(["srv.A", "srv.B", "srv.C"])]
+    write_files(spark, f"{root}/feed", [records])
+    store = TableStore(spark, root, TableSpec("srv_a", spec.schema, spec.keys))
+    options = dict(routes={"srv.B": "other", "srv.C": "srv_a"})
+    with pytest.raises(ValueError):
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint", **options)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint", unrouted=f"{root}/unrouted", **options)
+    assert rows_of(store.read().select("ID")) == [(0,), (2,)]
+    assert rows_of(unrouted_records(spark, f"{root}/unrouted").select("topic")) == [("srv.B",)]
+
+
+def test_replayed_rejects_and_unrouted_records_are_there_once(spark, spec):
+    root = work_dir(spark)
+    lost = ("srv.Z", *upsert(0, ID=1, Name="x")[1:])
+    write_files(spark, f"{root}/feed", [[("t", *r[1:]) for r in RECORDS] + [lost]])
+    store = TableStore(spark, root, spec)
+    for n in range(3):
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint{n}", unrouted=f"{root}/unrouted")
+    assert [r["offset"] for r in store.rejects().collect()] == [5]
+    assert unrouted_records(spark, f"{root}/unrouted").count() == 1
+    assert rows_of(store.read()) == run(RECORDS, COLUMNS, ["ID"])
+
+
+def test_twenty_tables_at_once(spark, spec):
+    root = work_dir(spark)
+    names = [f"srv_t{n}" for n in range(20)]
+    records = [(f"srv.t{n % 21}", *upsert(n, ID=n, Name="x")[1:]) for n in range(84)]
+    write_files(spark, f"{root}/feed", [records[:42], records[42:]])
+    stores = [TableStore(spark, root, TableSpec(n, spec.schema, spec.keys)) for n in names]
+    start(spark, f"{root}/feed", stores, f"{root}/checkpoint", unrouted=f"{root}/unrouted", compact_ratio=None)
+    for n, store in enumerate(stores):
+        assert rows_of(store.read().select("ID")) == sorted([(k,) for k in range(n, 84, 21)], key=repr)
+    assert unrouted_records(spark, f"{root}/unrouted").count() == 4
+
+
+def test_compaction_every_third_batch(spark, spec):
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [[r] for r in RECORDS[:7]])
+    store = TableStore(spark, root, spec)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint", compact_ratio=0.0, compact_every=3)
+    assert store._names("snapshots") == ["0000000003", "0000000006"]
+    assert rows_of(store.read()) == run(RECORDS[:7], COLUMNS, ["ID"])
+
+
+def test_old_batches_are_not_listed(spark, spec, monkeypatch):
+    """A thousand batches before the snapshot cost nothing later."""
+    store = TableStore(spark, work_dir(spark), spec)
+    apply_batch(feed_of(spark, RECORDS), store, "first")
+    store.compact()
+    files, path = store._folder(f"{store.path}/changes/after=None")
+    for n in range(1000):
+        files.mkdirs(store._folder(f"{path}/batch={n + 2:010d}-old")[1])
+    listed = []
+    names = TableStore._names
+    monkeypatch.setattr(TableStore, "_names", lambda self, kind: listed.append(kind) or names(self, kind))
+    apply_batch(feed_of(spark, [upsert(9, ID=9, Name="n")]), store, "next")
+    assert store.version == 2 and store.read().count() == 3
+    assert set(listed) == {"snapshots", "changes/after=0000000001"}
+
+
+def test_markers_are_forgotten_by_a_stream(spark, spec):
+    root = work_dir(spark)
+    write_files(spark, f"{root}/feed", [RECORDS])
+    store = TableStore(spark, root, spec)
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint", compact_ratio=0.0, forget=F.col("_pos.offset") < 100)
+    state = spark.read.parquet(f"{store.path}/snapshots/0000000001")
+    assert state.where("_deleted").count() == 0 and state.count() == 2

@@ -57,8 +57,3 @@ def predicate(df: DataFrame, conditions: Conditions) -> Column:
     pairs = [(column_of(df, c), v) for c, v in condition_pairs(conditions)]
     return all_of([named(c) == typed_literal(df, c, v) for c, v in pairs])
 
-
-def condition_text(conditions: Conditions) -> str:
-    """The conditions as readable text for logs; never executed."""
-    pairs = condition_pairs(conditions)
-    return " AND ".join(f"{c} = '{v.replace(chr(39), chr(39) * 2)}'" for c, v in pairs)

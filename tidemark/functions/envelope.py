@@ -2,7 +2,7 @@
 
 Each envelope is parsed once, into text by field name. Names then decide
 whether the record fits the table, and the texts are cast to its types. Nothing
-here raises on bad input: what does not fit becomes NULL.
+here raises on bad input: what does not fit becomes NULL, and no value is changed.
 """
 
 from __future__ import annotations
@@ -77,8 +77,22 @@ class Fields:
         return self.complete() & (F.size(self.values) == len(self.columns))
 
 
-def text_to(text: Column, dtype: T.DataType) -> Column:
+def epoch_to(text: Column, dtype: T.DataType, unit: str) -> Column:
+    """A count of units since 1970 as a date or time, NULL where it is none."""
+    number = text_to(text, T.LongType())
+    if unit == "days":
+        moment = F.date_from_unix_date(number.try_cast("int"))
+    else:
+        moment = {"s": F.timestamp_seconds, "ms": F.timestamp_millis, "us": F.timestamp_micros}[unit](number)
+        if isinstance(dtype, T.TimestampNTZType):  # the clock in UTC, whatever the session's zone
+            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast(dtype))
+    return moment.cast(dtype)
+
+
+def text_to(text: Column, dtype: T.DataType, unit: str | None = None) -> Column:
     """JSON scalar text as a column type, NULL where it cannot be read as one."""
+    if unit:
+        return epoch_to(text, dtype, unit)
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
@@ -88,8 +102,10 @@ def text_to(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
         return text.cast(dtype)
     if isinstance(dtype, T.IntegralType):
-        # 3.0 and 1e3 are whole numbers too
-        return F.coalesce(text.try_cast(dtype), text.try_cast("double").try_cast(dtype))
+        # 3.0 and 1e3 are whole numbers too, and exact as decimals; 3.7 is none
+        exact = text.try_cast(T.DecimalType(38, 18))
+        whole = F.when(exact == F.floor(exact), exact.try_cast(dtype))
+        return F.coalesce(text.try_cast(dtype), whole)
     return text.try_cast(dtype)
 
 

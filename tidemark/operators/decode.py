@@ -18,18 +18,22 @@ from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
 CREATE, UPDATE, DELETE = "create", "update", "delete"
 APPLIED = (CREATE, UPDATE, DELETE)
 BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT = "bad_key", "bad_value", "invalid_op", "drift"
+#: Set aside when a table is read: a change from a partition that its key has left.
+MOVED_KEY = "moved_key"
 REASONS = (BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT)
 
 
-def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
-    """Give each record an ``action`` and, as ``row``, the typed row it carries.
+def position(spec: TableSpec) -> Column:
+    """Where a record stands in the feed, as a struct that orders changes."""
+    time = named(spec.order_by).cast("long") if spec.order_by else F.lit(0).cast("long")
+    return F.struct(time.alias("time"), "topic", "partition", "offset")
 
-    An upsert's row is its row image; a delete's row holds the key only. The
-    raw key and value stay with rejected records alone.
-    """
+
+def _judged(feed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Records with their place, raw texts, ``row`` and ``action``; not settled yet."""
     keys = Fields(F.col("_key"), list(spec.keys), "_k")
     image = Fields(F.col("_value.after"), spec.columns, "_a")
-    place = ["topic", "partition", "offset"]
+    place = _place(spec)
     parsed = feed.select(
         *place,
         "key",
@@ -42,14 +46,24 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
     )
     is_delete = F.col("value").isNull()
 
-    def cell(field) -> Column:
-        text = image.text(field.name)
+    def text(field) -> Column:
+        own = image.text(field.name)
         if field.name in spec.keys:
-            text = F.when(is_delete, keys.text(field.name)).otherwise(text)
-        return text_to(text, field.dataType).alias(field.name)
+            return F.when(is_delete, keys.text(field.name)).otherwise(own)
+        return own
+
+    def cell(field) -> Column:
+        return text_to(text(field), field.dataType, spec.epochs.get(field.name)).alias(field.name)
 
     rows = parsed.withColumn("row", F.struct(*[cell(f) for f in spec.schema.fields]))
 
+    def unreadable(of_key: bool) -> Column:
+        """Whether a text is there that is no value of its column's type."""
+        fields = [f for f in spec.schema.fields if (f.name in spec.keys) == of_key]
+        return any_of(
+            [F.lit(False)] + [text(f).isNotNull() & named(f.name, "row").isNull() for f in fields]
+        )
+
     op = F.col("_op")
     key_known = all_of([named(k, "row").isNotNull() for k in spec.keys])
     required = [named(f.name, "row").isNull() for f in spec.schema.fields if not f.nullable]
@@ -63,31 +77,56 @@ def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
         )
         .when(image.values.isNull(), BAD_VALUE)
         .when(~image.complete(), DRIFT)
+        .when(unreadable(of_key=True), BAD_KEY)
+        .when(unreadable(of_key=False), BAD_VALUE)
     )
     if required:
         action = action.when(any_of(required), BAD_VALUE)
     action = action.when(op == "u", UPDATE).otherwise(CREATE)
-    decided = rows.withColumn("action", action)
+    if spec.order_by:
+        unordered = named(spec.order_by).cast("long").isNull()
+        action = F.when(unordered & (action != BAD_KEY), BAD_VALUE).otherwise(action)
+    return rows.withColumn("action", action)
+
+
+def _place(spec: TableSpec) -> list[str]:
+    ordered = [spec.order_by] if spec.order_by else []
+    return ["topic", "partition", "offset", *[c for c in ordered if c not in ("topic", "partition", "offset")]]
+
+
+def decode(feed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Give each record an ``action`` and, as ``row``, the typed row it carries.
+
+    An upsert's row is its row image; a delete's row holds the key only. The
+    raw key and value stay with rejected records alone. A value that cannot be
+    read as its column's type makes the record a ``bad_value``, or a ``bad_key``
+    in a key column.
+    """
     rejected = ~F.col("action").isin(*APPLIED)
     return settled(
-        decided,
-        *place,
+        _judged(feed, spec),
+        *[named(c) for c in _place(spec)],
         "action",
         "row",
+        position(spec).alias(POS),
         F.when(rejected, F.col("key")).alias("raw_key"),
         F.when(rejected, F.col("value")).alias("raw_value"),
     )
 
 
+def verdicts(feed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Each record's place and ``action`` alone."""
+    return settled(_judged(feed, spec), "topic", "partition", "offset", "action")
+
+
 def all_records(decoded: DataFrame) -> DataFrame:
     """Every record as table columns plus bookkeeping, rejected ones included."""
-    position = F.struct("offset", "partition", "topic")
     is_delete = F.col("action") == DELETE
     return decoded.select(
         "row.*",
-        position.alias(POS),
+        POS,
         is_delete.alias(DELETED),
-        F.when(is_delete, position).alias(GONE),
+        F.when(is_delete, F.col(POS)).alias(GONE),
         (~F.col("action").isin(*APPLIED)).alias(REJECTED),
         F.struct("action", "raw_key", "raw_value").alias("_record"),
     )

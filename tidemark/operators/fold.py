@@ -1,8 +1,13 @@
-"""Many changes per key to the last one."""
+"""Many changes per key to the last one.
+
+Where no source order is declared, offsets are compared within a partition only:
+a key belongs to the last partition that has a change for it, by topic and
+number, and changes from others do not count. ``moved_changes`` names those.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of, named
@@ -10,66 +15,85 @@ from tidemark.operators.decode import all_records
 from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
 
 
-def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The change with the highest feed position for each key, and beside it
-    the position of the key's last delete.
+def null_key(spec: TableSpec) -> Column:
+    return any_of([F.lit(False)] + [named(k).isNull() for k in spec.keys])
 
-    ``max_by`` is combined in every map task before the shuffle, so a key
-    holding most of the feed costs its reducer one row per map task. The result
-    is partitioned by the key, which a merge can use as it is.
 
-    A key with a null in it equals nothing; see ``null_key_rows``.
+def _folded(changes: DataFrame, spec: TableSpec, *apart: Column) -> DataFrame:
+    """The last change of each group of equal keys (and equal values of ``apart``)
+    and the position of its last delete, in the columns of the changes.
+
+    ``max_by`` is combined in every map task before the shuffle, so a key
+    holding most of the feed costs its reducer one row per map task.
     """
     keys = [named(k) for k in spec.keys]
-    complete = changes.where(all_of([k.isNotNull() for k in keys]))
     rest = [c for c in changes.columns if c not in (*spec.keys, GONE)]
     parts = [F.max_by(F.struct(*[named(c) for c in rest]), F.col(POS)).alias("_last")]
     if GONE in changes.columns:
         parts.append(F.max(GONE).alias(GONE))
-    last = complete.groupBy(*keys).agg(*parts)
+    last = changes.groupBy(*keys, *apart).agg(*parts)
+
+    def value(c: str) -> Column:
+        if c != GONE:
+            return named(c, "_last")
+        if spec.order_by:
+            return F.col(GONE)
+        # a delete in another partition than the last change says nothing of it
+        here = [F.col(f"{GONE}.{p}") == F.col(f"_last.{POS}.{p}") for p in ("topic", "partition")]
+        return F.when(all_of(here), F.col(GONE))
+
     # A generator is not cut down to the columns in use, so every use of the
     # result needs the very same shuffle, and Spark runs it once for all.
-    others = [
-        named(c, "_last" if c in rest else None).alias(c)
-        for c in changes.columns
-        if c not in spec.keys
-    ]
+    others = [value(c).alias(c) for c in changes.columns if c not in spec.keys]
     listed = last.select(*keys, F.inline(F.array(F.struct(*others))))
     return listed.select(*[named(c) for c in changes.columns])
 
 
-def null_key_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The upserts that have a null in the key: each is a row of its own, and
-    one that was delivered twice is told by its position and kept once."""
-    null_key = any_of([named(k).isNull() for k in spec.keys])
-    return changes.where(null_key).dropDuplicates([*spec.keys, POS])
+def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """The last change for each key, and beside it the position of the key's
+    last delete. The result is partitioned by the key, which a merge can use.
+
+    A key with a null in it equals nothing; see ``net_changes``.
+    """
+    return _folded(changes.where(~null_key(spec)), spec)
+
+
+def net_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """The last change for each key, and each row that has a null in its key:
+    these are rows of their own, told by their position and kept once."""
+    if not spec.null_keys:
+        return last_per_key(changes, spec)
+    return _folded(changes, spec, F.when(null_key(spec), F.col(POS)).alias("_alone"))
 
 
 def rows_after(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """The table that the changes alone leave behind."""
-    columns = [named(c) for c in spec.columns]
-    rows = last_per_key(changes, spec).where(~F.col(DELETED)).select(*columns)
-    if spec.null_keys:
-        rows = rows.unionByName(null_key_rows(changes, spec).select(*columns))
-    return rows
+    return net_changes(changes, spec).where(~F.col(DELETED)).select(*[named(c) for c in spec.columns])
+
+
+def moved_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Without a source order: the last changes in partitions that their keys do
+    not belong to. They are not applied."""
+    place = [F.col(f"{POS}.topic"), F.col(f"{POS}.partition")]
+    keys = [named(k) for k in spec.keys]
+    complete = changes.where(~null_key(spec))
+    each = complete.groupBy(*keys, *place).agg(F.max(POS).alias(POS))
+    homes = each.groupBy(*keys).agg(
+        F.max(F.struct(*place)).alias("_home"), F.collect_list(POS).alias("_all")
+    )
+    listed = homes.select(*keys, "_home", F.explode("_all").alias(POS))
+    here = F.struct(F.col(f"{POS}.topic").alias("topic"), F.col(f"{POS}.partition").alias("partition"))
+    return listed.where(here != F.col("_home")).select(*keys, POS)
 
 
 def batch_outcome(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     """All that a batch amounts to, in one pass and one shuffle: the last change
-    per key, the rows with null keys, and the rejected records (``_rejected``)
-    with their reason and raw texts."""
+    per key (in each partition that has one, where no source order is declared),
+    the rows with null keys, and the rejected records (``_rejected``) with their
+    reason and raw texts."""
     records = all_records(decoded)
-    alone = F.col(REJECTED)
-    if spec.null_keys:
-        alone = alone | any_of([named(k).isNull() for k in spec.null_keys])
-    keys = [named(k) for k in spec.keys]
-    rest = [c for c in records.columns if c not in (*spec.keys, GONE)]
     # a record that stands alone is a group of its own
-    groups = records.groupBy(*keys, F.when(alone, F.col(POS)).alias("_alone"))
-    last = groups.agg(
-        F.max_by(F.struct(*[named(c) for c in rest]), F.col(POS)).alias("_last"),
-        F.max(GONE).alias(GONE),
-    )
-    return last.select(
-        *[named(c, "_last" if c in rest else None).alias(c) for c in records.columns]
-    )
+    alone = F.when(F.col(REJECTED) | null_key(spec), F.col(POS)).alias("_alone")
+    if spec.order_by:
+        return _folded(records, spec, alone)
+    return _folded(records, spec, alone, F.col(f"{POS}.topic"), F.col(f"{POS}.partition"))

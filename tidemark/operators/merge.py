@@ -23,7 +23,7 @@ from tidemark.functions.conditions import (
     typed_literal,
 )
 from tidemark.operators.decode import row_images
-from tidemark.operators.fold import last_per_key, null_key_rows
+from tidemark.operators.fold import net_changes, null_key
 from tidemark.table import DELETED, GONE, POS, TableSpec
 
 
@@ -57,25 +57,51 @@ def can_be_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
-def merge(
-    target: DataFrame, net: DataFrame, spec: TableSpec, bucketed: bool = False
-) -> DataFrame:
+def merge_unique(state: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
+    """Apply one change per key to rows with unique keys, by one join that meets
+    every row once. Delete markers are rows here, and the result has them.
+
+    The later position wins; a row without one is older than any change. Rows
+    with a null in the key meet nothing and stay.
+    """
+    markers = DELETED in state.columns
+    new = F.col(f"n.{POS}")
+    hit = new.isNotNull()
+    if POS in state.columns:
+        held = F.col(f"t.{POS}")
+        hit = hit & (held.isNull() | (new > held))
+
+    def cell(c: str) -> Column:
+        if c in spec.keys:
+            return F.coalesce(named(c, "t"), named(c, "n")).alias(c)
+        return F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c)
+
+    met = state.alias("t").join(net.alias("n"), same_key(spec.keys, "t", "n"), "full_outer")
+    columns = [cell(c) for c in state.columns]
+    if markers:
+        return met.select(*columns)
+    deleted = hit & F.col(f"n.{DELETED}")
+    return met.where(~F.coalesce(deleted, F.lit(False))).select(*columns)
+
+
+def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
     """Apply one change per key: every matching row is replaced or deleted, a
     change without a match is inserted unless it is a delete.
 
     Rows older than the key's last delete are gone even if the key came back
-    later; it comes back as one row. Where the target keeps feed positions, a
-    change or delete older than the row it meets does nothing.
-
-    A target stored in buckets of its key is joined as it lies.
+    later; it comes back as one row. So of rows that were changed since a delete
+    one is left: they were there before the change. Where the target keeps feed
+    positions, a change or delete older than the row it meets does nothing else.
     """
     target = conform(target, spec)
     new, gone, deleted = F.col(f"n.{POS}"), F.col(f"n.{GONE}"), F.col(f"n.{DELETED}")
     hit, removed = new.isNotNull(), gone.isNotNull()
+    returned = F.lit(False)
     if guarded := POS in target.columns:
         held = F.col(f"t.{POS}")
         hit = hit & (held.isNull() | (new > held))
         removed = removed & (held.isNull() | (gone > held))
+        returned = F.coalesce(gone < held, F.lit(False))
 
     def cell(c: str) -> Column:
         # equal on both sides; taken from the target, conditions reach its scan
@@ -83,14 +109,18 @@ def merge(
             return named(c, "t")
         return F.when(hit, named(c, "n")).otherwise(named(c, "t")).alias(c)
 
-    matching = same_key(spec.keys, "t", "n") if bucketed else same_key_split(spec, "t", "n")
-    met = target.alias("t").join(net.alias("n"), matching, "left")
-    kept = met.where(~removed).select(*[cell(c) for c in target.columns])
+    met = target.alias("t").join(net.alias("n"), same_key_split(spec, "t", "n"), "left")
+    cells = [cell(c) for c in target.columns]
+    kept = met.where(~removed & ~returned).select(*cells)
+    if guarded:
+        # only rows whose key has a delete among the changes that came late
+        back = met.where(~removed & returned).select(*cells)
+        kept = kept.unionByName(back.dropDuplicates(list(spec.keys)))
 
     keys = [named(k) for k in spec.keys]
     narrow = target.select(*keys, *([POS] if guarded else []))
     present_key = same_key(spec.keys, "n", "t")
-    if not bucketed and can_be_broadcast(net):
+    if can_be_broadcast(net):
         # look for the few keys first; the target's other keys stay where they are
         surviving = narrow.alias("t").join(net.alias("n"), present_key & ~removed, "left_semi")
         present = surviving.select(*keys).distinct()
@@ -107,15 +137,15 @@ def merge(
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The target after any number of changes per key.
-
-    Where the table's schema rules out null keys, the changes are read once;
-    otherwise the rows with null keys take a second pass over them.
-    """
-    merged = merge(target, last_per_key(changes, spec), spec)
+    """The target after any number of changes per key; the changes are read once."""
+    net = net_changes(changes, spec)
+    if spec.unique:
+        return merge_unique(conform(target, spec), net, spec)
     if not spec.null_keys:
-        return merged
-    added = null_key_rows(changes, spec).select(*[named(c) for c in merged.columns])
+        return merge(target, net, spec)
+    # rows with null keys come out of the same fold, and meet nothing
+    merged = merge(target, net.where(~null_key(spec)), spec)
+    added = net.where(null_key(spec)).select(*[named(c) for c in merged.columns])
     return merged.unionByName(added)
 
 
@@ -135,9 +165,11 @@ def filter_by_conditions(target: DataFrame, conditions: Conditions) -> DataFrame
     return target.where(predicate(target, conditions))
 
 
-def _updated(
+def updated(
     target: DataFrame, conditions: Conditions, updates: Mapping[str, object], where: Column | None
 ) -> DataFrame:
+    """Columns set to constants, where the condition holds or everywhere;
+    columns used in ``conditions`` are left as they are."""
     fixed = {column_of(target, c) for c, _ in condition_pairs(conditions)}
     new = {column_of(target, c): v for c, v in updates.items()}
 
@@ -157,11 +189,11 @@ def keyed_update(
 ) -> DataFrame:
     """Set columns on the rows that meet the conditions; keep all other rows.
     Columns used in the conditions are left as they are."""
-    return _updated(target, conditions, updates, predicate(target, conditions))
+    return updated(target, conditions, updates, predicate(target, conditions))
 
 
 def keyed_update_overwrite(
     target: DataFrame, conditions: Conditions, updates: Mapping[str, object]
 ) -> DataFrame:
     """Only the rows that meet the conditions, changed; all others are lost."""
-    return _updated(filter_by_conditions(target, conditions), conditions, updates, None)
+    return updated(filter_by_conditions(target, conditions), conditions, updates, None)

@@ -29,6 +29,24 @@ BY_LABEL = TableSpec(
     ("ID", "Label"),
 )
 
+# Orders with a column of each kind of type; times come as milliseconds.
+TYPED = TableSpec(
+    "typed",
+    T.StructType(
+        [
+            T.StructField("ID", T.LongType(), nullable=False),
+            T.StructField("Cust", T.IntegerType()),
+            T.StructField("Price", T.DecimalType(12, 2)),
+            T.StructField("Open", T.BooleanType()),
+            T.StructField("Placed", T.TimestampNTZType()),
+        ]
+    ),
+    ("ID",),
+    epochs={"Placed": "ms"},
+)
+# Changes ordered by a column of the feed, wherever they come from.
+TIMED = TableSpec("current", COLUMNS, ("ID",), order_by="timestamp")
+
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -118,3 +136,62 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("Amount"),
         F.col("o_orderstatus").alias("Note"),
     )
+
+
+def moving_feed(feed: DataFrame) -> DataFrame:
+    """The same changes with their order as a timestamp. Keys move between topics
+    and partitions, and each partition counts its own offsets."""
+    n = F.col("offset")
+    return feed.select(
+        F.concat(F.lit("srv.db.dbo.Emp"), (n % 3).cast("string")).alias("topic"),
+        (n % 4).cast("int").alias("partition"),
+        F.floor(n / 4).alias("offset"),
+        "key",
+        "value",
+        n.alias("timestamp"),
+    )
+
+
+def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert for each order, some with a cell that is no value of its type:
+    customers with a half or a letter, prices in words, ids with a fraction."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    n, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    image = {
+        "ID": F.when(n % 20 == 7, F.concat(n.cast("string"), F.lit(".5"))).otherwise(
+            F.concat(n.cast("string"), F.when(n % 2 == 0, ".0").otherwise(""))
+        ),
+        "Cust": F.when(n % 20 == 3, F.concat(cust, F.lit(".5")))
+        .when(n % 20 == 11, F.concat(cust, F.lit("x")))
+        .otherwise(cust),
+        "Price": F.when(n % 20 == 13, "a lot").otherwise(F.col("o_totalprice").cast("string")),
+        "Open": F.col("o_orderstatus") == "O",
+        "Placed": F.unix_date(F.col("o_orderdate").cast("date")) * F.lit(86_400_000).cast("long"),
+    }
+    value = {"payload": _object({"op": F.lit("c"), "after": _object(image)})}
+    return orders.select(
+        F.lit("srv.db.dbo.Order").alias("topic"),
+        F.lit(0).alias("partition"),
+        n.alias("offset"),
+        _json({"payload": _object({"ID": n})}).alias("key"),
+        _json(value).alias("value"),
+    )
+
+
+def line_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert for each line item, by order: a large feed with a few changes per key."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    image = {
+        "ID": F.col("l_orderkey"),
+        "Label": F.col("l_returnflag"),
+        "Amount": F.col("l_extendedprice"),
+        "Note": F.col("l_linestatus"),
+    }
+    value = {"payload": _object({"op": F.lit("u"), "after": _object(image)})}
+    return lines.select(
+        F.lit("srv.db.dbo.Line").alias("topic"),
+        (F.col("l_orderkey") % 16).cast("int").alias("partition"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        _json({"payload": _object({"ID": F.col("l_orderkey")})}).alias("key"),
+        _json(value).alias("value"),
+    )

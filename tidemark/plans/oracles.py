@@ -95,6 +95,27 @@ ORACLES: dict[str, str] = {
         FROM lineitem WHERE l_linenumber = 3 AND l_returnflag = 'A'""",
     "preview": FEED + f"""SELECT * FROM ({MERGED}) ORDER BY "ID" LIMIT 20""",
     "scan_table": FEED + "SELECT * FROM base",
+    "stored_update": FEED + f"""SELECT "ID","Label","Amount",
+        CASE WHEN "Label"='view' THEN 'hold' ELSE "Note" END AS "Note" FROM ({MERGED})""",
+    "stored_delete": FEED + f"""SELECT * FROM ({MERGED}) WHERE "Label" <> 'view'""",
+    "typed_rows": """SELECT o_orderkey AS "ID", CAST(o_custkey AS INTEGER) AS "Cust",
+        CAST(o_totalprice AS DECIMAL(12,2)) AS "Price", o_orderstatus = 'O' AS "Open",
+        date_trunc('day', o_orderdate) AS "Placed" FROM orders
+        WHERE o_orderkey % 20 NOT IN (3, 7, 11, 13)""",
+    "typed_actions": """SELECT 'srv.db.dbo.Order' AS topic,
+        CASE o_orderkey % 20 WHEN 7 THEN 'bad_key' WHEN 3 THEN 'bad_value' WHEN 11 THEN 'bad_value'
+          WHEN 13 THEN 'bad_value' ELSE 'create' END AS action, count(*) AS n
+        FROM orders GROUP BY ALL""",
+    "moved_keys_rejected": FEED + """, moved AS (SELECT "ID", "offset" // 4 AS o,
+          CAST("offset" % 4 AS INTEGER) AS p, 'srv.db.dbo.Emp' || CAST("offset" % 3 AS VARCHAR) AS t
+          FROM feed WHERE action IN ('create','update','delete')),
+        placed AS (SELECT "ID", t, p, max(o) AS o FROM moved GROUP BY 1, 2, 3),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY t DESC, p DESC) AS home
+          FROM placed)
+        SELECT t AS topic, p AS "partition", o AS "offset" FROM ranked WHERE home > 1""",
+    "route_one_table": FEED + """SELECT 'srv_db_dbo_emp0' AS table_name, count(*) AS n FROM net
+        WHERE topic = 'srv.db.dbo.Emp0' AND action <> 'delete'
+        UNION ALL SELECT 'unrouted', count(*) FROM feed WHERE topic <> 'srv.db.dbo.Emp0'""",
     "apply_stream_routed": FEED + """, topics AS (SELECT DISTINCT topic FROM feed)
         SELECT lower(replace(t.topic,'.','_')) AS table_name, count(n."ID") AS n
         FROM topics t LEFT JOIN net n ON n.topic = t.topic AND n.action <> 'delete'
@@ -108,3 +129,6 @@ ORACLES["bucketed_table"] = ORACLES["upsert_merge"]
 ORACLES["compacted_table"] = ORACLES["upsert_merge"]
 ORACLES["replay"] = ORACLES["upsert_merge"]
 ORACLES["apply_stream_rejects"] = ORACLES["rejects"]
+ORACLES["moved_keys"] = ORACLES["upsert_merge"]
+ORACLES["merge_multi_match_compacted"] = ORACLES["merge_multi_match"]
+ORACLES["replay_rejects"] = ORACLES["rejects"]

@@ -17,18 +17,22 @@ from tidemark.plans.feeds import (
     BY_LABEL,
     CURRENT,
     OPEN,
+    TIMED,
+    TYPED,
     customer_base,
     customer_base_by_label,
     event_feed,
     event_image,
     events,
+    moving_feed,
     order_base,
+    order_feed,
 )
-from tidemark.sources.feed import by_pattern, by_topics, spread
+from tidemark.sources.feed import by_pattern, by_topics, file_feed, spread
 from tidemark.sources.store import TableStore
 from tidemark.sources.tables import append_path, scan_path
 from tidemark.sources.workdir import work_dir
-from tidemark.streaming.apply import apply_stream
+from tidemark.streaming.apply import apply_stream, unrouted_records
 from tidemark.table import TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,12 +73,12 @@ def decode_rows(spark, sf_dir):
 
 @query
 def classify_actions(spark, sf_dir):
-    return audit.action_counts(decoded(spark, sf_dir))
+    return audit.action_counts(d.verdicts(spread(feed(spark, sf_dir)), CURRENT))
 
 
 @query
 def feed_audit(spark, sf_dir):
-    return audit.feed_audit(decoded(spark, sf_dir))
+    return audit.feed_audit(d.verdicts(spread(feed(spark, sf_dir)), CURRENT))
 
 
 @query
@@ -127,6 +131,19 @@ def explode_entries(spark, sf_dir):
     return entries.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("nv"))
 
 
+@query
+def typed_rows(spark, sf_dir):
+    """Rows with numbers, decimals, truth values and times, as far as every cell is one."""
+    records = d.decode(spread(order_feed(spark, sf_dir)), TYPED)
+    return d.row_images(records)
+
+
+@query
+def typed_actions(spark, sf_dir):
+    """How many of the typed rows have a cell that cannot be read."""
+    return audit.action_counts(d.verdicts(spread(order_feed(spark, sf_dir)), TYPED))
+
+
 @query
 def drift_check(spark, sf_dir):
     """Row images built as text: Amount is left out of some, others have a
@@ -176,9 +193,7 @@ def record_schema(spark, sf_dir):
 @query
 def last_change(spark, sf_dir):
     kinds = decoded(spark, sf_dir).where(F.col("action").isin(*d.APPLIED))
-    picked = kinds.select(
-        "row.ID", "action", F.struct("offset", "partition", "topic").alias("_pos")
-    )
+    picked = kinds.select("row.ID", "action", "_pos")
     return last_per_key(picked, CURRENT).select("ID", "_pos.offset", "action")
 
 
@@ -264,14 +279,30 @@ def _seeded(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> Tab
     return store
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = spark.readStream.schema(events(spark, sf_dir).schema)
-    return event_feed(files.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+PARTS = 5
 
 
-def _run(spark: SparkSession, sf_dir: str, stores, **options) -> None:
+def _feed_folder(spark: SparkSession, records: DataFrame, order: str = "offset") -> str:
+    """A feed as files, the latest records first: a stream takes them file by file."""
+    folder = f"{work_dir(spark)}/feed"
+    top = records.agg(F.max(order)).first()[0] or 0
+    part = F.floor(F.col(order) * PARTS / F.lit(top + 1))
+    for n in reversed(range(PARTS)):
+        records.where(part == n).write.mode("append").parquet(folder)
+    return folder
+
+
+def _run(spark: SparkSession, folder: str, stores, order_by: str | None = None, **options) -> None:
+    stream = file_feed(spark, folder, stream=True, order_by=order_by, maxFilesPerTrigger=1)
     checkpoint = f"{work_dir(spark)}/checkpoint"
-    apply_stream(_event_stream(spark, sf_dir), stores, checkpoint, **options).awaitTermination()
+    apply_stream(stream, stores, checkpoint, **options).awaitTermination()
+
+
+def _streamed(spark: SparkSession, sf_dir: str, store: TableStore, **options) -> str:
+    """Apply the event feed to a store, and return the feed's folder."""
+    folder = _feed_folder(spark, feed(spark, sf_dir))
+    _run(spark, folder, store, **options)
+    return folder
 
 
 @query
@@ -298,14 +329,14 @@ def append_table(spark, sf_dir):
 @query
 def apply_stream_table(spark, sf_dir):
     store = _seeded(spark, sf_dir)
-    _run(spark, sf_dir, store, compact_ratio=None)
+    _streamed(spark, sf_dir, store, compact_ratio=0.0, compact_every=2)
     return store.read()
 
 
 @query
 def compacted_table(spark, sf_dir):
     store = _seeded(spark, sf_dir)
-    _run(spark, sf_dir, store, compact_ratio=None)
+    _streamed(spark, sf_dir, store, compact_ratio=None)
     store.compact()
     return store.read()
 
@@ -313,7 +344,16 @@ def compacted_table(spark, sf_dir):
 @query
 def bucketed_table(spark, sf_dir):
     store = _seeded(spark, sf_dir, buckets=8)
-    _run(spark, sf_dir, store, compact_ratio=None)
+    _streamed(spark, sf_dir, store, compact_ratio=None)
+    return store.read()
+
+
+@query
+def merge_multi_match_compacted(spark, sf_dir):
+    """Repeated keys, batches from the last to the first, a snapshot after each."""
+    store = TableStore(spark, work_dir(spark), CURRENT)
+    store.overwrite(order_base(spark, sf_dir))
+    _streamed(spark, sf_dir, store, compact_ratio=0.0)
     return store.read()
 
 
@@ -321,36 +361,98 @@ def bucketed_table(spark, sf_dir):
 def replay(spark, sf_dir):
     """The feed applied twice from its start, with a snapshot in between."""
     store = _seeded(spark, sf_dir)
-    _run(spark, sf_dir, store, compact_ratio=0.0)
-    _run(spark, sf_dir, store, compact_ratio=None)
+    folder = _streamed(spark, sf_dir, store, compact_ratio=0.0, compact_every=PARTS)
+    _run(spark, folder, store, compact_ratio=None)
     return store.read()
 
 
 @query
-def apply_stream_rejects(spark, sf_dir):
+def moved_keys(spark, sf_dir):
+    """Keys that move between partitions, ordered by the records' timestamps."""
+    store = TableStore(spark, work_dir(spark), TIMED)
+    store.overwrite(customer_base(spark, sf_dir))
+    folder = _feed_folder(spark, moving_feed(feed(spark, sf_dir)), "timestamp")
+    _run(spark, folder, store, "timestamp", compact_ratio=0.0, compact_every=2)
+    return store.read()
+
+
+@query
+def moved_keys_rejected(spark, sf_dir):
+    """The same without a declared order: a key keeps to one partition."""
     store = TableStore(spark, work_dir(spark), CURRENT)
-    _run(spark, sf_dir, store, compact_ratio=None)
+    _run(spark, _feed_folder(spark, moving_feed(feed(spark, sf_dir)).drop("timestamp")), store, compact_ratio=None)
+    moved = store.rejects().where(F.col("action") == d.MOVED_KEY)
+    return moved.select("topic", "partition", "offset")
+
+
+@query
+def stored_update(spark, sf_dir):
+    """Rows changed by a condition stay so when the feed is replayed."""
+    store = _seeded(spark, sf_dir)
+    folder = _streamed(spark, sf_dir, store, compact_ratio=None)
+    store.update_where({"Label": "view"}, {"Note": "hold"})
+    _run(spark, folder, store, compact_ratio=None)
+    return store.read()
+
+
+@query
+def stored_delete(spark, sf_dir):
+    """Rows deleted by a condition stay so when the feed is replayed."""
+    store = _seeded(spark, sf_dir)
+    folder = _streamed(spark, sf_dir, store, compact_ratio=None)
+    store.delete_where({"Label": "view"})
+    _run(spark, folder, store, compact_ratio=None)
+    return store.read()
+
+
+def _rejected(store: TableStore) -> DataFrame:
     return store.rejects().select("topic", "partition", "offset", "action")
 
 
 @query
-def apply_stream_routed(spark, sf_dir):
-    """Topics to their own tables by name; one topic has no table here."""
+def apply_stream_rejects(spark, sf_dir):
+    store = TableStore(spark, work_dir(spark), CURRENT)
+    _streamed(spark, sf_dir, store, compact_ratio=None)
+    return _rejected(store)
+
+
+@query
+def replay_rejects(spark, sf_dir):
+    """However often a feed is replayed, a record is rejected once."""
+    store = TableStore(spark, work_dir(spark), CURRENT)
+    folder = _streamed(spark, sf_dir, store, compact_ratio=0.0, compact_every=PARTS)
+    _run(spark, folder, store, compact_ratio=None)
+    return _rejected(store)
+
+
+def _routed(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """Rows of each table after a stream, and the records that went to none."""
     root = work_dir(spark)
-    names = ["srv_db_dbo_emp0", "srv_db_dbo_emp1"]
     stores = [TableStore(spark, root, TableSpec(n, CURRENT.schema, CURRENT.keys)) for n in names]
     unrouted = f"{root}/unrouted"
-    _run(spark, sf_dir, stores, compact_ratio=None, unrouted=unrouted)
-    counts = [
-        store.read().agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
-        for store, name in zip(stores, names)
-    ]
-    lost = spark.read.parquet(f"{unrouted}/*")
-    counts.append(lost.agg(F.lit("unrouted").alias("table_name"), F.count(F.lit(1)).alias("n")))
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    _run(spark, _feed_folder(spark, feed(spark, sf_dir)), stores, compact_ratio=None, unrouted=unrouted)
+    counts = unrouted_records(spark, unrouted).agg(
+        F.lit("unrouted").alias("table_name"), F.count(F.lit(1)).alias("n")
+    )
+    for store, name in zip(stores, names):
+        rows = store.read().agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
+        counts = counts.unionByName(rows)
+    return counts
+
+
+@query
+def apply_stream_routed(spark, sf_dir):
+    """Topics to their own tables by name; one topic has no table here."""
+    return _routed(spark, sf_dir, ["srv_db_dbo_emp0", "srv_db_dbo_emp1"])
+
+
+@query
+def route_one_table(spark, sf_dir):
+    """A single table takes only what is routed to it."""
+    return _routed(spark, sf_dir, ["srv_db_dbo_emp0"])
 
 
-# Names under which two of the queries above are listed.
+# Names under which some of the queries above are listed.
 QUERIES["apply_stream"] = QUERIES.pop("apply_stream_table")
 QUERIES["last_per_key"] = QUERIES.pop("last_change")
 QUERIES["connect_schema"] = QUERIES.pop("record_schema")

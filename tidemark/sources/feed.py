@@ -25,9 +25,18 @@ FEED_SCHEMA = T.StructType(
 )
 
 
-def as_feed(df: DataFrame) -> DataFrame:
-    """The feed columns of any record source; binary key and value become text."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEED_SCHEMA.fields])
+def as_feed(df: DataFrame, order_by: str | None = None) -> DataFrame:
+    """The feed columns of any record source; binary key and value become text.
+
+    ``order_by`` names a further column that orders changes, such as Kafka's
+    record timestamp; times become milliseconds.
+    """
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in FEED_SCHEMA.fields]
+    if order_by:
+        kind = df.schema[order_by].dataType
+        time = F.unix_millis(order_by) if isinstance(kind, T.TimestampType) else F.col(order_by).cast("long")
+        columns.append(time.alias(order_by))
+    return df.select(*columns)
 
 
 def kafka_options(
@@ -54,40 +63,37 @@ def kafka_feed(
     topics: str | Iterable[str] | None = None,
     pattern: str | None = None,
     stream: bool = True,
+    order_by: str | None = None,
     **more,
 ) -> DataFrame:
     """Records from Kafka. Needs Spark's Kafka connector on the class path."""
     reader = spark.readStream if stream else spark.read
-    return as_feed(
-        reader.format("kafka").options(**kafka_options(servers, topics, pattern, **more)).load()
-    )
+    options = kafka_options(servers, topics, pattern, **more)
+    return as_feed(reader.format("kafka").options(**options).load(), order_by)
 
 
 def file_feed(
-    spark: SparkSession, path: str, format: str = "parquet", stream: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    format: str = "parquet",
+    stream: bool = False,
+    order_by: str | None = None,
+    **options,
 ) -> DataFrame:
-    """Records kept in files with the feed's columns."""
+    """Records kept in files with the feed's columns, and a number to order by if named."""
     reader = spark.readStream if stream else spark.read
-    return reader.format(format).schema(FEED_SCHEMA).options(**options).load(path)
+    schema = T.StructType([*FEED_SCHEMA.fields, *([T.StructField(order_by, T.LongType())] if order_by else [])])
+    return reader.format(format).schema(schema).options(**options).load(path)
 
 
 def spread(feed: DataFrame) -> DataFrame:
-    """A batch of records, shuffled by offset if it has fewer partitions than
-    there are cores to parse it.
+    """A batch of records, shuffled by offset.
 
-    Parsing a record costs several times what moving its text does. Feeds of
-    many partitions, and those that come out of a shuffle, are left as they are.
+    Parsing a record costs several times what moving its text does, so this pays
+    for feeds of fewer partitions than there are cores. Kafka feeds get more
+    partitions without a shuffle by the option minPartitions.
     """
-    # counting the partitions of a shuffled feed would run its shuffles
-    if feed.isStreaming or "Exchange" in feed._jdf.queryExecution().executedPlan().toString():
-        return feed
-    spark = feed.sparkSession
-    wanted = min(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    if feed.rdd.getNumPartitions() >= wanted:
-        return feed
-    return feed.repartition("offset")
+    return feed if feed.isStreaming else feed.repartition("offset")
 
 
 def by_topics(feed: DataFrame, topics: str | Iterable[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.decode import changes, row_images
-from tidemark.operators.fold import last_per_key, null_key_rows
+from tidemark.operators.fold import net_changes
 from tidemark.table import DELETED, TableSpec
 
 
@@ -27,10 +27,7 @@ def merge_into(decoded: DataFrame, table: str, spec: TableSpec) -> None:
     order, as they do from Kafka; and its keys should be unique, since a
     deleted key that comes back in the same batch updates its rows in place.
     """
-    applied = changes(decoded)
-    net = last_per_key(applied, spec)
-    if spec.null_keys:
-        net = net.unionByName(null_key_rows(applied, spec))
+    net = net_changes(changes(decoded), spec)
     quoted = {c: "`" + c.replace("`", "``") + "`" for c in spec.columns}
     matching = " AND ".join(f"t.{quoted[k]} = n.{quoted[k]}" for k in spec.keys)
     assigned = ", ".join(f"t.{c} = n.{c}" for c in quoted.values())

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,14 +25,17 @@ def _audit_columns() -> list[Column]:
     return [*counts, F.min("offset").alias("lo"), F.max("offset").alias("hi")]
 
 
-def apply_batch(feed: DataFrame, store: TableStore, tag: str) -> dict | None:
+def apply_batch(
+    feed: DataFrame, store: TableStore, tag: str, spread_records: bool = False
+) -> dict | None:
     """Apply one batch of records to one table and return what was seen.
 
     The tag names the batch: a batch that was committed before is left alone
     (None), one that broke off is written anew.
     """
     seen = Observation()
-    decoded = decode(spread(feed), store.spec).observe(seen, *_audit_columns())
+    records = spread(feed) if spread_records else feed
+    decoded = decode(records, store.spec).observe(seen, *_audit_columns())
     if not store.commit(decoded, tag):
         return None
     audit = seen.get
@@ -38,6 +43,11 @@ def apply_batch(feed: DataFrame, store: TableStore, tag: str) -> dict | None:
     return audit
 
 
+def unrouted_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that went to no table, each once however often it was replayed."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/*").dropDuplicates(["topic", "partition", "offset"])
+
+
 def apply_stream(
     feed: DataFrame,
     stores: TableStore | Sequence[TableStore],
@@ -46,20 +56,35 @@ def apply_stream(
     default: str | None = None,
     unrouted: str | None = None,
     compact_ratio: float | None = 0.25,
+    compact_every: int = 1,
+    forget: Column | None = None,
     show: bool = False,
+    spread_records: bool = False,
+    tables_at_once: int = 8,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Start a query that applies a streaming feed to its tables.
 
-    One table takes every topic. Several tables are told apart by ``routes``
-    (topic to table name), then ``default``, then the name rule; records for
-    no listed table are written to the folder ``unrouted``. A new checkpoint
-    replays the feed from its start, which leaves a table as it was. Runs until
-    the feed is read up unless ``trigger`` says otherwise.
+    Records find their table by ``routes`` (topic to table name), then
+    ``default``, then the name rule; those for no listed table are written to
+    the folder ``unrouted``. One table given without any of the three takes
+    every topic. A routed batch is written once, by table, and the tables then
+    take their parts at the same time.
+
+    After every ``compact_every``-th batch a table is compacted if its changes
+    exceed ``compact_ratio`` x its snapshot (None: never; ``compact`` may be
+    called while no query runs), without the delete markers that ``forget``, a
+    condition on ``_pos``, allows to drop.
+
+    A new checkpoint replays the feed from its start, which leaves a table as it
+    was. ``spread_records`` shuffles the records of a feed with few large
+    partitions before parsing them. Runs until the feed is read up unless
+    ``trigger`` says otherwise.
     """
     stores = [stores] if isinstance(stores, TableStore) else list(stores)
-    if len(stores) > 1 and not unrouted:
-        raise ValueError("several tables need a folder for records that go to none of them")
+    routed = len(stores) > 1 or bool(routes) or default is not None or unrouted is not None
+    if routed and not unrouted:
+        raise ValueError("routed records need a folder for those that go to none of the tables")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -67,26 +92,35 @@ def apply_stream(
         if not query_id:
             raise RuntimeError("this Spark does not tell which query a batch belongs to")
         tag = f"{query_id}-{batch_id}"
-        if len(stores) == 1:
-            apply_batch(batch, stores[0], tag)
-        else:
+        if routed:
             _apply_routed(batch, tag)
+        else:
+            apply_batch(batch, stores[0], tag, spread_records)
         for store in stores:
-            if compact_ratio is not None:
-                store.compact_if_due(compact_ratio)
+            if compact_ratio is not None and (batch_id + 1) % compact_every == 0:
+                store.compact_if_due(compact_ratio, forget)
             if show:
                 preview(store.read(), store.spec.keys).show()
 
     def _apply_routed(batch: DataFrame, tag: str) -> None:
-        routed = batch.withColumn("_table", routed_name(F.col("topic"), routes, default)).persist()
-        try:
-            for store in stores:
-                apply_batch(routed.where(F.col("_table") == store.spec.name), store, tag)
-            listed = [store.spec.name for store in stores]
-            lost = routed.where(~F.col("_table").isin(*listed) | F.col("_table").isNull())
-            lost.write.mode("overwrite").parquet(f"{unrouted.rstrip('/')}/{tag}")
-        finally:
-            routed.unpersist()
+        listed = [store.spec.name for store in stores]
+        name = routed_name(F.col("topic"), routes, default)
+        staged = f"{checkpoint.rstrip('/')}/routed/{tag}"
+        parted = batch.withColumn("_table", F.when(name.isin(*listed), name))
+        parted.write.mode("overwrite").partitionBy("_table").parquet(staged)
+        schema = parted.schema  # not inferred: a table may be named like a number
+        records = batch.sparkSession.read.schema(schema).parquet(staged)
+
+        def apply_table(store: TableStore) -> None:
+            own = records.where(F.col("_table") == store.spec.name).drop("_table")
+            apply_batch(own, store, tag, spread_records)
+
+        with ThreadPoolExecutor(min(tables_at_once, len(stores))) as pool:
+            work = inheritable_thread_target(batch.sparkSession)(apply_table)
+            list(pool.map(work, stores))
+        lost = records.where("_table IS NULL").drop("_table")
+        lost.write.mode("overwrite").parquet(f"{unrouted.rstrip('/')}/{tag}")
+        _remove(batch.sparkSession, staged)
 
     return (
         feed.writeStream.foreachBatch(apply)
@@ -94,3 +128,8 @@ def apply_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
@@ -13,15 +14,18 @@ POS = "_pos"
 DELETED = "_deleted"
 GONE = "_gone"
 REJECTED = "_rejected"
-RESERVED = {POS, DELETED, GONE, REJECTED, "_record", "_last", "_alone"}
+EPOCH_UNITS = ("s", "ms", "us", "days")
+RESERVED = {POS, DELETED, GONE, REJECTED, "_record", "_last", "_alone", "_hit", "_home", "_all"}
 
 # Where a record stood in the feed. Struct order is also the order in which
-# changes win: by offset first, the rest only makes the order total.
+# changes win: by the declared source order (0 where none is declared), then by
+# topic and partition, then by offset, which tells time only within a partition.
 POS_TYPE = T.StructType(
     [
-        T.StructField("offset", T.LongType()),
-        T.StructField("partition", T.IntegerType()),
+        T.StructField("time", T.LongType()),
         T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
     ]
 )
 
@@ -31,13 +35,27 @@ class TableSpec:
     """A target table. Column names are matched without regard to case.
 
     A column that is not nullable makes upserts without it bad values. Keys
-    should be declared so: null keys take passes of their own.
+    should be declared so: null keys are rows of their own.
+
+    ``order_by`` names a column of the feed (a record timestamp, a log sequence
+    number) by which changes of one key are ordered wherever they come from.
+    Without it a key belongs to one partition of one topic: the last one by
+    name and number that has a change for it.
+
+    ``unique`` says that no two rows of the target have the same key, which
+    makes a merge one join.
+
+    ``epochs`` gives the unit (s, ms, us, days) of columns of dates and times
+    that the feed carries as numbers.
     """
 
     name: str
     schema: T.StructType | str
     keys: tuple[str, ...]
     upsert_ops: tuple[str, ...] = ("c", "u")
+    order_by: str | None = None
+    unique: bool = False
+    epochs: Mapping[str, str] = field(default_factory=dict, hash=False)
 
     def __post_init__(self):
         if not self.name:
@@ -57,6 +75,11 @@ class TableSpec:
             raise ValueError(f"{self.name}: key columns {unknown} are not in the table")
         if not self.upsert_ops:
             raise ValueError(f"{self.name}: at least one upsert operation is needed")
+        epochs = {spelled.get(c.lower(), c): unit for c, unit in self.epochs.items()}
+        for column, unit in epochs.items():
+            if column not in schema.names or unit not in EPOCH_UNITS:
+                raise ValueError(f"{self.name}: no column {column!r} with a unit {unit!r}")
+        object.__setattr__(self, "epochs", epochs)
         object.__setattr__(self, "schema", schema)
         object.__setattr__(self, "keys", tuple(spelled[k.lower()] for k in keys))
         object.__setattr__(self, "upsert_ops", tuple(self.upsert_ops))
