@@ -32,5 +32,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_key(*told_apart_by: str) -> Column:
+    """What a row is known by: its id, if it has one, and a hash of further columns. Never null."""
+    doc_id = F.col("doc_id")
+    return F.struct(
+        doc_id.isNull().alias("missing"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"), F.xxhash64(*told_apart_by).alias("hash")
+    )
+
+
+def share_of_ids(share: Column | float) -> Column:
+    """Whether a row is in a share of all rows, picked by a hash of its id."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) < share
+
+
 def hex_to_long(digits: Column) -> Column:
     return F.conv(digits, 16, 10).cast("long")

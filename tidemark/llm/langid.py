@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import share_of_ids, stored, table
 
 DIMENSIONS = 1024
 SEED = 7
@@ -137,8 +137,7 @@ def prototypes(labelled: DataFrame, most: int = TRAIN_DOCS, dimensions: int = DI
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, most / n))])
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = stored(usable.filter(place < share[F.col("lang")]))
+    sample = stored(usable.filter(share_of_ids(share[F.col("lang")])))
 
     def bundled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
