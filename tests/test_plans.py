@@ -1,0 +1,38 @@
+"""What the plans of some queries must and must not do."""
+
+import pytest
+
+from conftest import TESTDATA
+from test_merge import no_broadcast  # noqa: F401
+from tidemark.plans.queries import QUERIES
+
+SF_DIR = str(TESTDATA / "sf0.001")
+pytestmark = pytest.mark.skipif(not (TESTDATA / "sf0.001").exists(), reason="no test tables here")
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_unique_keys_meet_the_target_once(spark, no_broadcast):  # noqa: F811
+    """One scan of the target, one join, and the fold's shuffle is used as it is."""
+    for name in ("upsert_merge", "merge_composite_key"):
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        assert plan.count("customer.parquet") == 1 and plan.count("FullOuter") == 1
+        shuffles = [n for n in plan.splitlines() if "Exchange hashpartitioning" in n]
+        assert len(shuffles) == 3  # records by offset, changes by key, target by key
+
+
+@pytest.mark.parametrize("name", ["merge_null_key", "upsert_merge", "merge_multi_match"])
+def test_a_feed_is_parsed_once(spark, no_broadcast, name):  # noqa: F811
+    """Whatever uses its outcome reads the one shuffle."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    used = [n for n in plan.splitlines() if "from_json" in n and "after" in n]
+    assert len(used) == 1
+
+
+@pytest.mark.parametrize("name", ["classify_actions", "feed_audit"])
+def test_audits_carry_no_rows(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "raw_value" not in plan and "named_struct(ID" not in plan

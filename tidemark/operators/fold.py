@@ -43,9 +43,14 @@ def _folded(changes: DataFrame, spec: TableSpec, *apart: Column) -> DataFrame:
         return F.when(all_of(here), F.col(GONE))
 
     # A generator is not cut down to the columns in use, so every use of the
-    # result needs the very same shuffle, and Spark runs it once for all.
+    # result needs the very same shuffle, and Spark runs it once for all. Keys
+    # pass beside it, for the sake of their partitioning; with null keys there
+    # is none, and joins would filter them below the shuffle.
     others = [value(c).alias(c) for c in changes.columns if c not in spec.keys]
-    listed = last.select(*keys, F.inline(F.array(F.struct(*others))))
+    if apart:
+        listed = last.select(F.inline(F.array(F.struct(*keys, *others))))
+    else:
+        listed = last.select(*keys, F.inline(F.array(F.struct(*others))))
     return listed.select(*[named(c) for c in changes.columns])
 
 

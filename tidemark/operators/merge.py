@@ -23,7 +23,7 @@ from tidemark.functions.conditions import (
     typed_literal,
 )
 from tidemark.operators.decode import row_images
-from tidemark.operators.fold import net_changes, null_key
+from tidemark.operators.fold import net_changes
 from tidemark.table import DELETED, GONE, POS, TableSpec
 
 
@@ -137,16 +137,12 @@ def merge(target: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The target after any number of changes per key; the changes are read once."""
+    """The target after any number of changes per key; the changes are read
+    once. Those with null keys meet nothing, so they are inserted."""
     net = net_changes(changes, spec)
     if spec.unique:
         return merge_unique(conform(target, spec), net, spec)
-    if not spec.null_keys:
-        return merge(target, net, spec)
-    # rows with null keys come out of the same fold, and meet nothing
-    merged = merge(target, net.where(~null_key(spec)), spec)
-    added = net.where(null_key(spec)).select(*[named(c) for c in merged.columns])
-    return merged.unionByName(added)
+    return merge(target, net, spec)
 
 
 def delete_by_key(target: DataFrame, gone: DataFrame, spec: TableSpec) -> DataFrame:

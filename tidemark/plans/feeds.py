@@ -21,12 +21,15 @@ COLUMNS = T.StructType(
         T.StructField("Note", T.StringType()),
     ]
 )
-CURRENT = TableSpec("current", COLUMNS, ("ID",))
+CURRENT = TableSpec("current", COLUMNS, ("ID",), unique=True)
+# A target that may hold many rows for a key.
+REPEATED = TableSpec("repeated", COLUMNS, ("ID",))
 OPEN = TableSpec("open", T.StructType([T.StructField(f.name, f.dataType) for f in COLUMNS]), ("ID",))
 BY_LABEL = TableSpec(
     "by_label",
     T.StructType([T.StructField(f.name, f.dataType, f.name not in ("ID", "Label")) for f in COLUMNS]),
     ("ID", "Label"),
+    unique=True,
 )
 
 # Orders with a column of each kind of type; times come as milliseconds.
@@ -45,7 +48,7 @@ TYPED = TableSpec(
     epochs={"Placed": "ms"},
 )
 # Changes ordered by a column of the feed, wherever they come from.
-TIMED = TableSpec("current", COLUMNS, ("ID",), order_by="timestamp")
+TIMED = TableSpec("current", COLUMNS, ("ID",), order_by="timestamp", unique=True)
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 

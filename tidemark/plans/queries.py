@@ -17,6 +17,7 @@ from tidemark.plans.feeds import (
     BY_LABEL,
     CURRENT,
     OPEN,
+    REPEATED,
     TIMED,
     TYPED,
     customer_base,
@@ -225,7 +226,7 @@ def merge_composite_key(spark, sf_dir):
 
 @query
 def merge_multi_match(spark, sf_dir):
-    return m.apply_changes(order_base(spark, sf_dir), changes(spark, sf_dir), CURRENT)
+    return m.apply_changes(order_base(spark, sf_dir), changes(spark, sf_dir), REPEATED)
 
 
 @query
@@ -351,7 +352,7 @@ def bucketed_table(spark, sf_dir):
 @query
 def merge_multi_match_compacted(spark, sf_dir):
     """Repeated keys, batches from the last to the first, a snapshot after each."""
-    store = TableStore(spark, work_dir(spark), CURRENT)
+    store = TableStore(spark, work_dir(spark), REPEATED)
     store.overwrite(order_base(spark, sf_dir))
     _streamed(spark, sf_dir, store, compact_ratio=0.0)
     return store.read()
