@@ -9,6 +9,8 @@ boilerplate. The model is a tree of parent-child potentials:
   and within its parent's, where the tag says what it is for; the words of its
   class, id and role; whether it has none; and whether it lies outside the page's
   main or article element;
+* an element without a telling tag, whose words say nothing against it, follows
+  its parent;
 * a node's own text pulls it to content by its share of the page's text, and text
   that is mostly links pulls the other way.
 
@@ -73,6 +75,11 @@ CELLS = frozenset("td th caption table body html".split())
 #: Elements whose tag says what they are for.
 TELLING = frozenset("article aside footer form header main nav search figure table blockquote".split())
 SMOOTHING = 0.1
+#: What a word of a class or id can say for content at most, and from which odds
+#: on a word that was seen with both says anything.
+WORD_FOR_CONTENT, UNDECIDED = 1.0, 1.0
+#: Log-odds of an element that nothing speaks against to follow its parent.
+FOLLOWS = 4.0
 #: Log-odds against content below boilerplate.
 CLOSED = 12.0
 _token = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -231,6 +238,9 @@ class Model:
         for f in counts[True].keys() | counts[False].keys():
             yes, no = ((counts[y][f] + SMOOTHING) / (children[y] + 2 * SMOOTHING) for y in (True, False))
             self.odds[f] = log(yes / no)
+            if f.startswith("word:"):  # boilerplate is named for what it is; content may have any name
+                both = counts[True][f] and counts[False][f] and abs(self.odds[f]) < UNDECIDED
+                self.odds[f] = 0.0 if both else min(WORD_FOR_CONTENT, self.odds[f])
 
         def likelihood(pulls: tuple[float, float]) -> float:
             self.text_pull, self.link_pull = pulls
@@ -261,7 +271,10 @@ class Model:
             if plain and children[node.parent] == 1 and not nodes[node.parent].own:
                 odds = CLOSED  # alone in its parent: the same thing
             else:
-                odds = self.prior + sum(self.odds.get(f, 0.0) for f in features(nodes, n, outside))
+                found = [self.odds.get(f, 0.0) for f in features(nodes, n, outside)]
+                odds = self.prior + sum(found)
+                if node.tag not in TELLING and min(found, default=0.0) >= 0:
+                    odds = max(odds, FOLLOWS)
             to_yes.append(-_log_sum(0.0, -odds))
             to_no.append(-_log_sum(0.0, odds))
         own[0] += CLOSED  # the page itself holds what there is

@@ -63,7 +63,7 @@ PAGES = [
     <div class="footer" b><p>All rights reserved.</p></div></body>""",
     """<body><div class="site-header" b><a href=/>Home</a></div><div class=header b><p>Welcome</p></div><div id=nav b><a href=/>a</a></div>
     <div class="story-body"><h1>Snow</h1><p>It fell all week.</p><p>Then it <a href=/m>melted</a>.</p>
-    <div class="box ads advert" b><p>Skis at half price</p></div></div>
+    <div class="ads advert adsbygoogle" b><p>Skis at half price</p></div></div>
     <div class="page-footer site-footer" b><p>Contact</p></div><div class="user-comments comment" b><p>More snow, please.</p></div>
     <div class="side column" b><p>Weather</p></div><div class="menu" b><ul><li>x</li></ul></div><div class="breadcrumb" b>a</div></body>""",
     """<body><main><section><h1>Glass</h1><p>Sand is melted.</p><p>Then it cools<br>slowly.</p></section>
@@ -83,4 +83,15 @@ PAGES = [
     <div class="discussion responses" b><p>Not here it does not.</p></div><div class="pagination" b><a href=/3>3</a></div></main>
     <div class="widget tags" b><a href=/t>tag</a></div><div class="search login" b><p>Find</p></div>
     <div class="modal alert" b><p>Sign up</p></div><div class="copyright disclaimer" b><p>Theirs</p></div></body>""",
+    """<body class="site single"><div class="page site inner"><div class="columns row left"><div class="main column right area">
+    <div class="box user list top"><h1>Iron</h1><p class="intro summary first">It rusts.</p><p class="text last">It bends.</p></div>
+    <div class="slot bottom middle"><p>It melts, if <span class="term">heated</span> enough.</p></div></div></div>
+    <div class="teaser" b><a href=/c>Copper</a></div><div class="reviews thread" b><p>I own some iron.</p></div>
+    <div class="partner offer deals" b><p>Iron at a discount</p></div></div></body>""",
+    """<body><div><header b><a href=/>Crafts</a></header></div><div class="ticker" b>Now</div><div class="hero article-title"><h1>Wool</h1></div><div class="article-content chapter">
+    <p class=paragraph>Sheep are shorn.</p><div class="replies talkback" b><p>Poor sheep.</p></div><h2 class=heading>Spinning</h2>
+    <p>Then it is spun.</p><div class="commercial sponsor adsense" b><p>Sheep for sale</p></div><div class="figure image"><p>A sheep</p></div>
+    <div class="print email feed rss" b><a href=/p>Print</a></div></div><div class="tag searchbox" b>wool</div><div class="crumbs" b><a href=/>Up</a></div>
+    <div class="languages links" b><a href=/de>de</a></div><div class="cart account register" b><p>Your cart</p></div>
+    <div class="survey poll" b><p>Do you knit?</p></div><div class="warning message toast" b><p>Saved</p></div></body>""",
 ]
