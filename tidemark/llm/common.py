@@ -33,11 +33,12 @@ def word_count(text: Column) -> Column:
 
 
 def row_key(*told_apart_by: str) -> Column:
-    """What a row is known by: its id, if it has one, and a hash of further columns. Never null."""
-    doc_id = F.col("doc_id")
-    return F.struct(
-        doc_id.isNull().alias("missing"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"), F.xxhash64(*told_apart_by).alias("hash")
-    )
+    """What a row is known by: its id, if it has one, and a hash of further columns. Never null.
+
+    Text, since a join on structs or on values that may be null casts its keys,
+    and what follows would shuffle again.
+    """
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64(*told_apart_by).cast("string"))
 
 
 def share_of_ids(share: Column | float) -> Column:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hex_to_long, stored, table, word_count
+from tidemark.llm.common import hex_to_long, row_key, stored, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -39,7 +39,7 @@ OFFSET_DIGITS = 5
 
 def _key(source: Column) -> Column:
     """Never null, and in the order of the sources: null last."""
-    return F.struct(source.isNull().alias("missing"), F.coalesce(source, F.lit("")).alias("name"))
+    return F.coalesce(F.concat(F.lit("0"), source), F.lit("1"))
 
 
 def size_class(size: Column) -> Column:
@@ -95,7 +95,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
             break
         level, above = (total - now.filled) / now.open, now.above
     target = F.least(F.col("weight") * F.lit(float(level)), cap.cast("double"))
-    digest = F.md5(F.concat(F.lit("mix:"), F.col("key.missing").cast("string"), F.lit(":"), F.col("key.name")))
+    digest = F.md5(F.concat(F.lit("mix:"), F.col("key")))
     offset = hex_to_long(F.substring(digest, 1, OFFSET_DIGITS)) / F.lit(float(16**OFFSET_DIGITS))
     return weighed.select(
         "key",
@@ -156,30 +156,24 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataF
     All columns are kept. Rows that repeat an id are told apart by text and
     source, and rows equal in these by their number.
     """
-    same = ["doc_id", "text_hash", "nth"]
-    rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("document"),
-        F.col("doc_id"),
-        F.xxhash64("text", "source").alias("text_hash"),
-    )
-    nth = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("doc_id"))
-    hashed = docs.select("doc_id", "source", "text", F.xxhash64("text", "source").alias("text_hash"))
+    key = row_key("text", "source").alias("row_key")
     chosen = (
-        mix(hashed, weights, most, carry=("text_hash",))
+        mix(docs.select("doc_id", "source", "text", key), weights, most, carry=("row_key",))
+        .groupBy("row_key")
+        .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
         .filter("copies > 0")
-        .select(
-            *[F.col(c).alias(f"chosen_{c}") for c in ("doc_id", "text_hash")],
-            F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy(F.desc("copies"))).alias("chosen_nth"),
-            "copies",
-        )
     )
-    numbered = rows.withColumn("nth", nth)
-    matches = [F.col(c).eqNullSafe(F.col(f"chosen_{c}")) for c in same]
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), key)
+    # equal rows have copies that differ by one at most; the texts are shuffled once
+    nth = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
+    own = F.expr("copies DIV rows + CAST(nth <= copies % rows AS BIGINT)")
     return (
-        numbered.join(chosen, matches[0] & matches[1] & matches[2])
-        .select("document", copies.alias("copy"))
-        .select("document.*", F.col("copy"))
+        rows.join(chosen, "row_key")
+        .withColumn("nth", nth)
+        .select("document", own.cast("int").alias("own"))
+        .filter("own > 0")
+        .select("document", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("copy"))
+        .select("document.*", "copy")
     )
 
 
@@ -219,8 +213,7 @@ level AS (
 targets AS (
   SELECT source, place, source_size,
          least(weight * (SELECT level FROM level), cap::DOUBLE) AS target,
-         ('0x' || substr(md5('mix:' || CASE WHEN source IS NULL THEN 'true' ELSE 'false' END
-                             || ':' || coalesce(source, '')), 1, {OFFSET_DIGITS}))::BIGINT / {float(16**OFFSET_DIGITS)} AS u
+         ('0x' || substr(md5('mix:' || coalesce('0' || source, '1')), 1, {OFFSET_DIGITS}))::BIGINT / {float(16**OFFSET_DIGITS)} AS u
   FROM weighed),
 placed AS (
   SELECT doc_id, d.source, size, source_size, target, u,

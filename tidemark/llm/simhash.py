@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import row_key, stored, table
 from tidemark.llm.components import components
 
 WORDS = 4
@@ -182,13 +182,13 @@ def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataF
     Rows with the same id are told apart by their text; a row without an id
     stays only if none of its component has one.
     """
-    text_hash = F.xxhash64("text").alias("text_hash")
-    found = near_duplicates(docs.select("doc_id", "text", text_hash), words, bits, carry=("text_hash",))
-    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
-    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.doc_id", "kept.text_hash")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), "doc_id", text_hash)
-    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["text_hash"] == kept["text_hash"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("document.*")
+    key = row_key("text").alias("row_key")
+    found = near_duplicates(docs.select("doc_id", "text", key), words, bits, carry=("row_key",))
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row_key")
+    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.row_key")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), key)
+    # the texts are shuffled once, by the one key of the join and of what follows
+    return rows.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("document.*")
 
 
 def spelled(fingerprint_: Column) -> Column:
