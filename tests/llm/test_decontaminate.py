@@ -116,3 +116,15 @@ def test_parts_of_items():
     assert d.question_and_answer("one two three") == (["one", "two"], ["three"])
     assert d.overlap([], ["a"]) == 1.0 and d.overlap(["a"], ["b", "a"]) == 1.0
     assert d.overlap("a b c d".split(), "x a b c".split()) == 0.5
+
+
+def test_short_items_beside_long_ones(spark):
+    """Passages are as long as the items they are matched with."""
+    rng = random.Random(6)
+    long = " ".join(f"w{rng.randrange(900)}" for _ in range(3000)) + ". The end of it is here at last."
+    items = spark.createDataFrame([(1, long), (2, QUESTION)], ITEMS)
+    said = QUESTION.split()
+    scattered = " ".join(" ".join(said[i : i + 3]) + " so" * 200 for i in range(len(said) - 2))
+    docs = spark.createDataFrame([(1, long), (2, "x " * 500 + QUESTION + " y" * 5000), (3, scattered)], DOCS)
+    assert sorted((r.doc_id, r.item_id) for r in d.leaks(docs, items).collect()) == [(1, 1), (2, 2)]
+    assert sorted(i.stride for i in d.indexes(items)) == [64, 4096]

@@ -1,11 +1,12 @@
 """Training passages that leak benchmark items.
 
 The items are indexed by BM25: postings by word, with impacts scaled so that an
-item scores 1 against a passage with all of its words. Every document is cut into
-overlapping passages, twice as long as the longest item and half of that apart,
-so that each item that stands in a text stands whole in one passage. Each passage
-is a query of its different words, and all items that score THRESHOLD or more are
-retrieved:
+item scores 1 against a passage with all of its words. Items are indexed by length,
+up to 64 words, 128, and so on. For each index every document is cut into
+overlapping passages, twice that long and that far apart, so that each item that
+stands in a text stands whole in one passage that is not much longer. Each
+passage is a query of its different words, and all items that score THRESHOLD or
+more are retrieved:
 
 * A first bound is taken for all passages of a text at once: an item's heaviest
   words are summed where they occur, and what its other words can add is a fixed
@@ -18,10 +19,10 @@ Each retrieved item is verified: of the word trigrams of its question, and of
 those of its answer, the shares that stand in the passage must both reach
 OVERLAP. The answer is the end of the item, by sentences, at least five words.
 
-Documents are not shuffled. The index is shipped to the tasks, in blocks of a
+Documents are not shuffled. An index is shipped to the tasks, in blocks of a
 bounded number of postings, one pass over the documents for each block; counts of
-words over all items are made before. A benchmark of up to BLOCK postings takes
-one pass.
+words over all items are made before. A benchmark of items of up to 64 words with
+up to BLOCK postings takes one pass.
 
 Defined results: a null or empty text leaks nothing; an item without words is
 never found; repeated items are found each; rows that repeat a document id are
@@ -200,7 +201,7 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def indexes(benchmark: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> Iterator[Index]:
-    """The items' index, in blocks of about `block` postings at most.
+    """The items' indexes, by length and in blocks of about `block` postings at most.
 
     Every block has the word counts of all items.
     """
@@ -208,39 +209,48 @@ def indexes(benchmark: DataFrame, threshold: float = THRESHOLD, block: int = BLO
         benchmark.select("item_id", "text", F.monotonically_increasing_id().alias("item"))
     )
     counted = stored(items.select("item", "text").mapInArrow(_counted, "item long, word string, tf long, size long"))
-    totals = counted.groupBy("item").agg(F.first("size").alias("size")).agg(
-        F.count("*").alias("items"), F.sum("size").alias("words"), F.max("size").alias("longest")
-    ).first()
-    if not totals.items:
-        return
-    n_blocks = ceil(counted.count() / block)
-    known = counted.join(counted.groupBy("word").agg(F.count("*").alias("df")), "word")
-    part = F.pmod(F.xxhash64("item"), F.lit(n_blocks))
-    for b in range(n_blocks):
-        index = Index(threshold=threshold, stride=max(LEAST_STRIDE, totals.longest))
-        of_item: dict[int, list] = {}
-        for row in known.filter(part == b).collect():
-            idf = log(1 + (totals.items - row.df + 0.5) / (row.df + 0.5))
-            norm = K1 * (1 - B + B * row.size * totals.items / totals.words)
-            of_item.setdefault(row.item, []).append((row.word, idf * row.tf * (K1 + 1) / (row.tf + norm)))
-        texts = {row.item: row for row in items.filter(part == b).collect() if row.item in of_item}
-        # items of like sizes share blocks, which makes the block maxima tight
-        by_word: dict[str, list] = {}
-        for item in sorted(of_item, key=lambda i: (len(of_item[i]), i)):
-            number, whole = len(index.ids), sum(w for _, w in of_item[item])
-            index.ids.append(texts[item].item_id)
-            index.parts.append(question_and_answer(texts[item].text))
-            for word, impact in of_item[item]:
-                by_word.setdefault(word, []).append((number, impact / whole))
-        for word in sorted(by_word):
-            index.term[word] = len(index.postings)
-            numbers, impacts = zip(*by_word[word])
-            blocks: dict[int, float] = {}
-            for n, w in by_word[word]:
-                blocks[n // BLOCK_ITEMS] = max(w, blocks.get(n // BLOCK_ITEMS, 0.0))
-            index.postings.append((numbers, impacts, max(impacts), blocks))
-        index.finish()
-        yield index
+    stride = F.greatest(F.lit(LEAST_STRIDE), F.pow(F.lit(2), F.ceil(F.log2("size"))).cast("long"))
+    of_items = counted.groupBy("item").agg(F.first("size").alias("size"), F.count("*").alias("postings"))
+    lengths = of_items.groupBy(stride.alias("stride")).agg(
+        F.count("*").alias("items"), F.sum("size").alias("words"), F.sum("postings").alias("postings")
+    )
+    classes = sorted(lengths.collect())  # one row for each doubling of the length
+    n_items, n_words = (sum(c[k] for c in classes) for k in ("items", "words"))
+    known = counted.withColumn("stride", stride).join(counted.groupBy("word").agg(F.count("*").alias("df")), "word")
+    for c in classes:
+        n_blocks = ceil(c.postings / block)
+        part = F.pmod(F.xxhash64("item"), F.lit(n_blocks))
+        for b in range(n_blocks):
+            chosen = known.filter((F.col("stride") == c.stride) & (part == b))
+            rows, texts = chosen.collect(), items.filter(part == b).join(chosen.select("item").distinct(), "item")
+            yield _index(rows, texts.collect(), n_items, n_words, c.stride, threshold)
+
+
+def _index(rows: list, items: list, n_items: int, n_words: int, stride: int, threshold: float) -> Index:
+    index = Index(threshold=threshold, stride=stride)
+    of_item: dict[int, list] = {}
+    for row in rows:
+        idf = log(1 + (n_items - row.df + 0.5) / (row.df + 0.5))
+        norm = K1 * (1 - B + B * row.size * n_items / n_words)
+        of_item.setdefault(row.item, []).append((row.word, idf * row.tf * (K1 + 1) / (row.tf + norm)))
+    texts = {row.item: row for row in items}
+    # items of like sizes share blocks, which makes the block maxima tight
+    by_word: dict[str, list] = {}
+    for item in sorted(of_item, key=lambda i: (len(of_item[i]), i)):
+        number, whole = len(index.ids), sum(w for _, w in of_item[item])
+        index.ids.append(texts[item].item_id)
+        index.parts.append(question_and_answer(texts[item].text))
+        for word, impact in of_item[item]:
+            by_word.setdefault(word, []).append((number, impact / whole))
+    for word in sorted(by_word):
+        index.term[word] = len(index.postings)
+        numbers, impacts = zip(*by_word[word])
+        blocks: dict[int, float] = {}
+        for n, w in by_word[word]:
+            blocks[n // BLOCK_ITEMS] = max(w, blocks.get(n // BLOCK_ITEMS, 0.0))
+        index.postings.append((numbers, impacts, max(impacts), blocks))
+    index.finish()
+    return index
 
 
 def _search(index: Index, least_overlap: float) -> Callable:
