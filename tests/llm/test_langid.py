@@ -1,5 +1,6 @@
 """Languages: the encoding against its definition, and held-out accuracy."""
 
+import random
 import zlib
 
 import numpy as np
@@ -81,3 +82,41 @@ def test_defined_results(spark):
     nothing = lang.prototypes(docs.limit(0))
     assert nothing == {}
     assert {r.lang_pred for r in lang.predicted(docs, nothing).collect()} == {"und"}
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았다.",
+]
+
+
+def test_unlearned_languages_and_random_letters_are_rejected(spark):
+    rng = random.Random(3)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"]
+    alphabets += ["".join(chr(at + n) for n in range(2000)) for at in (0x4E00, 0xAC00)]
+    noise = [" ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(40)) for a in alphabets for _ in range(40)]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    learned = lang.learned_languages(docs)
+    texts = spark.createDataFrame(list(enumerate(FOREIGN + noise)), "doc_id long, text string")
+    kept = [r.doc_id for r in lang.recognised(texts, learned).collect()]
+    assert not [n for n in kept if n < len(FOREIGN)]
+    assert len(kept) <= 0.02 * len(noise)
+    ours = docs.filter(lang.held_out(docs.doc_id))
+    with_letters = lang.predicted(ours, learned).filter("lang_pred <> 'und'").count()
+    assert lang.recognised(ours, learned).count() >= 0.998 * with_letters > 200
+
+
+def test_short_clean_texts_are_kept(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    learned = lang.learned_languages(docs)
+    ours = docs.filter(lang.held_out(docs.doc_id)).selectExpr("doc_id", "array_join(slice(split(text, ' '), 1, 2), ' ') AS text")
+    with_letters = lang.predicted(ours, learned).filter("lang_pred <> 'und'").count()
+    assert lang.recognised(ours, learned).count() >= 0.98 * with_letters > 200
+    rng = random.Random(5)
+    noise = [" ".join("".join(rng.choices("бвгджzqxkvjwy", k=5)) for _ in range(2)) for _ in range(200)]
+    texts = spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string")
+    assert lang.recognised(texts, learned).count() <= 10
