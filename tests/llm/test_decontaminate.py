@@ -128,3 +128,44 @@ def test_short_items_beside_long_ones(spark):
     docs = spark.createDataFrame([(1, long), (2, "x " * 500 + QUESTION + " y" * 5000), (3, scattered)], DOCS)
     assert sorted((r.doc_id, r.item_id) for r in d.leaks(docs, items).collect()) == [(1, 1), (2, 2)]
     assert sorted(i.stride for i in d.indexes(items)) == [64, 4096]
+
+
+def plain_in_order(part, window):
+    best = [0] * (len(window) + 1)
+    for a in part:
+        before = best[:]
+        for n, b in enumerate(window):
+            best[n + 1] = before[n] + 1 if a == b else max(best[n], before[n + 1])
+    return best[-1]
+
+
+def test_words_in_order():
+    rng = random.Random(2)
+    for _ in range(200):
+        part, window = (rng.choices("abcdef", k=rng.randint(1, 12)) for _ in range(2))
+        places = {w: sum(1 << n for n, x in enumerate(part) if x == w) for w in part}
+        assert d._most_in_order(places, len(part), window) == plain_in_order(part, window)
+    assert d.in_order([], ["a"]) == 1.0 and d.in_order(["a"], []) == 0.0
+    assert d.in_order("a b c d e".split(), "x x a b z d e x".split()) == 0.8
+    assert d.in_order("a b c d e".split(), ("a " + "x " * 20 + "b " + "x " * 20 + "c").split()) == 0.2
+    long = [f"w{n}" for n in range(300)]
+    assert d.in_order(long, ["x"] * 77 + long + ["x"] * 500) == 1.0
+
+
+@pytest.mark.parametrize("share, least", [(None, 0.99), (0.01, 0.99), (0.05, 0.97), (0.1, 0.95)])
+def test_items_with_changed_words_are_found(spark, share, least):
+    rng = random.Random(7)
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    docs, parts_alone = [], []
+    for r in items.collect():
+        said = d.words(r.text)
+        at = rng.randrange(len(said))
+        changed = [f"zz{n}" if (n == at if share is None else rng.random() < share) else w for n, w in enumerate(said)]
+        docs.append((r.item_id, " ".join(["before"] * rng.randrange(99) + changed + ["after"] * 99)))
+        question, answer = d.question_and_answer(r.text)
+        # too few words to tell the item from its question
+        if len(answer) > 1 and len(question) > 1:
+            parts_alone.append((r.item_id, " ".join(["before"] * 50 + question + ["after"] * 99)))
+    found = d.leaks(spark.createDataFrame(docs, DOCS), items).filter("doc_id = item_id").count()
+    assert found >= least * len(docs)
+    assert d.leaks(spark.createDataFrame(parts_alone, DOCS), items).filter("doc_id = item_id").count() == 0

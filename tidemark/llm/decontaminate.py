@@ -15,9 +15,12 @@ more are retrieved:
 * The others run block-max WAND: cursors over the words' postings, the pivot by
   the words' largest impacts, and blocks of items skipped by their block maxima.
 
-Each retrieved item is verified: of the word trigrams of its question, and of
-those of its answer, the shares that stand in the passage must both reach
-OVERLAP. The answer is the end of the item, by sentences, at least five words.
+Each retrieved item is verified: its question and its answer must both reach
+OVERLAP, by the share of its word trigrams that stand in the passage or by the
+share of its words that stand there in order, in a stretch not much longer than
+itself. A changed word takes three trigrams, all that a short answer has, but one
+word in order only. The answer is the end of the item, by sentences, at least five
+words.
 
 Documents are not shuffled. An index is shipped to the tasks, in blocks of a
 bounded number of postings, one pass over the documents for each block; counts of
@@ -82,6 +85,42 @@ def overlap(part: list[str], passage: list[str]) -> float:
     return len(grams & set(zip(*(passage[i:] for i in range(size))))) / len(grams)
 
 
+def _most_in_order(places: dict[str, int], size: int, window: list[str]) -> int:
+    """Length of the longest common subsequence, by bits: places has each word's places in the part."""
+    full = rest = (1 << size) - 1
+    for word in window:
+        here = rest & places.get(word, 0)
+        if here:
+            rest = (rest + here | rest - here) & full
+    return size - rest.bit_count()
+
+
+def in_order(part: list[str], passage: list[str]) -> float:
+    """The largest share of a part's words that stand in order in a stretch of the passage, a quarter longer than it."""
+    size = len(part)
+    if not size:
+        return 1.0
+    places: dict[str, int] = {}
+    for n, word in enumerate(part):
+        places[word] = places.get(word, 0) | 1 << n
+    # of long parts not every start is tried: stretches are that much longer
+    step = max(1, size // 8)
+    length, best = size + size // 4 + step, 0
+    for start in range(0, len(passage), step):
+        window = passage[start : start + length]
+        if step > 1 or window[0] in places:
+            best = max(best, _most_in_order(places, size, window))
+            if best == size:
+                break
+    return best / size
+
+
+def agreement(part: list[str], passage: list[str], least: float) -> float:
+    """By trigrams if that reaches `least`, else the better of trigrams and words in order."""
+    share = overlap(part, passage)
+    return share if share >= least else max(share, in_order(part, passage))
+
+
 @dataclass
 class Index:
     """BM25 postings of some items. Items are numbered by their place in `ids`."""
@@ -174,7 +213,7 @@ class Index:
                     cursor[0] = items[cursor[1]] if cursor[1] < len(items) else end
 
     def leaks(self, text: str | None, least_overlap: float) -> Iterator[tuple[int, float, float, float]]:
-        """Verified (item, score, question overlap, answer overlap) of each passage."""
+        """Verified (item, score, question agreement, answer agreement) of each passage."""
         said = words((text or "").lower())
         number = self.term.get
         found = np.array([number(w, -1) for w in said], dtype=np.int64)
@@ -182,9 +221,12 @@ class Index:
             start, stop = int(p) * self.stride, (int(p) + 2) * self.stride
             terms = np.unique(found[start:stop])
             for item, score in self.retrieve(terms[terms >= 0].tolist()):
-                question, answer = (overlap(part, said[start:stop]) for part in self.parts[item])
-                if question >= least_overlap and answer >= least_overlap:
-                    yield item, score, question, answer
+                passage = said[start:stop]
+                question = agreement(self.parts[item][0], passage, least_overlap)
+                if question >= least_overlap:
+                    answer = agreement(self.parts[item][1], passage, least_overlap)
+                    if answer >= least_overlap:
+                        yield item, score, question, answer
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
