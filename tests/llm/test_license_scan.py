@@ -89,3 +89,38 @@ def test_defined_results(spark):
     own = licenses(docs, {"mine": "under the MIT"}).collect()
     assert [(r.license, r.matched_words) for r in own] == [("mine", 3)]
     assert licenses(docs.limit(0)).count() == 0
+
+
+SHORT = sorted(n for n, t in TEMPLATES.items() if len(re.findall(r"\w+", t)) <= 8)
+
+
+@pytest.mark.parametrize("between", ["", " x", " a b", " a b c", " a b c d e f g"])
+@pytest.mark.parametrize("name", SHORT)
+def test_notices_that_repeat_are_found_each(name, between):
+    said = TEMPLATES[name]
+    for times in (2, 3, 4, 9):
+        text = "Before it. " + (said + between + " ") * times + "after it"
+        pattern = re.compile(r"\b" + r"\W+".join(re.findall(r"\w+", said)) + r"\b", re.I)
+        wanted = [m.span() for m in pattern.finditer(text)]
+        got = built_in().matches(text)
+        assert len(wanted) == times
+        assert [(re.sub(r"\W+$", "", text[a:b]), m.license) for m, a, b in got] == [(text[a:b], name) for a, b in wanted]
+        assert [(a, b) for _, a, b in got] == wanted
+
+
+def test_a_notice_without_a_word_beside_a_whole_one():
+    text = "Under the MIT License. Released under the MIT License."
+    said = [(m.license, m.matched, a) for m, a, _ in built_in().matches(text)]
+    assert said == [("MIT (licensed)", 4, 0), ("MIT (notice)", 5, 23)]  # of equal ones the first by name
+
+
+def test_runs_of_random_notices():
+    rng = random.Random(4)
+    for _ in range(60):
+        names = rng.choices(sorted(TEMPLATES), k=rng.randint(2, 8))
+        text = " ".join(TEMPLATES[n] + rng.choice(["", " word", "\nand then some"]) for n in names)
+        assert [m.license for m, _, _ in built_in().matches(text)] == names
+
+
+def test_many_repeats_in_one_text():
+    assert len(built_in().matches("All rights reserved.\n" * 20_000)) == 20_000

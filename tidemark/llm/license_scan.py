@@ -11,6 +11,9 @@ coverage of the template and the span in the text, in code points.
 
 A match needs COVERAGE of the template. Where spans overlap, the alignment with
 the best score stands; of equal ones the longer template, then the first by name.
+Hits beside it, whose alignment it took words from, are aligned again with the
+words between the spans that stand. Of equal alignments of one hit the nearest to
+its diagonal counts, so that notices that repeat are found each.
 
 Texts are not shuffled, and the templates are fixed and small, so the index goes
 to the tasks as it is. All occurrences are reported; a text that holds a template
@@ -24,6 +27,7 @@ matter; rows that repeat are scanned each; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -115,6 +119,10 @@ class Match:
     coverage: float
     score: float
 
+    def holds(self, place: int) -> bool:
+        """Whether a run of GRAM words lies inside."""
+        return self.start <= place and place + GRAM <= self.end
+
 
 def align(template: list, words: list, at: int, band: int) -> tuple[float, int, int, int]:
     """Score, matched words, start and end in `words` of the best alignment of a whole template.
@@ -144,7 +152,8 @@ def align(template: list, words: list, at: int, band: int) -> tuple[float, int,
                 best = max(best, (score - (GAP if start >= 0 else 0.0), matched, start, end))
             new.append(best)
         row = new
-    return max(row)
+    nearest = max(range(width), key=lambda d: (*row[d][:2], -abs(d - band), *row[d][2:]))
+    return row[nearest]
 
 
 class Templates:
@@ -175,23 +184,38 @@ class Templates:
         starts = range(max(1, len(grams) - WINDOW + 1))
         return sorted({min(range(s, min(s + WINDOW, len(grams))), key=lambda i: (hashes[i], -i)) for s in starts})
 
-    def hits(self, words: list[str]) -> list[tuple[int, int]]:
-        """(template, place of its first word in the text), each once, in page order."""
+    def hits(self, words: list[str]) -> dict[tuple[int, int], list[int]]:
+        """By template and place of its first word in the text the places of the runs that hit it."""
         number, base = self.number.get, len(self.number) + 1
         numbers = np.array([number(w, -1) for w in words], dtype=np.int64) + 1
         if len(numbers) < GRAM:
-            return []
+            return {}
         runs, known = numbers[: len(numbers) - GRAM + 1].copy(), numbers[: len(numbers) - GRAM + 1] > 0
         for k in range(1, GRAM):
             part = numbers[k : len(numbers) - GRAM + 1 + k]
             runs, known = runs * base + part, known & (part > 0)
         places = np.nonzero(known)[0]
         places = places[np.isin(runs[places], self.known)]
-        found = {}
+        found: dict[tuple[int, int], list[int]] = {}
         for place, run in zip(places.tolist(), runs[places].tolist()):
             for t, within in self.index[run]:
-                found.setdefault((t, place - within), None)
-        return list(found)
+                found.setdefault((t, place - within), []).append(place)
+        return found
+
+    @staticmethod
+    def _free(place: int, starts: list[int], taken: dict[int, Match], n_words: int) -> tuple[int, int] | None:
+        """The words around a run of words up to the matches beside it; None if one has words of the run."""
+        n = bisect_left(starts, place + GRAM)
+        low = taken[starts[n - 1]].end if n else 0
+        return (low, starts[n] if n < len(starts) else n_words) if low <= place else None
+
+    def _aligned(self, t: int, at: int, words: list[str], low: int, high: int) -> Match:
+        """The best alignment of a template with its first word near `at`, among the words from low to high."""
+        template = self.words[t]
+        band = max(BAND, int(BAND_SHARE * len(template)))
+        low = max(low, at - band)
+        score, matched, start, end = align(template, words[low : min(high, at + len(template) + band)], at - low, band)
+        return Match(self.names[t], start + low, end + low, matched, matched / len(template), score)
 
     def matches(self, text: str | None, least: float = COVERAGE) -> list[tuple[Match, int, int]]:
         """Matches in page order, each with its span in code points."""
@@ -199,27 +223,37 @@ class Templates:
         hits = self.hits(words)
         if not hits:
             return []
-        found: dict[tuple, Match] = {}
-        reached: dict[int, int] = {}  # by template: the last place of which an alignment was made
-        for t, at in sorted(hits):
-            template = self.words[t]
-            band = max(BAND, int(BAND_SHARE * len(template)))
-            if t in reached and 0 <= at - reached[t] <= band // 2:
-                continue  # within the band of the one before
-            reached[t] = at
-            score, matched, start, end = align(template, words, at, band)
-            coverage = matched / len(template)
-            if coverage >= least:
-                found[t, start, end] = Match(self.names[t], start, end, matched, coverage, score)
-        taken: list[Match] = []
-        for m in sorted(found.values(), key=lambda m: (-m.score, -m.matched, m.license, m.start)):
-            if all(m.end <= o.start or o.end <= m.start for o in taken):
-                taken.append(m)
+        starts: list[int] = []  # of the matches that stand, sorted
+        taken: dict[int, Match] = {}  # by start
+        while hits:
+            found: dict[tuple[int, int], Match] = {}
+            whole: dict[int, Match] = {}  # by template: the last match word by word
+            for t, at in sorted(hits):
+                places = [x for x in hits[t, at] if t not in whole or not whole[t].holds(x)]
+                stretch = next((f for f in (self._free(x, starts, taken, len(words)) for x in places) if f), None)
+                if stretch is None:
+                    continue  # its words are taken
+                m = self._aligned(t, at, words, *stretch)
+                if m.coverage >= least:
+                    found[t, at] = m
+                    if m.matched == m.end - m.start == len(self.words[t]):
+                        whole[t] = m
+            for m in sorted(set(found.values()), key=lambda m: (-m.score, -m.matched, m.license, m.start)):
+                n = bisect_left(starts, m.start)
+                if (n == 0 or taken[starts[n - 1]].end <= m.start) and (n == len(starts) or m.end <= starts[n]):
+                    starts.insert(n, m.start)
+                    taken[m.start] = m
+            # left are hits whose match does not stand, or is another occurrence than theirs
+            hits = {
+                hit: hits[hit]
+                for hit, m in found.items()
+                if taken.get(m.start) != m or not any(m.holds(x) for x in hits[hit])
+            }
         # code points of the words, in the text as it was: lower-casing may change its length
         spans = [m.span() for m in _word.finditer(text)]
         if len(spans) != len(words):
             spans = _spans_of_lowered(text)
-        return [(m, spans[m.start][0], spans[m.end - 1][1]) for m in sorted(taken, key=lambda m: m.start)]
+        return [(taken[n], spans[n][0], spans[taken[n].end - 1][1]) for n in starts]
 
 
 def _spans_of_lowered(text: str) -> list[tuple[int, int]]:
