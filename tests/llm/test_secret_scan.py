@@ -143,3 +143,44 @@ def test_redaction_keeps_the_rest(spark):
         assert r.text == out + text[at:]
         assert r.n_chars == len(r.text) and (r.secrets_spans, r.document) == (1, "x")
         assert not re.search("[0-9a-f]{16}", r.text)
+
+
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def found_in(spark, texts):
+    df = rows(spark, texts)
+    got = s.scan(df, s.discovery_levels(df)).collect()
+    return {r.doc_id: [(x.start, x.end) for x in r.secrets_spans if x.kind == len(s.KINDS) - 1] for r in got}
+
+
+@pytest.mark.parametrize("marks", ["", "+/"])
+def test_random_strings_in_paths_with_both_marks_are_found(spark, marks):
+    rng = random.Random(6)
+    paths = ["build/x86_64/", "my-service/", "a-b/c_d/some_long_name_of_a/"]
+    secrets = ["".join(rng.choices(ALNUM + marks, k=44)) for _ in range(120)]
+    places = [f"see {paths[n % 3]}" for n in range(120)]
+    found = found_in(spark, [f"{a}{x} end" for a, x in zip(places, secrets)])
+    whole = [any(a <= len(p) and len(p) + 44 <= b for a, b in found[n]) for n, p in enumerate(places)]
+    assert sum(whole) > 105
+
+
+def test_wordy_paths_with_both_marks_are_not_found(spark):
+    rng = random.Random(7)
+    words = ["river", "stone", "walking", "over", "the", "bridge", "2024", "chapter", "of", "many", "build", "x86"]
+    texts = ["".join(w + rng.choice("/_-") for w in rng.choices(words, k=9)) for _ in range(300)]
+    assert sum(map(bool, found_in(spark, texts).values())) <= 3
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ALNUM[:52]])
+def test_random_letters_are_found_and_words_in_letters_are_not(spark, letters):
+    rng = random.Random(9)
+    words = "river stone walking over the bridge chapter many people national information government between this"
+    words = [w.upper() if letters.isupper() else w for w in words.split()]
+    if letters == ALNUM[:52]:
+        words = [w.title() for w in words]
+    secrets = ["".join(rng.choices(letters, k=44)) for _ in range(150)]
+    wordy = ["".join(rng.choices(words, k=7))[:44] for _ in range(150)]
+    found = found_in(spark, secrets + wordy)
+    assert sum(found[n] == [(0, 44)] for n in range(150)) > 130
+    assert sum(bool(found[150 + n]) for n in range(150)) <= 15

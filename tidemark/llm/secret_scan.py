@@ -3,10 +3,13 @@
 Patterns (leftmost, non-overlapping per kind): values assigned to a password,
 token or key; access key ids; long lower-case hex strings.
 
-Random strings: every run of 20 or more base64 characters that holds a digit and
-a letter is a candidate. Its encoding is the narrowest alphabet that has all its
-characters: hex, base32, base36, base64. The characters' places in the alphabet
-go through three tests of randomness:
+Random strings: every run of 20 or more base64 characters that holds a letter is a
+candidate. Of a run that has marks of both kinds of base64, which no encoding has,
+the candidates are its runs of 20 or more characters with marks of one kind and
+those without a mark. A candidate's encoding is the narrowest alphabet that has all
+its characters: hex, base32, base36, base64, or for those without a digit letters,
+with marks or not, the ones common in words first. The characters' places in the
+alphabet go through three tests of randomness:
 
 * chi-squared, over eight equal ranges of the alphabet;
 * runs above and below the middle of the alphabet;
@@ -25,7 +28,8 @@ Only DataFrame functions are used; a text is scanned where it lies, nothing is
 shuffled but the counts on the grid.
 
 Defined results: a null or empty text has no spans; spans are in code points,
-end exclusive; a random string that touches a pattern's span adds nothing; rows
+end exclusive; a random string that touches a pattern's span, or lies inside a
+longer one, adds nothing; digits and marks alone are no candidate; rows
 that repeat are scanned each on its own and count each as a candidate; an empty
 table gives no rows.
 """
@@ -55,10 +59,19 @@ PATTERNS = [
 KINDS = [kind for kind, *_ in PATTERNS] + ["random"]
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+#: Of a run with marks of both kinds: what has marks of one kind, or none.
+PIECES = (r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9]{20,}")
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Letters as they are common in words, so that words are uneven over the ranges.
+_COMMON = "eanirtsoludhcmgpbfwvzkyqjx"
 #: Encoding, what its strings match, its alphabet in order.
 ENCODINGS = [
+    ("lower", "^[a-z]+$", _COMMON),
+    ("UPPER", "^[A-Z]+$", _COMMON.upper()),
+    ("letters", "^[A-Za-z]+$", _COMMON + _COMMON.upper()),
+    ("letters+/", "^[A-Za-z+/]+$", _COMMON + _COMMON.upper() + "+/"),
+    ("letters-_", "^[A-Za-z_-]+$", _COMMON + _COMMON.upper() + "-_"),
     ("hex", "^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("HEX", "^[0-9A-F]+$", _DIGITS + "ABCDEF"),
     ("base32", "^[A-Z2-7]+$", _UPPER + "234567"),
@@ -205,11 +218,11 @@ def _pick(encoding: Column, of: dict) -> Column:
 
 
 def encoding_of(string: Column) -> Column:
-    """The narrowest encoding with all characters; null without a digit and a letter."""
+    """The narrowest encoding with all characters; null without a letter."""
     narrowest = F.lit(None).cast("string")
     for name, pattern, _ in reversed(ENCODINGS):
         narrowest = F.when(string.rlike(pattern), name).otherwise(narrowest)
-    return F.when(string.rlike("[0-9]") & string.rlike("[A-Za-z]"), narrowest)
+    return F.when(string.rlike("[A-Za-z]"), narrowest)
 
 
 def battery(string: Column, encoding: Column) -> Column:
@@ -252,8 +265,18 @@ def _length_class(n: Column) -> Column:
 
 def candidates(text: Column) -> Column:
     """Encoded strings of a text, each with its stratum and the grid level of its p-value."""
+    def pieces(run: Column) -> Column:
+        def placed(m: Column) -> Column:
+            start = run["start"] + m["start"]
+            end = run["start"] + m["end"]
+            return F.struct(start.alias("start"), m["kind"].alias("kind"), end.alias("end"), m["string"].alias("string"))
+
+        each = [_matches(run["string"], pattern, 0, LENGTH_CLASSES[0], len(KINDS) - 1) for pattern in PIECES]
+        mixed = run["string"].rlike("[+/]") & run["string"].rlike("[_-]")
+        return F.when(mixed, F.array_distinct(F.transform(F.concat(*each), placed))).otherwise(F.array(run))
+
     strings = F.transform(
-        _matches(text, CANDIDATE, 0, LENGTH_CLASSES[0], len(KINDS) - 1),
+        F.flatten(F.transform(_matches(text, CANDIDATE, 0, LENGTH_CLASSES[0], len(KINDS) - 1), pieces)),
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["string"].alias("string"),
             encoding_of(m["string"]).alias("encoding"),
@@ -318,8 +341,19 @@ def scan(docs: DataFrame, levels: dict[str, int]) -> DataFrame:
         lambda c: (c["level"] >= F.coalesce(_pick(c["stratum"], levels).cast("int"), F.lit(GRID * GRID_POWERS + 1)))
         & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
     )
-    added = F.transform(
+    # of pieces of one run the longest
+    longest = _let(
         random,
+        lambda found: F.filter(
+            found,
+            lambda c: ~F.exists(
+                found,
+                lambda o: (o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (o["end"] - o["start"] > c["end"] - c["start"]),
+            ),
+        ),
+    )
+    added = F.transform(
+        longest,
         lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS) - 1).alias("kind"), c["end"].alias("end")),
     )
     found = docs.withColumns({"secrets_base": base_spans(text), "secrets_spans": candidates(text)})
