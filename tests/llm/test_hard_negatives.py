@@ -1,0 +1,108 @@
+"""Hard negatives against plain Python, and bounds that never lose a score."""
+
+import random
+from math import floor
+
+import numpy as np
+import pytest
+
+from tidemark.llm import hard_negatives as h
+from tidemark.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, label int, embedding array<float>"
+
+
+def wanted(rows, is_anchor):
+    """(vec_id, label, vector of whole numbers) to the result."""
+    out = []
+    for n, (anchor_id, label, vector) in enumerate(rows):
+        if not is_anchor(anchor_id):
+            continue
+        scored = []
+        for m, (i, other, v) in enumerate(rows):
+            if m != n:
+                scored.append((-sum(a * b for a, b in zip(vector, v)), i is None, i, other == label))
+        scored.sort(key=lambda s: s[:2] + (0 if s[1] else s[2],))
+        for s, _, positive_id, alike in [s for s in scored if s[3]][:5]:
+            fit = [t for t in scored if not t[3] and 50 * -s <= 100 * -t[0] <= 95 * -s][:3]
+            out += [(anchor_id, positive_id, k + 1, t[2], -s, -t[0]) for k, t in enumerate(fit)]
+    return sorted(out, key=repr)
+
+
+def clustered(count, seed, width=16):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, width))
+    return [(i, int(c), (centres[c] + rng.normal(size=width) * 0.3).round(3).tolist()) for i, c in enumerate(rng.integers(0, 6, count))]
+
+
+@pytest.mark.parametrize("anchors, candidates", [(1, 3), (4, 64), (2048, 2048)])
+def test_query(spark, tmp_path, monkeypatch, anchors, candidates):
+    monkeypatch.setattr(h, "ANCHORS", anchors)
+    monkeypatch.setattr(h, "CANDIDATES", candidates)
+    data = clustered(240, 1)
+    spark.createDataFrame(data, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    whole = [
+        (i, (c + 1) % 10 if i % 7 == 0 else c, [floor(256 * float(np.float32(x))) for x in v]) for i, c, v in data
+    ]
+    found = QUERIES["op13_negatives"](spark, str(tmp_path))
+    expected = wanted(whole, lambda i: i % 50 == 0)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected
+    assert expected
+
+
+def test_bounds_keep_every_score():
+    rng = np.random.default_rng(2)
+    points = rng.integers(-300, 300, (40, 8)).astype(float)
+    rows = rng.integers(-300, 300, (500, 8)).astype(float)
+    scores = points @ rows.T
+    low = np.quantile(scores, 0.97, axis=1)
+    high = np.quantile(scores, 0.99, axis=1)
+    tree = h.SpanningTree(points)
+    assert sorted(tree.order) == list(range(40))
+    for n, at, found in tree.overlapping(rows, lambda n: np.ones(len(rows), dtype=bool), low, high):
+        assert (found == scores[n][at]).all()
+        inside = np.nonzero((scores[n] >= low[n]) & (scores[n] <= high[n]))[0]
+        assert set(inside) <= set(at)
+
+
+def test_near_anchors_spare_most_scores():
+    rng = np.random.default_rng(3)
+    points = 1000 + rng.integers(0, 3, (30, 8)).astype(float)
+    rows = rng.integers(-1000, 1000, (2000, 8)).astype(float)
+    scores = points @ rows.T
+    low = np.quantile(scores, 0.99, axis=1)
+    tree = h.SpanningTree(points)
+    looked_at = [len(at) for _, at, _ in tree.overlapping(rows, lambda n: np.ones(len(rows), dtype=bool), low, low + 1e9)]
+    assert sum(looked_at) < 0.1 * scores.size
+
+
+def test_spanning_tree_is_minimal():
+    points = np.array([[0.0], [10.0], [1.0], [11.0], [5.0]])
+    tree = h.SpanningTree(points)
+    assert sum(tree.edge) == pytest.approx(11.0)
+
+
+def test_defined_results(spark):
+    rnd = random.Random(4)
+    rows = [(i, i % 3, [rnd.uniform(-1, 1) for _ in range(5)]) for i in range(90)]
+    rows += [(100, 1, [0.5] * 5)] * 2  # rows that repeat, anchors too
+    rows += [(None, 0, [0.4] * 5), (None, 2, [0.3] * 5), (150, 0, [1.0, 2.0]), (200, 0, []), (250, 9, [1.0] * 5)]
+    rows += [(300, 0, [0.0] * 5), (350, 1, [-1.0] * 5)]
+    bad = [(400, None, [1.0] * 5), (450, 1, None), (500, 1, [1.0, None]), (550, 1, [float("nan")]), (600, 1, [float("-inf")])]
+    df = spark.createDataFrame(rows + bad, SCHEMA).selectExpr("*", "1 AS row", "2 AS block", "3 AS score", "4 AS anchor")
+    found = h.hard_negatives(h.whole_vectors(df), "vec_id % 50 = 0")
+    whole = [(i, c, [floor(256 * float(np.float32(x))) for x in v]) for i, c, v in rows]
+    expected = wanted(whole, lambda i: i is not None and i % 50 == 0)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected
+    assert h.hard_negatives(h.whole_vectors(df.limit(0)), "vec_id % 50 = 0").collect() == []
+
+
+def test_large_numbers_are_exact(spark):
+    rows = [(0, 1, [3e30, 1.0]), (1, 1, [2.0, 1e9]), (2, 0, [1.0, 3.0]), (3, 0, [1.25, -1e9]), (4, 1, [1.0, 1.0])]
+    rows = [(i, c, [float(np.float32(x)) for x in v]) for i, c, v in rows]
+    found = h.hard_negatives(h.whole_vectors(spark.createDataFrame(rows, SCHEMA)), "vec_id = 0").collect()
+    bound = (1 << 63) - 1
+    whole = [(i, c, [min(bound, floor(256 * x)) for x in v]) for i, c, v in rows]
+    expected = [t[:4] + (min(bound, t[4]), min(bound, t[5])) for t in wanted(whole, lambda i: i == 0)]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    assert expected

@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "conversations")
+TABLES = ("documents", "conversations", "embeddings")
 
 
 def rows(names, found):
@@ -17,7 +17,7 @@ def rows(names, found):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in (*range(1, 11), 13)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -34,7 +34,7 @@ def test_query(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "conversations", "benchmark", "pages", "labels"):
+    for t in (*TABLES, "benchmark", "pages", "labels"):
         empty = spark.read.parquet(f"{SF_DIR}/{t}.parquet").limit(0)
         empty.write.parquet(str(tmp_path / f"{t}.parquet"))
     found = QUERIES[name](spark, str(tmp_path)).collect()

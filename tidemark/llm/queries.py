@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, fingerprints, html_text, langid, license_scan, mixing, quality, secret_scan, simhash
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    hard_negatives,
+    html_text,
+    langid,
+    license_scan,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+)
 
 QUERIES = {
     "op1_html": html_text.op1_html,
@@ -15,9 +27,11 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_licenses": license_scan.op9_licenses,
     "op10_chat": chat.op10_chat,
+    "op13_negatives": hard_negatives.op13_negatives,
 }
 
 ORACLES = {
     "op4_mixing": mixing.OP4_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op13_negatives": hard_negatives.OP13_SQL,
 }
