@@ -14,6 +14,7 @@ from tidemark.llm import (
     quality,
     secret_scan,
     simhash,
+    token_alignment,
 )
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_licenses": license_scan.op9_licenses,
     "op10_chat": chat.op10_chat,
+    "op11_alignment": token_alignment.op11_alignment,
     "op13_negatives": hard_negatives.op13_negatives,
 }
 
