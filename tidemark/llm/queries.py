@@ -14,6 +14,7 @@ from tidemark.llm import (
     quality,
     secret_scan,
     simhash,
+    substring_dedup,
     token_alignment,
 )
 
@@ -29,11 +30,13 @@ QUERIES = {
     "op9_licenses": license_scan.op9_licenses,
     "op10_chat": chat.op10_chat,
     "op11_alignment": token_alignment.op11_alignment,
+    "op12_substrings": substring_dedup.op12_substrings,
     "op13_negatives": hard_negatives.op13_negatives,
 }
 
 ORACLES = {
     "op4_mixing": mixing.OP4_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op12_substrings": substring_dedup.OP12_SQL,
     "op13_negatives": hard_negatives.OP13_SQL,
 }
