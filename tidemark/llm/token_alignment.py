@@ -87,6 +87,7 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=file_b)
         self.bytes_b = {n: self._piece(n) for n in range(self.b.get_piece_size())}
         self.sizes_a, self.sizes_b = _sizes(self.bytes_a), _sizes(self.bytes_b)
+        self.said_a, self.said_b = _said(len(self.sizes_a), "|"), _said(len(self.sizes_b), ";")
 
     def _piece(self, n: int) -> bytes:
         if self.b.is_byte(n):
@@ -100,7 +101,7 @@ class Tokenizers:
             ids = self.a.encode_ordinary(" " + text) if text else []
             spelled = (
                 bool(text)
-                and b"".join(map(self.bytes_a.__getitem__, ids)) == whole
+                and self.a.decode_bytes(ids) == whole
                 and b"".join(map(self.bytes_b.__getitem__, pieces)) == whole
             )
             yield (np.array(ids, dtype=np.int64), np.array(pieces, dtype=np.int64)) if spelled else None
@@ -142,16 +143,23 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(np.arange(len(ends_a)), count), np.arange(count.sum()) - np.repeat(before - first, count)
 
 
-def spelled_groups(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
-    """Ids by group: `a1,a2|b1;a3|b2,b3`."""
-    cut_a = np.searchsorted(group_a, np.arange(1, group_a[-1] + 1)).tolist() if len(a) else []
-    cut_b = np.searchsorted(group_b, np.arange(1, group_b[-1] + 1)).tolist() if len(b) else []
-    said_a, said_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    out, i, j = [], 0, 0
-    for end_a, end_b in zip([*cut_a, len(a)], [*cut_b, len(b)]):
-        out.append(f"{','.join(said_a[i:end_a])}|{','.join(said_b[j:end_b])}")
-        i, j = end_a, end_b
-    return ";".join(out)
+def spelled_groups(
+    a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, said_a: np.ndarray, said_b: np.ndarray
+) -> str:
+    """Ids by group: `a1,a2|b1;a3|b2,b3`. See `_said` for the last two."""
+    if not len(a):
+        return ""
+    last_a, last_b = (np.concatenate((g[1:] != g[:-1], [True])).astype(np.int64) for g in (group_a, group_b))
+    out = np.empty(len(a) + len(b), dtype=object)
+    # behind a token of A stand B's tokens of earlier groups, behind one of B also A's of the same group
+    out[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = said_a[last_a, a]
+    out[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = said_b[last_b, b]
+    return "".join(out.tolist())[:-1]
+
+
+def _said(count: int, end: str) -> np.ndarray:
+    """Ids as text, with what follows them: a comma inside a group, `end` behind its last."""
+    return np.array([[f"{n}{mark}" for n in range(count)] for mark in (",", end)], dtype=object)
 
 
 def _aligned(tokenizers: Tokenizers, text: str, tokens: tuple[np.ndarray, np.ndarray] | None) -> tuple:
@@ -163,7 +171,8 @@ def _aligned(tokenizers: Tokenizers, text: str, tokens: tuple[np.ndarray, np.nda
     group_a, group_b = groups(ends_a, ends_b)
     at_a, at_b = links(ends_a, ends_b)
     pairs, times = np.unique(a[at_a] * BASE + b[at_b], return_counts=True)
-    digest = sha256(spelled_groups(a, b, group_a, group_b).encode()).hexdigest()
+    said = spelled_groups(a, b, group_a, group_b, tokenizers.said_a, tokenizers.said_b)
+    digest = sha256(said.encode()).hexdigest()
     return len(a), len(b), int(group_a[-1]) + 1, len(at_a), digest, pairs, times.astype(np.int32)
 
 
