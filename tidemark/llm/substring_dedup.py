@@ -15,13 +15,13 @@ The tree is sparse. Of each window of `depth` words one suffix is taken to a gro
 the one whose first PREFIX words have the least digest among those that begin with
 PREFIX words inside the window; windows with the same words agree on it, so they
 meet. It brings the words on its left that its windows need. Windows next to each
-other share suffixes: there is one for about seven words. If more than GROUP
+other share suffixes: there is one for about eight words. If more than GROUP
 suffixes share all PREFIX words, each of their windows goes alone, by all of its
 words, and a task sends the earliest of equal ones only. So a passage that stands
 in a third of all documents comes in as many times as there are tasks.
 
-The words travel once, compressed; the texts once more, to meet what is removed
-from them. Words are told apart by 64-bit digests.
+The words of the suffixes travel once, and the texts once, to meet what is removed
+from them, both compressed. Words are told apart by 64-bit digests.
 
 Defined results: a null text has no words; a document with fewer than `depth`
 words keeps them. Windows stand in the order of ids, null ones last, then of
@@ -41,11 +41,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_key, table
+from tidemark.llm.common import row_key, stored, table
 
 DEPTH = 20
 #: Words by which suffixes are split, at most; shorter prefixes are tried first.
-PREFIX = 8
+PREFIX = 6
 SHORTER = (2, 4)
 #: Suffixes in a group on average, and the number of prefixes that may be prolonged, at most.
 GROUP, PROLONGED = 1 << 16, 1 << 20
@@ -174,7 +174,7 @@ def shared_prefixes(docs: DataFrame, depth: int, prefix: int) -> tuple[int, dict
             yield _frequent(waiting, sizes, least)
 
     parts = docs.select("text").mapInArrow(counted, "size int, digest long, n long")
-    counts = parts.groupBy("size", "digest").agg(F.sum("n").alias("n"))
+    counts = stored(parts.groupBy("size", "digest").agg(F.sum("n").alias("n")))
     (total,) = counts.filter("size = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()
     found = counts.filter((F.col("size") > 0) & (F.col("n") > max(GROUP, total // PROLONGED))).toArrow()
     size, digest = (found.column(c).to_numpy() for c in ("size", "digest"))
@@ -196,8 +196,10 @@ def _frequent(waiting: list[list[np.ndarray]], sizes: list[int], least: int) ->
 
 # Of each suffix that travels: words before its prefix, windows, bytes, word number of its first window, and its row.
 _FIELDS = [("lead", "u1"), ("windows", "u1"), ("size", "u4"), ("start", "u4"), ("no_id", "u1"), ("doc_id", "i8"), ("text_hash", "i8")]
-_PACK = "group_of long, n int, about binary, words binary, doc_id long, text_hash long, starts array<int>"
-_STARTS = "doc_id long, text_hash long, starts array<int>"
+_RANGES = "doc_id long, text_hash long, begins array<int>, ends array<int>"
+_PACK = f"group_of long, n int, about binary, words binary, {_RANGES}"
+_KINDS = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+_NAMES = ["doc_id", "text_hash", "begins", "ends"]
 
 
 class Packer:
@@ -284,11 +286,15 @@ class Packer:
             segments = [self.segments[n] for n in order.tolist()]
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 about = b"".join(_by_bytes(c[a:b]) for c in sorted_columns)
-                rows.append((int(group[a]), b - a, press.compress(about), press.compress(b" ".join(segments[a:b])), None, None, None))
-        rows += [(-1 - n % self.groups, 0, None, None, *r) for n, r in enumerate(_by_row(self.repeats))]
+                rows.append((int(group[a]), b - a, press.compress(about), press.compress(b" ".join(segments[a:b])), *[None] * 4))
+        if self.repeats:
+            places, hashes = zip(*self.repeats)
+            known = _ranges(*(np.array(c, dtype=np.int64) for c in (*zip(*places), hashes)), self.depth)
+            listed = zip(*(known.column(c).to_pylist() for c in _NAMES))
+            rows += [(-1 - n % self.groups, 0, None, None, *r) for n, r in enumerate(listed)]
         self.clear()
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-        names = [c.split()[0] for c in _PACK.split(", ")]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *_KINDS]
+        names = ["group_of", "n", "about", "words", *_NAMES]
         for n in range(0, len(rows), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[n : n + 256]), kinds)], names=names)
 
@@ -308,12 +314,30 @@ def _from_bytes(data: bytes, n: int) -> dict[str, np.ndarray]:
     return columns
 
 
-def _by_row(repeats: list[tuple]) -> Iterator[tuple[int | None, int, list[int]]]:
-    """doc_id, text_hash and starts of windows, from ((no_id, doc_id, start), text_hash)."""
-    starts: dict[tuple, list[int]] = {}
-    for (no_id, doc_id, start), text_hash in repeats:
-        starts.setdefault((None if no_id else doc_id, text_hash), []).append(start)
-    return ((*row, found) for row, found in starts.items())
+def _ranges(no_id: np.ndarray, doc_id: np.ndarray, start: np.ndarray, text_hash: np.ndarray, depth: int) -> pa.RecordBatch:
+    """A row for each document, with the ranges of words that its windows of `depth` words cover.
+
+    Windows next to each other are one range.
+    """
+    order = np.lexsort((start, text_hash, doc_id, no_id))
+    no_id, doc_id, start, text_hash = (x[order].astype(np.int64) for x in (no_id, doc_id, start, text_hash))
+
+    def breaks(changes: np.ndarray) -> np.ndarray:
+        return np.concatenate(([True], changes))[: len(start)]
+
+    other = breaks((text_hash[1:] != text_hash[:-1]) | (doc_id[1:] != doc_id[:-1]) | (no_id[1:] != no_id[:-1]))
+    new = np.nonzero(other | breaks(start[1:] != start[:-1] + 1))[0]
+    row = np.nonzero(other)[0]
+    begins = pa.array(start[new], pa.int32())
+    ends = pa.array(start[np.concatenate((new[1:], [len(start)])) - 1] + depth if len(new) else start, pa.int32())
+    offsets = pa.array(np.searchsorted(new, np.concatenate((row, [len(start)]))), pa.int32())
+    columns = [
+        pa.array(doc_id[row], pa.int64(), mask=no_id[row] > 0),
+        pa.array(text_hash[row], pa.int64()),
+        pa.ListArray.from_arrays(offsets, begins),
+        pa.ListArray.from_arrays(offsets, ends),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
 
 def deep_nodes(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,15 +347,17 @@ def deep_nodes(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts. Neighbours in the order that share all of it are below the same node.
     """
     count, depth = suffixes.shape
+    if not count:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     keys = np.ascontiguousarray(suffixes.astype(">u4")).view(f"S{4 * depth}").ravel()
     order = np.argsort(keys, kind="stable")
     differs = suffixes[order[1:]] != suffixes[order[:-1]]
     common = np.where(differs.any(axis=1), differs.argmax(axis=1), depth)
-    return order, np.concatenate(([0], np.cumsum(common < depth))) if count else np.empty(0, dtype=np.int64)
+    return order, np.concatenate(([0], np.cumsum(common < depth)))
 
 
-def repeats_in_group(packs: list[tuple[int, bytes, bytes]], depth: int, prefix: int) -> list[tuple]:
-    """The windows of a group's suffixes whose words stand earlier too: ((no_id, doc_id, start), text_hash)."""
+def repeats_in_group(packs: list[tuple[int, bytes, bytes]], depth: int, prefix: int) -> pa.RecordBatch:
+    """What the windows of a group's suffixes cover whose words stand earlier too; see `_ranges`."""
     press = zstandard.ZstdDecompressor()
     parts = [_from_bytes(press.decompress(about), n) for n, about, _ in packs]
     of = {name: np.concatenate([p[name] for p in parts]) for name, _ in _FIELDS}
@@ -342,14 +368,14 @@ def repeats_in_group(packs: list[tuple[int, bytes, bytes]], depth: int, prefix:
     # a suffix that shares its prefix with no other one is a leaf that hangs above any deep node
     _, which, n = np.unique(gram_digests(words, prefix)[begins + of["lead"]], return_inverse=True, return_counts=True)
     met = np.nonzero(n[which] > 1)[0]
-    if not len(met):
-        return []
     row = np.repeat(met, windows[met])
     before = np.cumsum(windows[met]) - windows[met]
     within = np.arange(len(row)) - np.repeat(before, windows[met])
-    at = (begins[row] + within)[:, None] + np.arange(depth)
-    _, small = np.unique(words, return_inverse=True)
-    order, node = deep_nodes(small[at] + 1)
+    sizes = windows[met] + depth - 1  # in words; only theirs are numbered
+    moved = np.cumsum(sizes) - sizes
+    _, small = np.unique(words[np.arange(sizes.sum()) + np.repeat(begins[met] - moved, sizes)], return_inverse=True)
+    at = np.repeat(moved, windows[met]) + within
+    order, node = deep_nodes((small.astype(np.uint32) + 1)[at.astype(np.int32)[:, None] + np.arange(depth, dtype=np.int32)])
     row, start = row[order], (of["start"][row] + within)[order]
     no_id, doc_id, text_hash = (of[c][row] for c in ("no_id", "doc_id", "text_hash"))
     by_place = np.lexsort((start, doc_id, no_id, node))
@@ -357,14 +383,11 @@ def repeats_in_group(packs: list[tuple[int, bytes, bytes]], depth: int, prefix:
     first = np.concatenate(([True], node[1:] != node[:-1]))
     earliest = np.maximum.accumulate(np.where(first, np.arange(len(node)), 0))
     later = (start != start[earliest]) | (doc_id != doc_id[earliest]) | (no_id != no_id[earliest])
-    return [
-        ((bool(a), b, c), d)
-        for a, b, c, d in zip(*(x[later].tolist() for x in (no_id, doc_id, start, text_hash)))
-    ]
+    return _ranges(*(x[later] for x in (no_id, doc_id, start, text_hash)), depth)
 
 
 def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX) -> DataFrame:
-    """doc_id, text_hash, starts: the windows (numbers of their first words) whose words also start earlier.
+    """doc_id, text_hash, begins, ends: the words covered by windows whose words also start earlier.
 
     docs: doc_id, text. A document has several rows here, or none.
     """
@@ -388,52 +411,61 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX)
         for batch in batches:
             known = batch.filter(pa.compute.less(batch.column("group_of"), 0))
             if len(known):
-                yield known.select(["doc_id", "text_hash", "starts"])
+                yield known.select(_NAMES)
             rest = batch.filter(pa.compute.greater_equal(batch.column("group_of"), 0))
             columns = (rest.column(c).to_pylist() for c in ("group_of", "n", "about", "words"))
             for g, *pack in zip(*columns):
                 if g != group and packs:
-                    yield _found(repeats_in_group(packs, depth, prefix))
+                    yield repeats_in_group(packs, depth, prefix)
                     packs = []
                 group = g
                 packs.append(tuple(pack))
         if packs:
-            yield _found(repeats_in_group(packs, depth, prefix))
+            yield repeats_in_group(packs, depth, prefix)
 
     dealt = rows.mapInArrow(packed, _PACK).repartition("group_of").sortWithinPartitions("group_of")
-    return dealt.mapInArrow(searched, _STARTS)
-
-
-def _found(repeats: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*_by_row(repeats))) or [[]] * 3
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "text_hash", "starts"])
+    return dealt.mapInArrow(searched, _RANGES)
 
 
-def covered(n_words: int, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Which words the windows cover."""
+def covered(n_words: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words the ranges cover."""
     steps = np.zeros(n_words + 1, dtype=np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + depth, -1)
+    np.add.at(steps, begins, 1)
+    np.add.at(steps, ends, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
+def _pressed(docs: DataFrame) -> DataFrame:
+    """doc_id, row and the compressed text, for the way to what is removed from it."""
+
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = [press.compress(text.as_py() or b"") for text in batch.column("text").cast(pa.binary())]
+            columns = [batch.column("doc_id"), batch.column("row"), pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "text"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", row_key("text"))
+    return rows.mapInArrow(each, "doc_id long, row string, text binary")
+
+
 def without_repeats(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by one space) and
     removed (the passages that go: start and end in words) of every document."""
     windows = repeated_windows(docs, depth, prefix)
     row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_hash").cast("string"))
-    windows = windows.groupBy(row.alias("row")).agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", row_key("text"))
-    joined = texts.join(windows, "row", "left").select("doc_id", "text", "starts")
+    gathered = [F.flatten(F.collect_list(c)).alias(c) for c in ("begins", "ends")]
+    windows = windows.groupBy(row.alias("row")).agg(*gathered)
+    joined = _pressed(docs).join(windows, "row", "left").select("doc_id", "text", "begins", "ends")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for text, starts in zip(batch.column("text").cast(pa.binary()), batch.column("starts")):
-                words, kept, spans = (text.as_py() or b"").split(), None, []
-                if starts.is_valid:
-                    gone = covered(len(words), starts.values.to_numpy(), depth)
+            for text, begins, ends in zip(*(batch.column(c) for c in ("text", "begins", "ends"))):
+                words, kept, spans = press.decompress(text.as_py()).split(), None, []
+                if begins.is_valid:
+                    gone = covered(len(words), begins.values.to_numpy(), ends.values.to_numpy())
                     edges = np.nonzero(np.diff(np.concatenate(([0], gone, [0]))))[0].tolist()
                     spans = [{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
                     kept = [words[n] for n in np.nonzero(~gone)[0].tolist()]
