@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import settled
+from tidemark.functions.envelope import value_payload
+from tidemark.operators.runs import runs
 
 # Scalar type names of the schema block. Bytes travel as base64
 # text and stay text, as do named types such as enums.
@@ -59,11 +61,21 @@ def _type_reader():
 
         return fields.map(name)
 
-    return struct_of, names
+    def columns(fields: pd.Series) -> pd.Series:
+        def listed(text: str) -> str | None:
+            try:
+                return ", ".join(f"{f['field']} {type_of(f).simpleString()}" for f in json.loads(text))
+            except (KeyError, TypeError, ValueError):
+                return None
+
+        return fields.map(listed)
 
+    return struct_of, names, columns
 
-struct_type, type_names = _type_reader()
+
+struct_type, type_names, column_lists = _type_reader()
 _type_name = F.pandas_udf(type_names, T.StringType())
+_columns = F.pandas_udf(column_lists, T.StringType())
 
 
 def row_fields(value: Column) -> Column:
@@ -89,6 +101,42 @@ def connect_schema(feed: DataFrame) -> DataFrame:
     )
 
 
+def schema_history(feed: DataFrame) -> DataFrame:
+    """topic, partition, first, last (offsets), n and columns, the names and types, of each run
+    of records that carry the same schema; records without one are passed over."""
+    found = runs(feed, row_fields(F.col("value")))
+    return found.select("topic", "partition", "first", "last", "n", _columns("value").alias("columns"))
+
+
+# Fixed value: how a schema block lists the values that a column may have.
+ALLOWED = (
+    "schema STRUCT<fields: ARRAY<STRUCT<field: STRING, fields: ARRAY<STRUCT<field: STRING, "
+    "parameters: STRUCT<allowed: STRING>>>>>>"
+)
+
+
+def not_allowed(value: Column, image: Column) -> Column:
+    """The names of the row image's columns whose value is none of those that the record's own
+    schema allows; NULL is always allowed. ``image`` holds names and texts."""
+    blocks = F.from_json(value, ALLOWED)["schema"]["fields"]
+    fields = F.get(F.filter(blocks, lambda f: f["field"] == "after"), 0)["fields"]
+
+    def broken(field: Column) -> Column:
+        allowed = F.transform(F.split(field["parameters"]["allowed"], ","), lambda a: F.trim(a))
+        said = F.try_element_at(image, field["field"])
+        return F.coalesce(~F.array_contains(allowed, said), F.lit(False))
+
+    return F.coalesce(F.transform(F.filter(fields, broken), lambda f: f["field"]), F.array().cast("array<string>"))
+
+
+def enum_check(feed: DataFrame) -> DataFrame:
+    """topic, partition, offset, c and value of each cell that its record's schema does not allow."""
+    image = value_payload(F.col("value"))["after"]
+    cells = settled(feed, "topic", "partition", "offset", image.alias("image"), not_allowed(F.col("value"), image).alias("broken"))
+    listed = cells.select("topic", "partition", "offset", "image", F.explode("broken").alias("c"))
+    return listed.select("topic", "partition", "offset", "c", F.try_element_at("image", F.col("c")).alias("value"))
+
+
 def latest_schema(feed: DataFrame) -> T.StructType:
     """The row schema declared by the record with the highest offset that has
     one. Use on one topic, to set up its table."""

@@ -2,7 +2,8 @@
 
 Each envelope is parsed once, into text by field name. Names then decide
 whether the record fits the table, and the texts are cast to its types. Nothing
-here raises on bad input: what does not fit becomes NULL, and no value is changed.
+here raises on bad input: what does not fit becomes NULL, and no value is changed:
+neither rounded, nor cut, nor left out of a nested one.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import any_of
+
 # The envelope's field names.
 KEY_ENVELOPE = "payload MAP<STRING, STRING>"
 VALUE_ENVELOPE = "payload STRUCT<op: STRING, after: MAP<STRING, STRING>>"
@@ -89,23 +92,111 @@ def epoch_to(text: Column, dtype: T.DataType, unit: str) -> Column:
     return moment.cast(dtype)
 
 
+def decimals_needed(text: Column) -> Column:
+    """How many digits behind the point a number needs, written out without trailing
+    zeros; below zero for 100. NULL or any number for what is no number."""
+    whole, fraction = (F.regexp_extract(text, r"^\s*[-+]?([0-9]*)(?:\.([0-9]*))?", n) for n in (1, 2))
+    exponent = F.regexp_extract(text, r"[eE]([-+]?[0-9]+)\s*$", 1).try_cast("int")
+    digits = F.concat(whole, fraction)
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    needed = F.length(fraction) - F.coalesce(exponent, F.lit(0)) - zeros
+    return F.when(F.length(digits) == zeros, F.lit(0)).otherwise(needed)
+
+
+def _exact_decimal(text: Column, dtype: T.DecimalType) -> Column:
+    """NULL where the type has too few digits behind the point: casts would round."""
+    plain = text.rlike(rf"^-?[0-9]+(\.[0-9]{{1,{dtype.scale}}})?$" if dtype.scale else "^-?[0-9]+$")
+    return F.when(plain | (decimals_needed(text) <= dtype.scale), text.try_cast(dtype))
+
+
+def _exact_whole(text: Column, dtype: T.IntegralType) -> Column:
+    """3.0 and 1e3 are whole numbers too; 3.7 is none."""
+    plain = text.rlike("^-?[0-9]+$")
+    written_out = F.when(decimals_needed(text) <= 0, text.try_cast(T.DecimalType(38, 0)).try_cast(dtype))
+    return F.when(plain, text.try_cast(dtype)).otherwise(written_out)
+
+
+def _exact_date(text: Column) -> Column:
+    """NULL for a moment within a day; its midnight is the day."""
+    day = text.try_cast("date")
+    moment = text.try_cast("timestamp_ntz")
+    return F.when(~text.contains(":") | (moment == day.cast("timestamp_ntz")), day)
+
+
+def _nested(text: Column, dtype: T.DataType) -> Column:
+    """A JSON object or array; NULL if any part of it is no value of its type.
+
+    Parts are taken as texts and read like cells. The lambda binds what has been
+    parsed, which would be parsed for each part otherwise.
+    """
+
+    def bound(parsed: Column, build) -> Column:
+        return F.get(F.transform(F.array(parsed), build), 0)
+
+    def listed(items: Column, item_type: T.DataType) -> Column:
+        read = F.transform(items, lambda x: F.struct(x.alias("text"), text_to(x, item_type).alias("cell")))
+        good = bound(read, lambda r: F.when(~F.exists(r, _unreadable), F.transform(r, lambda x: x["cell"])))
+        return F.when(items.isNotNull(), good)
+
+    if isinstance(dtype, T.ArrayType):
+        return listed(F.from_json(text, T.ArrayType(T.StringType())), dtype.elementType).cast(dtype)
+    if isinstance(dtype, T.MapType):
+        parsed = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+
+        def mapped(m: Column) -> Column:
+            keys, cells = listed(F.map_keys(m), dtype.keyType), listed(F.map_values(m), dtype.valueType)
+            # texts that are the same key, as 1 and 1.0, make it no map
+            distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+            return F.when(keys.isNotNull() & cells.isNotNull() & distinct, F.map_from_arrays(keys, cells))
+
+        return bound(parsed, mapped).cast(dtype)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in dtype.fields])
+
+    def built(parsed: Column) -> Column:
+        cells = [text_to(parsed[f.name], f.dataType) for f in dtype.fields]
+        bad = [parsed[f.name].isNotNull() & c.isNull() for f, c in zip(dtype.fields, cells)]
+        bad += [parsed[f.name].isNull() for f in dtype.fields if not f.nullable]
+        whole = F.struct(*[c.alias(f.name) for f, c in zip(dtype.fields, cells)])
+        return F.when(parsed.isNotNull() & ~any_of([F.lit(False), *bad]), whole)
+
+    # what is no object would be read as one without any field
+    is_object = F.json_object_keys(text).isNotNull()
+    return F.when(is_object, bound(F.from_json(text, texts), built)).cast(dtype)
+
+
+def _unreadable(part: Column) -> Column:
+    return part["text"].isNotNull() & part["cell"].isNull()
+
+
 def text_to(text: Column, dtype: T.DataType, unit: str | None = None) -> Column:
-    """JSON scalar text as a column type, NULL where it cannot be read as one."""
+    """JSON scalar text as a column type, NULL where it cannot be read as one exactly.
+
+    ``unit`` says how the feed writes it otherwise: a unit of time for counts since
+    1970, base64 or hex for bytes.
+    """
+    if isinstance(dtype, T.BinaryType):
+        return F.try_to_binary(text, F.lit(unit)) if unit else text.cast(dtype)
     if unit:
         return epoch_to(text, dtype, unit)
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        return F.from_json(text, dtype)
+        return _nested(text, dtype)
     if isinstance(dtype, T.VariantType):
         return F.try_parse_json(text)
-    if isinstance(dtype, T.BinaryType):
-        return text.cast(dtype)
     if isinstance(dtype, T.IntegralType):
-        # 3.0 and 1e3 are whole numbers too, and exact as decimals; 3.7 is none
-        exact = text.try_cast(T.DecimalType(38, 18))
-        whole = F.when(exact == F.floor(exact), exact.try_cast(dtype))
-        return F.coalesce(text.try_cast(dtype), whole)
+        return _exact_whole(text, dtype)
+    if isinstance(dtype, T.DecimalType):
+        return _exact_decimal(text, dtype)
+    if isinstance(dtype, T.DateType):
+        return _exact_date(text)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        # digits beyond microseconds would be cut off
+        return F.when(~text.rlike(r"\.[0-9]{6}[0-9]*[1-9]"), text.try_cast(dtype))
+    if isinstance(dtype, T.FractionalType):
+        number = text.try_cast(dtype)  # the nearest one; too large ones would be endless
+        endless = (F.abs(number) == F.lit(float("inf"))) & ~text.rlike("[iI]")
+        return F.when(~endless, number)
     return text.try_cast(dtype)
 
 

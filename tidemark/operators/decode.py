@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of, named, settled
+from tidemark.functions.connect import not_allowed
 from tidemark.functions.envelope import (
     Fields,
     has_payload_field,
@@ -13,24 +14,35 @@ from tidemark.functions.envelope import (
     text_to,
     value_payload,
 )
-from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
+from tidemark.operators.order import commit_ordered
+from tidemark.table import COMMIT, DELETED, GONE, POS, REJECTED, TableSpec
 
 CREATE, UPDATE, DELETE = "create", "update", "delete"
 APPLIED = (CREATE, UPDATE, DELETE)
 BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT = "bad_key", "bad_value", "invalid_op", "drift"
+#: A value that the record's own schema does not allow, where the table asks for that.
+NOT_ALLOWED = "not_allowed"
 #: Set aside when a table is read: a change from a partition that its key has left.
 MOVED_KEY = "moved_key"
-REASONS = (BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT)
+#: Set aside by an overwrite, which takes the place of all records up to then.
+SUPERSEDED = "superseded"
+REASONS = (BAD_KEY, BAD_VALUE, INVALID_OP, DRIFT, NOT_ALLOWED)
 
 
 def position(spec: TableSpec) -> Column:
     """Where a record stands in the feed, as a struct that orders changes."""
-    time = named(spec.order_by).cast("long") if spec.order_by else F.lit(0).cast("long")
+    time = _time(spec) if spec.order_column else F.lit(0).cast("long")
     return F.struct(time.alias("time"), "topic", "partition", "offset")
 
 
+def _time(spec: TableSpec) -> Column:
+    return F.col(COMMIT) if spec.source_order else named(spec.order_by).cast("long")
+
+
 def _judged(feed: DataFrame, spec: TableSpec) -> DataFrame:
     """Records with their place, raw texts, ``row`` and ``action``; not settled yet."""
+    if spec.source_order and COMMIT not in feed.columns:
+        feed = commit_ordered(feed, spec.source_order)
     keys = Fields(F.col("_key"), list(spec.keys), "_k")
     image = Fields(F.col("_value.after"), spec.columns, "_a")
     place = _place(spec)
@@ -42,7 +54,13 @@ def _judged(feed: DataFrame, spec: TableSpec) -> DataFrame:
         value_payload(F.col("value")).alias("_value"),
     )
     parsed = parsed.select(
-        *place, "key", "value", F.col("_value.op").alias("_op"), *keys.parts, *image.parts
+        *place,
+        "key",
+        "value",
+        F.col("_value.op").alias("_op"),
+        *keys.parts,
+        *image.parts,
+        *([F.map_keys("_value.after").alias("_names")] if spec.check_allowed else []),
     )
     is_delete = F.col("value").isNull()
 
@@ -53,7 +71,8 @@ def _judged(feed: DataFrame, spec: TableSpec) -> DataFrame:
         return own
 
     def cell(field) -> Column:
-        return text_to(text(field), field.dataType, spec.epochs.get(field.name)).alias(field.name)
+        written = spec.epochs.get(field.name) or spec.encodings.get(field.name)
+        return text_to(text(field), field.dataType, written).alias(field.name)
 
     rows = parsed.withColumn("row", F.struct(*[cell(f) for f in spec.schema.fields]))
 
@@ -82,15 +101,18 @@ def _judged(feed: DataFrame, spec: TableSpec) -> DataFrame:
     )
     if required:
         action = action.when(any_of(required), BAD_VALUE)
+    if spec.check_allowed:
+        broken = F.size(not_allowed(F.col("value"), F.map_from_arrays(F.col("_names"), image.values)))
+        action = action.when(broken > 0, NOT_ALLOWED)
     action = action.when(op == "u", UPDATE).otherwise(CREATE)
-    if spec.order_by:
-        unordered = named(spec.order_by).cast("long").isNull()
+    if spec.order_column:
+        unordered = _time(spec).isNull()
         action = F.when(unordered & (action != BAD_KEY), BAD_VALUE).otherwise(action)
     return rows.withColumn("action", action)
 
 
 def _place(spec: TableSpec) -> list[str]:
-    ordered = [spec.order_by] if spec.order_by else []
+    ordered = [spec.order_column] if spec.order_column else []
     return ["topic", "partition", "offset", *[c for c in ordered if c not in ("topic", "partition", "offset")]]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_of, any_of, named
-from tidemark.operators.decode import all_records
+from tidemark.operators.decode import MOVED_KEY, all_records, changes, rejects
 from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
 
 
@@ -36,7 +36,7 @@ def _folded(changes: DataFrame, spec: TableSpec, *apart: Column) -> DataFrame:
     def value(c: str) -> Column:
         if c != GONE:
             return named(c, "_last")
-        if spec.order_by:
+        if spec.order_column:
             return F.col(GONE)
         # a delete in another partition than the last change says nothing of it
         here = [F.col(f"{GONE}.{p}") == F.col(f"_last.{POS}.{p}") for p in ("topic", "partition")]
@@ -91,6 +91,22 @@ def moved_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
     return listed.where(here != F.col("_home")).select(*keys, POS)
 
 
+def set_aside(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+    """All records of a batch that do not reach the table, with the reason: those that cannot
+    be applied and, without a source order, a key's last changes in partitions it has left."""
+    found = rejects(decoded)
+    if spec.order_column:
+        return found
+    place = [F.col(f"{POS}.{c}") for c in ("topic", "partition", "offset")]
+    moved = moved_changes(changes(decoded), spec).select(
+        *place,
+        F.lit(MOVED_KEY).alias("action"),
+        F.to_json(F.struct(*[named(k) for k in spec.keys])).alias("raw_key"),
+        F.lit(None).cast("string").alias("raw_value"),
+    )
+    return found.unionByName(moved)
+
+
 def batch_outcome(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     """All that a batch amounts to, in one pass and one shuffle: the last change
     per key (in each partition that has one, where no source order is declared),
@@ -99,6 +115,6 @@ def batch_outcome(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     records = all_records(decoded)
     # a record that stands alone is a group of its own
     alone = F.when(F.col(REJECTED) | null_key(spec), F.col(POS)).alias("_alone")
-    if spec.order_by:
+    if spec.order_column:
         return _folded(records, spec, alone)
     return _folded(records, spec, alone, F.col(f"{POS}.topic"), F.col(f"{POS}.partition"))

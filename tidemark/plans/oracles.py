@@ -47,11 +47,56 @@ ORACLES: dict[str, str] = {
         unnest([CAST("ID" AS VARCHAR),"Label",CAST("Amount" AS VARCHAR),"Note"]) AS v
         FROM feed WHERE action='update') GROUP BY 1""",
     "drift_check": "SELECT event_id % 7 <> 0 AS ok, count(*) AS n FROM events GROUP BY 1",
-    "connect_schema": FEED + """SELECT topic, place, c, type, n FROM
-        (SELECT topic, count(*) AS n FROM feed WHERE action NOT IN ('delete', 'bad_value')
-         GROUP BY 1),
-        (VALUES (0,'ID','bigint'), (1,'Label','string'), (2,'Amount','double'),
-         (3,'Note','string')) AS listed(place, c, type)""",
+    "connect_schema": FEED + """, carried AS (SELECT topic, "offset" // 700 % 3 AS version, count(*) AS n FROM feed
+          WHERE action NOT IN ('delete', 'bad_value') GROUP BY 1, 2)
+        SELECT topic, place, c, type, n FROM carried JOIN
+        (VALUES (0,0,'ID','bigint'), (0,1,'Label','string'), (0,2,'Amount','double'), (0,3,'Note','string'),
+          (1,0,'ID','bigint'), (1,1,'Label','string'), (1,2,'Amount','double'), (1,3,'Note','string'),
+          (2,0,'ID','int'), (2,1,'Label','string'), (2,2,'Amount','double')) AS listed(version, place, c, type)
+        USING (version)""",
+    "schema_history": FEED + """, carried AS (SELECT topic, "partition", "offset", "offset" // 700 % 3 AS version
+          FROM feed WHERE action NOT IN ('delete', 'bad_value')),
+        marked AS (SELECT *, CASE WHEN version = lag(version) OVER w THEN 0 ELSE 1 END AS new FROM carried
+          WINDOW w AS (PARTITION BY topic, "partition" ORDER BY "offset")),
+        numbered AS (SELECT *, sum(new) OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS run FROM marked)
+        SELECT topic, "partition", min("offset") AS first, max("offset") AS last, count(*) AS n,
+          CASE min(version) WHEN 2 THEN 'ID int, Label string, Amount double'
+            ELSE 'ID bigint, Label string, Amount double, Note string' END AS columns
+        FROM numbered GROUP BY topic, "partition", run""",
+    "enum_check": FEED + """SELECT topic, "partition", "offset", 'Label' AS c, "Label" AS value FROM feed
+        WHERE action IN ('create', 'update') AND "offset" // 700 % 3 = 1
+        AND "Label" NOT IN ('click', 'purchase', 'signup')""",
+    "allowed_actions": FEED + """SELECT topic, CASE WHEN action IN ('create', 'update') AND "offset" // 700 % 3 = 1
+          AND "Label" NOT IN ('click', 'purchase', 'signup') THEN 'not_allowed' ELSE action END AS action,
+        count(*) AS n FROM feed GROUP BY ALL""",
+    "inferred_schema": FEED + """, images AS (SELECT topic, count(*) AS n,
+          bool_or("offset" % 2 = 0) AS whole, bool_or("offset" % 2 = 1) AS half,
+          max(length(CAST(CAST(floor(abs("Amount")) AS BIGINT) AS VARCHAR))) AS digits,
+          bool_or("offset" % 3 = 0) AS numbers, bool_or("offset" % 3 <> 0) AS texts
+          FROM feed WHERE action IN ('create', 'update') GROUP BY 1),
+        sold AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 2 <> 0) AS none,
+          bool_or(o_orderkey % 4 = 0) AS whole, bool_or(o_orderkey % 4 <> 0) AS part FROM orders)
+        SELECT topic, c, n, CASE c WHEN 'Gone' THEN n ELSE 0 END AS nulls, CASE c WHEN 'ID' THEN 'BIGINT'
+            WHEN 'Label' THEN 'STRING' WHEN 'Gone' THEN 'VOID' WHEN 'Tags' THEN 'ARRAY<BIGINT>'
+            WHEN 'Part' THEN 'OBJECT<Code: STRING, Size: BIGINT>'
+            WHEN 'Amount' THEN CASE WHEN whole AND half THEN 'DECIMAL(21,1)' WHEN whole THEN 'BIGINT'
+              ELSE 'DECIMAL(' || (digits + 1) || ',1)' END
+            ELSE CASE WHEN numbers AND texts THEN 'VARIANT' WHEN numbers THEN 'BIGINT' ELSE 'STRING' END END AS type
+        FROM images, (VALUES ('ID'), ('Label'), ('Amount'), ('Note'), ('Gone'), ('Tags'), ('Part')) AS listed(c)
+        UNION ALL SELECT 'srv.db.dbo.Order', c, n, CASE c WHEN 'Cust' THEN none ELSE 0 END,
+          CASE c WHEN 'Key' THEN 'BIGINT' WHEN 'Open' THEN 'BOOLEAN'
+            WHEN 'Cust' THEN CASE WHEN none < n THEN 'BIGINT' ELSE 'VOID' END
+            ELSE CASE WHEN whole AND part THEN 'ARRAY<DECIMAL(22,2)>' WHEN whole THEN 'ARRAY<BIGINT>'
+              ELSE 'ARRAY<DECIMAL(2,2)>' END END
+        FROM sold, (VALUES ('Key'), ('Open'), ('Cust'), ('Lines')) AS listed(c)""",
+    "offset_gaps": """WITH kept AS (SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset"
+          FROM events WHERE NOT (event_id % 89 < 9 OR event_id // 512 % 5 = 3)),
+        followed AS (SELECT "partition", "offset", lead("offset") OVER (PARTITION BY "partition" ORDER BY "offset") AS after
+          FROM kept)
+        SELECT 'srv.db.dbo.Emp' AS topic, "partition", "offset" + 1 AS first, after - 1 AS last, after - "offset" - 1 AS n
+        FROM followed WHERE after > "offset" + 1""",
+    "overwrite_then_feed": FEED.replace("('create','update','delete')) WHERE rn = 1", """('create','update','delete')
+          AND "offset" >= (SELECT max(event_id) // 2 FROM events)) WHERE rn = 1""") + MERGED,
     "last_per_key": FEED + """SELECT "ID","offset",action FROM net""",
     "state_after_feed": FEED + """SELECT "ID","Label","Amount","Note" FROM net
         WHERE action <> 'delete'""",
@@ -100,11 +145,13 @@ ORACLES: dict[str, str] = {
     "stored_delete": FEED + f"""SELECT * FROM ({MERGED}) WHERE "Label" <> 'view'""",
     "typed_rows": """SELECT o_orderkey AS "ID", CAST(o_custkey AS INTEGER) AS "Cust",
         CAST(o_totalprice AS DECIMAL(12,2)) AS "Price", o_orderstatus = 'O' AS "Open",
-        date_trunc('day', o_orderdate) AS "Placed" FROM orders
-        WHERE o_orderkey % 20 NOT IN (3, 7, 11, 13)""",
+        date_trunc('day', o_orderdate) AS "Placed", strftime(o_orderdate, '%Y-%m-%d') AS "Due",
+        o_orderpriority AS "Code", CAST((o_orderkey % 100) / 10.0 AS DECIMAL(6,1)) AS "Weight" FROM orders
+        WHERE o_orderkey % 20 NOT IN (3, 7, 11, 13, 15, 17, 19)""",
     "typed_actions": """SELECT 'srv.db.dbo.Order' AS topic,
         CASE o_orderkey % 20 WHEN 7 THEN 'bad_key' WHEN 3 THEN 'bad_value' WHEN 11 THEN 'bad_value'
-          WHEN 13 THEN 'bad_value' ELSE 'create' END AS action, count(*) AS n
+          WHEN 13 THEN 'bad_value' WHEN 15 THEN 'bad_value' WHEN 17 THEN 'bad_value'
+          WHEN 19 THEN 'bad_value' ELSE 'create' END AS action, count(*) AS n
         FROM orders GROUP BY ALL""",
     "moved_keys_rejected": FEED + """, moved AS (SELECT "ID", "offset" // 4 AS o,
           CAST("offset" % 4 AS INTEGER) AS p, 'srv.db.dbo.Emp' || CAST("offset" % 3 AS VARCHAR) AS t
@@ -124,6 +171,7 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["overwrite_table"] = ORACLES["scan_table"]
 ORACLES["append_table"] = ORACLES["append_log"]
+ORACLES["commit_order"] = ORACLES["upsert_merge"]
 ORACLES["apply_stream"] = ORACLES["upsert_merge"]
 ORACLES["bucketed_table"] = ORACLES["upsert_merge"]
 ORACLES["compacted_table"] = ORACLES["upsert_merge"]

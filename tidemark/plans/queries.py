@@ -8,26 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import settled
-from tidemark.functions.connect import connect_schema
+from tidemark.functions.connect import connect_schema, enum_check, schema_history
 from tidemark.functions.envelope import value_payload
+from tidemark.functions.inference import inferred_schema
 from tidemark.functions.naming import routed_name, table_name
 from tidemark.operators import audit, decode as d, merge as m
 from tidemark.operators.fold import last_per_key, rows_after
+from tidemark.operators.runs import offset_gaps
 from tidemark.plans.feeds import (
     BY_LABEL,
+    CHECKED,
+    COMMITTED,
     CURRENT,
     OPEN,
     REPEATED,
     TIMED,
     TYPED,
+    commit_feed,
     customer_base,
     customer_base_by_label,
     event_feed,
     event_image,
     events,
+    holed_feed,
     moving_feed,
     order_base,
     order_feed,
+    schema_feed,
+    untyped_feed,
 )
 from tidemark.sources.feed import by_pattern, by_topics, file_feed, spread
 from tidemark.sources.store import TableStore
@@ -135,8 +143,9 @@ def explode_entries(spark, sf_dir):
 @query
 def typed_rows(spark, sf_dir):
     """Rows with numbers, decimals, truth values and times, as far as every cell is one."""
-    records = d.decode(spread(order_feed(spark, sf_dir)), TYPED)
-    return d.row_images(records)
+    rows = d.row_images(d.decode(spread(order_feed(spark, sf_dir)), TYPED))
+    parts = [F.col("Due").cast("string").alias("Due"), F.col("Part.Code").alias("Code"), F.col("Part.Weight").alias("Weight")]
+    return rows.select(*[c for c in TYPED.columns if c not in ("Due", "Part")], *parts)
 
 
 @query
@@ -162,30 +171,38 @@ def drift_check(spark, sf_dir):
     return d.drift_check(events(spark, sf_dir).select(value.alias("value")), CURRENT)
 
 
-SCHEMA_BLOCK = """
-{"type": "struct", "optional": false, "name": "srv.db.dbo.Emp.Envelope", "fields": [
-  {"field": "before", "type": "struct", "optional": true, "fields": [
-    {"field": "ID", "type": "int64", "optional": false},
-    {"field": "Label", "type": "string", "optional": true},
-    {"field": "Amount", "type": "float64", "optional": true},
-    {"field": "Note", "type": "string", "optional": true}]},
-  {"field": "after", "type": "struct", "optional": true, "fields": [
-    {"field": "ID", "type": "int64", "optional": false},
-    {"field": "Label", "type": "string", "optional": true},
-    {"field": "Amount", "type": "float64", "optional": true},
-    {"field": "Note", "type": "string", "optional": true}]},
-  {"field": "op", "type": "string", "optional": false}]}
-"""
-SCHEMA_BLOCK_TYPE = (
-    "type STRING, optional BOOLEAN, name STRING, fields ARRAY<STRUCT<field: STRING, type: STRING, "
-    "optional: BOOLEAN, fields: ARRAY<STRUCT<field: STRING, type: STRING, optional: BOOLEAN>>>>"
-)
+@query
+def record_schema(spark, sf_dir):
+    return connect_schema(spread(schema_feed(events(spark, sf_dir))))
 
 
 @query
-def record_schema(spark, sf_dir):
-    block = F.from_json(F.lit(SCHEMA_BLOCK), SCHEMA_BLOCK_TYPE)
-    return connect_schema(spread(event_feed(events(spark, sf_dir), value_schema=block)))
+def carried_schemas(spark, sf_dir):
+    """From where to where along each partition records carry the same schema."""
+    return schema_history(spread(schema_feed(events(spark, sf_dir))))
+
+
+@query
+def enum_cells(spark, sf_dir):
+    """Cells whose value the record's own schema does not allow."""
+    return enum_check(spread(schema_feed(events(spark, sf_dir))))
+
+
+@query
+def allowed_actions(spark, sf_dir):
+    """The same as a reason to reject records."""
+    return audit.action_counts(d.verdicts(spread(schema_feed(events(spark, sf_dir))), CHECKED))
+
+
+@query
+def inferred_columns(spark, sf_dir):
+    """Columns and types of two topics that no table is declared for."""
+    return inferred_schema(spread(untyped_feed(spark, sf_dir)))
+
+
+@query
+def missing_offsets(spark, sf_dir):
+    return offset_gaps(holed_feed(events(spark, sf_dir)))
 
 
 # -- last change per key ----------------------------------------------------
@@ -211,6 +228,13 @@ def upsert_merge(spark, sf_dir):
     return m.apply_changes(customer_base(spark, sf_dir), changes(spark, sf_dir), CURRENT)
 
 
+@query
+def commit_order(spark, sf_dir):
+    """Keys that move between partitions, ordered by the log numbers in their envelopes."""
+    records = d.decode(commit_feed(events(spark, sf_dir)), COMMITTED)
+    return m.apply_changes(customer_base(spark, sf_dir), d.changes(records), COMMITTED)
+
+
 @query
 def delete_by_key(spark, sf_dir):
     gone = d.deleted_keys(decoded(spark, sf_dir), CURRENT)
@@ -314,6 +338,23 @@ def overwrite_table(spark, sf_dir):
     return store.read()
 
 
+@query
+def overwrite_then_feed(spark, sf_dir):
+    """An overwrite takes the place of the feed's first half, which is replayed after it;
+    the second half comes from topics made anew, whose offsets begin at 0 again."""
+    store = TableStore(spark, work_dir(spark), TIMED)
+    records = moving_feed(feed(spark, sf_dir))
+    half = F.lit((records.agg(F.max("timestamp")).first()[0] or 0) // 2)
+    first = records.where(F.col("timestamp") < half)
+    second = records.where(F.col("timestamp") >= half).withColumn("offset", F.col("offset") - F.floor(half / 4))
+    folder = _feed_folder(spark, first, "timestamp")
+    _run(spark, folder, store, "timestamp", compact_ratio=None)
+    store.overwrite(customer_base(spark, sf_dir))
+    second.write.mode("append").parquet(folder)
+    _run(spark, folder, store, "timestamp", compact_ratio=None)
+    return store.read()
+
+
 @query
 def scan_table(spark, sf_dir):
     return _seeded(spark, sf_dir).read()
@@ -457,3 +498,7 @@ def route_one_table(spark, sf_dir):
 QUERIES["apply_stream"] = QUERIES.pop("apply_stream_table")
 QUERIES["last_per_key"] = QUERIES.pop("last_change")
 QUERIES["connect_schema"] = QUERIES.pop("record_schema")
+QUERIES["schema_history"] = QUERIES.pop("carried_schemas")
+QUERIES["enum_check"] = QUERIES.pop("enum_cells")
+QUERIES["inferred_schema"] = QUERIES.pop("inferred_columns")
+QUERIES["offset_gaps"] = QUERIES.pop("missing_offsets")

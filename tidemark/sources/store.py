@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import named
 from tidemark.functions.conditions import Conditions, predicate
-from tidemark.operators.decode import MOVED_KEY
+from tidemark.operators.decode import MOVED_KEY, SUPERSEDED
 from tidemark.operators.fold import batch_outcome, last_per_key, moved_changes, null_key
 from tidemark.operators.merge import merge, merge_unique, updated
-from tidemark.table import DELETED, GONE, POS, POS_TYPE, REJECTED, TableSpec
+from tidemark.table import DELETED, GONE, POS, REJECTED, TableSpec
 
 RECORD_TYPE = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("action", "raw_key", "raw_value")]
@@ -126,8 +126,8 @@ class TableStore:
         self.spark.sql(f"DROP TABLE {name}")
 
     def _horizon(self, base: list[str]) -> DataFrame | None:
-        """For each partition of the feed, the offset up to which the snapshot
-        stands in place of its records; None if there is no such thing."""
+        """What the snapshot stands in place of, None if nothing: all records up to
+        a point in the declared order (one row), else up to an offset of each partition."""
         for path in base:
             parts = path.rsplit("/", 1)[-1].split("-")
             if len(parts) > 2 and self._finished("horizons", parts[2]):
@@ -145,15 +145,18 @@ class TableStore:
         read = self.spark.read.schema(parted).option("basePath", f"{self.path}/changes")
         return read.parquet(*paths).where(F.col(REJECTED) == rejected).select(*schema.names)
 
-    def _changes(self, paths: list[str], horizon: DataFrame | None) -> DataFrame:
-        """The applied part of batches, from the horizon on."""
+    def _changes(self, paths: list[str], horizon: DataFrame | None, old: bool = False) -> DataFrame:
+        """The applied part of batches, from the horizon on, or what is before it."""
         changes = self._outcomes(paths, self.spec.state_schema, rejected=False)
-        if horizon is None:
-            return changes
+        last = horizon.first()["time"] if horizon is not None and self.spec.order_column else None
+        if horizon is None or (self.spec.order_column and last is None):
+            return changes.limit(0) if old else changes
+        if self.spec.order_column:
+            return changes.where((F.col(f"{POS}.time") <= F.lit(last)) == old)
         past = horizon.select(*[F.col(c).alias(f"_past_{c}") for c in PLACE])
         here = [F.col(f"{POS}.{c}") == F.col(f"_past_{c}") for c in PLACE[:2]]
-        old = here[0] & here[1] & (F.col(f"{POS}.offset") <= F.col("_past_offset"))
-        return changes.join(past, old, "left_anti")
+        passed = here[0] & here[1] & (F.col(f"{POS}.offset") <= F.col("_past_offset"))
+        return changes.join(past, passed, "left_semi" if old else "left_anti")
 
     def _layers(self, version: int | None = None) -> tuple[int, list[str], list[str]]:
         """The version read, its snapshot (if any) and the changes on top. Only
@@ -204,7 +207,7 @@ class TableStore:
             return state
         if not self._unique(base):
             rows, markers = self._merged(base, pending)
-            live = rows.withColumns({DELETED: F.lit(False), GONE: F.lit(None).cast(POS_TYPE)})
+            live = rows.withColumns({DELETED: F.lit(False), GONE: F.lit(None).cast(spec.position)})
             return live.unionByName(markers)
         changes = self._changes(pending, self._horizon(base))
         loose = null_key(spec) & F.col(POS).isNotNull()
@@ -244,9 +247,10 @@ class TableStore:
         """All records that could not be applied, with the reason, each once.
 
         Without a source order these are also the last changes of a key in
-        partitions that it does not belong to (``moved_key``).
+        partitions that it does not belong to (``moved_key``). Changes since the
+        newest snapshot that an overwrite has taken the place of are ``superseded``.
         """
-        schema = T.StructType([T.StructField(POS, POS_TYPE), T.StructField("_record", RECORD_TYPE)])
+        schema = T.StructType([T.StructField(POS, self.spec.position), T.StructField("_record", RECORD_TYPE)])
         paths = [
             f"{self.path}/changes/{after}/{n}"
             for after in self._names("changes")
@@ -255,16 +259,21 @@ class TableStore:
         ]
         records = self._outcomes(paths, schema, rejected=True)
         place = [F.col(f"{POS}.{c}") for c in PLACE]
-        found = records.select(*place, "_record.*")
-        if not self.spec.order_by:
-            changes = self._outcomes(paths, self.spec.state_schema, rejected=False)
-            moved = moved_changes(changes, self.spec).select(
+
+        def listed(changes: DataFrame, reason: str) -> DataFrame:
+            return changes.select(
                 *place,
-                F.lit(MOVED_KEY).alias("action"),
+                F.lit(reason).alias("action"),
                 F.to_json(F.struct(*[named(k) for k in self.spec.keys])).alias("raw_key"),
                 F.lit(None).cast("string").alias("raw_value"),
             )
-            found = found.unionByName(moved)
+
+        _, base, pending = self._layers()
+        old = self._changes(pending, self._horizon(base), old=True)
+        found = records.select(*place, "_record.*").unionByName(listed(old, SUPERSEDED))
+        if not self.spec.order_column:
+            changes = self._outcomes(paths, self.spec.state_schema, rejected=False)
+            found = found.unionByName(listed(moved_changes(changes, self.spec), MOVED_KEY))
         return found.dropDuplicates(PLACE)
 
     # -- writing ---------------------------------------------------------
@@ -276,7 +285,7 @@ class TableStore:
         more they change nothing, whether their rows are still there or not.
         """
         version, base, pending = self._layers()
-        no_pos = F.lit(None).cast(POS_TYPE)
+        no_pos = F.lit(None).cast(self.spec.position)
         state = rows.select(
             *[named(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema.fields]
         ).withColumns({POS: no_pos, DELETED: F.lit(False), GONE: no_pos})
@@ -286,15 +295,17 @@ class TableStore:
         return version + 1
 
     def _seen(self, base: list[str], pending: list[str]) -> DataFrame:
-        """The last offset of each partition of the feed that the table knows of."""
-        schema = T.StructType([T.StructField(POS, POS_TYPE)])
+        """The last record that the table knows of, in the declared order or of each partition of the feed."""
+        schema = T.StructType([T.StructField(POS, self.spec.position)])
+        last = F.max("time").alias("time") if self.spec.order_column else F.max("offset").alias("offset")
+        by = [] if self.spec.order_column else PLACE[:2]
         known = [self._outcomes(pending, schema, r) for r in (False, True)]
         known.append(self._snapshot(base).select(POS))
-        seen = known[0].unionByName(known[1]).unionByName(known[2]).select(f"{POS}.*").select(*PLACE)
+        seen = known[0].unionByName(known[1]).unionByName(known[2]).select(f"{POS}.*").where("topic IS NOT NULL").groupBy(*by).agg(last)
         before = self._horizon(base)
         if before is not None:
-            seen = seen.unionByName(before)
-        return seen.where("topic IS NOT NULL").groupBy(*PLACE[:2]).agg(F.max("offset").alias("offset"))
+            seen = seen.unionByName(before).groupBy(*by).agg(last)
+        return seen
 
     def update_where(self, conditions: Conditions, updates: Mapping[str, object]) -> int:
         """Set columns on the rows that meet the conditions; returns the new
