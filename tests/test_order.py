@@ -1,0 +1,191 @@
+"""Order from envelopes, runs and gaps along offsets, inferred tables, records set aside."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from model import delete, feed_of, key_of, record, upsert
+from tidemark.functions.connect import enum_check, schema_history
+from tidemark.functions.inference import inferred_schema, inferred_table
+from tidemark.operators.decode import changes, decode
+from tidemark.operators.fold import rows_after, set_aside
+from tidemark.operators.order import commit_ordered, order_part
+from tidemark.operators.runs import offset_gaps, runs
+from tidemark.sources.feed import FEED_SCHEMA
+from tidemark.sources.store import TableStore
+from tidemark.table import COMMIT, TableSpec
+
+FIELDS = {"commit_lsn": "hex", "event_serial_no": "number"}
+
+
+def committed(offset, commit, serial=1, op="u", partition=0, **row):
+    source = {"commit_lsn": commit, "event_serial_no": serial}
+    value = {"payload": {"op": op, "after": None if op == "d" else row, "source": source}}
+    return record(offset, key_of(ID=row["ID"]), json.dumps(value), partition)
+
+
+def spec_of(**more):
+    return TableSpec("t", "ID BIGINT NOT NULL, N INT", ("ID",), source_order=FIELDS, unique=True, **more)
+
+
+def test_log_numbers_compare_as_numbers(spark):
+    logs = ["0000004e:00000f46:0002", "4e:f46:3", "0000004E:00000F47:0001", "ffffffff:00000000:0000", "x", "1:2:", None]
+    found = [r[0] for r in spark.createDataFrame([(t,) for t in logs], "t string").select(order_part(F.col("t"), "hex")).collect()]
+    assert found[0] < found[1] < found[2] < found[3] and found[4:] == [None] * 3
+    numbers = [-(1 << 63), -5, 0, 7, 1 << 40, (1 << 63) - 1]
+    df = spark.createDataFrame([(str(n),) for n in numbers] + [("1.5",)], "t string")
+    found = [r[0] for r in df.select(order_part(F.col("t"), "number")).collect()]
+    assert sorted(found[:-1]) == found[:-1] and found[-1] is None
+
+
+def test_later_commits_win_wherever_they_land(spark):
+    records = [
+        committed(9, "1:1", ID=1, N=1, partition=3),
+        committed(0, "1:2", ID=1, N=2, partition=0),  # moved, and newer
+        committed(5, "2:1", serial=2, ID=2, N=4, partition=1),
+        committed(6, "2:1", serial=1, ID=2, N=3, partition=2),  # the same commit, an earlier change
+        committed(7, "3:1", ID=3, N=5),
+        committed(8, "4:1", op="d", ID=3),
+        delete(9, ID=3),
+        committed(50, "2:9", ID=3, N=9, partition=7),  # older than the delete
+        committed(51, "1:9", ID=2, N=0, partition=1),  # sent again after a restart
+    ]
+    spec = spec_of()
+    decoded = decode(feed_of(spark, records), spec)
+    assert sorted(map(tuple, rows_after(changes(decoded), spec).collect())) == [(1, 2), (2, 4)]
+    assert [r["action"] for r in set_aside(decoded, spec).collect()] == ["invalid_op"]
+
+
+def test_a_delete_that_nothing_comes_before_is_listed(spark):
+    records = [committed(5, "1:1", ID=1, N=1), delete(4, ID=1), record(6, None, None), record(7, key_of(ID=1), '{"payload": {"op": "u", "after": {"ID": 1, "N": 2}}}')]
+    found = decode(feed_of(spark, records), spec_of()).select("offset", "action").collect()
+    assert dict(map(tuple, found)) == {5: "update", 4: "bad_value", 6: "bad_key", 7: "bad_value"}
+
+
+@pytest.mark.parametrize("span", [1, 7, 1 << 17])
+def test_deletes_take_the_order_before_them(spark, span):
+    rnd = random.Random(span)
+    records, wanted, last = [], {}, {}
+    for offset in range(300):
+        key, partition = rnd.randint(0, 4), rnd.randint(0, 1)
+        if rnd.random() < 0.4:
+            records.append(delete(offset, ID=key)[:1] + (partition,) + delete(offset, ID=key)[2:])
+            wanted[offset] = last.get((key, partition))
+        else:
+            commit = f"{offset:x}:0"
+            records.append(committed(offset, commit, ID=key, N=1, partition=partition))
+            wanted[offset] = last[key, partition] = bytes.fromhex(f"{offset:08x}{0:08x}") + (1 + (1 << 63)).to_bytes(8, "big")
+    rnd.shuffle(records)
+    feed = feed_of(spark, records).withColumn("more", F.col("offset") * 2)
+    ordered = commit_ordered(feed, FIELDS, span)
+    assert ordered.columns == [*feed.columns, COMMIT]
+    found = ordered.collect()
+    assert {r["offset"]: r[COMMIT] and bytes(r[COMMIT]) for r in found} == wanted
+    assert len(found) == len(records) and all(r["more"] == 2 * r["offset"] for r in found)
+
+
+def test_stored_tables_keep_the_commit_order(spark, tmp_path):
+    spec = spec_of()
+    store = TableStore(spark, str(tmp_path), spec)
+    batches = [
+        [committed(0, "5:1", ID=1, N=5), committed(1, "6:1", ID=2, N=6)],
+        [committed(90, "4:1", ID=1, N=4, partition=2), committed(91, "7:1", op="d", ID=2, partition=2)],
+        [committed(92, "7:1", op="d", ID=2, partition=2), record(93, key_of(ID=2), None, 2)],
+    ]
+    for n, batch in enumerate(batches):
+        store.commit(decode(feed_of(spark, batch), spec), f"b{n}")
+        if n == 1:
+            store.compact()
+    assert sorted(map(tuple, store.read().collect())) == [(1, 5)]
+    store.overwrite(spark.createDataFrame([(8, 8)], "ID long, N int"))
+    late = [committed(0, "6:2", ID=3, N=3), committed(1, "8:1", ID=4, N=4)]  # topics made anew
+    store.commit(decode(feed_of(spark, late), spec), "late")
+    assert sorted(map(tuple, store.read().collect())) == [(4, 4), (8, 8)]
+    listed = store.rejects().where("action = 'superseded'").collect()
+    assert [(r["offset"], r["raw_key"]) for r in listed] == [(0, '{"ID":3}')]
+
+
+def test_an_overwrite_before_any_record_hides_nothing(spark, tmp_path):
+    spec = TableSpec("t", "ID BIGINT NOT NULL, N INT", ("ID",), order_by="timestamp", unique=True)
+    store = TableStore(spark, str(tmp_path), spec)
+    for rows in ([(1, 1)], [(2, 2)]):
+        store.overwrite(spark.createDataFrame(rows, "ID long, N int"))
+    feed = feed_of(spark, [upsert(0, ID=3, N=3)]).withColumn("timestamp", F.lit(5))
+    store.commit(decode(feed, spec), "a")
+    assert sorted(map(tuple, store.read().collect())) == [(2, 2), (3, 3)]
+
+
+def test_moved_keys_of_a_batch_are_listed(spark):
+    spec = TableSpec("t", "ID BIGINT NOT NULL, N STRING", ("ID",))
+    records = [upsert(1, "c", ID=1, N="old")[:1] + (7,) + upsert(1, "c", ID=1, N="old")[2:], upsert(50, "u", ID=1, N="new")]
+    decoded = decode(feed_of(spark, records), spec)
+    assert [tuple(r) for r in rows_after(changes(decoded), spec).collect()] == [(1, "old")]
+    assert [tuple(r)[1:5] for r in set_aside(decoded, spec).collect()] == [(0, 50, "moved_key", '{"ID":1}')]
+
+
+def plain_runs(records):
+    out, current = [], {}
+    for topic, partition, offset, value in sorted(records, key=lambda r: r[:3]):
+        if value is None:
+            continue
+        run = current.get((topic, partition))
+        if run is None or run[4] != value:
+            run = current[topic, partition] = [topic, partition, offset, offset, value, 0]
+            out.append(run)
+        run[3], run[5] = offset, run[5] + 1
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("span", [1, 5, 1 << 17])
+def test_runs_and_gaps(spark, span):
+    rnd = random.Random(span)
+    records = [(f"t{rnd.randint(0, 1)}", rnd.randint(0, 1), n, rnd.choice("aaab") if rnd.random() < 0.9 else None) for n in range(200)]
+    df = spark.createDataFrame(records, "topic string, partition int, offset long, v string")
+    found = runs(df, F.col("v"), span).select("topic", "partition", "first", "last", "value", "n")
+    assert sorted(map(tuple, found.collect())) == plain_runs(records)
+    wanted = []
+    for place in {r[:2] for r in records}:
+        offsets = sorted(r[2] for r in records if r[:2] == place)
+        wanted += [(*place, a + 1, b - 1, b - a - 1) for a, b in zip(offsets, offsets[1:]) if b > a + 1]
+    assert sorted(map(tuple, offset_gaps(df.union(df.limit(20)), span).collect())) == sorted(wanted)
+    assert offset_gaps(df.limit(0)).collect() == [] and runs(df.limit(0), F.col("v")).collect() == []
+
+
+def with_schema(offset, fields, **row):
+    value = {"schema": {"fields": [{"field": "after", "fields": fields}]}, "payload": {"op": "c", "after": row}}
+    return record(offset, key_of(ID=row["ID"]), json.dumps(value))
+
+
+def test_schema_history_and_allowed_values(spark):
+    plain = [{"field": "ID", "type": "int64"}, {"field": "S", "type": "string"}]
+    limited = [plain[0], plain[1] | {"parameters": {"allowed": "on, off"}}]
+    records = [
+        with_schema(0, plain, ID=1, S="?"), with_schema(1, limited, ID=2, S="on"), delete(2, ID=1),
+        with_schema(3, limited, ID=3, S="broken"), with_schema(4, limited, ID=4, S=None), with_schema(5, plain, ID=5, S="x"),
+        with_schema(6, [plain[0] | {"type": "odd"}], ID=6),
+    ]
+    feed = feed_of(spark, records)
+    history = schema_history(feed).orderBy("first").select("first", "last", "n", "columns").collect()
+    both = "ID bigint, S string"
+    assert list(map(tuple, history)) == [(0, 0, 1, both), (1, 4, 3, both), (5, 5, 1, both), (6, 6, 1, None)]
+    assert [tuple(r)[2:] for r in enum_check(feed).collect()] == [(3, "S", "broken")]
+    spec = TableSpec("t", "ID BIGINT, S STRING", ("ID",), check_allowed=True)
+    actions = {r["offset"]: r["action"] for r in decode(feed, spec).collect()}
+    assert actions == {0: "create", 1: "create", 2: "delete", 3: "not_allowed", 4: "create", 5: "create", 6: "drift"}
+
+
+def test_inferred_tables_take_their_own_feed(spark):
+    rows = [dict(ID=1, a=1, b="x", c={"d": 1.5}, e=None), dict(ID=2, a=2.25, b="y", c={"d": 2, "f": "z"}, e=None), dict(ID=3, b=None, c=None, e=None)]
+    feed = feed_of(spark, [upsert(n, **r) for n, r in enumerate(rows)] + [delete(9, ID=1), record(10, None, "x")])
+    found = {r["c"]: (r["type"], r["n"], r["nulls"]) for r in inferred_schema(feed).collect()}
+    assert found["ID"] == ("BIGINT", 3, 0) and found["e"] == ("VOID", 3, 3) and found["b"] == ("STRING", 3, 1)
+    assert found["a"][0].startswith("DECIMAL") and found["c"][0].startswith("OBJECT<d: DECIMAL")
+    spec = inferred_table(feed.where("offset < 2"), "t", ("ID",))
+    assert spec.columns == ["ID", "a", "b", "c", "e"] and not spec.schema["b"].nullable and spec.schema["e"].nullable
+    actions = [r["action"] for r in decode(feed.where("offset < 10"), spec).orderBy("offset").collect()]
+    assert actions == ["create", "create", "drift", "delete"]
+    with pytest.raises(ValueError):
+        inferred_table(feed, "t", ("nokey",))
+    assert inferred_schema(spark.createDataFrame([], FEED_SCHEMA)).collect() == []
