@@ -13,8 +13,9 @@ from tidemark.operators.decode import changes, decode
 from tidemark.operators.fold import rows_after, set_aside
 from tidemark.operators.order import commit_ordered, order_part
 from tidemark.operators.runs import offset_gaps, runs
-from tidemark.sources.feed import FEED_SCHEMA
+from tidemark.sources.feed import FEED_SCHEMA, file_feed
 from tidemark.sources.store import TableStore
+from tidemark.streaming.apply import apply_stream, once_by_source, redrive, stream_progress
 from tidemark.table import COMMIT, TableSpec
 
 FIELDS = {"commit_lsn": "hex", "event_serial_no": "number"}
@@ -189,3 +190,48 @@ def test_inferred_tables_take_their_own_feed(spark):
     with pytest.raises(ValueError):
         inferred_table(feed, "t", ("nokey",))
     assert inferred_schema(spark.createDataFrame([], FEED_SCHEMA)).collect() == []
+
+
+def test_records_sent_again_are_read_once(spark, tmp_path):
+    """Also after a restart, and however old they say they are; what has no log numbers stays."""
+    folder, out, checkpoint = (str(tmp_path / p) for p in ("feed", "out", "checkpoint"))
+    batches = [
+        [committed(0, "5:1", ID=1, N=1), committed(1, "6:1", ID=2, N=2), delete(2, ID=1), delete(3, ID=1)],
+        [committed(90, "5:1", ID=1, N=1), committed(91, "1:1", ID=3, N=3), delete(92, ID=1), record(93, None, "x")],
+    ]
+    for batch in batches:
+        feed_of(spark, batch).write.mode("append").parquet(folder)
+        once = once_by_source(file_feed(spark, folder, stream=True), FIELDS, "1 hour")
+        writer = once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer.format("parquet").option("path", out).start().awaitTermination()
+    assert sorted(r["offset"] for r in file_feed(spark, out).collect()) == [0, 1, 2, 3, 91, 92, 93]
+
+
+def test_rejects_driven_again_stand_where_they_stood(spark, tmp_path):
+    strict = TableSpec("t", "ID BIGINT NOT NULL, N INT", ("ID",), upsert_ops=("u",), unique=True)
+    loose = TableSpec("t", strict.schema, ("ID",), upsert_ops=("c", "u", "r"), unique=True)
+    store = TableStore(spark, str(tmp_path), strict)
+    first = [upsert(0, "c", ID=1, N=1), upsert(1, "r", ID=2, N=2), upsert(2, "u", ID=1, N=3), upsert(3, "u", ID=4, N="x"), delete(4, ID=5)]
+    store.commit(decode(feed_of(spark, first), strict), "a")
+    store.commit(decode(feed_of(spark, [delete(9, ID=2), upsert(5, "c", ID=5, N=5)]), strict), "b")
+    store.compact()
+    assert redrive(store, loose, "again") and not redrive(store, loose, "again")
+    assert sorted(map(tuple, store.read().collect())) == [(1, 3), (5, 5)]
+    with pytest.raises(ValueError):
+        redrive(store, TableSpec("t", "ID BIGINT NOT NULL, N STRING", ("ID",)), "other")
+
+
+def test_idle_tables_get_nothing_written(spark, tmp_path):
+    specs = [TableSpec(name, "ID BIGINT NOT NULL, N INT", ("ID",)) for name in ("a", "b c%", "idle")]
+    stores = [TableStore(spark, str(tmp_path / "tables"), s) for s in specs]
+    feed_of(spark, [upsert(n, ID=n, N=n)[1:] and (t, *upsert(n, ID=n, N=n)[1:]) for n, t in enumerate(["x", "y", "z"])]).write.parquet(str(tmp_path / "feed"))
+    progress = str(tmp_path / "progress")
+    stream = file_feed(spark, str(tmp_path / "feed"), stream=True)
+    apply_stream(
+        stream, stores, str(tmp_path / "checkpoint"), routes={"x": "a", "y": "b c%", "z": "lost"},
+        unrouted=str(tmp_path / "unrouted"), progress=progress,
+    ).awaitTermination()
+    assert [s.read().count() for s in stores] == [1, 1, 0]
+    assert [s.version for s in stores] == [1, 1, 0]
+    noted = stream_progress(spark, progress).collect()
+    assert sorted((r["table_name"], r["create"], r["lo"]) for r in noted) == [("a", 1, 0), ("b c%", 1, 1)]

@@ -193,7 +193,7 @@ def commit_feed(events: DataFrame) -> DataFrame:
         }
     )
     feed = event_feed(events, source=source)
-    announced = _json({"payload": _object({"op": F.lit("d"), "source": source})})
+    announced = _json({"payload": _object({"after": F.lit(None).cast("string"), "op": F.lit("d"), "source": source})})
     records = feed.join(events.select(n.alias("offset"), announced.alias("announced")), "offset")
     first = F.struct(F.lit(0).alias("nth"), F.coalesce("value", "announced").alias("value"))
     second = F.struct(F.lit(1).alias("nth"), F.col("value"))

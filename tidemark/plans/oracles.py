@@ -160,6 +160,14 @@ ORACLES: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY t DESC, p DESC) AS home
           FROM placed)
         SELECT t AS topic, p AS "partition", o AS "offset" FROM ranked WHERE home > 1""",
+    "stream_dedup": FEED + """, sent AS (SELECT "offset", action FROM feed
+          UNION ALL SELECT "offset", 'invalid_op' FROM feed WHERE action = 'delete')
+        SELECT 'srv.db.dbo.Emp' || CAST("offset" % 3 AS VARCHAR) AS topic, action, count(*) AS n FROM sent GROUP BY ALL""",
+    "stream_progress": FEED + """SELECT 'current' AS table_name,
+        count(*) FILTER (action = 'create') AS "create", count(*) FILTER (action = 'update') AS "update",
+        count(*) FILTER (action = 'delete') AS "delete", count(*) FILTER (action = 'bad_key') AS bad_key,
+        count(*) FILTER (action = 'bad_value') AS bad_value, count(*) FILTER (action = 'invalid_op') AS invalid_op,
+        CAST(0 AS BIGINT) AS drift, CAST(0 AS BIGINT) AS not_allowed, min("offset") AS lo, max("offset") AS hi FROM feed""",
     "route_one_table": FEED + """SELECT 'srv_db_dbo_emp0' AS table_name, count(*) AS n FROM net
         WHERE topic = 'srv.db.dbo.Emp0' AND action <> 'delete'
         UNION ALL SELECT 'unrouted', count(*) FROM feed WHERE topic <> 'srv.db.dbo.Emp0'""",
@@ -171,6 +179,7 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["overwrite_table"] = ORACLES["scan_table"]
 ORACLES["append_table"] = ORACLES["append_log"]
+ORACLES["redriven_rejects"] = ORACLES["state_after_feed"]
 ORACLES["commit_order"] = ORACLES["upsert_merge"]
 ORACLES["apply_stream"] = ORACLES["upsert_merge"]
 ORACLES["bucketed_table"] = ORACLES["upsert_merge"]

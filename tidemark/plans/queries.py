@@ -14,6 +14,7 @@ from tidemark.functions.inference import inferred_schema
 from tidemark.functions.naming import routed_name, table_name
 from tidemark.operators import audit, decode as d, merge as m
 from tidemark.operators.fold import last_per_key, rows_after
+from tidemark.operators.order import commit_key
 from tidemark.operators.runs import offset_gaps
 from tidemark.plans.feeds import (
     BY_LABEL,
@@ -41,7 +42,7 @@ from tidemark.sources.feed import by_pattern, by_topics, file_feed, spread
 from tidemark.sources.store import TableStore
 from tidemark.sources.tables import append_path, scan_path
 from tidemark.sources.workdir import work_dir
-from tidemark.streaming.apply import apply_stream, unrouted_records
+from tidemark.streaming.apply import apply_stream, once_by_source, redrive, stream_progress, unrouted_records
 from tidemark.table import TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -494,6 +495,43 @@ def route_one_table(spark, sf_dir):
     return _routed(spark, sf_dir, ["srv_db_dbo_emp0"])
 
 
+@query
+def stream_dedup(spark, sf_dir):
+    """A feed of which some records are sent again at other offsets, read by a stream
+    that stops half-way: what becomes of each record that its source sent once."""
+    records = commit_feed(events(spark, sf_dir))
+    again = records.where((F.col("offset") % 5 == 0) & commit_key(F.col("value"), COMMITTED.source_order).isNotNull())
+    folder, out, checkpoint = (f"{work_dir(spark)}/{part}" for part in ("feed", "out", "checkpoint"))
+    resent = again.withColumn("offset", F.col("offset") + 1_000_000_000)
+    for n in (0, 1):
+        records.where(F.col("partition") % 2 == n).write.mode("append").parquet(folder)
+        resent.where(F.col("partition") % 2 != n).write.mode("append").parquet(folder)
+        once = once_by_source(file_feed(spark, folder, stream=True, maxFilesPerTrigger=2), COMMITTED.source_order, "7 days")
+        writer = once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer.format("parquet").option("path", out).start().awaitTermination()
+    return audit.action_counts(d.verdicts(spread(file_feed(spark, out)), CURRENT))
+
+
+@query
+def noted_progress(spark, sf_dir):
+    """What the batches of a stream brought, all in all."""
+    store, progress = TableStore(spark, work_dir(spark), CURRENT), f"{work_dir(spark)}/progress"
+    _streamed(spark, sf_dir, store, progress=progress)
+    noted = stream_progress(spark, progress)
+    counts = [F.sum(c).alias(c) for c in (*d.APPLIED, *d.REASONS)]
+    return noted.groupBy("table_name").agg(*counts, F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+@query
+def redriven_rejects(spark, sf_dir):
+    """Creates are rejected at first; driven again, they stand where they stood in the feed."""
+    strict = TableSpec(CURRENT.name, CURRENT.schema, CURRENT.keys, upsert_ops=("u",), unique=True)
+    store = TableStore(spark, work_dir(spark), strict)
+    _streamed(spark, sf_dir, store)
+    redrive(store, CURRENT, "again")
+    return store.read()
+
+
 # Names under which some of the queries above are listed.
 QUERIES["apply_stream"] = QUERIES.pop("apply_stream_table")
 QUERIES["last_per_key"] = QUERIES.pop("last_change")
@@ -501,4 +539,5 @@ QUERIES["connect_schema"] = QUERIES.pop("record_schema")
 QUERIES["schema_history"] = QUERIES.pop("carried_schemas")
 QUERIES["enum_check"] = QUERIES.pop("enum_cells")
 QUERIES["inferred_schema"] = QUERIES.pop("inferred_columns")
+QUERIES["stream_progress"] = QUERIES.pop("noted_progress")
 QUERIES["offset_gaps"] = QUERIES.pop("missing_offsets")

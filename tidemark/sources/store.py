@@ -243,8 +243,9 @@ class TableStore:
         added = loose.where(~F.col(DELETED)).select(*rows.columns)
         return rows.unionByName(added), markers.unionByName(loose.where(F.col(DELETED)))
 
-    def rejects(self) -> DataFrame:
-        """All records that could not be applied, with the reason, each once.
+    def rejects(self, times: bool = False) -> DataFrame:
+        """All records that could not be applied, with the reason, each once; and
+        their ``time`` in the declared order, if asked for.
 
         Without a source order these are also the last changes of a key in
         partitions that it does not belong to (``moved_key``). Changes since the
@@ -258,7 +259,7 @@ class TableStore:
             if self._finished(f"changes/{after}", n)
         ]
         records = self._outcomes(paths, schema, rejected=True)
-        place = [F.col(f"{POS}.{c}") for c in PLACE]
+        place = [F.col(f"{POS}.{c}") for c in (*PLACE, *(["time"] if times else []))]
 
         def listed(changes: DataFrame, reason: str) -> DataFrame:
             return changes.select(
