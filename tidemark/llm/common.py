@@ -41,9 +41,10 @@ def row_key(*told_apart_by: str) -> Column:
     return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64(*told_apart_by).cast("string"))
 
 
-def share_of_ids(share: Column | float) -> Column:
-    """Whether a row is in a share of all rows, picked by a hash of its id."""
-    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) < share
+def share_of_rows(share: Column | float) -> Column:
+    """Whether a row is in a share of all rows, picked by a hash of its id and text together:
+    rows without an id, or with the same one, are picked apart from each other."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40)) < share
 
 
 def hex_to_long(digits: Column) -> Column:

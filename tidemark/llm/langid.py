@@ -12,18 +12,16 @@ Letters are lower-cased; everything else, in any amount, is one blank, also at
 both ends.
 
 Texts are never shuffled. Prototypes learn from at most TRAIN_DOCS texts of each
-language, chosen by a hash of the id among those that are not held out; that
+language, chosen by a hash of id and text among those that are not held out; that
 bound keeps training small. Prediction reads every whole text.
 
-Recognition rejects texts that are not like their language. How large a cosine a
-text of that language has depends on how many trigrams it has, those that repeat
-counted for less. So the training texts and their beginnings are scored, each
-without its own part of the prototype, by language and class of that number. A
-text needs LIKENESS of what all but LOW of them score, and in any case more than
-texts that have nothing to do with any language reach in CHANCE of all cases.
-Where texts are so short (some words) that their own language gives no more than
-chance does, one with a score below is kept if SEEN of its different trigrams are
-among a language's common ones, which make up COMMON of its training texts.
+Recognition rejects texts that are in no learned language. A cosine alone does not
+tell that: it falls with the length of a text and with its distance from the prose
+that was learned. So the share of a text's different trigrams that are common in a
+language, each at least one in RARE of that language's, is added to the cosine: a
+text needs LIKE of both together. Prose of a learned language that is unlike the
+learned prose has half of that share at least, random letters and languages of
+other families a fifth. A near relation of a learned language may pass as it.
 
 Defined results: `und` with score 0 for a text that is null or has no letter,
 and for all texts if nothing was learned; equal cosines go to the first language
@@ -35,28 +33,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
-from math import log2, sqrt
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import share_of_ids, stored, table
+from tidemark.llm.common import share_of_rows, stored, table
 
 DIMENSIONS = 1024
 SEED = 7
 TRAIN_DOCS = 2000
 UNKNOWN = "und"
-#: Share of training texts below the score that texts of their length are held
-#: against, the part of it that is enough, and scores that a class has at least.
-LOW, LIKENESS, LEAST_SCORES = 0.01, 0.6, 10
-#: Share of unrelated texts that pass by chance, over all languages, at most.
-CHANCE = 0.01
-#: Common trigrams: their share of all in a language's training texts, the most of
-#: them, and the part of a short text's trigrams that are common.
-COMMON, MOST_COMMON, SEEN = 0.99, 1 << 16, 0.6
+#: Cosine and share of common trigrams that a text of a learned language has together.
+LIKE = 0.45
+#: A trigram is common if it is one in so many of its language's, or more.
+RARE = 50_000
 #: Trigram vectors that a task keeps at hand.
 KEPT = 1 << 15
 _BLANK = 32
@@ -140,140 +132,69 @@ class Encoder:
         return self.vectors[rows]
 
 
-def length_class(counts: np.ndarray) -> int:
-    """Class of the effective number of trigrams, two to a doubling."""
-    counts = counts.astype(np.float64)
-    return int(2 * log2(counts.sum() ** 2 / (counts @ counts)) + 1e-9) if len(counts) else 0
-
-
-class Prototypes(dict):
-    """A vector at unit length for each language.
-
-    `low` has by language and length class the scores that texts are held against,
-    `common` by language the common trigrams, sorted.
-    """
-
-    def __init__(self, vectors: dict[str, np.ndarray], low: dict[str, dict[int, float]], common: dict[str, np.ndarray]):
-        super().__init__(vectors)
-        self.low, self.common = low, common
-
-    def __reduce__(self):
-        return Prototypes, (dict(self), self.low, self.common)
-
-    def like(self, text: str, lang: str, score: float) -> bool:
-        """Whether a text with this score is in the language. A length class without a value takes that of shorter texts."""
-        grams, counts = trigrams(text)
-        length = length_class(counts)
-        wanted = max((LIKENESS * low for c, low in self.low.get(lang, {}).items() if c <= length), default=0.0)
-        chance = NormalDist().inv_cdf(1 - CHANCE / len(self)) / sqrt(len(self[lang]))
-        if score >= max(wanted, chance):
-            return True
-        return wanted < chance and any(np.isin(grams, common).mean() >= SEEN for common in self.common.values())
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def prototypes(labelled: DataFrame, most: int = TRAIN_DOCS, dimensions: int = DIMENSIONS) -> Prototypes:
-    """A vector at unit length for each language, from up to about `most` texts of each.
+def training_sample(labelled: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+    """text and lang of up to about `most` different texts of each language, written once.
 
-    labelled: doc_id, text, lang. One vector for each language and task of the
-    small training table comes to the driver, with the different trigrams of its
-    texts, and one score for each language and length class.
+    labelled: doc_id, text, lang.
     """
     usable = labelled.filter("doc_id IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if not counts:
-        return Prototypes({}, {}, {})
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, most / n))])
-    sample = stored(usable.filter(share_of_ids(share[F.col("lang")])))
+    chosen = usable.filter(share_of_rows(share[F.col("lang")])) if counts else usable
+    return stored(chosen.dropDuplicates().select("text", "lang"))
+
+
+def prototypes(sample: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
+    """A vector at unit length for each language. One for each language and task of the
+    small sample comes to the driver."""
 
     def bundled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        said: dict[str, list] = {}
         encoder = Encoder(dimensions)
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
                 profile = encoder.profile(text.as_py())
                 if profile is not None:
                     totals[lang] = totals.get(lang, 0) + profile
-                    said.setdefault(lang, []).append(trigrams(text.as_py()))
-            said = {lang: [_summed(*zip(*each))] for lang, each in said.items()}
-        grams = [said[lang][0] for lang in totals]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(totals), pa.string()),
-                pa.array(list(totals.values()), pa.list_(pa.float64())),
-                pa.array([g for g, _ in grams], pa.list_(pa.int64())),
-                pa.array([n for _, n in grams], pa.list_(pa.int64())),
-            ],
-            names=["lang", "vector", "grams", "counts"],
+            [pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.list_(pa.float64()))],
+            names=["lang", "vector"],
         )
 
-    schema = "lang string, vector array<double>, grams array<long>, counts array<long>"
-    parts = sample.repartition(8, "doc_id").mapInArrow(bundled, schema)
-    grams: dict[str, list] = {}
     bundles: dict[str, np.ndarray] = {}
-    for row in sorted(parts.collect()):
+    for row in sorted(sample.mapInArrow(bundled, "lang string, vector array<double>").collect()):
         bundles[row.lang] = bundles.get(row.lang, 0) + np.array(row.vector)
-        grams.setdefault(row.lang, []).append((np.array(row.grams), np.array(row.counts)))
-    vectors = {lang: v / np.sqrt(v @ v) for lang, v in sorted(bundles.items()) if v @ v > 0}
-    common = {lang: _common(*zip(*grams[lang])) for lang in vectors}
-    return Prototypes(vectors, _low_scores(sample, bundles, dimensions), common)
-
-
-def _summed(grams: Iterable[np.ndarray], counts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    different, where = np.unique(np.concatenate(list(grams)), return_inverse=True)
-    return different, np.bincount(where, np.concatenate(list(counts)), len(different)).astype(np.int64)
-
-
-def _common(grams: Iterable[np.ndarray], counts: Iterable[np.ndarray]) -> np.ndarray:
-    """The most frequent trigrams that make up COMMON of all, up to MOST_COMMON."""
-    different, total = _summed(grams, counts)
-    order = np.argsort(-total, kind="stable")
-    before = np.cumsum(total[order]) - total[order]
-    return np.sort(different[order][before < COMMON * total.sum()][:MOST_COMMON])
+    return {lang: v / np.sqrt(v @ v) for lang, v in sorted(bundles.items()) if v @ v > 0}
 
 
-def _beginnings(text: str) -> Iterator[str]:
-    """The text's first word, two, four and so on, and the whole text."""
-    said, n = text.split(), 1
-    while n < len(said):
-        yield " ".join(said[:n])
-        n *= 2
-    yield text
+def common_trigrams(sample: DataFrame) -> dict[str, np.ndarray]:
+    """By language the trigrams that are common in its texts, sorted; no more than RARE can be."""
 
-
-def _low_scores(sample: DataFrame, bundles: dict[str, np.ndarray], dimensions: int) -> dict[str, dict[int, float]]:
-    """By language and length class the score that all but LOW of the training texts' beginnings have."""
-
-    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(dimensions)
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                own = encoder.profile(text)
-                rest = None if own is None else bundles[lang] - own
-                if rest is None or rest @ rest < 1e-9:
-                    continue
-                for part in _beginnings(text):
-                    profile = encoder.profile(part)
-                    if profile is not None:
-                        score = float(rest @ profile / np.sqrt(rest @ rest))
-                        rows.append((lang, length_class(trigrams(part)[1]), score))
-            columns = list(zip(*rows)) or [[]] * 3
-            types = (pa.string(), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "length", "score"]
-            )
-
-    scores = sample.select("text", "lang").mapInArrow(scored, "lang string, length int, score double")
-    lows = scores.groupBy("lang", "length").agg(F.percentile("score", F.lit(LOW)).alias("low"), F.count("*").alias("n"))
-    low: dict[str, dict[int, float]] = {}
-    for row in lows.filter(F.col("n") >= LEAST_SCORES).collect():
-        low.setdefault(row.lang, {})[row.length] = row.low
-    return low
+            said: dict[str, list] = {}
+            for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+                said.setdefault(lang, []).append(trigrams(text.as_py() or ""))
+            for lang, each in said.items():
+                grams, counts = (np.concatenate(part) for part in zip(*each))
+                grams, where = np.unique(grams, return_inverse=True)
+                counts = np.bincount(where, counts, len(grams)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int64()), pa.array(counts, pa.int64())],
+                    names=["lang", "gram", "n"],
+                )
+
+    counts = sample.mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = stored(counts)
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    found: dict[str, list[int]] = {}
+    for row in counts.join(total, "lang").filter(F.col("n") * RARE >= F.col("total")).collect():
+        found.setdefault(row.lang, []).append(row.gram)
+    return {lang: np.sort(np.array(grams, dtype=np.int64)) for lang, grams in found.items()}
 
 
 def _judge(learned: dict[str, np.ndarray]) -> Callable[[str | None], tuple[str, float]]:
@@ -309,26 +230,45 @@ def predicted(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
     return rest.mapInArrow(each, schema)
 
 
-def recognised(docs: DataFrame, learned: Prototypes) -> DataFrame:
-    """The rows whose text is in a learned language, with the score that its length needs; all columns kept."""
+class Languages:
+    """What recognition needs: prototypes and common trigrams by language."""
+
+    def __init__(self, vectors: dict[str, np.ndarray], common: dict[str, np.ndarray]):
+        self.vectors, self.common = vectors, common
+
+
+def likeness(text: str, score: float, common: dict[str, np.ndarray]) -> float:
+    """A text's cosine and the largest share of its different trigrams that are common in a language."""
+    grams, _ = trigrams(text)
+    return score + max((float(np.isin(grams, known).mean()) for known in common.values()), default=0.0)
+
+
+def recognised(docs: DataFrame, learned: Languages) -> DataFrame:
+    """The rows whose text is in a learned language; all columns kept."""
 
     @F.arrow_udf("boolean")
     def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        best = _judge(learned)
+        best = _judge(learned.vectors)
         for batch in texts:
             found = ((text, *best(text)) for text in batch.to_pylist())
-            yield pa.array([lang != UNKNOWN and learned.like(text, lang, score) for text, lang, score in found], pa.bool_())
+            yield pa.array([lang != UNKNOWN and likeness(text, score, learned.common) >= LIKE for text, lang, score in found], pa.bool_())
 
     return docs.filter(known("text"))
 
 
-def learned_languages(docs: DataFrame) -> Prototypes:
-    """Prototypes from the documents that are not held out."""
-    return prototypes(docs.filter(~held_out(F.col("doc_id"))))
+def _to_learn_from(docs: DataFrame) -> DataFrame:
+    """A sample of the documents that are not held out."""
+    return training_sample(docs.filter(~held_out(F.col("doc_id"))))
+
+
+def learned_languages(docs: DataFrame) -> Languages:
+    """Prototypes and common trigrams from the documents that are not held out."""
+    sample = _to_learn_from(docs)
+    return Languages(prototypes(sample), common_trigrams(sample))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = table(spark, sf_dir, "documents")
-    found = predicted(docs.select("doc_id", "text"), learned_languages(docs))
+    found = predicted(docs.select("doc_id", "text"), prototypes(_to_learn_from(docs)))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

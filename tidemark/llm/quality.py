@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import share_of_ids, stored, table
+from tidemark.llm.common import share_of_rows, stored, table
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
 TRAIN_DOCS = 4000
@@ -190,7 +190,7 @@ def scorer(docs: DataFrame, most: int = TRAIN_DOCS) -> tuple[np.ndarray, dict[st
     """Weights of the linear scorer, and the posteriors that labelled its texts."""
     voted, good = weak_labels(docs)
     total = voted.count()
-    sample = docs.filter(share_of_ids(min(1.0, most / max(1, total)))).select("doc_id", "text")
+    sample = docs.filter(share_of_rows(min(1.0, most / max(1, total)))).select("doc_id", "text").dropDuplicates()
 
     def labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
