@@ -42,6 +42,23 @@ def test_boilerplate_goes_inside_the_article(part):
     assert main_text(ARTICLE.replace("<p>Second", part + "<p>Second")) == TEXT
 
 
+@pytest.mark.parametrize(
+    "name", ["share-of-market", "related-work", "comment-policy", "popular-science", "search-algorithms", "advertising-history"]
+)
+@pytest.mark.parametrize("attribute", ["class", "id"])
+def test_chapters_are_not_dropped_for_a_word_of_their_name(name, attribute):
+    part = f'<section {attribute}="{name}"><h2>More</h2><p>It is a chapter of its own.</p></section>'
+    wanted = TEXT.replace("Second", "More\n\nIt is a chapter of its own.\n\nSecond")
+    assert main_text("<body>" + ARTICLE.replace("<p>Second", part + "<p>Second") + "</body>") == wanted
+    assert main_text(f"<body><main>{ARTICLE.replace('<p>Second', part + '<p>Second')}</main></body>") == wanted
+
+
+@pytest.mark.parametrize("name", ["comment", "share", "related-posts", "cookie-notice", "sidebar widget", "comment unheard-of"])
+def test_names_that_are_clear_still_tell(name):
+    part = f'<div class="{name}"><p>It is not part of the text.</p></div>'
+    assert main_text("<body>" + ARTICLE.replace("<p>Second", part + "<p>Second") + "</body>") == TEXT
+
+
 def test_labelled_pages_are_learned():
     model = learned()
     for page in PAGES:
@@ -90,6 +107,14 @@ def test_messages_give_the_marginals_of_all_labellings():
         ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "a\n\nb\n\nc\n\nd"),
         ("<nav>only a menu</nav>", ""),
         ("</p></div><p>x</b>", "x"),
+        ("<style>/* <!-- */ p{}</style><p>a</p>", "a"),
+        ("<p title='a <!-- b'>c</p><p>d</p>", "c\n\nd"),
+        ("<script>'<!--'</script><p>a</p>", "a"),
+        ("<title>x <!-- y</title><body><p>a</p>", "a"),
+        ("<textarea>x <!-- y</textarea><p>a</p>", "a"),
+        ("<p>a<!-- b --><p>c<!-- open <p>d", "a\n\nc"),
+        ("<p>a<!--> b", "a b"),
+        ("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>", "If x=1 then"),
     ],
 )
 def test_defined_results(page, text):

@@ -11,6 +11,9 @@ boilerplate. The model is a tree of parent-child potentials:
   main or article element;
 * an element without a telling tag, whose words say nothing against it, follows
   its parent;
+* within the main or article element a class or id speaks against text only if
+  all its words are known from labelled pages, or if the text is mostly links:
+  a comment box goes, a chapter named comment-policy stays;
 * a node's own text pulls it to content by its share of the page's text, and text
   that is mostly links pulls the other way.
 
@@ -54,7 +57,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    """audio button canvas datalist head iframe map math noframes noscript object optgroup option script select style
+    """audio button canvas datalist head iframe map noframes noscript object optgroup option script select style
     svg template textarea title video""".split()
 )
 #: An element that starts ends these, up to the element named.
@@ -82,24 +85,20 @@ WORD_FOR_CONTENT, UNDECIDED = 1.0, 1.0
 FOLLOWS = 4.0
 #: Log-odds against content below boilerplate.
 CLOSED = 12.0
+#: Fixed value: a whole comment.
+_comment_end = re.compile(r"<!--(?:-?>|.*?--!?>)", re.S)
 _token = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "tokens", "own", "links", "hidden", "linked", "marked")
+    __slots__ = ("tag", "parent", "tokens", "names", "own", "links", "hidden", "linked", "marked")
 
-    def __init__(self, tag: str, parent: int, tokens: tuple[str, ...], hidden: bool, linked: bool, marked: bool):
-        self.tag, self.parent, self.tokens = tag, parent, tokens
+    def __init__(self, tag: str, parent: int, tokens: tuple[str, ...], hidden: bool, linked: bool, marked: bool, names=()):
+        self.tag, self.parent, self.tokens, self.names = tag, parent, tokens, names
         self.hidden, self.linked, self.marked = hidden, linked, marked
         self.own = self.links = 0  # characters of text directly in it, and of those within links
 
 
-def _without_open_comment(html: str) -> str:
-    """A comment that is not closed hides the rest, unless it stands in a script."""
-    start = html.find("<!--", html.rfind("-->") + 1)
-    return html if start < 0 or "</script" in html[start:].lower() else html[:start]
-
-
 class Tree(HTMLParser):
     """Nodes in page order, and pieces of text as (node, text); node -1 is the border of a block."""
 
@@ -109,9 +108,17 @@ class Tree(HTMLParser):
         self.tags: Counter = Counter()  # of the open elements
         self.pieces: list[tuple[int, str]] = []
         self.open = [0]
-        self.feed(_without_open_comment(html))
+        self.feed(html)
         self.close()
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment that is not closed hides the rest. The parser asks where markup may stand
+        only, so not in scripts, styles and attributes; in a title or text area it is text."""
+        if self.nodes[self.open[-1]].tag in ("title", "textarea"):
+            return i + len("<!--")
+        end = _comment_end.match(self.rawdata, i)
+        return end.end() if end else len(self.rawdata)
+
     def _close(self, depth: int) -> None:
         for n in self.open[depth:]:
             self.tags[self.nodes[n].tag] -= 1
@@ -145,7 +152,8 @@ class Tree(HTMLParser):
             return
         values = dict(attrs)
         named = " ".join(values.get(a) or "" for a in ("class", "id"))
-        tokens = {"word:" + t.lower() for t in _token.findall(named)}
+        names = [tuple("word:" + t.lower() for t in _token.findall(name)) for name in named.split()]
+        tokens = {word for name in names for word in name}
         if values.get("role"):
             tokens.add("role:" + values["role"].lower())
         style = (values.get("style") or "").replace(" ", "").lower()
@@ -160,6 +168,7 @@ class Tree(HTMLParser):
                 parent.hidden or tag in SILENT,
                 parent.linked or tag == "a",
                 "b" in values,
+                names,
             )
         )
         self.tags[tag] += 1
@@ -192,15 +201,25 @@ def _totals(nodes: list[Node], field: str) -> list[int]:
     return totals
 
 
+def _mains(nodes: list[Node]) -> set[int]:
+    main = {n for n, x in enumerate(nodes) if x.tag == "main" or "role:main" in x.tokens}
+    return main or {n for n, x in enumerate(nodes) if x.tag == "article"}
+
+
+def _inside(nodes: list[Node]) -> list[bool]:
+    """Whether each node lies within one of the page's main elements."""
+    main, inside = _mains(nodes), [False] * len(nodes)
+    for n in range(1, len(nodes)):
+        inside[n] = inside[nodes[n].parent] or nodes[n].parent in main
+    return inside
+
+
 def _places(nodes: list[Node]) -> list[bool]:
     """Whether each node lies outside of the page's main elements; never, if it has none."""
-    main = {n for n, x in enumerate(nodes) if x.tag == "main" or "role:main" in x.tokens}
-    main = main or {n for n, x in enumerate(nodes) if x.tag == "article"}
+    main = _mains(nodes)
     if not main:
         return [False] * len(nodes)
-    inside, above = [False] * len(nodes), set()
-    for n, x in enumerate(nodes):
-        inside[n] = n in main or (n > 0 and inside[x.parent])
+    inside, above = _inside(nodes), set()
     for n in main:
         while n >= 0 and n not in above:
             above.add(n)
@@ -259,11 +278,18 @@ class Model:
             label.append(label[node.parent] and not node.marked)
         return label
 
+    def _doubtful(self, node: Node) -> set[str]:
+        """Words that speak against a node only as part of names with a word that is not known: such
+        a name may mean anything, as related-work or share-of-market do."""
+        told = {word for name in node.names if all(w in self.odds for w in name) for word in name}
+        return {word for name in node.names for word in name} - told
+
     def potentials(self, nodes: list[Node]) -> tuple[list[float], list[float], list[float]]:
         """Logs, for each node: of being content by itself; of content and of boilerplate below content."""
         sizes, links = _totals(nodes, "own"), _totals(nodes, "links")
         outside, page = _places(nodes), max(1, sizes[0])
         children = Counter(node.parent for node in nodes)
+        inside = _inside(nodes)
         own, to_yes, to_no = [], [], []
         for n, node in enumerate(nodes):
             own.append((self.text_pull * (node.own - node.links) - self.link_pull * node.links) / page)
@@ -271,7 +297,9 @@ class Model:
             if plain and children[node.parent] == 1 and not nodes[node.parent].own:
                 odds = CLOSED  # alone in its parent: the same thing
             else:
-                found = [self.odds.get(f, 0.0) for f in features(nodes, n, outside)]
+                # in the main element, and with more than links in it, a name alone must be clear
+                unclear = self._doubtful(node) if inside[n] and 2 * links[n] < sizes[n] else ()
+                found = [self.odds.get(f, 0.0) for f in features(nodes, n, outside) if f not in unclear]
                 odds = self.prior + sum(found)
                 if node.tag not in TELLING and min(found, default=0.0) >= 0:
                     odds = max(odds, FOLLOWS)
