@@ -124,3 +124,21 @@ def test_runs_of_random_notices():
 
 def test_many_repeats_in_one_text():
     assert len(built_in().matches("All rights reserved.\n" * 20_000)) == 20_000
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_each_notice_is_given_its_own_name(name):
+    """Alone, among other words, and over lines."""
+    text = TEMPLATES[name]
+    for around in (text, f"Some words before. {text} And some after it.", text.replace(" ", "\n * ")):
+        found = [m.license for m, _, _ in built_in().matches(around)]
+        own = {name} | ({"all rights reserved"} if "All rights reserved" in text else set())
+        assert name in found and set(found) <= own
+
+
+def test_lines_that_name_their_license(spark):
+    text = "// SPDX-License-Identifier: (MIT OR Apache-2.0)\n# SPDX-License-Identifier: GPL-1.0-or-later WITH X-exception-2.0\nnone"
+    rows = licenses(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).collect()
+    found = sorted((r.span_start, r.license, text[r.span_start : r.span_end].split(":")[1].strip()) for r in rows)
+    assert [f[1] for f in found] == [f[2] for f in found] == ["(MIT OR Apache-2.0)", "GPL-1.0-or-later WITH X-exception-2.0"]
+    assert all(r.coverage == 1.0 for r in rows)

@@ -96,7 +96,11 @@ def _most_in_order(places: dict[str, int], size: int, window: list[str]) -> int:
 
 
 def in_order(part: list[str], passage: list[str]) -> float:
-    """The largest share of a part's words that stand in order in a stretch of the passage, a quarter longer than it."""
+    """The largest share of a part's words that stand in order in a stretch of the passage, a quarter longer than it.
+
+    Parts of 16 words and more are tried at every n-th start, n an eighth of their length, in stretches longer by n:
+    each stretch that trying all starts would see lies in one of them, so none is missed.
+    """
     size = len(part)
     if not size:
         return 1.0

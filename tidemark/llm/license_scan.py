@@ -15,6 +15,9 @@ Hits beside it, whose alignment it took words from, are aligned again with the
 words between the spans that stand. Of equal alignments of one hit the nearest to
 its diagonal counts, so that notices that repeat are found each.
 
+Lines that name a license by its short name (SPDX-License-Identifier) have no text to
+align: they are read as they are, with coverage 1 and the words of the line.
+
 Texts are not shuffled, and the templates are fixed and small, so the index goes
 to the tasks as it is. All occurrences are reported; a text that holds a template
 whole has all of its fingerprints, so none is missed.
@@ -84,6 +87,27 @@ TEMPLATES = {
     "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify it under the terms of the
         GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at
         your option) any later version.""",
+    "GPL-2.0-only": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License version 2 as published by the Free Software Foundation.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the
+        GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "LGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the
+        GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the
+        GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+        License, or (at your option) any later version.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "EPL-1.0": """All rights reserved. This program and the accompanying materials are made available under the terms of
+        the Eclipse Public License v1.0 which accompanies this distribution, and is available at
+        http://www.eclipse.org/legal/epl-v10.html""",
+    "Artistic-2.0": "This is free software, licensed under: The Artistic License 2.0 (GPL Compatible)",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy
+        at https://www.boost.org/LICENSE_1_0.txt)""",
     "GPL-3.0 (notice)": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-2.0 (notice)": "This work is licensed under the GNU General Public License, version 2.",
     "LGPL-3.0 (notice)": "This work is licensed under the GNU Lesser General Public License, version 3.",
@@ -103,11 +127,23 @@ TEMPLATES = {
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
     "CC-BY-4.0 (long)": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0 (long)": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0 (long)": """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International
+        License.""",
+    "CC-BY-ND-4.0 (long)": """This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International
+        License.""",
+    "CC-BY-NC-SA-4.0 (long)": """This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0
+        International License.""",
+    "CC-BY-NC-ND-4.0 (long)": """This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0
+        International License.""",
     "CC0-1.0 (notice)": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     "all rights reserved": "All rights reserved.",
 }
 
 _word = re.compile(r"\w+")
+# Fixed value: a line that names its license, or several, by their short names.
+_tag = re.compile(
+    r"SPDX-License-Identifier:[ \t]*(\(?[A-Za-z0-9.+-]+(?:\)?[ \t]+(?:OR|AND|WITH)[ \t]+\(?[A-Za-z0-9.+-]+)*\)?)"
+)
 
 
 @dataclass(frozen=True)
@@ -263,6 +299,11 @@ def _spans_of_lowered(text: str) -> list[tuple[int, int]]:
     return [(origin[m.start()], origin[m.end() - 1] + 1) for m in _word.finditer(lowered)]
 
 
+def tags(text: str | None) -> list[tuple[str, int, int, int]]:
+    """License, words, start and end of each line that names its license."""
+    return [(m[1], len(_word.findall(m[0])), *m.span()) for m in _tag.finditer(text or "")]
+
+
 @cache
 def built_in() -> Templates:
     return Templates(TEMPLATES)
@@ -283,11 +324,12 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: fl
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            rows = [
-                (ids[n].as_py(), m.license, m.coverage, m.matched, start, end)
-                for n, text in enumerate(batch.column("text"))
-                for m, start, end in index.matches(text.as_py(), least)
-            ]
+            rows = []
+            for doc_id, text in zip(ids.to_pylist(), batch.column("text")):
+                text = text.as_py()
+                found = [(m.license, m.coverage, m.matched, start, end) for m, start, end in index.matches(text, least)]
+                found += [(license, 1.0, n, start, end) for license, n, start, end in tags(text)]
+                rows += [(doc_id, *each) for each in found]
             columns = list(zip(*rows)) or [[]] * len(fields)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, (_, t) in zip(columns, fields)], names=[name for name, _ in fields]
