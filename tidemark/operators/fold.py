@@ -63,12 +63,13 @@ def last_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     return _folded(changes.where(~null_key(spec)), spec)
 
 
-def net_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
+def net_changes(changes: DataFrame, spec: TableSpec, *apart: Column) -> DataFrame:
     """The last change for each key, and each row that has a null in its key:
-    these are rows of their own, told by their position and kept once."""
+    these are rows of their own, told by their position and kept once. Keys are
+    folded for themselves wherever the columns ``apart``, as a table's name, differ."""
     if not spec.null_keys:
-        return last_per_key(changes, spec)
-    return _folded(changes, spec, F.when(null_key(spec), F.col(POS)).alias("_alone"))
+        return _folded(changes.where(~null_key(spec)), spec, *apart)
+    return _folded(changes, spec, F.when(null_key(spec), F.col(POS)).alias("_alone"), *apart)
 
 
 def rows_after(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -107,14 +108,19 @@ def set_aside(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     return found.unionByName(moved)
 
 
-def batch_outcome(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+def batch_outcome(decoded: DataFrame, spec: TableSpec, table: Column | None = None) -> DataFrame:
     """All that a batch amounts to, in one pass and one shuffle: the last change
     per key (in each partition that has one, where no source order is declared),
     the rows with null keys, and the rejected records (``_rejected``) with their
-    reason and raw texts."""
+    reason and raw texts. With ``table``, a name made from ``topic``, the same for
+    each table, as a further column ``_table``."""
     records = all_records(decoded)
     # a record that stands alone is a group of its own
-    alone = F.when(F.col(REJECTED) | null_key(spec), F.col(POS)).alias("_alone")
-    if spec.order_column:
-        return _folded(records, spec, alone)
-    return _folded(records, spec, alone, F.col(f"{POS}.topic"), F.col(f"{POS}.partition"))
+    apart = [F.when(F.col(REJECTED) | null_key(spec), F.col(POS)).alias("_alone")]
+    if not spec.order_column:
+        apart += [F.col(f"{POS}.topic"), F.col(f"{POS}.partition")]
+    if table is None:
+        return _folded(records, spec, *apart)
+    columns = records.columns
+    routed = records.select("*", F.col(f"{POS}.topic").alias("topic")).select(*columns, table.alias("_table"))
+    return _folded(routed, spec, *apart, F.col("_table"))

@@ -168,6 +168,8 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (action = 'delete') AS "delete", count(*) FILTER (action = 'bad_key') AS bad_key,
         count(*) FILTER (action = 'bad_value') AS bad_value, count(*) FILTER (action = 'invalid_op') AS invalid_op,
         CAST(0 AS BIGINT) AS drift, CAST(0 AS BIGINT) AS not_allowed, min("offset") AS lo, max("offset") AS hi FROM feed""",
+    "many_tables": FEED + """SELECT 'srv_db_dbo_t' || CAST("ID" % 50 AS VARCHAR) AS table_name,
+        "ID", "Label", "Amount", "Note" FROM net WHERE action <> 'delete'""",
     "route_one_table": FEED + """SELECT 'srv_db_dbo_emp0' AS table_name, count(*) AS n FROM net
         WHERE topic = 'srv.db.dbo.Emp0' AND action <> 'delete'
         UNION ALL SELECT 'unrouted', count(*) FROM feed WHERE topic <> 'srv.db.dbo.Emp0'""",

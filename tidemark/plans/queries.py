@@ -43,6 +43,7 @@ from tidemark.sources.store import TableStore
 from tidemark.sources.tables import append_path, scan_path
 from tidemark.sources.workdir import work_dir
 from tidemark.streaming.apply import apply_stream, once_by_source, redrive, stream_progress, unrouted_records
+from tidemark.streaming.many import apply_to_many, many_tables
 from tidemark.table import TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -532,6 +533,22 @@ def redriven_rejects(spark, sf_dir):
     return store.read()
 
 
+TABLES = 50
+
+
+@query
+def tables_at_once(spark, sf_dir):
+    """Fifty topics to tables of their own, all in one fold of each batch."""
+    topic = F.concat(F.lit("srv.db.dbo.T"), (F.col("user_id") % TABLES).cast("string"))
+    users = events(spark, sf_dir).select(F.col("event_id").alias("offset"), topic.alias("own"))
+    records = feed(spark, sf_dir).join(users, "offset").drop("topic").withColumnRenamed("own", "topic")
+    root = work_dir(spark)
+    stream = file_feed(spark, _feed_folder(spark, records), stream=True, maxFilesPerTrigger=1)
+    names = [f"srv_db_dbo_t{n}" for n in range(TABLES)]
+    apply_to_many(stream, CURRENT, names, root, f"{work_dir(spark)}/checkpoint").awaitTermination()
+    return many_tables(spark, root, CURRENT).withColumnRenamed("_table", "table_name")
+
+
 # Names under which some of the queries above are listed.
 QUERIES["apply_stream"] = QUERIES.pop("apply_stream_table")
 QUERIES["last_per_key"] = QUERIES.pop("last_change")
@@ -539,5 +556,6 @@ QUERIES["connect_schema"] = QUERIES.pop("record_schema")
 QUERIES["schema_history"] = QUERIES.pop("carried_schemas")
 QUERIES["enum_check"] = QUERIES.pop("enum_cells")
 QUERIES["inferred_schema"] = QUERIES.pop("inferred_columns")
+QUERIES["many_tables"] = QUERIES.pop("tables_at_once")
 QUERIES["stream_progress"] = QUERIES.pop("noted_progress")
 QUERIES["offset_gaps"] = QUERIES.pop("missing_offsets")

@@ -354,17 +354,25 @@ class TableStore:
         outcome.write.mode("overwrite").partitionBy(REJECTED).parquet(folder)
         return True
 
-    def compact(self, forget: Column | None = None) -> int:
+    def compact(self, forget: Column | None = None, low_water: bool = False) -> int:
         """Write the newest version as a snapshot. Delete markers stay until
         ``forget``, a condition on ``_pos``, says the feed cannot send anything
-        older than them again."""
+        older than them again.
+
+        ``low_water`` makes what has been committed a bound of its own: the last
+        record of each partition, or in the declared order. Markers below it go, and
+        changes that come in below it afterwards are not applied but listed by
+        ``rejects`` as superseded. That is for feeds whose batches come in order.
+        """
         version, base, pending = self._layers()
         if not pending:
             return version
         state = self._state(base, pending)
+        if low_water:  # no record is above it yet
+            forget = F.lit(True)
         if forget is not None:
             state = state.where(~(F.col(DELETED) & F.coalesce(forget, F.lit(False))))
-        self._write_snapshot(state, version, self._horizon(base))
+        self._write_snapshot(state, version, self._seen(base, pending) if low_water else self._horizon(base))
         return version
 
     def compact_if_due(self, ratio: float, forget: Column | None = None) -> bool:
