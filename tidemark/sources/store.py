@@ -248,16 +248,15 @@ class TableStore:
         their ``time`` in the declared order, if asked for.
 
         Without a source order these are also the last changes of a key in
-        partitions that it does not belong to (``moved_key``). Changes since the
-        newest snapshot that an overwrite has taken the place of are ``superseded``.
+        partitions that it does not belong to (``moved_key``). Changes
+        that an overwrite or a low-water mark has taken the place of are ``superseded``.
         """
         schema = T.StructType([T.StructField(POS, self.spec.position), T.StructField("_record", RECORD_TYPE)])
-        paths = [
-            f"{self.path}/changes/{after}/{n}"
+        batches = {
+            after: [f"{self.path}/changes/{after}/{n}" for n in self._names(f"changes/{after}") if self._finished(f"changes/{after}", n)]
             for after in self._names("changes")
-            for n in self._names(f"changes/{after}")
-            if self._finished(f"changes/{after}", n)
-        ]
+        }
+        paths = [path for each in batches.values() for path in each]
         records = self._outcomes(paths, schema, rejected=True)
         place = [F.col(f"{POS}.{c}") for c in (*PLACE, *(["time"] if times else []))]
 
@@ -269,9 +268,10 @@ class TableStore:
                 F.lit(None).cast("string").alias("raw_value"),
             )
 
-        _, base, pending = self._layers()
-        old = self._changes(pending, self._horizon(base), old=True)
-        found = records.select(*place, "_record.*").unionByName(listed(old, SUPERSEDED))
+        found = records.select(*place, "_record.*")
+        for after, each in batches.items():  # what each snapshot's horizon sets aside
+            if each and (horizon := self._horizon([after.removeprefix("after=")])) is not None:
+                found = found.unionByName(listed(self._changes(each, horizon, old=True), SUPERSEDED))
         if not self.spec.order_column:
             changes = self._outcomes(paths, self.spec.state_schema, rejected=False)
             found = found.unionByName(listed(moved_changes(changes, self.spec), MOVED_KEY))
