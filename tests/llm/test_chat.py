@@ -1,11 +1,15 @@
 """Formatting of conversations, read back exactly."""
 
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from plain import sha
 from tidemark.llm.chat import END, PROBE, SEAM, START, format_chats, masked_text, turns_of
+from tidemark.llm.queries import QUERIES
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -65,3 +69,17 @@ def test_a_long_conversation(spark):
     rows = [(1, n, "assistant" if n % 3 else "user", f"t{n}") for n in range(3000)]
     got = back(spark, rows)[1]
     assert [x.text for x in got.turns] == [f"t{n}" for n in range(3000)]
+
+
+@pytest.mark.parametrize("roles", [["user", "assistant"], ["assistant"]])
+def test_a_very_long_conversation(spark, tmp_path, roles):
+    """50,000 turns, by turns and by one role, take seconds."""
+    turns = [(1, n, roles[n % len(roles)], f"says {n} <|x|> é") for n in range(50_000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    begun = time.time()
+    row = next(r for r in QUERIES["op10_chat"](spark, str(tmp_path)).collect() if r.conv_id == 1)
+    assert time.time() - begun < 20
+    loss = "".join(text for _, _, role, text in turns if role == "assistant")
+    assert (row.n_turns, row.loss_chars, row.loss_sha256) == (50_000, len(loss), sha(loss))
+    assert row.turns_sha256 == sha("".join(f"{role}\n{text}\n" for _, _, role, text in turns))

@@ -25,6 +25,8 @@ no rows give no conversations.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,8 @@ from tidemark.llm.common import table
 START, END, SEAM, LINE = "<|im_start|>", "<|im_end|>", "<|im_seam|>", "<|nl|>"
 TRAINED = "assistant"
 
-_TURNS = "array<struct<role:string,texts:array<string>>>"
+#: Elements of an array that are gone through together.
+CHUNK = 128
 
 
 def escaped(text: Column) -> Column:
@@ -53,19 +56,40 @@ def unescaped_role(role: Column) -> Column:
     return unescaped(F.replace(role, F.lit(LINE), F.lit("\n")))
 
 
+def _bound(value: Column, build: Callable[[Column], Column]) -> Column:
+    """What `build` makes of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), build), 0)
+
+
+def _chunks(count: Column) -> Column:
+    """Where the chunks begin of an array of `count` elements. Arrays that grow by an element at a
+    time are copied each time, so that is done within chunks only."""
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1, F.lit(CHUNK))).otherwise(F.expr("CAST(array() AS array<int>)"))
+
+
 def merged(turns: Column) -> Column:
-    """Blocks of adjacent turns with the same role, from sorted turns."""
-
-    def step(blocks: Column, turn: Column) -> Column:
-        last = F.try_element_at(blocks, F.lit(-1))
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        grown = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        rest = F.slice(blocks, F.lit(1), F.size(blocks) - 1)
-        return F.when(last["role"] == turn["role"], F.concat(rest, F.array(grown))).otherwise(
-            F.concat(blocks, F.array(fresh))
-        )
+    """Blocks of adjacent turns with the same role, from sorted turns.
+
+    Aggregation finds the turns that begin a block; a block is all up to the next one.
+    """
+
+    def blocks(t: Column) -> Column:
+        def begins(place: Column) -> Column:
+            return (place == 0) | (F.get(t, place)["role"] != F.get(t, place - 1)["role"])
+
+        def of_chunk(start: Column) -> Column:
+            places = F.sequence(start, F.least(start + CHUNK, F.size(t)) - 1)
+            none = F.expr("CAST(array() AS array<int>)")
+            return F.aggregate(places, none, lambda found, n: F.when(begins(n), F.concat(found, F.array(n))).otherwise(found))
+
+        def block(begin: Column, end: Column) -> Column:
+            texts = F.transform(F.slice(t, begin + 1, end - begin), lambda turn: turn["text"])
+            return F.struct(F.get(t, begin)["role"].alias("role"), texts.alias("texts"))
 
-    return F.aggregate(turns, F.expr(f"CAST(array() AS {_TURNS})"), step)
+        found = F.flatten(F.transform(_chunks(F.size(t)), of_chunk))
+        return _bound(found, lambda f: F.zip_with(f, F.concat(F.slice(f, 2, F.size(f)), F.array(F.size(t))), block))
+
+    return _bound(turns, blocks)
 
 
 def _pieces(block: Column) -> Column:
@@ -88,17 +112,34 @@ def _pieces(block: Column) -> Column:
 
 
 def _mask(pieces: Column) -> Column:
-    begin = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,end:int>>)").alias("spans"))
-
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.length(piece["string"])
-        span = F.struct(state["at"].alias("start"), end.alias("end"))
-        return F.struct(
-            end.alias("at"),
-            F.when(piece["trained"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
-        )
+    """Spans of the pieces under the loss mask: chunks' lengths first, then the spans within each."""
+    no_spans = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
+
+    def begins(sizes: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<int>)").alias("found"))
 
-    return F.aggregate(pieces, begin, step, lambda state: state["spans"])
+        def step(state: Column, size: Column) -> Column:
+            return F.struct((state["at"] + size).alias("at"), F.concat(state["found"], F.array(state["at"])).alias("found"))
+
+        return F.aggregate(sizes, start, step, lambda state: state["found"])
+
+    def spans(chunk: Column, begin: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            end = state["at"] + F.length(piece["string"])
+            span = F.struct(state["at"].alias("start"), end.alias("end"))
+            found = F.when(piece["trained"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+            return F.struct(end.alias("at"), found.alias("spans"))
+
+        return F.aggregate(chunk, F.struct(begin.alias("at"), no_spans.alias("spans")), step, lambda state: state["spans"])
+
+    def of_chunks(chunks: Column) -> Column:
+        sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda size, p: size + F.length(p["string"])))
+        return F.flatten(F.zip_with(chunks, begins(sizes), spans))
+
+    def cut(p: Column) -> Column:
+        return F.transform(_chunks(F.size(p)), lambda start: F.slice(p, start + 1, F.lit(CHUNK)))
+
+    return _bound(_bound(pieces, cut), of_chunks)
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
@@ -136,9 +177,26 @@ def turns_of(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """The original text under a loss mask, nothing between its parts."""
-    parts = F.transform(spans, lambda s: unescaped(formatted.substr(s["start"] + 1, s["end"] - s["start"])))
-    return F.array_join(parts, "")
+    """The original text under a loss mask, nothing between its parts.
+
+    Places are counted from the beginning of a text, so the text of some spans is cut out
+    first, and the spans from that.
+    """
+
+    def of_chunk(chunk: Column) -> Column:
+        base = F.get(chunk, 0)["start"]
+        stretch = formatted.substr(base + 1, F.element_at(chunk, -1)["end"] - base)
+
+        def cut(string: Column) -> Column:
+            parts = F.transform(chunk, lambda s: unescaped(string.substr(s["start"] - base + 1, s["end"] - s["start"])))
+            return F.array_join(parts, "")
+
+        return _bound(stretch, cut)
+
+    def whole(all_spans: Column) -> Column:
+        return F.transform(_chunks(F.size(all_spans)), lambda start: of_chunk(F.slice(all_spans, start + 1, F.lit(CHUNK))))
+
+    return F.array_join(_bound(spans, whole), "")
 
 
 #: A conversation that tries to break out of its turns.
