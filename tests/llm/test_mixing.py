@@ -81,3 +81,11 @@ def test_mixed_rows_keep_their_columns(spark):
     assert Counter((r.doc_id, r.source) for r in got) == copies
     assert set(got[0].asDict()) == {*df.columns, "copy"}
     assert all(r.copies == "mine" and r["copy"] in (1, 2, 3) for r in got)
+
+
+def test_a_column_named_copy_is_replaced(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b", "s", "mine")], "doc_id long, text string, source string, Copy string")
+    found = mixed_documents(df)
+    assert found.columns == ["doc_id", "text", "source", "copy"]
+    found.write.parquet(str(tmp_path / "mix"))
+    assert [r.copy for r in found.collect()] == [1]

@@ -251,7 +251,14 @@ def recognised(docs: DataFrame, learned: Languages) -> DataFrame:
         best = _judge(learned.vectors)
         for batch in texts:
             found = ((text, *best(text)) for text in batch.to_pylist())
-            yield pa.array([lang != UNKNOWN and likeness(text, score, learned.common) >= LIKE for text, lang, score in found], pa.bool_())
+            # mostly the cosine is enough
+            yield pa.array(
+                [
+                    lang != UNKNOWN and (score >= LIKE or likeness(text, score, learned.common) >= LIKE)
+                    for text, lang, score in found
+                ],
+                pa.bool_(),
+            )
 
     return docs.filter(known("text"))
 

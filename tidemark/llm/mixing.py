@@ -153,7 +153,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, carry: tuple[str, ..
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: each document's row once for each copy, with `copy` 1, 2, ...
 
-    All columns are kept. Rows that repeat an id are told apart by text and
+    All columns are kept, but for one named `copy`, which this one replaces. Rows that repeat an id are told apart by text and
     source, and rows equal in these by their number.
     """
     key = row_key("text", "source").alias("row_key")
@@ -163,7 +163,8 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataF
         .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
         .filter("copies > 0")
     )
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), key)
+    own_columns = [docs[c] for c in docs.columns if c.lower() != "copy"]
+    rows = docs.select(F.struct(*own_columns).alias("document"), key)
     # equal rows have copies that differ by one at most; the texts are shuffled once
     nth = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
     own = F.expr("copies DIV rows + CAST(nth <= copies % rows AS BIGINT)")
