@@ -102,10 +102,10 @@ def test_a_batch_is_not_applied_again_after_its_commit(spark, spec, monkeypatch)
 
     monkeypatch.setattr(TableStore, "compact_if_due", broken)
     with pytest.raises(Exception, match="the driver was lost"):
-        start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+        start(spark, f"{root}/feed", store, f"{root}/checkpoint", compact_ratio=0.25)
     assert store.version == 1
     monkeypatch.setattr(TableStore, "compact_if_due", compact)
-    start(spark, f"{root}/feed", store, f"{root}/checkpoint")
+    start(spark, f"{root}/feed", store, f"{root}/checkpoint", compact_ratio=0.25)
     assert store.version == 1 and rows_of(store.read()) == run(RECORDS, COLUMNS, ["ID"])
 
 
