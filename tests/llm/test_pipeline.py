@@ -40,7 +40,7 @@ def test_order_and_columns(stages):
 
 def test_language(stages):
     before, after = stages["language ID"]
-    found = predicted(before, learned_languages(before)).collect()
+    found = predicted(before, learned_languages(before).vectors).collect()
     unknown = {r.doc_id for r in found if r.lang_pred == UNKNOWN}
     assert {900_001, 900_002} <= unknown
     assert Counter(rows(after)) == Counter(r for r in rows(before) if r[0] not in unknown)
