@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import pytest
 from plain import base_spans, sha, spelled
@@ -184,3 +185,77 @@ def test_random_letters_are_found_and_words_in_letters_are_not(spark, letters):
     found = found_in(spark, secrets + wordy)
     assert sum(found[n] == [(0, 44)] for n in range(150)) > 130
     assert sum(bool(found[150 + n]) for n in range(150)) <= 15
+
+
+def plain_random(spark, texts):
+    """Random spans of texts by id: candidates, the step-up rule and what they add, in plain Python; p-values by `battery`."""
+    each = []
+    for doc, text in texts.items():
+        for run in re.finditer(s.CANDIDATE, text or ""):
+            pieces = {run.span()}
+            if re.search("[+/]", run[0]) and re.search("[_-]", run[0]):
+                pieces = {(run.start() + m.start(), run.start() + m.end()) for x in s.PIECES for m in re.finditer(x, run[0])}
+            for a, b in pieces:
+                names = [name for name, pattern, _ in s.ENCODINGS if re.search(pattern, text[a:b])]
+                if names and re.search("[A-Za-z]", text[a:b]):
+                    each.append((doc, a, b, text[a:b], names[0]))
+    strings = spark.createDataFrame(sorted({x[3:] for x in each}) or [("a" * 20, "lower")], "string string, encoding string")
+    p = {r.string: r.p for r in strings.select("string", s.battery(F.col("string"), F.col("encoding")).alias("p")).collect()}
+    strata = {}
+    for doc, a, b, string, name in each:
+        level = max(0, min(math.floor(-math.log10(max(p[string], 1e-30)) * s.GRID), s.GRID * s.GRID_POWERS))
+        strata.setdefault((name, sum(n <= b - a for n in s.LENGTH_CLASSES)), []).append((level, doc, a, b))
+    found = {doc: [] for doc in texts}
+    for members in strata.values():
+        levels = [level for level, *_ in members]
+        passing = [t for t in sorted(set(levels)) if 10 ** (-t / s.GRID) * len(levels) <= s.FDR * sum(x >= t for x in levels)]
+        for level, doc, a, b in members:
+            if passing and level >= passing[0] and not any(x < b and a < y for x, _, y in base_spans(texts[doc])):
+                found[doc].append((a, b))
+    return {
+        doc: sorted(c for c in spans if not any(o != c and o[0] <= c[0] and c[1] <= o[1] for o in spans))
+        for doc, spans in found.items()
+    }
+
+
+def test_random_spans_of_the_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    got = {r.doc_id: r.spans.split(",") for r in QUERIES["op8_secrets"](spark, SF_DIR).collect()}
+    random_spans = {doc: sorted(tuple(map(int, x.split(":")[1:])) for x in spans if x.startswith("random")) for doc, spans in got.items()}
+    assert random_spans == plain_random(spark, texts)
+
+
+def strings(rng, n):
+    kinds = ["0123456789abcdef", ALNUM, ALNUM + "+/", ALNUM + "_-", ALNUM + "+/_-"]
+    each = ["".join(rng.choices(rng.choice(kinds), k=rng.choice((8, 16, 24, 44, 70)))) for _ in range(n)]
+    words = ["token=", "river/", "a_b-c/", " ", "\n", "é ", "stone ", "x" * 30 + " "]
+    return "".join(x + rng.choice(words) for x in each)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 64])
+def test_spans_of_mixed_texts(spark, monkeypatch, chunk):
+    """Patterns, random strings, runs with both marks, next to and over each other, in chunks of any size."""
+    monkeypatch.setattr(s, "CHUNK", chunk)
+    rng = random.Random(11)
+    texts = {n: strings(rng, n) for n in range(70)}
+    assert found_in(spark, list(texts.values())) == plain_random(spark, texts)
+    df = rows(spark, list(texts.values()))
+    levels = s.discovery_levels(df)
+    spans = {r.doc_id: [(x.start, x.end) for x in r.secrets_spans] for r in s.scan(df, levels).collect()}
+    for r in s.without_secrets(df, levels).collect():
+        text, out, at = texts[r.doc_id], "", 0
+        for start, end in spans[r.doc_id]:
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert r.text == out + text[at:]
+
+
+def test_very_long_text_with_very_many_spans(spark):
+    rng = random.Random(12)
+    text = " ".join("".join(rng.choices("0123456789abcdef", k=16)) for _ in range(64_000))
+    df = rows(spark, [text, "token=" + "a" * 12])
+    begun = time.monotonic()
+    got = s.scan(df, {}).select("doc_id", F.size("secrets_spans").alias("n"), s.redacted(F.col("text"), F.col("secrets_spans")).alias("text"))
+    assert [(r.n, r.text) for r in got.orderBy("doc_id").collect()] == [(64_000, " ".join(["[SECRET]"] * 64_000)), (1, "[SECRET]")]
+    assert time.monotonic() - begun < 60  # seconds here, hours if each span were to copy those before it

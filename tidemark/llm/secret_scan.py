@@ -25,7 +25,8 @@ lengths, by the step-up rule over all candidates of the corpus, on a fixed grid
 of p-values: the grid makes it one small aggregation instead of a global sort.
 
 Only DataFrame functions are used; a text is scanned where it lies, nothing is
-shuffled but the counts on the grid.
+shuffled but the counts on the grid. Spans are found, joined and cut out in passes
+along the text, so that work grows with a text's length and its spans alike.
 
 Defined results: a null or empty text has no spans; spans are in code points,
 end exclusive; a random string that touches a pattern's span, or lies inside a
@@ -87,35 +88,71 @@ FDR = 0.05
 #: Edges of the grid of p-values: 20 to a power of ten, from 10^-8 to 1.
 GRID = 20
 GRID_POWERS = 8
+#: Spans to a chunk, where a long text's are swept over.
+CHUNK = 64
 
 
 def _matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
     """A pattern's matches that are long enough: (start, kind, end, string)."""
-    gaps = F.split(text, pattern, -1)
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     pieces = F.arrays_zip(
-        F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"), whole.alias("found"), counted.alias("counted")
+        F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"),
+        whole.alias("found"),
+        F.transform(counted, F.length).alias("counted"),
     )
-    none = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int,string:string>>)")
 
-    def step(state: Column, m: Column) -> Column:
-        start = state["at"] + F.length(m["gap"])
+    def span(at: Column, m: Column) -> Column:
+        start = at + m["gap"]
         end = start + F.length(m["found"])
-        span = F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), m["found"].alias("string")
-        )
-        fits = F.length(m["counted"]) >= least
-        return F.struct(
-            end.alias("at"),
-            F.when(fits, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
-        )
-
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    found = F.aggregate(pieces, begin, step, lambda state: state["spans"])
+        return F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), m["found"].alias("string"))
+
+    found = _swept(
+        pieces,
+        after=lambda at, m: at + m["gap"] + F.length(m["found"]),
+        joined=lambda at, further: at + further,
+        keep=lambda at, m: m["counted"] >= least,
+        value=span,
+    )
+    none = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int,string:string>>)")
     return F.when(text.rlike(pattern), found).otherwise(none)
 
 
+def _swept(items: Column, after: Callable, joined: Callable, keep: Callable, value: Callable) -> Column:
+    """The values of the items that are kept, in one pass with a place in the text that begins at 0.
+
+    after, keep, value: functions of the place before an item and the item; joined: the place after
+    items that alone lead to a place. What aggregation carries is copied at each step, so it carries
+    the places of a chunk at most, and the places at which chunks begin.
+    """
+    none = F.expr("CAST(array() AS array<int>)")
+
+    def gathered(xs: Column, begin: Column, onward: Callable) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            found = F.concat(state["found"], F.array(state["at"]))
+            return F.struct(onward(state["at"], x).alias("at"), found.alias("found"))
+
+        return F.aggregate(xs, F.struct(begin.alias("at"), none.alias("found")), step, lambda state: state["found"])
+
+    def before(chunks: Column) -> Column:
+        each = F.transform(chunks, lambda chunk: F.aggregate(chunk, F.lit(0), after))
+        begins = gathered(each, F.lit(0), joined)
+        return F.flatten(F.zip_with(chunks, begins, lambda chunk, begin: gathered(chunk, begin, after)))
+
+    def of(xs: Column) -> Column:
+        starts = F.when(F.size(xs) > 0, F.sequence(F.lit(1), F.size(xs), F.lit(CHUNK))).otherwise(none)
+        chunks = F.transform(starts, lambda n: F.slice(xs, n, F.lit(CHUNK)))
+        placed = F.zip_with(xs, _let(chunks, before), lambda x, at: F.struct(x.alias("x"), at.alias("at")))
+        return F.transform(F.filter(placed, lambda p: keep(p["at"], p["x"])), lambda p: value(p["at"], p["x"]))
+
+    return _let(items, of)
+
+
+def _farthest(reach: Column, item: Column) -> Column:
+    return F.greatest(reach, item["end"])
+
+
 def _cdf(z: Column) -> Column:
     """Standard normal distribution function, to about 1e-7 (a fixed rational approximation)."""
 
@@ -273,7 +310,14 @@ def candidates(text: Column) -> Column:
 
         each = [_matches(run["string"], pattern, 0, LENGTH_CLASSES[0], len(KINDS) - 1) for pattern in PIECES]
         mixed = run["string"].rlike("[+/]") & run["string"].rlike("[_-]")
-        return F.when(mixed, F.array_distinct(F.transform(F.concat(*each), placed))).otherwise(F.array(run))
+        return F.when(mixed, _let(F.array_sort(F.transform(F.concat(*each), placed)), once)).otherwise(F.array(run))
+
+    def once(found: Column) -> Column:
+        def is_new(m: Column, n: Column) -> Column:
+            before = F.get(found, n - 1)
+            return (n == 0) | (m["start"] != before["start"]) | (m["end"] != before["end"])
+
+        return F.filter(found, is_new)
 
     strings = F.transform(
         F.flatten(F.transform(_matches(text, CANDIDATE, 0, LENGTH_CLASSES[0], len(KINDS) - 1), pieces)),
@@ -329,35 +373,55 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def _joined(base: Column, random: Column) -> Column:
+    """The patterns' spans and the random strings that touch none of them; of pieces of one run the longest.
+
+    Two sweeps over sorted spans, each of which carries how far the spans before reach.
+    """
+    def at(place: str, kind: int) -> Callable[[Column], Column]:
+        def of(s: Column) -> Column:
+            return F.struct(
+                s[place].alias("place"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")
+            )
+
+        return of
+
+    def as_span(_: Column, s: Column) -> Column:
+        return F.struct(s["start"].alias("start"), F.lit(len(KINDS) - 1).alias("kind"), s["end"].alias("end"))
+
+    # a string, at its end, meets all pattern spans that begin before it
+    ends = F.array_sort(F.concat(F.transform(random, at("end", 0)), F.transform(base, at("start", 1))))
+    apart = _swept(
+        ends,
+        after=lambda reach, s: F.when(s["kind"] == 1, _farthest(reach, s)).otherwise(reach),
+        joined=F.greatest,
+        keep=lambda reach, s: (s["kind"] == 0) & (s["start"] >= reach),
+        value=as_span,
+    )
+    # by start, the longest first: what reaches no farther than one before lies in it
+    by_start = F.transform(
+        F.array_sort(F.transform(apart, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back")))),
+        lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end")),
+    )
+    longest = _swept(
+        by_start, after=_farthest, joined=F.greatest, keep=lambda reach, s: s["end"] > reach, value=as_span
+    )
+    return F.array_sort(F.concat(base, longest))
+
+
 def scan(docs: DataFrame, levels: dict[str, int]) -> DataFrame:
     """The rows with `secrets_base` and `secrets_spans`: the patterns' and all spans (start, kind, end).
 
     Columns of these names are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base, strings = F.col("secrets_base"), F.col("secrets_spans")
-    random = F.filter(
-        strings,
-        lambda c: (c["level"] >= F.coalesce(_pick(c["stratum"], levels).cast("int"), F.lit(GRID * GRID_POWERS + 1)))
-        & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
-    # of pieces of one run the longest
-    longest = _let(
-        random,
-        lambda found: F.filter(
-            found,
-            lambda c: ~F.exists(
-                found,
-                lambda o: (o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (o["end"] - o["start"] > c["end"] - c["start"]),
-            ),
-        ),
-    )
-    added = F.transform(
-        longest,
-        lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS) - 1).alias("kind"), c["end"].alias("end")),
+    discovered = F.filter(
+        F.col("secrets_spans"),
+        lambda c: c["level"] >= F.coalesce(_pick(c["stratum"], levels).cast("int"), F.lit(GRID * GRID_POWERS + 1)),
     )
+    spans = F.when(F.size(discovered) > 0, _joined(F.col("secrets_base"), discovered)).otherwise(F.col("secrets_base"))
     found = docs.withColumns({"secrets_base": base_spans(text), "secrets_spans": candidates(text)})
-    return found.withColumn("secrets_spans", F.array_sort(F.concat(base, added)))
+    return found.withColumn("secrets_spans", spans)
 
 
 def spelled(spans: Column) -> Column:
@@ -370,21 +434,31 @@ def spelled(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each span, or each chain of overlapping spans, as one mark."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    whole = F.struct(F.length(text).alias("start"), F.lit(0).alias("kind"), F.length(text).alias("end"))
+    gaps = _swept(
+        F.concat(spans, F.array(whole)),
+        after=_farthest,
+        joined=F.greatest,
+        keep=lambda reach, s: s["start"] >= reach,
+        value=lambda reach, s: F.struct(reach.alias("start"), s["start"].alias("end")),
+    )
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.concat(state["out"], text.substr(state["at"] + 1, s["start"] - state["at"]), F.lit(mark))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= state["at"], gap).otherwise(state["out"]).alias("out"),
-        )
+    # places are counted from the beginning of a text: what holds some gaps is cut out first
+    def of_chunk(chunk: Column) -> Column:
+        base = F.get(chunk, 0)["start"]
+        stretch = text.substr(base + 1, F.element_at(chunk, -1)["end"] - base)
 
-    return F.when(
-        F.size(spans) > 0,
-        F.aggregate(
-            spans, begin, step, lambda state: F.concat(state["out"], text.substr(state["at"] + 1, F.length(text)))
-        ),
-    ).otherwise(text)
+        def cut(string: Column) -> Column:
+            parts = F.transform(chunk, lambda g: string.substr(g["start"] - base + 1, g["end"] - g["start"]))
+            return F.array_join(parts, mark)
+
+        return _let(stretch, cut)
+
+    def joined(gaps: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(gaps), F.lit(CHUNK))
+        return F.array_join(F.transform(starts, lambda n: _let(F.slice(gaps, n, F.lit(CHUNK)), of_chunk)), mark)
+
+    return F.when(F.size(spans) > 0, _let(gaps, joined)).otherwise(text)
 
 
 def without_secrets(docs: DataFrame, levels: dict[str, int], mark: str = "[SECRET]") -> DataFrame:
