@@ -63,6 +63,16 @@ def test_components_of_long_paths_and_stars(spark):
     assert graph.components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("salts", [1, 64])
+def test_least_of_a_hot_key(spark, monkeypatch, salts):
+    monkeypatch.setattr(graph, "SALTS", salts)
+    pairs = [(7, n) for n in range(500)] + [(7, 3), (8, 9), (8, None), (9, None)]
+    got = graph.with_least(spark.createDataFrame(pairs, "k long, v long"), "k", "v", "least")
+    assert set(got.columns) == {"k", "v", "least"}
+    least = {7: 0, 8: 9, 9: None}
+    assert sorted(((r.k, r.v, r.least) for r in got.collect()), key=str) == sorted(((k, v, least[k]) for k, v in pairs), key=str)
+
+
 def test_defined_results(spark):
     rows = [(5, None), (3, ""), (None, " "), (7, "a b c d e"), (7, "a b c d e"), (2, "a b c d e"), (None, "only q w e r t")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS print", "2 AS text_hash", "3 AS root")

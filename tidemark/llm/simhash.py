@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key, stored, table
-from tidemark.llm.components import components
+from tidemark.llm.components import components, with_least
 
 WORDS = 4
 BITS = 4
@@ -170,8 +170,8 @@ def near_duplicates(
     rooted = prints.join(roots, prints["print"] == roots["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(rooted.join(named, "root").select("print", "root", "component_id"), "print").select(
+    named = with_least(rooted, "root", "least", "component_id").select("print", "root", "component_id")
+    return rows.join(named, "print").select(
         "doc_id", "print", "root", "component_id", *carry
     )
 
