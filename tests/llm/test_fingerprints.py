@@ -87,3 +87,22 @@ def test_defined_results(spark, monkeypatch, piece):
     assert f.compared(one).collect()[0].near_next == 1.0
     none = spark.createDataFrame([(None, None), (None, "b")], one.schema)
     assert sorted(map(tuple, f.compared(none).collect()), key=str) == wanted([(None, ""), (None, "b")])
+
+
+def test_rows_of_one_id_are_split(spark, monkeypatch):
+    monkeypatch.setattr(f, "PIECE", 10)
+    numbers = random.Random(4)
+    rows = [(None, f"{numbers.random()} text {n}") for n in range(300)] + [(n, "same") for n in range(5)] + [(7, "same")] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = {r.piece: r["count"] for r in f._dealt(df).groupBy("piece").count().collect()}
+    assert max(sizes.values()) < 100  # of 300 rows without an id
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
+    assert sorted(map(tuple, f.compared(df).collect()), key=str) == wanted(ordered)
+
+
+@pytest.mark.parametrize("piece", [1, 2000])
+def test_cuts_are_folded_into_the_plan(spark, monkeypatch, piece):
+    monkeypatch.setattr(f, "PIECE", piece)
+    dealt = f._dealt(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and plan.count("array(") < 10

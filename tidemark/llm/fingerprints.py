@@ -13,8 +13,9 @@ to another is the share of its bytes in chunks that the other has as well
 
 Each text is compared with the next document's, and with its own edited text,
 whose end is the next document's beginning. Documents are dealt to pieces of
-neighbouring ids, by cuts taken from the ids alone; the first document of each
-piece also goes to the piece before it. Texts are shuffled once, and a task
+neighbouring ids, by cuts taken from the ids, and from beginnings of texts where
+one id has many rows; the first document of each piece also goes to the piece
+before it. Texts are shuffled once, and a task
 holds two of them at a time.
 
 Defined results: a null text is empty; an empty text has the empty fingerprint;
@@ -26,6 +27,7 @@ no rows.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -34,7 +36,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
@@ -48,6 +50,8 @@ _WINDOW = 32
 _GEAR = np.random.default_rng(2016).integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Documents to a piece on average, as long as there are no more than PIECES pieces.
 PIECE, PIECES = 2_000, 100_000
+#: Characters that tell rows of one id apart, where it has more rows than a piece.
+HEAD = 64
 _KEY = "CAST(coalesce(doc_id, -9223372036854775808) AS BIGINT)"
 
 
@@ -109,35 +113,55 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _place(head: Column) -> Column:
+    """Where a row stands: by descending id, null ids last, and by the first characters of its text."""
+    return F.struct(F.bitwise_not("key").alias("back"), F.col("doc_id").isNull().alias("missing"), head.alias("head"))
+
+
+def _cuts(rows: DataFrame) -> tuple[DataFrame, list[Row]]:
+    """The rows with the place `at`, and the places, in order, at which pieces start.
+
+    A hash picks the cuts among the places, one in `PIECE`, and the first place
+    is one. A place tells rows of one id apart only if some id has more rows than
+    a piece should: only then are texts read for it.
+    """
+    ids = rows.groupBy("key").agg(F.count("*").alias("rows"))
+    total = ids.agg(F.sum("rows").alias("rows"), F.max("rows").alias("most")).first()
+    size = max(PIECE, (total.rows or 0) // PIECES)
+    head = F.substring("text", 1, HEAD) if (total.most or 0) > size else F.lit("")
+    placed = rows.withColumn("at", _place(head))
+    picked = placed.filter(F.pmod(F.xxhash64("at"), F.lit(size)) == 0).select("at").distinct()
+    first = placed.agg(F.min("at").alias("at")).filter("at IS NOT NULL")
+    return placed, sorted({r.at for r in picked.unionByName(first).collect()})
+
+
 def _dealt(docs: DataFrame) -> DataFrame:
     """piece, echo, key, doc_id, text: neighbours by descending id, in pieces that start at a cut.
 
-    A hash picks the cuts among the ids, one in `PIECE`, and the largest id is
-    one. The document at a cut is echoed at the end of the piece before.
+    The documents at a cut are echoed at the end of the piece before.
     """
-    keys = docs.select(F.expr(_KEY).alias("key"))
-    total = keys.agg(F.count("*").alias("rows"), F.max("key").alias("top")).first()
-    is_cut = (F.pmod(F.xxhash64("key"), F.lit(max(PIECE, total.rows // PIECES))) == 0) | (
-        F.col("key") == F.lit(total.top)
+    rows = docs.select(
+        F.expr(_KEY).alias("key"), F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
-    cuts = sorted((r.key for r in keys.filter(is_cut).distinct().collect()), reverse=True)
+    placed, cuts = _cuts(rows)
     n = len(cuts)
+    # one folded literal, whatever the number of cuts
+    kind = "array<struct<back: bigint, missing: boolean, head: string>>"
+    all_cuts = F.from_json(F.lit(json.dumps([c.asDict() for c in cuts])), kind)
     steps = [1 << b for b in reversed(range(n.bit_length()))]
-    all_cuts = F.array(*[F.lit(c) for c in cuts])
 
     def further(place: Column, step: Column) -> Column:
         reached = F.try_element_at(all_cuts, place + step)
-        return F.when((place + step <= n) & (reached >= F.col("key")), place + step).otherwise(place)
+        return F.when((place + step <= n) & (reached <= F.col("at")), place + step).otherwise(place)
 
     place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further) if n else F.lit(0)
-    rows = docs.select(
-        F.expr(_KEY).alias("key"), F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).withColumn("piece", place)
+    placed = placed.withColumn("piece", place)
+    is_cut = F.try_element_at(all_cuts, F.col("piece")) == F.col("at") if n else F.lit(False)
     before = F.when(F.col("piece") == 1, n).otherwise(F.col("piece") - 1)
     own = F.struct(F.col("piece").alias("piece"), F.lit(0).alias("echo"))
     echo = F.struct(before.alias("piece"), F.lit(1).alias("echo"))
     copies = F.when(is_cut, F.array(own, echo)).otherwise(F.array(own))
-    return rows.withColumn("at", F.explode(copies)).select("at.*", "key", "doc_id", "text")
+    return placed.withColumn("to", F.explode(copies)).select("to.*", "key", "doc_id", "text")
 
 
 def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
