@@ -1,7 +1,9 @@
 """Weak labels and the scorer."""
 
 import itertools
+import math
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -71,6 +73,71 @@ def test_query_agrees_with_labels_it_never_saw(spark):
     assert all(0 <= r.score <= 1 and 0 <= r.weak_label <= 1 for r in got)
 
 
+def plain_posteriors(votes, rounds=200):
+    """Document after document: each one's probability of being good."""
+    cast = [[(k, int(v)) for k, v in enumerate(p) if int(v) != q.ABSTAIN] for p in votes]
+    good = [0.2 if any(v == q.BAD for _, v in c) else 0.9 for c in cast]
+    for _ in range(rounds):
+        of_good = [[0.5, 0.5] for _ in q.LABELLERS]  # sums of good and bad votes, of good documents
+        of_bad = [[0.5, 0.5] for _ in q.LABELLERS]
+        for c, g in zip(cast, good):
+            for k, v in c:
+                of_good[k][v] += g
+                of_bad[k][v] += 1 - g
+        prior = (math.fsum(good) + 1) / (len(good) + 2)
+        now = []
+        for c in cast:
+            a, b = prior, 1 - prior
+            for k, v in c:
+                a *= of_good[k][v] / sum(of_good[k])
+                b *= of_bad[k][v] / sum(of_bad[k])
+            now.append(a / (a + b))
+        moved = max(abs(x - y) for x, y in zip(good, now))
+        if moved < 1e-9:
+            break
+        good = now
+    return good
+
+
+def plain_scores(texts, labels, of):
+    """A logistic regression by adaptive steps, feature after feature, and the scores of the texts `of`."""
+    weights, slopes = defaultdict(float), defaultdict(lambda: 1e-6)
+
+    def features(text):
+        out = defaultdict(float)
+        for where, value in zip(*q.hashed(q.Facts(text))):
+            out[int(where)] += float(value)  # names that meet in one place add up
+        return out
+
+    def probability(found):
+        raw = sum(weights[w] * v for w, v in found.items()) + weights["bias"]
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, raw))))
+
+    examples = [(features(t), y) for t, y in zip(texts, labels)]
+    order = np.random.default_rng(0)
+    for _ in range(q.EPOCHS):
+        for n in order.permutation(len(examples)):
+            found, y = examples[n]
+            gap = probability(found) - y
+            for w, v in [*found.items(), ("bias", 1.0)]:
+                slopes[w] += (gap * v) ** 2
+                weights[w] -= q.STEP * gap * v / math.sqrt(slopes[w])
+    return [probability(features(t)) for t in of]
+
+
+def test_query_is_plain_expectation_maximisation_and_regression(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()))
+    texts = [text for _, text in docs]
+    assert len(docs) <= q.TRAIN_DOCS and len(set(docs)) == len(docs)  # so all are learned from
+    labels = plain_posteriors([q.votes(text) for text in texts])
+    scores = plain_scores(texts, labels, texts)
+    got = {r.doc_id: r for r in QUERIES["op2_quality"](spark, folder).collect()}
+    assert [got[i].weak_label for i, _ in docs] == pytest.approx(labels, abs=1e-6)
+    assert [got[i].score for i, _ in docs] == pytest.approx(scores, abs=0.02)
+    assert all(got[i].keep == (s >= 0.5) for (i, _), s in zip(docs, scores) if abs(s - 0.5) > 0.02)
+
+
 def test_defined_results(spark):
     rows = [(1, None), (2, ""), (None, "Some words here."), (2, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS votes", "1 AS score")
