@@ -49,7 +49,9 @@ DIGITS = 12
 _WINDOW = 32
 _GEAR = np.random.default_rng(2016).integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Documents to a piece on average, as long as there are no more than PIECES pieces.
-PIECE, PIECES = 2_000, 100_000
+PIECE, PIECES = 2_000, 50_000
+#: Places picked for each one at which a piece starts, which makes pieces of like sizes.
+PICKS = 8
 #: Characters that tell rows of one id apart, where it has more rows than a piece.
 HEAD = 64
 _KEY = "CAST(coalesce(doc_id, -9223372036854775808) AS BIGINT)"
@@ -121,8 +123,8 @@ def _place(head: Column) -> Column:
 def _cuts(rows: DataFrame) -> tuple[DataFrame, list[Row]]:
     """The rows with the place `at`, and the places, in order, at which pieces start.
 
-    A hash picks the cuts among the places, one in `PIECE`, and the first place
-    is one. A place tells rows of one id apart only if some id has more rows than
+    A hash picks places, `PICKS` for each piece, and every `PICKS`-th of them from
+    the first place on is a cut. A place tells rows of one id apart only if some id has more rows than
     a piece should: only then are texts read for it.
     """
     ids = rows.groupBy("key").agg(F.count("*").alias("rows"))
@@ -130,9 +132,10 @@ def _cuts(rows: DataFrame) -> tuple[DataFrame, list[Row]]:
     size = max(PIECE, (total.rows or 0) // PIECES)
     head = F.substring("text", 1, HEAD) if (total.most or 0) > size else F.lit("")
     placed = rows.withColumn("at", _place(head))
-    picked = placed.filter(F.pmod(F.xxhash64("at"), F.lit(size)) == 0).select("at").distinct()
+    step = min(PICKS, size)
+    picked = placed.filter(F.pmod(F.xxhash64("at"), F.lit(size // step)) == 0).select("at").distinct()
     first = placed.agg(F.min("at").alias("at")).filter("at IS NOT NULL")
-    return placed, sorted({r.at for r in picked.unionByName(first).collect()})
+    return placed, sorted({r.at for r in picked.unionByName(first).collect()})[::step]
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
