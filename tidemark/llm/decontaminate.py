@@ -322,12 +322,16 @@ def _search(index: Index, least_overlap: float) -> Callable:
 def leaks(
     docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least_overlap: float = OVERLAP, block: int = BLOCK
 ) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap: the best passage for each leaked item."""
+    """doc_id, item_id, score, question_overlap, answer_overlap: the best passage for each leaked item.
+
+    What a block of the index finds is written before the next block is built, so
+    that the driver holds one block, however large the benchmark is.
+    """
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     texts = docs.select("doc_id", "text")
     found = docs.sparkSession.createDataFrame([], schema)
     for index in indexes(benchmark, threshold, block):
-        found = found.unionByName(texts.mapInArrow(_search(index, least_overlap), schema))
+        found = found.unionByName(stored(texts.mapInArrow(_search(index, least_overlap), schema)))
     scores = F.struct("score", "question_overlap", "answer_overlap")
     return found.groupBy("doc_id", "item_id").agg(F.max(scores).alias("best")).select("doc_id", "item_id", "best.*")
 
