@@ -1,0 +1,64 @@
+"""How the registered queries feed their streams."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.plans import queries as q
+
+KINDS = ("view", "signup", "click")
+
+
+@pytest.fixture
+def many_files(spark, tmp_path):
+    """Events and customers, in a dozen files each."""
+    rows = [(n, n % 100, KINDS[n % 3], float(n), f"p{n}") for n in range(1200)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string")
+    events.repartition(12).write.parquet(str(tmp_path / "events.parquet"))
+    base = spark.range(60).select(
+        F.col("id").alias("c_custkey"), F.lit("name").alias("c_name"), F.lit("BUILDING").alias("c_mktsegment"), F.lit(1.0).alias("c_acctbal")
+    )
+    base.repartition(12).write.parquet(str(tmp_path / "customer.parquet"))
+    return str(tmp_path), rows
+
+
+@pytest.fixture
+def started(monkeypatch):
+    """The streams that queries start."""
+    streams = []
+
+    def kept(start):
+        def run(*args, **options):
+            streams.append(start(*args, **options))
+            return streams[-1]
+
+        return run
+
+    monkeypatch.setattr(q, "apply_stream", kept(q.apply_stream))
+    monkeypatch.setattr(q, "apply_to_many", kept(q.apply_to_many))
+    return streams
+
+
+def batches(stream):
+    return sum(p.numInputRows > 0 for p in stream.recentProgress)
+
+
+@pytest.mark.parametrize("name, streams", [("replay", 2), ("moved_keys", 1), ("many_tables", 1)])
+def test_more_files_do_not_make_more_batches(spark, many_files, started, name, streams):
+    folder, rows = many_files
+    found = {r["ID"]: r["Amount"] for r in q.QUERIES[name](spark, folder).collect()}
+    last = {user: value for _, user, _, value, _ in rows}
+    assert {k: found[k] for k in last} == last
+    assert len(started) == streams and all(1 <= batches(s) <= q.PARTS for s in started)
+
+
+def test_batch_takes_a_part_of_all_files(spark, tmp_path):
+    for n in range(3):
+        spark.range(100).repartition(9).write.mode("append").parquet(str(tmp_path / "feed"))
+    assert q._files_at_once(spark, str(tmp_path / "feed")) == 6
+    assert q._files_at_once(spark, str(tmp_path / "feed"), 1) == 27
+
+
+def test_files_of_a_feed_follow_its_size(spark, many_files):
+    folder = q._feed_folder(spark, q.dealt_feed(spark, many_files[0]))
+    feed = spark.read.parquet(folder)
+    assert len(feed.inputFiles()) == q.PARTS and feed.count() == 1200

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,12 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_feed(events(spark, sf_dir))
 
 
+def dealt_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, its records dealt by offset to as many tasks as their size asks for, and so
+    to as many files where it is written, however the events lay."""
+    return event_feed(events(spark, sf_dir).repartition("event_id"))
+
+
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.decode(spread(feed(spark, sf_dir)), CURRENT)
 
@@ -310,7 +317,7 @@ PARTS = 5
 
 
 def _feed_folder(spark: SparkSession, records: DataFrame, order: str = "offset") -> str:
-    """A feed as files, the latest records first: a stream takes them file by file."""
+    """A feed as files, the latest records first: a stream takes them part by part."""
     folder = f"{work_dir(spark)}/feed"
     top = records.agg(F.max(order)).first()[0] or 0
     part = F.floor(F.col(order) * PARTS / F.lit(top + 1))
@@ -319,15 +326,21 @@ def _feed_folder(spark: SparkSession, records: DataFrame, order: str = "offset")
     return folder
 
 
+def _files_at_once(spark: SparkSession, folder: str, batches: int = PARTS) -> int:
+    """How many of a feed's files a batch takes, so that the batches are not more for a larger feed."""
+    return max(1, math.ceil(len(spark.read.parquet(folder).inputFiles()) / batches))
+
+
 def _run(spark: SparkSession, folder: str, stores, order_by: str | None = None, **options) -> None:
-    stream = file_feed(spark, folder, stream=True, order_by=order_by, maxFilesPerTrigger=1)
+    files = _files_at_once(spark, folder)
+    stream = file_feed(spark, folder, stream=True, order_by=order_by, maxFilesPerTrigger=files)
     checkpoint = f"{work_dir(spark)}/checkpoint"
     apply_stream(stream, stores, checkpoint, **options).awaitTermination()
 
 
 def _streamed(spark: SparkSession, sf_dir: str, store: TableStore, **options) -> str:
     """Apply the event feed to a store, and return the feed's folder."""
-    folder = _feed_folder(spark, feed(spark, sf_dir))
+    folder = _feed_folder(spark, dealt_feed(spark, sf_dir))
     _run(spark, folder, store, **options)
     return folder
 
@@ -345,7 +358,7 @@ def overwrite_then_feed(spark, sf_dir):
     """An overwrite takes the place of the feed's first half, which is replayed after it;
     the second half comes from topics made anew, whose offsets begin at 0 again."""
     store = TableStore(spark, work_dir(spark), TIMED)
-    records = moving_feed(feed(spark, sf_dir))
+    records = moving_feed(dealt_feed(spark, sf_dir))
     half = F.lit((records.agg(F.max("timestamp")).first()[0] or 0) // 2)
     first = records.where(F.col("timestamp") < half)
     second = records.where(F.col("timestamp") >= half).withColumn("offset", F.col("offset") - F.floor(half / 4))
@@ -415,7 +428,7 @@ def moved_keys(spark, sf_dir):
     """Keys that move between partitions, ordered by the records' timestamps."""
     store = TableStore(spark, work_dir(spark), TIMED)
     store.overwrite(customer_base(spark, sf_dir))
-    folder = _feed_folder(spark, moving_feed(feed(spark, sf_dir)), "timestamp")
+    folder = _feed_folder(spark, moving_feed(dealt_feed(spark, sf_dir)), "timestamp")
     _run(spark, folder, store, "timestamp", compact_ratio=0.0, compact_every=2)
     return store.read()
 
@@ -424,7 +437,7 @@ def moved_keys(spark, sf_dir):
 def moved_keys_rejected(spark, sf_dir):
     """The same without a declared order: a key keeps to one partition."""
     store = TableStore(spark, work_dir(spark), CURRENT)
-    _run(spark, _feed_folder(spark, moving_feed(feed(spark, sf_dir)).drop("timestamp")), store, compact_ratio=None)
+    _run(spark, _feed_folder(spark, moving_feed(dealt_feed(spark, sf_dir)).drop("timestamp")), store, compact_ratio=None)
     moved = store.rejects().where(F.col("action") == d.MOVED_KEY)
     return moved.select("topic", "partition", "offset")
 
@@ -474,7 +487,7 @@ def _routed(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
     root = work_dir(spark)
     stores = [TableStore(spark, root, TableSpec(n, CURRENT.schema, CURRENT.keys)) for n in names]
     unrouted = f"{root}/unrouted"
-    _run(spark, _feed_folder(spark, feed(spark, sf_dir)), stores, compact_ratio=None, unrouted=unrouted)
+    _run(spark, _feed_folder(spark, dealt_feed(spark, sf_dir)), stores, compact_ratio=None, unrouted=unrouted)
     counts = unrouted_records(spark, unrouted).agg(
         F.lit("unrouted").alias("table_name"), F.count(F.lit(1)).alias("n")
     )
@@ -507,7 +520,8 @@ def stream_dedup(spark, sf_dir):
     for n in (0, 1):
         records.where(F.col("partition") % 2 == n).write.mode("append").parquet(folder)
         resent.where(F.col("partition") % 2 != n).write.mode("append").parquet(folder)
-        once = once_by_source(file_feed(spark, folder, stream=True, maxFilesPerTrigger=2), COMMITTED.source_order, "7 days")
+        stream = file_feed(spark, folder, stream=True, maxFilesPerTrigger=_files_at_once(spark, folder, n + 1))
+        once = once_by_source(stream, COMMITTED.source_order, "7 days")
         writer = once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
         writer.format("parquet").option("path", out).start().awaitTermination()
     return audit.action_counts(d.verdicts(spread(file_feed(spark, out)), CURRENT))
@@ -541,9 +555,10 @@ def tables_at_once(spark, sf_dir):
     """Fifty topics to tables of their own, all in one fold of each batch."""
     topic = F.concat(F.lit("srv.db.dbo.T"), (F.col("user_id") % TABLES).cast("string"))
     users = events(spark, sf_dir).select(F.col("event_id").alias("offset"), topic.alias("own"))
-    records = feed(spark, sf_dir).join(users, "offset").drop("topic").withColumnRenamed("own", "topic")
+    records = dealt_feed(spark, sf_dir).join(users, "offset").drop("topic").withColumnRenamed("own", "topic")
     root = work_dir(spark)
-    stream = file_feed(spark, _feed_folder(spark, records), stream=True, maxFilesPerTrigger=1)
+    folder = _feed_folder(spark, records)
+    stream = file_feed(spark, folder, stream=True, maxFilesPerTrigger=_files_at_once(spark, folder))
     names = [f"srv_db_dbo_t{n}" for n in range(TABLES)]
     apply_to_many(stream, CURRENT, names, root, f"{work_dir(spark)}/checkpoint").awaitTermination()
     return many_tables(spark, root, CURRENT).withColumnRenamed("_table", "table_name")
