@@ -1,6 +1,7 @@
 """Languages: the encoding against its definition, and held-out accuracy."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -45,6 +46,20 @@ def test_forgetting_vectors_changes_nothing(monkeypatch):
     assert small.profile(text) == pytest.approx(wanted)
 
 
+def test_memory_of_a_profile():
+    """A byte for each dimension of a trigram, and few trigrams turned into numbers at a time."""
+    draw = random.Random(3)
+    text = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=5000))
+    encoder = lang.Encoder(lang.DIMENSIONS)
+    encoder.profile("a")
+    tracemalloc.start()
+    profile = encoder.profile(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(encoder.known) > 4000 and profile @ profile == pytest.approx(1)
+    assert most < 24 << 20
+
+
 def test_query_on_held_out_documents(spark):
     truth = {r.doc_id: r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     got = QUERIES["op7_language"](spark, SF_DIR).collect()

@@ -49,8 +49,10 @@ UNKNOWN = "und"
 LIKE = 0.45
 #: A trigram is common if it is one in so many of its language's, or more.
 RARE = 50_000
-#: Trigram vectors that a task keeps at hand.
+#: Trigram vectors that a task keeps at hand, a byte for each dimension.
 KEPT = 1 << 15
+#: Trigrams of a text that are bundled at a time.
+RUN = 512
 _BLANK = 32
 _BITS = 21  # of a code point
 
@@ -58,13 +60,14 @@ _BITS = 21  # of a code point
 @cache
 def _letters() -> np.ndarray:
     """For every code point its lower-case letter, or the blank."""
-    return np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else _BLANK for c in range(0x110000)], dtype=np.int64)
+    letters = (ord(chr(c).lower()[0]) if chr(c).isalpha() else _BLANK for c in range(0x110000))
+    return np.fromiter(letters, dtype=np.int32, count=0x110000)
 
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The different trigrams of a text, each as one number, and how often each occurs."""
     points = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-    points = np.concatenate(([_BLANK], points, [_BLANK]))
+    points = np.concatenate(([_BLANK], points, [_BLANK])).astype(np.int64, copy=False)
     blank = points == _BLANK
     points = points[~(blank & np.concatenate(([False], blank[:-1])))]
     if len(points) < 3:
@@ -83,7 +86,7 @@ class Encoder:
     def clear(self) -> None:
         self.known = np.empty(0, dtype=np.int64)  # sorted
         self.row = np.empty(0, dtype=np.int64)
-        self.vectors = np.empty((256, self.dimensions), dtype=np.float32)
+        self.vectors = np.empty((256, self.dimensions), dtype=np.int8)
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self.letter:
@@ -121,15 +124,16 @@ class Encoder:
         """At unit length; None if there is no letter."""
         grams, counts = trigrams(text or "")
         total = np.zeros(self.dimensions, dtype=np.float64)
-        for at in range(0, len(grams), KEPT // 8):
-            part = slice(at, at + KEPT // 8)
+        run = min(RUN, KEPT // 8)
+        for at in range(0, len(grams), run):
+            part = slice(at, at + run)
             total += counts[part].astype(np.float32) @ self.vectors_of(grams[part])
         length = np.sqrt(total @ total)
         return total / length if length else None
 
     def vectors_of(self, grams: np.ndarray) -> np.ndarray:
         rows = self._rows(grams)
-        return self.vectors[rows]
+        return self.vectors[rows].astype(np.float32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -250,7 +254,7 @@ def recognised(docs: DataFrame, learned: Languages) -> DataFrame:
     def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         best = _judge(learned.vectors)
         for batch in texts:
-            found = ((text, *best(text)) for text in batch.to_pylist())
+            found = ((text, *best(text)) for text in (value.as_py() for value in batch))
             # mostly the cosine is enough
             yield pa.array(
                 [
